@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelattice.operators import bloom_dedupe, lambda_views
+from tidelattice.operators import bloom_dedupe, lambda_views, time_em
+from tidelattice.functions.normalize import text_to_ms
 from tidelattice.operators.topics import TOPICS, deliveries, read_deliveries
 
 
@@ -29,7 +30,20 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_dedupe.find_repeats(read_deliveries(spark, sf_dir, list(TOPICS)), bloom_dedupe.time_bucket()).select("topic", "delivery_id")
 
 
-QUERIES = {"p4_found": p4_found, "p4_hourly": p4_hourly, "p7_found": p7_found}
+def _cases_of_time(spark: SparkSession, sf_dir: str, name: str, columns: list[str], own) -> DataFrame:
+    """Texts of a table that its own form doesn't read as their instant."""
+    each = table(spark, sf_dir, name).select("row_id", "feed", "received_at", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in columns])).alias("x"))
+    rows = time_em.normalise(each.select("row_id", "feed", "received_at", "x.field", "x.text"), "text", table(spark, sf_dir, "feeds"))
+    return rows.filter(F.col("text_utc_ms").isNotNull() & ~own(time_em.trimmed("text")).eqNullSafe(F.col("text_utc_ms"))).select(F.lit(name).alias("source_table"), "row_id", "field", F.col("text_utc_ms").alias("utc_ms"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spot = _cases_of_time(spark, sf_dir, "spot_klines", ["open_time", "close_time"], lambda t: F.when(t.rlike(r"^\d{1,18}$"), t.try_cast("long")))
+    readings = _cases_of_time(spark, sf_dir, "futures_metrics", ["create_time"], lambda t: F.when(~t.rlike(r"^\d{1,18}$"), text_to_ms(F.when(~F.contains(t, F.lit("T")), t))))
+    return spot.unionByName(readings)
+
+
+QUERIES = {"p4_found": p4_found, "p4_hourly": p4_hourly, "p6_found": p6_found, "p7_found": p7_found}
 
 _SYMBOL = "upper(replace(replace(replace(symbol, ' ', ''), chr(9), ''), chr(160), ''))"
 
