@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelattice.operators import bloom_dedupe, lambda_views, time_em
+from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, time_em
 from tidelattice.functions.normalize import text_to_ms
 from tidelattice.operators.topics import TOPICS, deliveries, read_deliveries
 
@@ -30,6 +30,15 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_dedupe.find_repeats(read_deliveries(spark, sf_dir, list(TOPICS)), bloom_dedupe.time_bucket()).select("topic", "delivery_id")
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_machine.rejects(csv_machine.parse(table(spark, sf_dir, "raw_rows"))).filter(F.col("reason") != "unknown_kind").select("raw_id", "reason")
+
+
+def p5_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trades among the raw lines, typed."""
+    return csv_machine.rows_of(csv_machine.parse(table(spark, sf_dir, "raw_rows").filter(F.col("file_kind") == "futures_aggtrades")), "futures_aggtrades")
+
+
 def _cases_of_time(spark: SparkSession, sf_dir: str, name: str, columns: list[str], own) -> DataFrame:
     """Texts of a table that its own form doesn't read as their instant."""
     each = table(spark, sf_dir, name).select("row_id", "feed", "received_at", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in columns])).alias("x"))
@@ -43,7 +52,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot.unionByName(readings)
 
 
-QUERIES = {"p4_found": p4_found, "p4_hourly": p4_hourly, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {"p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
 
 _SYMBOL = "upper(replace(replace(replace(symbol, ' ', ''), chr(9), ''), chr(160), ''))"
 
