@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, time_em
+from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, time_em, trailing
 from tidelattice.functions.normalize import text_to_ms
 from tidelattice.operators.topics import TOPICS, deliveries, read_deliveries
 
@@ -14,6 +14,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _trailing_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    bars = trailing.trailing(table(spark, sf_dir, "futures_klines_1d"), "symbol", F.col("open_time"), "load_seq", ["relative_range", "log_return_close"], [7, 30])
+    # create_time is the end of the day that a row describes
+    interest = trailing.trailing(table(spark, sf_dir, "futures_metrics_1d"), "symbol", F.col("create_time") - F.expr("interval 1 day"), "load_seq", ["log_return_sum_open_interest_last"], [7, 30])
+    return bars, interest
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bars, interest = _trailing_days(spark, sf_dir)
+    t = lambda m, w: F.col(f"{m}_total_{w}")
+    # features have six decimals: a margin far below that keeps sums of other order from making cases of ties
+    tiny = 1e-10
+    rules = [
+        (bars, "relative_range", t("relative_range", 7) / 7 - 1.8 * t("relative_range", 30) / 30 > tiny),
+        (bars, "log_return_close", (t("log_return_close", 7) < -0.1500005) & (t("log_return_close", 30) > -0.1500005)),
+        (interest, "log_return_sum_open_interest_last", (t("log_return_sum_open_interest_last", 7) > 0.1500005) & (t("log_return_sum_open_interest_last", 7) - t("log_return_sum_open_interest_last", 30) > tiny)),
+    ]
+    found = []
+    for rows in (bars, interest):
+        own = F.array_compact(F.array(*[F.when(rule, m) for r, m, rule in rules if r is rows]))
+        found.append(rows.filter("nth >= 30").select(F.col("entity").alias("symbol"), F.date_from_unix_date("day").cast("string").alias("day"), F.explode(own).alias("measure")))
+    return found[0].unionByName(found[1])
+
+
+def p3_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and averages of every symbol and day of the daily bars."""
+    bars, _ = _trailing_days(spark, sf_dir)
+    value = lambda m, w: [(F.round(f"{m}_total_{w}", 6) + 0).alias(f"{m}_total_{w}"), (F.round(F.col(f"{m}_total_{w}") / w, 7) + 0).alias(f"{m}_avg_{w}")]
+    return bars.select(F.col("entity").alias("symbol"), F.date_from_unix_date("day").cast("string").alias("day"), *[c for m in ("relative_range", "log_return_close") for w in (7, 30) for c in value(m, w)])
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [lambda_views.late_records(read_deliveries(spark, sf_dir, [t]), p) for t, p in (("futures_aggtrades", lambda_views.TRADES), ("futures_klines", lambda_views.BARS))]
     return parts[0].unionByName(parts[1])
@@ -52,7 +83,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot.unionByName(readings)
 
 
-QUERIES = {"p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {"p3_found": p3_found, "p3_trailing": p3_trailing, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
 
 _SYMBOL = "upper(replace(replace(replace(symbol, ' ', ''), chr(9), ''), chr(160), ''))"
 
@@ -67,7 +98,24 @@ _READING = f"coalesce({_ms('bucket_create_time')}, epoch_ms(try_strptime(create_
 _TRADES = f"""trades as (select {_SYMBOL} as symbol, agg_trade_id as message_key, max({_ms('transact_time')}) as t, min(epoch_us(received_at)) as r,
     arg_max({{'p': price, 'q': quantity}}, delivery_id) as kept from futures_aggtrades group by 1, 2)"""
 
+
+def _days(name: str, time: str, measures: list[str]) -> str:
+    """SQL for every day of a daily table with the sums over 7 and 30 days."""
+    sums = ", ".join(f"sum(coalesce({m}, 0)) over (partition by symbol order by day rows between {w - 1} preceding and current row) as {m}_{w}" for m in measures for w in (7, 30))
+    return f"""(select *, row_number() over (partition by symbol order by day) as nth, {sums} from (
+        select g.symbol, g.day, {", ".join(f"l.{m}" for m in measures)} from (select symbol, unnest(generate_series(min({time}), max({time}), interval 1 day)) as day from {name} group by 1) g
+        left join (select symbol, {time} as day, {", ".join(f"arg_max_null({m}, load_seq) as {m}" for m in measures)} from {name} group by 1, 2) l using (symbol, day)))"""
+
+
+_BAR_DAYS = _days("futures_klines_1d", "cast(open_time as timestamp)", ["relative_range", "log_return_close"])
+_INTEREST_DAYS = _days("futures_metrics_1d", "(cast(create_time as timestamp) - interval 1 day)", ["log_return_sum_open_interest_last"])
+
 ORACLES = {
+    "p3_found": f"""select symbol, strftime(day, '%Y-%m-%d') as day, 'relative_range' as measure from {_BAR_DAYS} where nth >= 30 and relative_range_7 / 7 - 1.8 * relative_range_30 / 30 > 1e-10
+        union all select symbol, strftime(day, '%Y-%m-%d'), 'log_return_close' from {_BAR_DAYS} where nth >= 30 and log_return_close_7 < -0.1500005 and log_return_close_30 > -0.1500005
+        union all select symbol, strftime(day, '%Y-%m-%d'), 'log_return_sum_open_interest_last' from {_INTEREST_DAYS} where nth >= 30 and log_return_sum_open_interest_last_7 > 0.1500005
+            and log_return_sum_open_interest_last_7 - log_return_sum_open_interest_last_30 > 1e-10""",
+    "p3_trailing": f"""select symbol, strftime(day, '%Y-%m-%d') as day, {", ".join(f"round({m}_{w}, 6) + 0 as {m}_total_{w}, round({m}_{w} / {w}, 7) + 0 as {m}_avg_{w}" for m in ("relative_range", "log_return_close") for w in (7, 30))} from {_BAR_DAYS}""",
     "p4_found": f"""with {_TRADES}, bars as (select {_SYMBOL} as symbol, {_CLOSE} as message_key, min(epoch_us(received_at)) as r from futures_klines group by 1, 2),
         late as (select 'futures_aggtrades' as topic, symbol, message_key, r, (t // 3600000 + 1) * 3600000 as e from trades where t is not null
             union all select 'futures_klines', symbol, message_key, r, ((message_key - 1) // 3600000 + 1) * 3600000 from bars where message_key is not null)
