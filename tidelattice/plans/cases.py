@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, time_em, trailing
+from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, regular_grid, time_em, trailing
 from tidelattice.functions.normalize import text_to_ms
 from tidelattice.operators.topics import TOPICS, deliveries, read_deliveries
 
@@ -14,6 +14,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+READING_MS = 300_000
+#: Neighbours of a missing period may be six hours apart to be interpolated between.
+GRID_GAP_MS = 21_600_000
+
+
+def readings(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Collected readings with create_time_utc_ms."""
+    return time_em.normalise(table(spark, sf_dir, "futures_metrics").select("row_id", "feed", "symbol", "received_at", "create_time", *columns), "create_time", table(spark, sf_dir, "feeds"))
+
+
+INTEREST = ["sum_open_interest", "sum_open_interest_value"]
+
+
+def p1_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The regular five-minute series of every symbol."""
+    return regular_grid.regular_grid(readings(spark, sf_dir, *INTEREST), "symbol", F.col("create_time_utc_ms"), "row_id", INTEREST, READING_MS, GRID_GAP_MS)
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    missing = F.array_compact(F.array(*[F.when(F.col(f"{f}_state") != regular_grid.OBSERVED, f) for f in INTEREST]))
+    return p1_grid(spark, sf_dir).select(F.col("source").alias("symbol"), F.col("at").alias("bucket_create_time"), F.explode(missing).alias("field"))
+
+
 def _trailing_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     bars = trailing.trailing(table(spark, sf_dir, "futures_klines_1d"), "symbol", F.col("open_time"), "load_seq", ["relative_range", "log_return_close"], [7, 30])
     # create_time is the end of the day that a row describes
@@ -83,7 +106,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot.unionByName(readings)
 
 
-QUERIES = {"p3_found": p3_found, "p3_trailing": p3_trailing, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p3_found": p3_found, "p3_trailing": p3_trailing, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
 
 _SYMBOL = "upper(replace(replace(replace(symbol, ' ', ''), chr(9), ''), chr(160), ''))"
 
