@@ -3,19 +3,22 @@
 The lines of a batch are one run of bytes, cut into chunks of equal width that may begin anywhere, also inside a quoted field. A finite
 machine with five states reads them. For every chunk the map from each possible start state to its end state is computed, all chunks at once;
 maps compose, so a prefix composition in a logarithmic number of steps gives each chunk's real start state, and a second sweep the state
-before every byte. Delimiters, broken quoting and its offset follow from those states. Values are checked and typed in the JVM.
+before every byte. Delimiters, broken quoting and its offset follow from those states. Values are checked where the fields are cut; good rows are typed in the JVM.
 """
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Iterator
+from datetime import datetime
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelattice.functions.normalize import epoch_ms, parse_bool, text_to_ms
+from tidelattice.functions.normalize import MICROS_FROM, SECONDS_BELOW, epoch_ms, parse_bool, text_to_ms
 
 #: The columns of the three kinds of files in their order.
 COLUMNS = {
@@ -92,13 +95,69 @@ def tokenize(lines: list[str]) -> tuple[list[list[str] | None], list[list[int]],
     return fields, starts, broken
 
 
+_DIGITS = re.compile(r"[0-9]{1,18}")
+_DECIMAL = re.compile(r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?")
+_TIME = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}")
+_BOOLS = {"true", "false", "t", "f", "1", "0"}
+
+
+def _is_epoch(x: str) -> bool:
+    if not _DIGITS.fullmatch(x):
+        return False
+    n = int(x)
+    return SINCE_MS <= (n * 1000 if n < SECONDS_BELOW else n // 1000 if n >= MICROS_FROM else n) < UNTIL_MS
+
+
+def _is_time(x: str) -> bool:
+    if not _TIME.fullmatch(x):
+        return _is_epoch(x)
+    try:
+        return 2017 <= datetime.fromisoformat(x).year < 2035
+    except ValueError:
+        return False
+
+
+#: What makes a value good, by the type of its column.
+VALID = {
+    "epoch": _is_epoch,
+    "time": _is_time,
+    "id": lambda x: bool(_DIGITS.fullmatch(x)),
+    "count": lambda x: not x or bool(_DIGITS.fullmatch(x)),
+    "bool": lambda x: x.lower() in _BOOLS,
+    "text": bool,
+    "double": lambda x: not x or (bool(_DECIMAL.fullmatch(x)) and math.isfinite(float(x))),
+}
+_CHECKS = {k: [VALID[TYPES.get(c, "double")] for c in names] for k, names in COLUMNS.items()}
+
+
 def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         if not len(b):
             continue
         lines = b["line"].tolist()
-        fields, starts, broken = tokenize(["" if x is None else x for x in lines])
-        yield b.drop(columns=["line"]).assign(fields=fields, starts=starts, broken_at=broken, blank=[x is None or not x.removesuffix("\r").strip(" \t") for x in lines], header=[x is not None and x.removesuffix("\r") == ",".join(COLUMNS.get(k, [])) for x, k in zip(lines, b["file_kind"])])
+        tokens, starts, broken = tokenize(["" if x is None else x for x in lines])
+        rows = []
+        for i, (raw_id, kind, name, no, line) in enumerate(zip(b["raw_id"], b["file_kind"], b["file_name"], b["line_no"], lines)):
+            bare = (line or "").removesuffix("\r")
+            checks = _CHECKS.get(kind)
+            if not bare.strip(" \t") or (checks and bare == ",".join(COLUMNS[kind])):
+                continue
+            reason, at, column, fields = None, None, None, tokens[i]
+            if checks is None:
+                reason = "unknown_kind"
+            elif fields is None:
+                reason, at = "broken_quoting", int(broken[i])
+            else:
+                fields = [x.strip(" \t") for x in fields]
+                if len(fields) != len(checks):
+                    reason, at = "wrong_column_count", starts[i][min(len(checks), len(fields) - 1)]
+                else:
+                    first = next((j for j, (ok, x) in enumerate(zip(checks, fields)) if not ok(x)), None)
+                    if first is not None:
+                        reason, at, column = "invalid_value", starts[i][first], COLUMNS[kind][first]
+            rows.append((raw_id, kind, name, no, fields, reason, at, column))
+        out = pd.DataFrame(rows, columns=["raw_id", "file_kind", "file_name", "line_no", "fields", "reason", "error_at", "error_column"])
+        yield out.astype({"error_at": "Int64"})
 
 
 _NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
@@ -121,36 +180,17 @@ def _value(kind: str, x: Column) -> Column:
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
-def _may_be_empty(kind: str) -> bool:
-    return kind in ("count", "double")
-
-
 def parse(lines: DataFrame) -> DataFrame:
-    """raw_id, file_kind, file_name, line_no, and: fields (texts without blanks around), reason, error_at, error_column.
+    """raw_id, file_kind, file_name, line_no, and: fields (texts without blanks around; null where quoting breaks), reason, error_at, error_column.
 
     lines: raw_id, file_kind, file_name, line_no, line. reason is null for a good row, else the first that applies of `broken_quoting`,
     `wrong_column_count`, `invalid_value`, or `unknown_kind` for a kind without columns. error_at is a byte offset in the line: where the quoting
-    breaks (the line's end for an open quote), where the first surplus field starts (the line's end if fields lack), where the first wrong value starts.
+    breaks (the line's end for an open quote), where the first surplus field starts (the last field if some lack), where the first wrong value starts.
     Null or blank lines and lines equal to their kind's header give no row. Repeated lines are parsed alike, an empty table gives an empty
     one; further columns are ignored.
     """
     cols = lines.select("raw_id", "file_kind", "file_name", "line_no", "line")
-    tokens = cols.mapInPandas(_tokens, "raw_id long, file_kind string, file_name string, line_no long, fields array<string>, starts array<int>, broken_at long, blank boolean, header boolean")
-    tokens = tokens.filter("not blank and not header").withColumn("fields", F.transform("fields", lambda x: F.regexp_replace(x, r"^[ \t]+|[ \t]+\z", "")))
-    kind, n = F.col("file_kind"), F.size("fields")
-    wrong = []
-    for k, names in COLUMNS.items():
-        for i, name in enumerate(names):
-            x, t = F.get("fields", F.lit(i)), TYPES.get(name, "double")
-            bad = _value(t, x).isNull() & (x != "") if _may_be_empty(t) else _value(t, x).isNull()
-            wrong.append((k, i, name, bad))
-    first = F.coalesce(*[F.when(kind == k, F.coalesce(*[F.when(bad, i) for kk, i, _, bad in wrong if kk == k])) for k in COLUMNS])
-    width = F.coalesce(*[F.when(kind == k, len(v)) for k, v in COLUMNS.items()])
-    reason = F.when(width.isNull(), "unknown_kind").when(F.col("broken_at") >= 0, "broken_quoting").when(n != width, "wrong_column_count").when(F.col("first").isNotNull(), "invalid_value")
-    tokens = tokens.withColumn("first", F.when((F.col("broken_at") < 0) & (n == width), first)).withColumn("reason", reason)
-    at = F.when(F.col("reason") == "broken_quoting", F.col("broken_at")).when(F.col("reason") == "wrong_column_count", F.when(n > width, F.get("starts", width)).otherwise(F.element_at("starts", -1))).when(F.col("reason") == "invalid_value", F.get("starts", F.col("first")))
-    column = F.coalesce(*[F.when((kind == k) & (F.col("first") == i), name) for k, names in COLUMNS.items() for i, name in enumerate(names)])
-    return tokens.select("raw_id", "file_kind", "file_name", "line_no", "fields", "reason", at.cast("long").alias("error_at"), column.alias("error_column"))
+    return cols.mapInPandas(_tokens, "raw_id long, file_kind string, file_name string, line_no long, fields array<string>, reason string, error_at long, error_column string")
 
 
 def rows_of(parsed: DataFrame, kind: str) -> DataFrame:
