@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, regular_grid, time_em, trailing
+from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, regular_grid, spikes, time_em, trailing
 from tidelattice.functions.normalize import text_to_ms
 from tidelattice.operators.topics import TOPICS, deliveries, read_deliveries
 
@@ -37,6 +37,20 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_grid(spark, sf_dir).select(F.col("source").alias("symbol"), F.col("at").alias("bucket_create_time"), F.explode(missing).alias("field"))
 
 
+RATIOS = ["sum_open_interest", "sum_taker_long_short_vol_ratio", "count_long_short_ratio"]
+OTHER_RATIOS = ["sum_open_interest_value", "count_toptrader_long_short_ratio", "sum_toptrader_long_short_ratio"]
+
+
+def p2_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every implausible value with its kind."""
+    rows = readings(spark, sf_dir, *RATIOS, *OTHER_RATIOS)
+    return spikes.implausible(rows, "symbol", "create_time_utc_ms", "row_id", ["feed", "symbol", "received_at", "create_time", *RATIOS, *OTHER_RATIOS], RATIOS)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_kinds(spark, sf_dir).select("row_id", "field")
+
+
 def _trailing_days(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     bars = trailing.trailing(table(spark, sf_dir, "futures_klines_1d"), "symbol", F.col("open_time"), "load_seq", ["relative_range", "log_return_close"], [7, 30])
     # create_time is the end of the day that a row describes
@@ -106,7 +120,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot.unionByName(readings)
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p3_found": p3_found, "p3_trailing": p3_trailing, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p2_found": p2_found, "p2_kinds": p2_kinds, "p3_found": p3_found, "p3_trailing": p3_trailing, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
 
 _SYMBOL = "upper(replace(replace(replace(symbol, ' ', ''), chr(9), ''), chr(160), ''))"
 
