@@ -67,22 +67,22 @@ def _chunk(d: pd.DataFrame) -> pd.DataFrame:
     stuck = _stuck(v)
     fine = np.flatnonzero(~impossible)
     x = np.log(v[fine])
-    res, det = np.full(len(v), np.nan), np.full((2, len(v)), np.nan)
+    res, usual, det = np.full(len(v), np.nan), np.full(len(v), np.nan), np.full((2, len(v)), np.nan)
     near = np.full((len(v), 2 * WIDTH), np.nan)
     wide = np.full((2, len(v)), np.nan)
     if len(x):
         w = _around(x, REACH)
-        r = np.abs(x - _median(w))
+        r = around = np.abs(x - _median(w))
         for side in (w[:, :REACH], w[:, REACH + 1 :]):
             r = np.fmin(r, np.abs(x - _median(side)))
-        res[fine] = r
+        res[fine], usual[fine] = r, around
         n = _around(r, WIDTH)
         near[fine] = np.delete(n, WIDTH, axis=1)
         for k, c in enumerate(details(x)):
             det[k, fine] = np.abs(c)
             # a spike of three readings shows where it begins and ends, and twice as far at the coarser scale
             wide[k, fine] = np.nanmax(_around(np.abs(c), WIDTH + 2), axis=1)
-    out = d[["symbol", "field", "t", "h"]].assign(impossible=impossible, stuck=stuck, res=res, d1=det[0], d2=det[1], w1=wide[0], w2=wide[1], **{f"n{i}": near[:, i] for i in range(2 * WIDTH)})
+    out = d[["symbol", "field", "t", "h"]].assign(impossible=impossible, stuck=stuck, res=res, around=usual, d1=det[0], d2=det[1], w1=wide[0], w2=wide[1], **{f"n{i}": near[:, i] for i in range(2 * WIDTH)})
     return out[d["core_"].to_numpy(bool)]
 
 
@@ -100,16 +100,16 @@ def implausible(rows: DataFrame, source: str, time_ms: str, row_id: str, content
     once = base.filter("symbol is not null and t is not null").groupBy("symbol", "t", "h").agg(*[F.first(f).alias(f) for f in fields])
     long = once.select("symbol", "t", "h", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("v")) for f in fields])).alias("x")).select("symbol", "x.field", "t", "h", "x.v").filter("v is not null and v != 0")
     chunks = dense_chunks(long, ["symbol", "field"], ["t", "h"], F.floor(F.col("t") / BLOCK_MS), CHUNK, HALO)
-    shape = f"symbol {kind}, field string, t long, h long, impossible boolean, stuck boolean, res double, d1 double, d2 double, w1 double, w2 double, " + ", ".join(f"n{i} double" for i in range(2 * WIDTH))
+    shape = f"symbol {kind}, field string, t long, h long, impossible boolean, stuck boolean, res double, around double, d1 double, d2 double, w1 double, w2 double, " + ", ".join(f"n{i} double" for i in range(2 * WIDTH))
     seen = cut(chunks.groupBy("symbol", "field", "chunk_").applyInPandas(_chunk, shape))
-    usual = seen.filter("not impossible and not stuck").groupBy("symbol", "field").agg(*[F.percentile_approx(c, 0.5, 10_000).alias(f"usual_{c}") for c in ("res", "d1", "d2")])
-    far = F.col("usual_res") * (FAR * MAD)
+    usual = seen.filter("not impossible and not stuck").groupBy("symbol", "field").agg(*[F.percentile_approx(c, 0.5, 10_000).alias(f"usual_{c}") for c in ("around", "d1", "d2")])
+    far = F.col("usual_around") * (FAR * MAD)
     at = lambda i: F.col(f"n{i}")
     left = F.when(~(at(2) >= far) | F.isnan(at(2)), 0).when(~(at(1) >= far) | F.isnan(at(1)), 1).when(~(at(0) >= far) | F.isnan(at(0)), 2).otherwise(3)
     right = F.when(~(at(3) >= far) | F.isnan(at(3)), 0).when(~(at(4) >= far) | F.isnan(at(4)), 1).when(~(at(5) >= far) | F.isnan(at(5)), 2).otherwise(3)
     back = ~F.isnan(F.coalesce(*[F.when(right == k, at(3 + k)) for k in range(WIDTH)], F.lit(float("nan")))) & ~F.isnan(F.coalesce(*[F.when(left == k, at(2 - k)) for k in range(WIDTH)], F.lit(float("nan"))))
     candidate = (F.col("w1") >= F.col("usual_d1") * DETAIL) | (F.col("w2") >= F.col("usual_d2") * DETAIL)
-    spike = candidate & (F.col("usual_res") > 0) & (F.col("res") >= far) & ~F.isnan("res") & (left + right + 1 <= WIDTH) & back
+    spike = candidate & (F.col("usual_around") > 0) & (F.col("res") >= far) & ~F.isnan("res") & (left + right + 1 <= WIDTH) & back
     judged = seen.join(lookup(usual), ["symbol", "field"], "left").withColumn("kind", F.when(F.col("impossible"), "impossible").when(F.col("stuck"), "stuck").when(spike, "spike"))
     bad = judged.filter(F.col("kind").isNotNull()).select("symbol", "t", "h", "field", "kind")
     placed = base.select("row_id", "symbol", "t", "h").join(lookup(bad), ["symbol", "t", "h"]).select("row_id", "field", "kind")
