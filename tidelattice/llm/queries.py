@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelattice.llm import mixing, packing
+from tidelattice.llm import mixing, packing, spam
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,5 +28,14 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "mix_targets"))[1].withColumn("reached_share", F.round("reached_share", 6))
 
 
-QUERIES = {"p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares}
+def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Figures of every page."""
+    return spam.apart(spam.page_figures(_table(spark, sf_dir, "documents"))).drop("row")
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spam.spam_pages(_table(spark, sf_dir, "documents")).select("doc_id")
+
+
+QUERIES = {"p8_packed": p8_packed, "p8_fill": p8_fill, "p9_mixture": p9_mixture, "p9_shares": p9_shares, "p10_found": p10_found, "p10_pages": p10_pages}
 ORACLES: dict[str, str] = {}
