@@ -44,7 +44,7 @@ _CODE = re.compile(r"^(?:\s{4,}|```|>>>|\$ |#!|//)|[{};]\s*$|\w\s*=\s*\w+[\[(.]|
 SPAN, HELD = 7, 0.06
 #: Pieces of a sentence or line that is judged without its neighbours.
 WHOLE = 8
-#: Equal words in a row that are a cry rather than a keyword list, if the run has only one word and at most so many.
+#: One word so many times in a row within a line, from four on, is a cry rather than a keyword list.
 CRY = 16
 #: Words of a text below which it is too short to be a list.
 SHORT = 3
@@ -83,34 +83,36 @@ def words(text: str) -> list[tuple[str, str, int, int]]:
 
 
 def listed_share(pieces: list[tuple[str, str, int, int]]) -> float:
-    """Share of a text's size in words, tags and links that have no sentence around them. Numbers, code and cries count for neither side.
+    """Share of a text's size in words, tags and links that have no sentence around them. Figures, code and cries are text, but none of these.
 
-    Around a word are up to SPAN pieces on either side, in a sentence or line of at least WHOLE pieces only those of it.
+    Around a piece are up to SPAN pieces on either side within its sentence or line, or within the run of short ones (below WHOLE pieces) that it is
+    in. A number goes with what is around it, except in sentences or lines of which numbers make half: those are figures.
     """
-    p = [x for x in pieces if x[0] != "number"]
+    p = pieces
     if not p:
         return 0.0
-    held = np.array([k == "word" and (f in _ANY or ("'" in f or "’" in f) and re.split("['’]", f)[0] in _ANY) or k == "code" for k, f, _, _ in p], float)
-    size = np.array([0 if k == "code" else n for k, _, n, _ in p], float)
+    kind = np.array([x[0] for x in p])
+    size = np.array([x[2] for x in p], float)
+    sentence = np.array([x[3] for x in p])
+    held = np.array([k == "word" and (f in _ANY or ("'" in f or "’" in f) and re.split("['’]", f)[0] in _ANY) or k == "code" for k, f, _, _ in p])
+    cry = np.zeros(len(p), bool)
     i = 0
-    while i < len(p):  # cries
+    while i < len(p):
         j = i
-        while j < len(p) and p[j][:2] == p[i][:2]:
+        while j < len(p) and p[j][:2] == p[i][:2] and p[j][3] == p[i][3]:
             j += 1
-        if p[i][0] == "word" and 4 <= j - i <= CRY:
-            size[i:j] = 0
+        cry[i:j] = p[i][0] == "word" and 4 <= j - i <= CRY
         i = j
-    total = size.sum()
-    if not total:
-        return 0.0
-    c = np.concatenate([[0.0], np.cumsum(held)])
-    at = np.arange(len(p))
-    a, b = np.maximum(at - SPAN, 0), np.minimum(at + SPAN + 1, len(p))
-    sentence = np.array([x[3] for x in p])
     first, last = np.searchsorted(sentence, sentence), np.searchsorted(sentence, sentence, side="right")
-    whole = last - first >= WHOLE
-    a, b = np.where(whole, np.maximum(a, first), a), np.where(whole, np.minimum(b, last), b)
-    return float(size[(c[b] - c[a]) / (b - a) < HELD].sum() / total)
+    short = last - first < WHOLE
+    run = np.cumsum(np.concatenate([[False], (sentence[1:] != sentence[:-1]) & ~(short[1:] & short[:-1])]))
+    at = np.arange(len(p))
+    a, b = np.maximum(at - SPAN, np.searchsorted(run, run)), np.minimum(at + SPAN + 1, np.searchsorted(run, run, side="right"))
+    sums = lambda x: np.concatenate([[0.0], np.cumsum(x)])
+    c, n = sums(held), sums(kind != "number")
+    figures = (last - first) <= 2 * (sums(kind == "number")[last] - sums(kind == "number")[first])
+    listed = (c[b] - c[a] < HELD * (n[b] - n[a])) & (kind != "code") & ~cry & ~figures
+    return float(size[listed].sum() / size.sum())
 
 
 def language(counts: Counter) -> str:
