@@ -42,8 +42,6 @@ _CODE = re.compile(r"^(?:\s{4,}|```|>>>|\$ |#!|//)|[{};]\s*$|\w\s*=\s*\w+[\[(.]|
 
 #: Words on either side that decide whether there is a sentence around a word, and the share of function words among them from which there is one.
 SPAN, HELD = 7, 0.06
-#: Pieces of a sentence or line that is judged without its neighbours.
-WHOLE = 8
 #: One word so many times in a row within a line, from four on, is a cry rather than a keyword list.
 CRY = 16
 #: Words of a text below which it is too short to be a list.
@@ -85,8 +83,8 @@ def words(text: str) -> list[tuple[str, str, int, int]]:
 def listed_share(pieces: list[tuple[str, str, int, int]]) -> float:
     """Share of a text's size in words, tags and links that have no sentence around them. Figures, code and cries are text, but none of these.
 
-    Around a piece are up to SPAN pieces on either side within its sentence or line, or within the run of short ones (below WHOLE pieces) that it is
-    in. A number goes with what is around it, except in sentences or lines of which numbers make half: those are figures.
+    Around a piece are up to SPAN pieces on either side within its sentence or line. A number goes with what is around it, except in sentences or lines
+    of which numbers make half: those are figures.
     """
     p = pieces
     if not p:
@@ -104,10 +102,8 @@ def listed_share(pieces: list[tuple[str, str, int, int]]) -> float:
         cry[i:j] = p[i][0] == "word" and 4 <= j - i <= CRY
         i = j
     first, last = np.searchsorted(sentence, sentence), np.searchsorted(sentence, sentence, side="right")
-    short = last - first < WHOLE
-    run = np.cumsum(np.concatenate([[False], (sentence[1:] != sentence[:-1]) & ~(short[1:] & short[:-1])]))
     at = np.arange(len(p))
-    a, b = np.maximum(at - SPAN, np.searchsorted(run, run)), np.minimum(at + SPAN + 1, np.searchsorted(run, run, side="right"))
+    a, b = np.maximum(at - SPAN, first), np.minimum(at + SPAN + 1, last)
     sums = lambda x: np.concatenate([[0.0], np.cumsum(x)])
     c, n = sums(held), sums(kind != "number")
     figures = (last - first) <= 2 * (sums(kind == "number")[last] - sums(kind == "number")[first])
@@ -162,13 +158,16 @@ def apart(figures: DataFrame) -> DataFrame:
     f = figures.withColumn("length", F.floor(F.log2(F.col("size"))).cast("int"))
     names = ["slope", "residual", "divergence"]
     prose = f.filter(F.col("share") <= PROSE)
-    for k, group in enumerate((["language", "length"], ["length"], [])):
-        mid = prose.groupBy(*group).agg(*[F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(f"q{k}_{c}") for c in names], F.count("*").alias(f"n{k}"))
-        f = f.join(lookup(mid), group, "left") if group else f.withColumn("one", F.lit(1)).join(F.broadcast(mid.withColumn("one", F.lit(1))), "one", "left").drop("one")
+    quartiles = [F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(c) for c in names]
+    for k, group in enumerate((["language", "length"], ["length"])):
+        mid = prose.groupBy(*group).agg(*quartiles, F.count("*").alias(f"n{k}")).withColumnsRenamed({c: f"q{k}_{c}" for c in names})
+        f = f.join(lookup(mid), group, "left")
+    whole = prose.agg(*quartiles).first()  # three numbers a figure
     out = []
     for c in names:
-        q = F.coalesce(*[F.when(F.col(f"n{k}") >= ENOUGH, F.col(f"q{k}_{c}")) for k in range(2)], F.col(f"q2_{c}"), F.array(F.lit(0.0), F.lit(0.0), F.lit(0.0)))
-        # half the middle half's width is the usual distance; a hundredth of the figure's size keeps it above zero
+        last = F.array(*[F.lit(float(x)) for x in whole[c] or (0.0, 0.0, 0.0)])
+        q = F.coalesce(*[F.when(F.col(f"n{k}") >= ENOUGH, F.col(f"q{k}_{c}")) for k in range(2)], last)
+        # half the middle half's width is the usual distance; a hundredth keeps it above zero
         out.append(((F.col(c) - F.get(q, F.lit(1))) / F.greatest((F.get(q, F.lit(2)) - F.get(q, F.lit(0))) / 2 * 1.4826, F.lit(0.01))).alias(f"away_{c}"))
     return f.select(*figures.columns, *out)
 
