@@ -13,6 +13,8 @@ from tidelattice.functions import normalize as nz
 from tidelattice.functions.safe import eps_div, log_return, zscore
 from tidelattice.operators import bars, ema, features, gaps, social, trade_stats
 from tidelattice.operators.csv_machine import COLUMNS
+from tidelattice.session import scratch
+from tidelattice.streaming import pipelines
 
 HOUR, DAY, MINUTE = nz.HOUR_MS, nz.DAY_MS, nz.MINUTE_MS
 #: Fixed instant that gap queries take for now.
@@ -310,6 +312,14 @@ def _ensemble(s, d):
     return _documents(s, d).select("doc_id", social.ensemble(p(5), p(7)).alias("sentiment"))
 
 
+def _stream_counts(s, d):
+    return pipelines.trade_counts(s, f"{d}/futures_aggtrades.parquet", DAY, scratch(s, "trade-counts"))
+
+
+def _stream_bars(s, d):
+    return pipelines.last_bars(s, f"{d}/futures_klines.parquet", scratch(s, "last-bars"))
+
+
 def _family(name):
     def run(s, d):
         if name in ("futures_klines", "spot_klines", "futures_premiumindexklines"):
@@ -340,6 +350,7 @@ QUERIES = {
     "epoch_normalize": _epochs, "header_row_drop": _headers, "blank_to_null": _blanks, "bool_parse": _bools, "datetime_parse": _datetimes,
     "watchlist_left_join": _watchlist_join, "semi_parent": _semi, "latest_per_group": _latest, "activity_decay": _activity,
     "clean_text": _clean, "language_rule": _language, "bot_flag": _bots, "sentiment_ensemble": _ensemble,
+    "stream_trade_counts_1d": _stream_counts, "stream_last_bars": _stream_bars,
     **{f"family_{n}": _family(n) for n in features.FAMILIES},
 }
 
@@ -527,6 +538,8 @@ ORACLES = {
     "semi_parent": f"with {_THREADS} select com.id, com.submission_id, com.created_utc from com semi join subs on com.submission_id = subs.id",
     "latest_per_group": "select subreddit, arg_max(doc_id, (created_utc, doc_id)) as doc_id from documents where source = 'submissions' and subreddit is not null and created_utc is not null group by 1",
     "activity_decay": f"with {_THREADS}, l as (select submission_id, list_sort(list(created_utc)) as l from com group by 1), s as (select submission_id, l, list_sum(list_transform(l, lambda t: exp(-0.075 * (l[-1] - t) / 3600.0))) as score from l) select submission_id, {_rd('score', 'score', 6)}, (l[-1] - l[1]) / 3600.0 <= 168 and score >= 0.55 as active from s",
+    "stream_trade_counts_1d": f"with x as (select {_S} as symbol, {_ms('transact_time')} as t, quantity from futures_aggtrades where transact_time is not null), y as (select symbol, t // {DAY} * {DAY} + {DAY} as create_time, count(*) as deliveries, count(quantity) as quantities from x group by 1, 2) select * from y where create_time <= (select max(t) from x)",
+    "stream_last_bars": f"with x as (select {_S} as symbol, {_CLOSE} - 60000 as t, delivery_id, close, volume from futures_klines where {_CLOSE} is not null) select * from x qualify row_number() over (partition by symbol, t order by delivery_id desc) = 1",
     "bot_flag": f"select doc_id, case when doc_id % 5 != 0 then case when coalesce(lower(author) = 'deskrelay', false) or coalesce(regexp_matches(lower(text), '{BOT_SAYS}'), false) then 1 else 0 end end as bot from documents",
     "language_rule": "select doc_id, case when text is null or not regexp_matches(text, '\\p{L}') then 'empty' when length(regexp_replace(text, '[^A-Za-z]', '', 'g')) >= 0.9 * length(regexp_replace(text, '[^\\p{L}]', '', 'g')) then 'en' else 'non-en' end as language from documents",
     "sentiment_ensemble": "with p as (select doc_id, [" + ", ".join(f"((doc_id * {5 + 3 * i}) % 17 + 1) / 18.0 * {social.ENSEMBLE[0][i]} + ((doc_id * {7 + 3 * i}) % 17 + 1) / 18.0 * {social.ENSEMBLE[1][i]}" for i in range(3)) + "] as w from documents), q as (select doc_id, list_transform(w, lambda x: x / (w[1] + w[2] + w[3])) as w from p) select doc_id, cast(list_position(w, list_max(w)) - 1 as int) as sentiment from q",
