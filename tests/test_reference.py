@@ -1,0 +1,199 @@
+"""Micro-cases of the market and text operators, sources, sinks and streams."""
+
+import io
+import zipfile
+from datetime import date
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tidelattice.functions import normalize as nz
+from tidelattice.functions.safe import eps_div, log_return, nearest_rank, safe_div
+from tidelattice.operators import bars, ema, features, gaps, social, trade_stats
+from tidelattice.sinks import lake as sink
+from tidelattice.sources import archives, lake, paged
+from tidelattice.streaming import pipelines
+
+HOUR = 3_600_000
+
+
+def one(spark, *columns):
+    return spark.range(1).select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).first()
+
+
+@pytest.mark.parametrize("family,n", [("futures_klines", 200), ("futures_metrics", 163), ("futures_premiumindexklines", 26), ("spot_klines", 140), ("sentiment", 116), ("futures_aggtrades", 282)])
+def test_columns_of_families(family, n):
+    c = features.FAMILIES[family].columns
+    assert len(c) == len(set(c)) == n and len(sink.serving_schema(family)) == n
+
+
+def test_periods(spark):
+    df = spark.createDataFrame([(0,), (1,), (HOUR,), (HOUR + 1,)], "t long")
+    got = df.orderBy("t").select(*[bars.bucket("t", HOUR, c).alias(c) for c in ("open", "end", "end_closed")]).collect()
+    assert [r.open // HOUR for r in got] == [0, 0, 1, 1] and [r.end // HOUR for r in got] == [1, 1, 2, 2] and [r.end_closed // HOUR for r in got] == [0, 1, 1, 2]
+
+
+def test_arithmetic(spark):
+    x = lambda v: F.lit(v).cast("double")
+    r = one(spark, safe_div(x(1.0), x(0.0)), safe_div(x(1.0), x(None)), safe_div(x(None), x(2.0)), eps_div(x(None), x(1.0)), log_return(x(2.0), x(0.0)), nearest_rank(F.array(*map(F.lit, (1.0, 2.0, 3.0, 10.0))), 0.25), nearest_rank(F.array(*map(F.lit, (1.0, 2.0, 3.0, 10.0))), 0.5), nearest_rank(F.array().cast("array<double>"), 0.5))
+    assert list(r) == [0.0, 0.0, None, None, None, 2.0, 3.0, None]
+
+
+def test_cleansing(spark):
+    r = one(spark, *[nz.epoch_ms(F.lit(v)) for v in (1_700_000_000, 1_700_000_000_000, 1_700_000_000_000_000, -7_000_000_000_000_001)], nz.parse_bool(F.lit(" True")), nz.parse_bool(F.lit("0")), nz.parse_bool(F.lit("x")), nz.blank_to_double(F.lit("  ")), nz.blank_to_double(F.lit("abc")), nz.blank_to_double(F.lit("1.5")), nz.text_to_ms(F.lit("2024-02-30 00:00:00")), nz.text_to_ms(F.lit("2024-02-29T00:00:01")))
+    assert list(r) == [1_700_000_000_000] * 3 + [-7_000_000_000_001] + [True, False, None, None, None, 1.5, None, 1709164801000]
+    heads = spark.createDataFrame([("a", "b"), ("a", None), ("1", "2")], "a string, b string")
+    assert nz.drop_header_rows(heads).count() == 2
+    lost = spark.createDataFrame([("3", "4")], "`1` string, `1_duplicated_0` string")
+    assert sorted(map(tuple, nz.recover_headerless(lost, ["a", "b"]).collect())) == [("1", "1"), ("3", "4")]
+    with pytest.raises(ValueError):
+        nz.recover_headerless(lost, ["a", "b", "c"])
+
+
+def test_zeros_are_filled(spark):
+    df = spark.createDataFrame([("A", i, v) for i, v in enumerate((0.0, 5.0, 0.0, 7.0, None))], "s string, t int, v double")
+    assert [r.v for r in nz.fill_zero_gaps(df, ["v"], ["s"], ["t"]).orderBy("t").collect()] == [5, 5, 5, 7, 7]
+
+
+def closes(spark, values):
+    return spark.createDataFrame([("A", i, float(v), float(v), float(v), float(v)) for i, v in enumerate(values)], "symbol string, t int, open double, high double, low double, close double")
+
+
+def test_rolling_and_ema(spark):
+    w = Window.partitionBy("symbol").orderBy("t")
+    mean, std = features.rolling("close", 3, w)
+    got = closes(spark, [1, 2, 4, 3, 7]).select("t", mean.alias("m"), std.alias("s")).orderBy("t").collect()
+    assert [r.m and round(r.m, 4) for r in got] == [None, None, 2.3333, 3, 4.6667] and [r.s and round(r.s, 4) for r in got] == [None, None, 1.5275, 1, 2.0817]
+    frame = closes(spark, [1, 2, 4, 3, 7]).withColumn("l", F.collect_list("close").over(w.rowsBetween(-60, 0))).orderBy("t")
+    assert [round(r.e, 6) for r in frame.select(ema.fold_ema(F.col("l"), 12).alias("e")).collect()] == [1, 1.153846, 1.591716, 1.808375, 2.607087]
+    x = features.indicators(closes(spark, range(1, 16)), ["symbol"], "t").orderBy("t").collect()
+    assert [r.rsi14 for r in x] == [None] * 13 + [100, 100]
+    assert [r.rsi14 for r in features.indicators(closes(spark, [5] * 15), ["symbol"], "t").orderBy("t").collect()] == [None] * 13 + [50, 50]
+
+
+def test_trade_figures(spark):
+    rows = [("A", i, t, p, q, m) for i, (t, p, q, m) in enumerate([(0, 10.0, 1.0, False), (10, 20.0, 3.0, True), (40, 20.0, 1.0, None)])]
+    r = trade_stats.trade_features(spark.createDataFrame(rows, "symbol string, agg_trade_id int, t long, price double, quantity double, is_buyer_maker boolean"), HOUR).first()
+    assert (r.trade_rate_mean, round(r.trade_rate_std, 4), r.tickup_count, r.buy_count, r.trade_vwap, r.buy_vwap, r.buy_rate_mean, r.buy_corr_price_quantity) == (20, 14.1421, 1, 1, 18, 10, 0, 0)
+    assert r.create_time == HOUR
+
+
+def test_strict_history_and_merge(spark):
+    df = spark.createDataFrame([("A", i * HOUR) for i in range(70) if i != 65], "s string, t long")
+    assert {r.t // HOUR for r in features.strict_history(df, ["s"], "t", HOUR).collect()} == {60, 61, 62, 63, 64}
+    old, new = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    assert {tuple(r) for r in features.combine_history(old, new, ["k"]).collect()} == {(1, "a"), (2, "c"), (3, "d")}
+
+
+def test_gaps(spark):
+    spans = spark.createDataFrame([("A", 1, 3 * HOUR + 5)], "s string, first long, last long")
+    assert [r.boundary // HOUR for r in gaps.expected(spans, HOUR, "end").orderBy("boundary").collect()] == [1, 2, 3]
+    assert [r.boundary // HOUR for r in gaps.expected(spans, HOUR, "open").orderBy("boundary").collect()] == [0, 1, 2]
+    gone = spark.createDataFrame([("A", 5 * HOUR)], "s string, boundary long")
+    want = spark.createDataFrame([("A", i * HOUR) for i in (0, 4, 8, 24)], "s string, boundary long")
+    step = lambda n, c: [r.boundary // HOUR for r in gaps.propagate(gone, HOUR, n * HOUR, c, want, ["s"]).collect()]
+    assert (step(4, "open"), step(24, "open"), step(4, "end"), step(24, "end")) == ([4], [0], [8], [24])
+    rows = spark.createDataFrame([("A", t) for t in (0, 60_000, 200_000, nz.DAY_MS + 5)], "s string, t long")
+    assert {(r.start, r.end) for r in gaps.internal_gaps(rows, ["s"], 61_000).collect()} == {(60_001, 199_999), (200_001, nz.DAY_MS + 4)}
+
+
+def test_texts(spark):
+    t = "It's GREAT!! see https://a.b/c $BTC+1 don't x200b 42 ai ok 'quoted'"
+    assert spark.range(1).select(social.tokens(F.lit(t)).alias("w")).first().w == ["it's", "great", "btc", "ai", "quoted"]
+    probs = lambda *p: F.array(*map(F.lit, p))
+    assert spark.range(1).select(social.ensemble(probs(0.2, 0.5, 0.3), probs(0.1, 0.2, 0.7)).alias("c")).first().c == 2
+    hour = lambda h: F.array(F.lit(0).cast("long")), lambda h: F.lit(int(h * 3600))
+    assert [spark.range(1).select(social.activity(hour[0](h), hour[1](h)).alias("a")).first().a for h in (7.9, 8.0)] == [True, False]
+    moods = spark.createDataFrame([(5, s) for s in (2, 2, 1, 0)], "t long, sentiment int")
+    r = social.mood_features(moods, HOUR).first()
+    assert (r["count"], r.score, r.confidence, r.pct_negative, r.pct_positive, r.pct_neutral) == (4, 0.25, 0.75, 0.25, 0.5, 0.25)
+    clean = spark.createDataFrame([("See&amp;  https://x.y/z by u/Bob in r/btc sooooo good \U0001f680 **yes**",), (None,)], "t string").select(social.clean_text("t").alias("c")).collect()
+    assert [r.c for r in clean] == ["see& [url] by [user] in [subreddit] soo good yes", None]
+    lang = spark.createDataFrame([("12 !!",), ("hello",), ("привет",), (None,)], "t string").select(social.language_rule("t").alias("l")).collect()
+    assert [r.l for r in lang] == ["empty", "en", "non-en", "empty"]
+
+
+def test_watchlist(spark):
+    now = 100 * 86_400
+    subs = spark.createDataFrame([("a", now - 3600), ("b", now - 40 * 86_400), ("c", now - 5 * 86_400)], "id string, created_utc long")
+    com = spark.createDataFrame([("x", "a", now - 60), ("y", "a", now - 120), ("z", "b", now - 60)], "id string, submission_id string, created_utc long")
+    got = {r.id: r for r in social.watchlist(subs, com, now).collect()}
+    assert set(got) == {"a", "c"} and got["a"].comment_ids == ["y", "x"] and got["a"].active and not got["c"].active
+
+
+def test_archives(spark, tmp_path):
+    import zstandard
+
+    with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
+        z.writestr("a.csv", "a,b\n1,2\n3,4\n")
+    assert sorted(map(tuple, archives.zipped_csv(spark, [str(tmp_path / "x.zip")], ["a", "b"]).collect())) == [("1", "2"), ("3", "4")]
+    raw = b'{"id": "1", "subreddit": "Btc", "n": 5}\nnot json\n{"id": "2", "subreddit": "other"}\n[1]\n'
+    (tmp_path / "d.zst").write_bytes(zstandard.ZstdCompressor().compress(raw))
+    got = archives.zstd_json_lines(spark, [str(tmp_path / "d.zst")], ["id", "n"], ["btc"]).orderBy("line_no").collect()
+    assert [(r.id, r.n, r.bad) for r in got] == [("1", "5", False), (None, None, True), (None, None, True)]
+    assert io.BytesIO(raw)
+
+
+def test_pages():
+    data, calls = [(t, t) for t in range(0, 1000, 7)], []
+
+    def fetch(start, end, limit):
+        calls.append(start)
+        if len(calls) == 2:
+            raise OSError("busy")
+        return [r for r in data if start <= r[0] < end][:limit]
+
+    assert list(paged.pages(fetch, 0, 1000, 10, lambda r: r[0], wait_s=0.0)) == data
+
+
+def test_lake(spark, tmp_path):
+    path = str(tmp_path / "lake")
+    batch = lambda rows: spark.createDataFrame(rows, "k int, t long, seq int, v string").withColumn("period", sink.period_of("t"))
+    assert sink.merge_periods(batch([(1, 5, 1, "a"), (2, nz.DAY_MS, 1, "b")]), path, ["k"], "seq", "t") == 2
+    again = batch([(1, 5, 2, "c"), (3, 6, 1, "d")])
+    assert sink.merge_periods(again, path, ["k"], "seq", "t") == 1 and sink.merge_periods(again, path, ["k"], "seq", "t") == 0
+    spark.catalog.clearCache()
+    assert {(r.k, r.v) for r in spark.read.parquet(path).collect()} == {(1, "c"), (2, "b"), (3, "d")}
+    assert lake.scan_last(spark, path, 1).count() == 1 and lake.scan_window(spark, path, date(1970, 1, 1)).count() == 2
+    assert lake.period_window(date(2024, 3, 1)) == ["2024-02-29", "2024-03-01"] and lake.period_window(date(2024, 1, 9), True) == ["2023-12", "2024-01"]
+    assert lake.read_or_none(spark, str(tmp_path / "none")) is None and len(lake.list_objects(spark, path)) >= 2
+
+
+def test_upsert(spark, tmp_path):
+    path = str(tmp_path / "table")
+    with pytest.raises(ValueError):
+        sink.upsert(spark.createDataFrame([(1, "a")], "k int, v string"), path, ["k"])
+    sink.write_parquet(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), path)
+    for _ in range(2):
+        sink.upsert(spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), path, ["k"])
+        assert {tuple(r) for r in spark.read.parquet(path).collect()} == {(1, "a"), (2, "c"), (3, "d")}
+    sink.ensure(spark, path, spark.createDataFrame([], "k int, v string, w double").schema)
+    assert spark.read.parquet(path).columns == ["k", "v", "w"]
+
+
+def test_stream_features_equal_batch(spark, tmp_path):
+    """Micro-batches through the feature sink give the batch's rows."""
+    base = features.FAMILIES["futures_premiumindexklines"].base
+    df = spark.range(90).select(F.lit("A").alias("symbol"), (F.col("id") * HOUR).alias("open_time"), (F.col("id") * HOUR + HOUR - 1).alias("close_time"), *[(100 + F.sin(F.col("id") * k) * 3).alias(c) for k, c in enumerate(base[1:], 1)])
+    whole = features.features("futures_premiumindexklines", df, ["symbol"])
+    path = str(tmp_path / "table")
+    spark.createDataFrame([], whole.schema).write.parquet(path)
+    run = pipelines.with_features("futures_premiumindexklines", path, ["symbol"], HOUR, strict=False)
+    for a, b in ((0, 50), (50, 51), (51, 90)):
+        run(df.filter((F.col("open_time") >= a * HOUR) & (F.col("open_time") < b * HOUR)), a)
+    got = {r.open_time: r.asDict() for r in spark.read.parquet(path).collect()}
+    for r in whole.collect():
+        assert all(v == got[r.open_time][k] or abs(v - got[r.open_time][k]) < 1e-9 for k, v in r.asDict().items()), r.open_time
+    assert len(got) == 90
+
+
+def test_boundaries():
+    assert pipelines.next_boundary(HOUR, HOUR) == 2 * HOUR
+    assert pipelines.active_steps(4 * HOUR, {"1h": HOUR, "4h": 4 * HOUR, "1d": nz.DAY_MS}) == ["1h", "4h"]
+
+
+def test_gated(spark):
+    rows = spark.createDataFrame([(HOUR,), (2 * HOUR,)], "create_time long")
+    pings = spark.createDataFrame([(True, 3600)], "first_run boolean, timestamp_utc long")
+    assert [r.create_time for r in pipelines.gated(rows, pings).collect()] == [HOUR]

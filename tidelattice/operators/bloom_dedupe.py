@@ -93,12 +93,12 @@ def find_repeats(rows: DataFrame, bucket: Column, most_bytes: int = MOST_BYTES)
     """(topic, symbol, message_key, delivery_id) of every delivery that isn't the one with the greatest delivery_id of its message.
 
     rows: topic, symbol, message_key, delivery_id. bucket: a long that follows from topic, symbol and message_key.
-    Nulls: a delivery without symbol or message_key can't be identified, so it is nobody's copy and never returned. Rows that repeat a
+    Nulls: a delivery without symbol, message_key or delivery_id can't be identified, so it is nobody's copy and never returned. Rows that repeat a
     delivery_id too are equal copies; the one that stays counts once and its equals aren't returned. An empty table gives an empty result;
     other columns are ignored.
     """
     spark = rows.sparkSession
-    known = rows.filter(F.col("symbol").isNotNull() & F.col("message_key").isNotNull()).select("topic", "symbol", "message_key", "delivery_id", bucket.cast("long").alias("bucket"))
+    known = rows.filter(F.col("symbol").isNotNull() & F.col("message_key").isNotNull() & F.col("delivery_id").isNotNull()).select("topic", "symbol", "message_key", "delivery_id", bucket.cast("long").alias("bucket"))
     plan = {r.topic: r for r in known.groupBy("topic").agg(F.count("*").alias("n"), F.approx_count_distinct("bucket").alias("buckets")).collect()}  # a row a topic
     if not plan:
         return known.select("topic", "symbol", "message_key", "delivery_id").limit(0)

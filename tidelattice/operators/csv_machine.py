@@ -189,8 +189,10 @@ def parse(lines: DataFrame) -> DataFrame:
     Null or blank lines and lines equal to their kind's header give no row. Repeated lines are parsed alike, an empty table gives an empty
     one; further columns are ignored.
     """
-    cols = lines.select("raw_id", "file_kind", "file_name", "line_no", "line")
-    return cols.mapInPandas(_tokens, "raw_id long, file_kind string, file_name string, line_no long, fields array<string>, reason string, error_at long, error_column string")
+    # whole numbers travel as texts, since nulls among them would make them fractions
+    cols = lines.select(F.col("raw_id").cast("string").alias("raw_id"), "file_kind", "file_name", F.col("line_no").cast("string").alias("line_no"), "line")
+    out = cols.mapInPandas(_tokens, "raw_id string, file_kind string, file_name string, line_no string, fields array<string>, reason string, error_at long, error_column string")
+    return out.withColumns({"raw_id": F.col("raw_id").cast("long"), "line_no": F.col("line_no").cast("long")})
 
 
 def rows_of(parsed: DataFrame, kind: str) -> DataFrame:

@@ -205,10 +205,13 @@ def normalise(df: DataFrame, column: str, feeds: DataFrame, source: str = "feed"
     feeds: (feed, time_zone, day_first); a source without a row there has no zone, and its texts without zone are unreadable.
     state: `read`; `ambiguous` (two readings, none of them sure: no instant); `unreadable` (no instant, also a clock reading that its zone
     skips); `missing` (null). A null arrival rules no reading out; the earlier of two instants is taken then. A null source counts as unknown.
-    Repeated rows are read alike, an empty table gives an empty one; other columns pass unchanged, names starting with two underscores are ours.
+    Repeated rows are read alike, an empty table gives an empty one; other columns pass unchanged, but the two
+    added ones replace columns of their names.
     """
     known = feeds.filter(F.col("feed").isNotNull()).groupBy(F.col("feed").alias("__feed")).agg(F.max("time_zone").alias("__tz"), F.max("day_first").alias("__day_first"))
-    rows = df.join(lookup(known), F.col(source) == F.col("__feed"), "left").drop("__feed")
+    ours = [c for c in df.columns if c.startswith("__")]
+    clash = {c: f"was{c}" for c in ours}
+    rows = df.withColumnsRenamed(clash).join(lookup(known), F.col(source) == F.col("__feed"), "left").drop("__feed")
     rows = _with_candidates(rows, column, "__tz", F.unix_millis(F.col(received).cast("timestamp")))
     c = F.col("__c")
     sig = F.concat_ws("|", c["kind"], c["zoned"], F.coalesce(c["lag1"], F.lit("-")), F.coalesce(c["lag2"], F.lit("-")))
@@ -221,4 +224,5 @@ def normalise(df: DataFrame, column: str, feeds: DataFrame, source: str = "feed"
     sure = F.col("__pick.posterior") >= SURE
     chosen = F.when(~two, F.coalesce(c["first"], c["second"])).when(sure, F.when(F.col("__pick.pick") == 1, c["first"]).otherwise(c["second"]))
     state = F.when(F.col(column).isNull(), "missing").when(c.isNull(), "unreadable").when(two & ~sure, "ambiguous").otherwise("read")
-    return rows.select(*[F.col(f"`{k}`") for k in df.columns], chosen.alias(f"{column}_utc_ms"), state.alias(f"{column}_state"))
+    own = {f"{column}_utc_ms", f"{column}_state"}
+    return rows.select(*[F.col(f"`{clash.get(k, k)}`").alias(k) for k in df.columns if k not in own], chosen.alias(f"{column}_utc_ms"), state.alias(f"{column}_state"))
