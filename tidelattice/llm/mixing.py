@@ -119,12 +119,12 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 17, tokenizer: str | No
 
     docs: doc_id, text, source. targets: source, target_share, max_repeats; of several rows of a source the greatest values count. Sources without a
     target or with max_repeats below one add nothing; a target without records is reported with 0 and its share goes to the others in proportion. Null
-    and empty texts have no tokens and aren't used. Rows that repeat a doc_id draw the same number. The total is REACH of the greatest
+    and empty texts have no tokens and aren't used, nor are rows without doc_id. Rows that repeat a doc_id draw the same number. The total is REACH of the greatest
     that the repeats allow. Empty tables give an empty mixture; further columns are ignored.
     """
     path = tokenizer or vocabulary_path()
     wanted = F.broadcast(targets.select("source").filter("source is not null").distinct().limit(MOST_SOURCES))
-    mine = docs.select("doc_id", "text", "source").join(wanted, "source", "left_semi").filter("text is not null and text != ''")
+    mine = docs.select("doc_id", "text", "source").join(wanted, "source", "left_semi").filter("doc_id is not null and text is not null and text != ''")
     hash_ = lambda s: F.pmod(F.xxhash64(F.lit(s), "doc_id", "source"), F.lit(1 << 52)) / float(1 << 52)
     sized = cut(mine.select("doc_id", "source", hash_(seed).alias("u"), "text").mapInPandas(_sizes(path), "doc_id long, source string, u double, tokens long"))
     p = plan(sized, targets)

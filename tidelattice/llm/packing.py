@@ -178,11 +178,11 @@ def pack(docs: DataFrame, limits: DataFrame, tokenizer: str | None = None) -> Da
 
     docs: doc_id, text. limits: container_kind, capacity_tokens; kinds without a capacity above zero are left out, of several rows of a kind the
     smallest capacity counts. A text that alone exceeds the capacity is cut into pieces of the capacity and a last one; no other text is split. Null and
-    empty texts have no tokens and get no container. Rows that repeat a text or doc_id are items of their own; equal positions are ordered by doc_id.
+    empty texts have no tokens and get no container, nor do rows without doc_id. Rows that repeat a text or doc_id are items of their own; equal positions are ordered by doc_id.
     Empty tables give an empty result; further columns are ignored.
     """
     path = tokenizer or vocabulary_path()
-    sized = cut(docs.select("doc_id", "text").mapInPandas(_vectors(path), "doc_id long, tokens long, " + ", ".join(f"v{k} double" for k in range(DIMENSIONS))).filter("tokens > 0"))
+    sized = cut(docs.select("doc_id", "text").filter("doc_id is not null").mapInPandas(_vectors(path), "doc_id long, tokens long, " + ", ".join(f"v{k} double" for k in range(DIMENSIONS))).filter("tokens > 0"))
     dims = range(DIMENSIONS)
     total = sized.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), *[F.avg(f"v{k}").alias(f"m{k}") for k in dims], *[F.stddev_pop(f"v{k}").alias(f"s{k}") for k in dims]).first()
     even = _even(np.array([total[f"m{k}"] or 0.0 for k in dims]), np.array([total[f"s{k}"] or 0.0 for k in dims]))

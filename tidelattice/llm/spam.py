@@ -36,7 +36,7 @@ _DISGUISE = str.maketrans(DISGUISES)
 GONE = frozenset({"[removed]", "[deleted]"})
 
 _HIDDEN = re.compile("[​-‏⁠﻿­]")
-_TOKEN = re.compile(r"(?P<link>(?:https?|hxxps?)://\S+|\b(?:h\s?t\s?t\s?p\s?s?\s?:\s?/\s?/\s?)\S+|\b\w[\w\-]*(?:\.[\w\-]+)*\.[a-z]{2,}/\S*|\b\w[\w\-]*\.(?:com|org|net|io|info|biz|co|test|example|invalid)\b)|(?P<tag>[#$][^\W\d]\w*)|(?P<number>[+\-−]?\d[\d.,:]*%?(?!\w))|(?P<word>[^\W_][\w@!+$'’]*)", re.U)
+_TOKEN = re.compile(r"(?P<link>(?:https?|hxxps?)://\S+|\b(?:h\s?t\s?t\s?p\s?s?\s?:\s?/\s?/\s?)\S+|\b\w[\w\-]{0,62}(?:\.[\w\-]{1,63}){0,6}\.[a-z]{2,24}/\S*|\b\w[\w\-]{0,62}\.(?:com|org|net|io|info|biz|co|test|example|invalid)\b)|(?P<tag>[#$][^\W\d]\w*)|(?P<number>[+\-−]?\d[\d.,:]*%?(?!\w))|(?P<word>[^\W_][\w@!+$'’]*)", re.U)
 _STOP = re.compile(r"[\"'’”»)\]]*[.!?…][\"'’”»)\]]*\s")
 _CODE = re.compile(r"^(?:\s{4,}|```|>>>|\$ |#!|//)|[{};]\s*$|\w\s*=\s*\w+[\[(.]|^\s*(?:def|class|import|from|return|for|if|while|select|insert|curl|pip)\b.*[(:;=]|\w\(.*\)\s*$|=>|==", re.I)
 
@@ -59,7 +59,7 @@ def words(text: str) -> list[tuple[str, str, int, int]]:
     out: list[tuple[str, str, int, int]] = []
     sentence = 0
     for line in _HIDDEN.sub("", text).splitlines():
-        code = bool(_CODE.search(line)) and "://" not in line
+        code = len(line) < 1000 and bool(_CODE.search(line)) and "://" not in line
         found = list(_TOKEN.finditer(line))
         for i, m in enumerate(found):
             kind, form = m.lastgroup, m.group()
@@ -133,7 +133,7 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def page_figures(docs: DataFrame) -> DataFrame:
     """(row, doc_id, language, size, share, slope, residual, divergence) of each page with at least SHORT words: the fit of log count on log rank and the divergence from the common words of its language."""
-    pages = docs.select("doc_id", "text").mapInPandas(_read, "doc_id long, language string, size int, share double, forms array<string>, counts array<int>")
+    pages = docs.select("doc_id", "text").filter("doc_id is not null").mapInPandas(_read, "doc_id long, language string, size int, share double, forms array<string>, counts array<int>")
     pages = cut(pages.withColumn("row", F.monotonically_increasing_id()))
     each = pages.select("row", "language", "size", F.explode(F.arrays_zip("forms", "counts")).alias("x")).select("row", "language", "size", F.col("x.forms").alias("form"), F.col("x.counts").alias("n"))
     # how common a word is in a language counts pages, not uses, so that pages of keywords hardly weigh
@@ -175,7 +175,7 @@ def apart(figures: DataFrame) -> DataFrame:
 def spam_pages(docs: DataFrame) -> DataFrame:
     """(doc_id, share, language, slope, residual, divergence) of the pages more than half of whose text is keywords, links or tags instead of sentences.
 
-    docs: doc_id, text. Null, empty and removed texts and those of fewer than SHORT words are none. Rows that repeat a doc_id or a text are judged each
+    docs: doc_id, text. Null, empty and removed texts, those of fewer than SHORT words and rows without doc_id are none. Rows that repeat a doc_id or a text are judged each
     for itself. Ties in a page's ranks are ordered by the word. An empty table gives an empty result; further columns are ignored.
     """
     a = apart(cut(page_figures(docs)))
