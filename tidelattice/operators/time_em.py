@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelattice.session import lookup
+from tidelattice.session import cut, lookup
 
 #: Minutes east of UTC of zone abbreviations.
 ABBREVIATIONS = {"Z": 0, "UTC": 0, "GMT": 0, "WET": 0, "BST": 60, "WEST": 60, "CET": 60, "CEST": 120, "EET": 120, "EEST": 180, "MSK": 180, "IST": 330, "SGT": 480, "HKT": 480, "AWST": 480, "JST": 540, "KST": 540, "ACST": 570, "ACDT": 630, "AEST": 600, "AEDT": 660, "NZST": 720, "NZDT": 780, "AST": -240, "ADT": -180, "EST": -300, "EDT": -240, "CST": -360, "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420, "AKST": -540, "AKDT": -480, "HST": -600}
@@ -218,7 +218,7 @@ def normalise(df: DataFrame, column: str, feeds: DataFrame, source: str = "feed"
     rows = rows.select("*", sig.alias("__sig"))
     seen = rows.filter(c.isNotNull()).groupBy(F.coalesce(F.col(source), F.lit("")).alias("source"), F.col("__day_first").alias("day_first"), F.col("__sig").alias("sig"), c["kind"].alias("kind"), c["lag1"].alias("lag1"), c["lag2"].alias("lag2"))
     picks = seen.agg(F.count("*").alias("n")).groupBy("source").applyInPandas(_em, "source string, sig string, pick int, posterior double")
-    by_source = picks.groupBy(F.col("source").alias("__source")).agg(F.map_from_entries(F.collect_list(F.struct("sig", F.struct("pick", "posterior")))).alias("__picks"))  # a signature has four small parts, so a source has few
+    by_source = cut(picks.groupBy(F.col("source").alias("__source")).agg(F.map_from_entries(F.collect_list(F.struct("sig", F.struct("pick", "posterior")))).alias("__picks")))  # a signature has four small parts, so a source has few
     rows = rows.join(lookup(by_source), F.coalesce(F.col(source), F.lit("")) == F.col("__source"), "left").withColumn("__pick", F.try_element_at(F.col("__picks"), F.col("__sig")))
     two = c["first"].isNotNull() & c["second"].isNotNull() & (c["first"] != c["second"])
     sure = F.col("__pick.posterior") >= SURE
