@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelattice.functions.normalize import floor_div
+from tidelattice.session import cut
 
 #: Periods in a block.
 BLOCK = 1024
@@ -68,8 +69,8 @@ def regular_grid(rows: DataFrame, source: str, time_ms: Column, order: str, fiel
     r = rows.select(F.col(source).alias("source"), time_ms.cast("long").alias("t"), F.col(order).alias("o"), *[x.alias(f"v{i}") for i, x in enumerate(v)]).filter("source is not null and t is not null")
     r = r.withColumn("period", floor_div("t", step_ms))
     by_period = r.groupBy("source", "period").agg(*[a for i, x in enumerate(ok) for a in (F.min(x).alias(f"f{i}"), F.max(x).alias(f"l{i}"))])
-    by_period = by_period.withColumn("block", F.floor(F.col("period") / BLOCK))
-    spans = r.groupBy("source").agg(F.min("period").alias("first"), F.max("period").alias("last"))
+    by_period = cut(by_period.withColumn("block", F.floor(F.col("period") / BLOCK)))  # read three times from here on
+    spans = by_period.groupBy("source").agg(F.min("period").alias("first"), F.max("period").alias("last"))
     blocks = spans.select("source", "first", "last", F.explode(F.sequence(F.floor(F.col("first") / BLOCK), F.floor(F.col("last") / BLOCK))).alias("block"))
     held = by_period.groupBy("source", "block").agg(*[a for i in range(len(fields)) for a in (F.min(f"f{i}").alias(f"f{i}"), F.max(f"l{i}").alias(f"l{i}"))])
     blocks = blocks.join(held, ["source", "block"], "left")
