@@ -197,3 +197,33 @@ def test_gated(spark):
     rows = spark.createDataFrame([(HOUR,), (2 * HOUR,)], "create_time long")
     pings = spark.createDataFrame([(True, 3600)], "first_run boolean, timestamp_utc long")
     assert [r.create_time for r in pipelines.gated(rows, pings).collect()] == [HOUR]
+
+
+def test_backfill(spark, tmp_path):
+    """After a gap is filled, the table is what one run over everything gives."""
+    from tidelattice.plans import backfill
+
+    base = features.FAMILIES["futures_premiumindexklines"].base
+    df = spark.range(100).select(F.lit("A").alias("symbol"), (F.col("id") * HOUR).alias("open_time"), (F.col("id") * HOUR + HOUR - 1).alias("close_time"), *[(100 + F.sin(F.col("id") * k) * 3).alias(c) for k, c in enumerate(base[1:], 1)])
+    whole = features.features("futures_premiumindexklines", df, ["symbol"])
+    path = str(tmp_path / "table")
+    features.features("futures_premiumindexklines", df.filter("open_time not between 20 * 3600000 and 22 * 3600000"), ["symbol"]).write.parquet(path)
+    assert backfill.fill("futures_premiumindexklines", lambda: df, path, ["symbol"], HOUR, "open") == 63
+    got = {r.open_time: r.asDict() for r in spark.read.parquet(path).collect()}
+    assert len(got) == 100
+    for r in whole.collect():
+        assert all(v == got[r.open_time][k] or abs(v - got[r.open_time][k]) < 1e-9 for k, v in r.asDict().items()), r.open_time
+    assert backfill.fill("futures_premiumindexklines", lambda: df, path, ["symbol"], HOUR, "open") == 0
+
+
+def test_prompt(spark):
+    r = one(spark, social.relevance_prompt(F.lit("btc"), F.lit(None).cast("string"), F.lit(" Hi "), F.lit("")), social.relevance(F.lit("en"), F.lit(0.7)), social.relevance(F.lit("non-en"), F.lit(0.7)))
+    assert list(r) == ["Subreddit: btc\nTitle: Hi", 1, None]
+
+
+def test_sql(spark):
+    from tidelattice.sources import sql
+
+    spark.range(3).createOrReplaceTempView("three_rows")
+    assert sql.query(spark, "select * from three_rows where id >= :low", low=1).count() == 2
+    assert sql.has_table(spark, "three_rows") and sql.columns(spark, "three_rows") == {"id": "bigint"}

@@ -112,7 +112,7 @@ def _is_time(x: str) -> bool:
     if not _TIME.fullmatch(x):
         return _is_epoch(x)
     try:
-        return 2017 <= datetime.fromisoformat(x).year < 2035
+        return x[11:13] < "24" and 2017 <= datetime.fromisoformat(x).year < 2035
     except ValueError:
         return False
 

@@ -136,3 +136,14 @@ def inherit_relevance(comments: DataFrame, submissions: DataFrame) -> DataFrame:
     parent = submissions.select(F.col("id").alias("submission_id"), F.col("relevance").alias("parent_"))
     ok = F.col("language").isin("en", "empty")
     return comments.join(parent, "submission_id", "left").withColumn("relevance", F.when(ok, F.col("parent_"))).drop("parent_")
+
+
+def relevance_prompt(subreddit: Column, flair: Column, title: Column, body: Column) -> Column:
+    """What a relevance model reads: a line for each part that is there."""
+    parts = [F.when(F.coalesce(F.trim(c), F.lit("")) != "", F.concat(F.lit(f"{name}: "), F.trim(c))) for name, c in (("Subreddit", subreddit), ("Flair", flair), ("Title", title), ("Selftext", body))]
+    return F.concat_ws("\n", *parts)
+
+
+def relevance(language: Column, probability: Column, threshold: float = 0.5) -> Column:
+    """1 or 0 by a model's probability, for English texts and those without any word; null for others."""
+    return F.when(language.isin("en", "empty"), F.when(probability >= threshold, 1).otherwise(0))
