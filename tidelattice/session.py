@@ -44,6 +44,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df`, dealt out evenly if it is read in fewer tasks than there are cores: a few small files before costly work. Larger tables stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def lookup(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """`df`, with a broadcast hint if it is counted to have at most `max_rows` rows; beyond that Spark joins it by shuffle."""
     small = df.limit(max_rows + 1).count() <= max_rows
