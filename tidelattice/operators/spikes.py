@@ -102,7 +102,7 @@ def implausible(rows: DataFrame, source: str, time_ms: str, row_id: str, content
     chunks = dense_chunks(long, ["symbol", "field"], ["t", "h"], F.floor(F.col("t") / BLOCK_MS), CHUNK, HALO)
     shape = f"symbol {kind}, field string, t long, h long, impossible boolean, stuck boolean, res double, around double, d1 double, d2 double, w1 double, w2 double, " + ", ".join(f"n{i} double" for i in range(2 * WIDTH))
     seen = cut(chunks.groupBy("symbol", "field", "chunk_").applyInPandas(_chunk, shape))
-    usual = seen.filter("not impossible and not stuck").groupBy("symbol", "field").agg(*[F.percentile_approx(c, 0.5, 10_000).alias(f"usual_{c}") for c in ("around", "d1", "d2")])
+    usual = cut(seen.filter("not impossible and not stuck").groupBy("symbol", "field").agg(*[F.percentile_approx(c, 0.5, 10_000).alias(f"usual_{c}") for c in ("around", "d1", "d2")]))
     far = F.col("usual_around") * (FAR * MAD)
     at = lambda i: F.col(f"n{i}")
     left = F.when(~(at(2) >= far) | F.isnan(at(2)), 0).when(~(at(1) >= far) | F.isnan(at(1)), 1).when(~(at(0) >= far) | F.isnan(at(0)), 2).otherwise(3)
@@ -111,7 +111,7 @@ def implausible(rows: DataFrame, source: str, time_ms: str, row_id: str, content
     candidate = (F.col("w1") >= F.col("usual_d1") * DETAIL) | (F.col("w2") >= F.col("usual_d2") * DETAIL)
     spike = candidate & (F.col("usual_around") > 0) & (F.col("res") >= far) & ~F.isnan("res") & (left + right + 1 <= WIDTH) & back
     judged = seen.join(lookup(usual), ["symbol", "field"], "left").withColumn("kind", F.when(F.col("impossible"), "impossible").when(F.col("stuck"), "stuck").when(spike, "spike"))
-    bad = judged.filter(F.col("kind").isNotNull()).select("symbol", "t", "h", "field", "kind")
+    bad = cut(judged.filter(F.col("kind").isNotNull()).select("symbol", "t", "h", "field", "kind"))
     placed = base.select("row_id", "symbol", "t", "h").join(lookup(bad), ["symbol", "t", "h"]).select("row_id", "field", "kind")
     unplaced = base.filter("symbol is null or t is null").select("row_id", F.explode(F.array(*[F.when((F.col(f) < 0) | F.isnan(f) | (F.abs(f) == float("inf")), F.lit(f)) for f in fields])).alias("field")).filter("field is not null").withColumn("kind", F.lit("impossible"))
     return placed.unionByName(unplaced)
