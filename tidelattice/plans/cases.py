@@ -87,11 +87,15 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+#: Part of the last digit added before rounding: sums of few decimals often lie on a tie, where engines that add in another order differ.
+TIE = 0.13720391
+
+
 def p4_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly trade aggregates as the batch layer leaves them."""
     log = deliveries(table(spark, sf_dir, "futures_aggtrades"), "futures_aggtrades", "price", "quantity")
     v = lambda_views.recompute(log, lambda_views.TRADES, "price", "quantity")
-    return v.select("symbol", F.col("period_end").alias("hour_end"), F.col("records").alias("trades"), "corrected", F.round("weight", 6).alias("quantity"), F.round("weighted", 3).alias("turnover"), "low", "high", F.col("first.v").alias("open"), F.col("last.v").alias("close"))
+    return v.select("symbol", F.col("period_end").alias("hour_end"), F.col("records").alias("trades"), "corrected", F.round(F.col("weight") + TIE * 1e-6, 6).alias("quantity"), F.round(F.col("weighted") + TIE * 1e-3, 3).alias("turnover"), "low", "high", F.col("first.v").alias("open"), F.col("last.v").alias("close"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,7 +151,38 @@ def _days(name: str, time: str, measures: list[str]) -> str:
 _BAR_DAYS = _days("futures_klines_1d", "cast(open_time as timestamp)", ["relative_range", "log_return_close"])
 _INTEREST_DAYS = _days("futures_metrics_1d", "(cast(create_time as timestamp) - interval 1 day)", ["log_return_sum_open_interest_last"])
 
+_CELL = '(?:"(?:[^"]|"")*"|[^",]*)'
+
+
+def _wrong(kind: str, i: int) -> str:
+    """SQL for a wrong value in the i-th field."""
+    v, digits = f"v[{i}]", f"regexp_full_match(v[{i}], '[0-9]{{1,18}}')"
+    n = f"try_cast({v} as bigint)"
+    epoch = f"coalesce({digits} and {_ms(n)} between 1483228800000 and 2051222399999, false)"
+    good = {
+        "epoch": epoch,
+        "time": f"({epoch} or (regexp_full_match({v}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}') and coalesce(year(try_strptime({v}, '%Y-%m-%d %H:%M:%S')) between 2017 and 2034, false)))",
+        "id": digits,
+        "count": f"({v} = '' or {digits})",
+        "bool": f"lower({v}) in ('true', 'false', 't', 'f', '1', '0')",
+        "text": f"{v} != ''",
+        "double": f"({v} = '' or (regexp_full_match({v}, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') and coalesce(isfinite(try_cast({v} as double)), false)))",
+    }
+    return f"not {good[kind]}"
+
+
+def _lines_sql() -> str:
+    columns, types = csv_machine.COLUMNS, csv_machine.TYPES
+    case = lambda f: "case file_kind " + " ".join(f"when '{k}' then {f(c)}" for k, c in columns.items()) + " end"
+    wrong = case(lambda c: "(" + " or ".join(_wrong(types.get(x, "double"), i + 1) for i, x in enumerate(c)) + ")")
+    return f"""with l as (select raw_id, file_kind, regexp_replace(line, '\\r$', '') as line from raw_rows where line is not null),
+        r as (select *, regexp_full_match(line, '{_CELL}(?:,{_CELL})*') as whole from l where trim(line, chr(9) || ' ') != '' and line != {case(lambda c: "'" + ",".join(c) + "'")}),
+        f as (select *, list_transform(regexp_extract_all(',' || line, ',({_CELL})', 1), lambda x: trim(case when starts_with(x, '"') then replace(x[2:-2], '""', '"') else x end, chr(9) || ' ')) as v from r)
+        select raw_id, case when not whole then 'broken_quoting' when len(v) != {case(lambda c: len(c))} then 'wrong_column_count' else 'invalid_value' end as reason from f where not whole or len(v) != {case(lambda c: len(c))} or {wrong}"""
+
+
 ORACLES = {
+    "p5_found": _lines_sql(),
     "p3_found": f"""select symbol, strftime(day, '%Y-%m-%d') as day, 'relative_range' as measure from {_BAR_DAYS} where nth >= 30 and relative_range_7 / 7 - 1.8 * relative_range_30 / 30 > 1e-10
         union all select symbol, strftime(day, '%Y-%m-%d'), 'log_return_close' from {_BAR_DAYS} where nth >= 30 and log_return_close_7 < -0.1500005 and log_return_close_30 > -0.1500005
         union all select symbol, strftime(day, '%Y-%m-%d'), 'log_return_sum_open_interest_last' from {_INTEREST_DAYS} where nth >= 30 and log_return_sum_open_interest_last_7 > 0.1500005
@@ -158,7 +193,7 @@ ORACLES = {
             union all select 'futures_klines', symbol, message_key, r, ((message_key - 1) // 3600000 + 1) * 3600000 from bars where message_key is not null)
         select topic, symbol, message_key, case when r <= (e + 1800000) * 1000 then 'corrected' else 'dropped' end as outcome from late where r > (e + 60000) * 1000""",
     "p4_hourly": f"""with {_TRADES}, h as (select *, (t // 3600000 + 1) * 3600000 as e, kept.p as p, kept.q as q from trades where t is not null)
-        select symbol, e as hour_end, count(*) as trades, count_if(r > (e + 60000) * 1000) as corrected, round(sum(q), 6) as quantity, round(sum(p * q), 3) as turnover, min(p) as low, max(p) as high,
+        select symbol, e as hour_end, count(*) as trades, cast(count_if(r > (e + 60000) * 1000) as bigint) as corrected, round(sum(q) + {TIE * 1e-6!r}, 6) as quantity, round(sum(p * q) + {TIE * 1e-3!r}, 3) as turnover, min(p) as low, max(p) as high,
             arg_min(p, (t, message_key)) as open, arg_max(p, (t, message_key)) as close from h where r <= (e + 1800000) * 1000 group by 1, 2""",
     "p7_found": f"""with d as (select 'futures_aggtrades' as topic, delivery_id, {_SYMBOL} as s, agg_trade_id as k from futures_aggtrades
             union all select 'futures_klines', delivery_id, {_SYMBOL}, {_CLOSE} from futures_klines union all select 'metrics_messages', delivery_id, {_SYMBOL}, {_READING} from metrics_messages)
