@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelattice.llm.tokens import encode, vocabulary_path
-from tidelattice.session import cut
+from tidelattice.session import cut, spread
 
 #: Share of the greatest total that the tightest source allows; at the whole of it that source would need an endless mean.
 REACH = 0.9
@@ -124,7 +124,7 @@ def mix(docs: DataFrame, targets: DataFrame, seed: int = 17, tokenizer: str | No
     """
     path = tokenizer or vocabulary_path()
     wanted = F.broadcast(targets.select("source").filter("source is not null").distinct().limit(MOST_SOURCES))
-    mine = docs.select("doc_id", "text", "source").join(wanted, "source", "left_semi").filter("doc_id is not null and text is not null and text != ''")
+    mine = spread(docs.select("doc_id", "text", "source")).join(wanted, "source", "left_semi").filter("doc_id is not null and text is not null and text != ''")
     hash_ = lambda s: F.pmod(F.xxhash64(F.lit(s), "doc_id", "source"), F.lit(1 << 52)) / float(1 << 52)
     sized = cut(mine.select("doc_id", "source", hash_(seed).alias("u"), "text").mapInPandas(_sizes(path), "doc_id long, source string, u double, tokens long"))
     p = plan(sized, targets)

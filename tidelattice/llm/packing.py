@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelattice.llm.tokens import encode, vocabulary_path
-from tidelattice.session import cut
+from tidelattice.session import cut, spread
 
 DIMENSIONS, BITS = 3, 10
 #: Items along the curve that a container may choose from.
@@ -182,7 +182,7 @@ def pack(docs: DataFrame, limits: DataFrame, tokenizer: str | None = None) -> Da
     Empty tables give an empty result; further columns are ignored.
     """
     path = tokenizer or vocabulary_path()
-    sized = cut(docs.select("doc_id", "text").filter("doc_id is not null").mapInPandas(_vectors(path), "doc_id long, tokens long, " + ", ".join(f"v{k} double" for k in range(DIMENSIONS))).filter("tokens > 0"))
+    sized = cut(spread(docs.select("doc_id", "text").filter("doc_id is not null")).mapInPandas(_vectors(path), "doc_id long, tokens long, " + ", ".join(f"v{k} double" for k in range(DIMENSIONS))).filter("tokens > 0"))
     dims = range(DIMENSIONS)
     total = sized.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), *[F.avg(f"v{k}").alias(f"m{k}") for k in dims], *[F.stddev_pop(f"v{k}").alias(f"s{k}") for k in dims]).first()
     even = _even(np.array([total[f"m{k}"] or 0.0 for k in dims]), np.array([total[f"s{k}"] or 0.0 for k in dims]))

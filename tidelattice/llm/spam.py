@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelattice.session import cut, lookup
+from tidelattice.session import cut, lookup, spread
 
 #: Words that hold sentences together and hardly occur in keywords, by language.
 FUNCTION_WORDS = {
@@ -37,6 +37,7 @@ GONE = frozenset({"[removed]", "[deleted]"})
 
 _HIDDEN = re.compile("[​-‏⁠﻿­]")
 _TOKEN = re.compile(r"(?P<link>(?:https?|hxxps?)://\S+|\b(?:h\s?t\s?t\s?p\s?s?\s?:\s?/\s?/\s?)\S+|\b\w[\w\-]{0,62}(?:\.[\w\-]{1,63}){0,6}\.[a-z]{2,24}/\S*|\b\w[\w\-]{0,62}\.(?:com|org|net|io|info|biz|co|test|example|invalid)\b)|(?P<tag>[#$][^\W\d]\w*)|(?P<number>[+\-−]?\d[\d.,:]*%?(?!\w))|(?P<word>[^\W_][\w@!+$'’]*)", re.U)
+_FORM = re.compile(r"(?:https?|hxxps?)://\S+|[^\W\d_]+(?:['’][^\W\d_]+)*|[\w-]+\.[a-z]{2,}\S*")
 _STOP = re.compile(r"[\"'’”»)\]]*[.!?…][\"'’”»)\]]*\s")
 _CODE = re.compile(r"^(?:\s{4,}|```|>>>|\$ |#!|//)|[{};]\s*$|\w\s*=\s*\w+[\[(.]|^\s*(?:def|class|import|from|return|for|if|while|select|insert|curl|pip)\b.*[(:;=]|\w\(.*\)\s*$|=>|==", re.I)
 
@@ -44,6 +45,9 @@ _CODE = re.compile(r"^(?:\s{4,}|```|>>>|\$ |#!|//)|[{};]\s*$|\w\s*=\s*\w+[\[(.]|
 SPAN, HELD = 7, 0.06
 #: One word so many times in a row within a line, from four on, is a cry rather than a keyword list.
 CRY = 16
+#: Share of a text in function words from which its sentences must be more than half of it: with less than half in sentences, half of what these say would have to be
+#: function words, against a third in prose of any length. Below it the share is measured.
+SPARSE = 0.25
 #: Words of a text below which it is too short to be a list.
 SHORT = 3
 #: Distance from comparable prose, in usual distances, from which a page is looked at.
@@ -122,18 +126,19 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc_id, text in zip(b["doc_id"], b["text"]):
             if text is None or text.strip() in GONE:
                 continue
-            pieces = words(text)
-            forms = ["<link>" if k == "link" else f.lower() for k, f, _, _ in pieces if k != "number"]
+            forms = [f if "://" not in f else "<link>" for f in _FORM.findall(_HIDDEN.sub("", text).lower())]
             if len(forms) < SHORT:
                 continue
             c = Counter(forms)
-            rows.append((doc_id, language(c), len(forms), listed_share(pieces), list(c), list(c.values())))
+            held = sum((len(f) + 1) * n for f, n in c.items() if f in _ANY) / len(text)
+            share = listed_share(words(text)) if held < SPARSE else 0.0
+            rows.append((doc_id, language(c), len(forms), share, list(c), list(c.values())))
         yield pd.DataFrame(rows, columns=["doc_id", "language", "size", "share", "forms", "counts"])
 
 
 def page_figures(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, language, size, share, slope, residual, divergence) of each page with at least SHORT words: the fit of log count on log rank and the divergence from the common words of its language."""
-    pages = docs.select("doc_id", "text").filter("doc_id is not null").mapInPandas(_read, "doc_id long, language string, size int, share double, forms array<string>, counts array<int>")
+    """(row, doc_id, language, size, share, slope, residual, divergence) of each page with at least SHORT words: the share without sentences (0 where function words rule more than half out), the fit of log count on log rank and the divergence from the common words of its language."""
+    pages = spread(docs.select("doc_id", "text").filter("doc_id is not null")).mapInPandas(_read, "doc_id long, language string, size int, share double, forms array<string>, counts array<int>")
     pages = cut(pages.withColumn("row", F.monotonically_increasing_id()))
     each = pages.select("row", "language", "size", F.explode(F.arrays_zip("forms", "counts")).alias("x")).select("row", "language", "size", F.col("x.forms").alias("form"), F.col("x.counts").alias("n"))
     # how common a word is in a language counts pages, not uses, so that pages of keywords hardly weigh
