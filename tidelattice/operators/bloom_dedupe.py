@@ -141,7 +141,8 @@ def find_repeats(rows: DataFrame, bucket: Column, most_bytes: int = MOST_BYTES)
 
 
 #: Identifiers of a symbol's trades rise with time, so a run of them is a bucket of time that all copies share (copies may differ in transact_time).
-TRADES_A_BUCKET = 1 << 20
+#: A run of this length fills one filter at BITS_EACH bits an identifier.
+TRADES_A_BUCKET = CELL_BITS // BITS_EACH
 #: Days of event time in a bucket of bars and readings.
 BUCKET_MS = 86_400_000
 
