@@ -4,9 +4,9 @@ import pytest
 
 import __spark_entry__ as entry
 from helpers import same
-from tidelattice.plans import cases, reference
+from tidelattice.plans import cases, market
 
-CORE = {**cases.QUERIES, **reference.QUERIES}
+CORE = {**cases.QUERIES, **market.QUERIES}
 
 
 @pytest.mark.parametrize("name", [n for n in CORE if n in entry.oracle_sql()])
