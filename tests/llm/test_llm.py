@@ -138,6 +138,36 @@ def test_shares():
     assert spam.listed_share(spam.words("a-" * 20_000 + "(" * 20_000)) >= 0
 
 
+HTML_SPAM = [
+    '<a href="chartmill-bonus.test">premium index</a><br><a href="https://gridpilot.invalid/ref/3">funding rate</a><br><a href="http://feelessly.example">mark price</a>',
+    "<ul>\n    <li><A HREF='https://a.test/x'>free airdrop</A></li>\n    <li><a\n href=b.invalid/y class=c>vip group</a></li>\n</ul>",
+    SENTENCE + '\n<a href="https://a.test/x">buy now</a> ' + '<a href="c.example/ref/1">vip group</a> ' * 5,
+    "<p>vip group</p><p>free airdrop</p><b>buy now</b> <i>leverage trading</i><br/>presale token",
+]
+HTML_PROSE = [
+    "<p>" + SENTENCE.replace("book", '<a href="https://a.test/x">book</a>') * 3 + "</p>",
+    "<div class='c'>" + SENTENCE * 2 + "<br></div>",
+    SENTENCE + "\nif a <b and c> d:\n    send(bar)\nx = y[0]",
+]
+
+
+def test_shares_of_markup():
+    for t in HTML_SPAM:
+        assert spam.listed_share(spam.words(t)) > 0.5, t
+    for t in HTML_PROSE:
+        assert spam.listed_share(spam.words(t)) < 0.2, t
+    assert "link" not in {k for k, *_ in spam.words(HTML_PROSE[2])} and "b" in {f for _, f, *_ in spam.words(HTML_PROSE[2])}
+    assert spam.listed_share(spam.words("<a " + "=" * 50_000 + "<a" + " " * 50_000 + "<br" * 20_000)) >= 0
+
+
+def test_pages_of_markup(spark, sf_dir):
+    base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(HTML_SPAM)] + [(2 * 10**6 + i, t) for i, t in enumerate(HTML_PROSE)], "doc_id long, text string")
+    got = [r.doc_id for r in spam.spam_pages(base.unionByName(extra)).collect()]
+    assert {g for g in got if g >= 10**6} == {10**6 + i for i in range(len(HTML_SPAM))}
+    assert {f for r in spam._read(iter([extra.toPandas()])) for fs in r.forms for f in fs}.isdisjoint({"href", "br", "li", "div", "class"})
+
+
 def test_pages(spark, sf_dir):
     base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(SPAM)] + [(2 * 10**6 + i, t) for i, t in enumerate(PROSE)] + [(None, SPAM[0])], "doc_id long, text string")

@@ -35,8 +35,15 @@ _DISGUISE = str.maketrans(DISGUISES)
 #: What stands for a text that was taken away.
 GONE = frozenset({"[removed]", "[deleted]"})
 
+#: Names of markup tags that end a line, and the others.
+BREAKS = "article aside blockquote br center dd div dl dt figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th thead tr ul"
+TAGS = BREAKS + " a abbr area b base big body button cite code del em embed font head html i iframe img input ins kbd label link mark meta noscript object option q s select small source span strike strong sub summary sup title tt u var video"
+
+_MARK = re.compile(r"</?(?:%s)(?:\s+[\w:\-]+\s*=[^<>]*|\s*/?)>" % "|".join(TAGS.split()), re.I)
+_ADDRESS = re.compile(r"""[\s"'](?:href|src)\s*=\s*["']?([^\s"'>]+)""", re.I)
+_BREAK = re.compile(r"</?(?:%s)\b" % "|".join(BREAKS.split()), re.I)
 _HIDDEN = re.compile("[​-‏⁠﻿­]")
-_TOKEN = re.compile(r"(?P<link>(?:https?|hxxps?)://\S+|\b(?:h\s?t\s?t\s?p\s?s?\s?:\s?/\s?/\s?)\S+|\b\w[\w\-]{0,62}(?:\.[\w\-]{1,63}){0,6}\.[a-z]{2,24}/\S*|\b\w[\w\-]{0,62}\.(?:com|org|net|io|info|biz|co|test|example|invalid)\b)|(?P<tag>[#$][^\W\d]\w*)|(?P<number>[+\-−]?\d[\d.,:]*%?(?!\w))|(?P<word>[^\W_][\w@!+$'’]*)", re.U)
+_TOKEN = re.compile(r"(?i:(?P<mark>" + _MARK.pattern + r"))|(?P<link>(?:https?|hxxps?)://\S+|\b(?:h\s?t\s?t\s?p\s?s?\s?:\s?/\s?/\s?)\S+|\b\w[\w\-]{0,62}(?:\.[\w\-]{1,63}){0,6}\.[a-z]{2,24}/\S*|\b\w[\w\-]{0,62}\.(?:com|org|net|io|info|biz|co|test|example|invalid)\b)|(?P<tag>[#$][^\W\d]\w*)|(?P<number>[+\-−]?\d[\d.,:]*%?(?!\w))|(?P<word>[^\W_][\w@!+$'’]*)", re.U)
 _FORM = re.compile(r"(?:https?|hxxps?)://\S+|[^\W\d_]+(?:['’][^\W\d_]+)*|[\w-]+\.[a-z]{2,}\S*")
 _STOP = re.compile(r"[\"'’”»)\]]*[.!?…][\"'’”»)\]]*\s")
 _CODE = re.compile(r"^(?:\s{4,}|```|>>>|\$ |#!|//)|[{};]\s*$|\w\s*=\s*\w+[\[(.]|^\s*(?:def|class|import|from|return|for|if|while|select|insert|curl|pip)\b.*[(:;=]|\w\(.*\)\s*$|=>|==", re.I)
@@ -59,16 +66,30 @@ COMMON = 4096
 
 
 def words(text: str) -> list[tuple[str, str, int, int]]:
-    """(kind, form, size, sentence) of the pieces of a text: link, tag, number, word, or code for those of code lines. A piece's size reaches to the next one. A name with its change in percent is a number."""
+    """(kind, form, size, sentence) of the pieces of a text: link, tag, number, word, or code for those of code lines. A piece's size reaches to the next one. A name with its change in percent is a number.
+
+    A markup tag with an address is one link; any other is no piece but counts to the one before, and ends the line where it breaks it.
+    """
     out: list[tuple[str, str, int, int]] = []
     sentence = 0
-    for line in _HIDDEN.sub("", text).splitlines():
-        code = len(line) < 1000 and bool(_CODE.search(line)) and "://" not in line
+    text = _MARK.sub(lambda m: " ".join(m.group().split()), _HIDDEN.sub("", text))
+    for line in text.splitlines():
+        bare = _MARK.sub(" ", line)
+        code = len(line) < 1000 and bool(_CODE.search(line if bare == line else bare.strip())) and "://" not in line
         found = list(_TOKEN.finditer(line))
+        begin = len(out)
         for i, m in enumerate(found):
             kind, form = m.lastgroup, m.group()
             after = found[i + 1] if i + 1 < len(found) else None
             size = (after.start() if after else len(line) + 1) - m.start()
+            if kind == "mark":
+                address = _ADDRESS.search(form)
+                if not address:
+                    if len(out) > begin:
+                        out[-1] = (*out[-1][:2], out[-1][2] + size, out[-1][3])
+                    sentence += bool(_BREAK.match(form))
+                    continue
+                kind, form = "link", address[1]
             if code and kind != "link":
                 kind = "code"
             elif kind == "word":
@@ -126,7 +147,8 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc_id, text in zip(b["doc_id"], b["text"]):
             if text is None or text.strip() in GONE:
                 continue
-            forms = [f if "://" not in f else "<link>" for f in _FORM.findall(_HIDDEN.sub("", text).lower())]
+            plain = _MARK.sub(lambda m: " http://- " if _ADDRESS.search(m.group()) else " ", _HIDDEN.sub("", text).lower())
+            forms = [f if "://" not in f else "<link>" for f in _FORM.findall(plain)]
             if len(forms) < SHORT:
                 continue
             c = Counter(forms)
