@@ -178,6 +178,21 @@ def test_pages(spark, sf_dir):
     assert {g for g in got if g < 10**6} == {k for k, v in figures.items() if v > 0.5}
 
 
+def test_copies_of_a_list(spark, sf_dir):
+    """A short tag list in half as many copies as there are other pages is found, and moves no figure of theirs."""
+    base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    n = base.count()
+    lists = ["#vip #airdrop #presale #token #mining #bonus #casino #jackpot", "airdrop presale token mining bonus casino jackpot lottery voucher", "vip group token presale signals miner wallet payout lottery cash bonus swap"]
+    for text in lists:
+        more = spark.range(10**6, 10**6 + n // 2).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
+        got = {r.doc_id for r in spam.spam_pages(base.unionByName(more)).select("doc_id").collect()}
+        assert got >= set(range(10**6, 10**6 + n // 2)), text
+    prose = spark.range(10**6, 10**6 + n // 2).select(F.col("id").alias("doc_id"), F.lit(SENTENCE * 2).alias("text"))
+    one = {r.doc_id: r.divergence for r in spam.page_figures(base.unionByName(prose.limit(1))).collect()}
+    many = {r.doc_id: r.divergence for r in spam.page_figures(base.unionByName(prose)).collect()}
+    assert all(many[k] == pytest.approx(v) for k, v in one.items())
+
+
 def test_rank_fit(spark):
     """The windows' fit is numpy's."""
     text = " ".join(w for n, w in enumerate("the of and to in is was".split(), 1) for _ in range(40 // n))

@@ -9,6 +9,7 @@ around it, which must be more than half.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -154,17 +155,20 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             c = Counter(forms)
             held = sum((len(f) + 1) * n for f, n in c.items() if f in _ANY) / len(text)
             share = listed_share(words(text)) if held < SPARSE else 0.0
-            rows.append((doc_id, language(c), len(forms), share, list(c), list(c.values())))
-        yield pd.DataFrame(rows, columns=["doc_id", "language", "size", "share", "forms", "counts"])
+            same = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).hexdigest()
+            rows.append((doc_id, same, language(c), len(forms), share, list(c), list(c.values())))
+        yield pd.DataFrame(rows, columns=["doc_id", "same", "language", "size", "share", "forms", "counts"])
 
 
 def page_figures(docs: DataFrame) -> DataFrame:
     """(row, doc_id, language, size, share, slope, residual, divergence) of each page with at least SHORT words: the share without sentences (0 where function words rule more than half out), the fit of log count on log rank and the divergence from the common words of its language."""
-    pages = spread(docs.select("doc_id", "text").filter("doc_id is not null")).mapInPandas(_read, "doc_id long, language string, size int, share double, forms array<string>, counts array<int>")
+    pages = spread(docs.select("doc_id", "text").filter("doc_id is not null")).mapInPandas(_read, "doc_id long, same string, language string, size int, share double, forms array<string>, counts array<int>")
     pages = cut(pages.withColumn("row", F.monotonically_increasing_id()))
     each = pages.select("row", "language", "size", F.explode(F.arrays_zip("forms", "counts")).alias("x")).select("row", "language", "size", F.col("x.forms").alias("form"), F.col("x.counts").alias("n"))
-    # how common a word is in a language counts pages, not uses, so that pages of keywords hardly weigh
-    common = each.groupBy("language", "form").agg(F.count("*").alias("pages"))
+    # how common a word is in a language counts pages of prose, each text once, not uses: neither pages of keywords nor copies weigh
+    prose = pages.filter(F.col("share") <= PROSE)
+    copies = prose.select("row", F.min("row").over(Window.partitionBy("same")).alias("first")).filter("row > first").select("row")
+    common = prose.join(lookup(cut(copies)), "row", "left_anti").select("language", F.explode("forms").alias("form")).groupBy("language", "form").agg(F.count("*").alias("pages"))
     common = common.withColumn("nth", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("pages"), "form"))).filter(F.col("nth") <= COMMON)
     common = cut(common.withColumn("q", F.col("pages") / F.sum("pages").over(Window.partitionBy("language"))).select("language", "form", "q"))
     ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("n"), "form")))
@@ -173,7 +177,7 @@ def page_figures(docs: DataFrame) -> DataFrame:
     least = F.lit(1.0 / (COMMON * 64))
     fit = ranked.groupBy("row").agg(F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.count("*").alias("k"), F.sum(p * F.ln(p / F.coalesce(F.col("q"), least))).alias("divergence"))
     fit = fit.select("row", F.coalesce("slope", F.lit(0.0)).alias("slope"), F.sqrt(F.greatest(F.col("syy") - F.coalesce("slope", F.lit(0.0)) ** 2 * F.col("sxx"), F.lit(0.0)) / F.col("k")).alias("residual"), "divergence")
-    return pages.drop("forms", "counts").join(fit, "row")
+    return pages.drop("same", "forms", "counts").join(fit, "row")
 
 
 def apart(figures: DataFrame) -> DataFrame:
