@@ -8,8 +8,11 @@ from decimal import Decimal
 from zoneinfo import ZoneInfo
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidelattice.operators import lambda_views
 from tidelattice.operators.csv_machine import COLUMNS, TYPES
+from tidelattice.operators.topics import deliveries
 from tidelattice.plans import cases
 
 ZONES = {"CET": 60, "CEST": 120, "EST": -300, "EDT": -240, "GMT": 0, "Z": 0}
@@ -191,3 +194,30 @@ def test_p5(spark, sf_dir, duck):
             want.add((raw_id, "invalid_value"))
     got = [tuple(r) for r in cases.p5_found(spark, sf_dir).select("raw_id", "reason").collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_p4_served(spark, sf_dir, duck):
+    """Frozen hours are the batch layer's of all arrivals."""
+    got = {(r.topic, r.symbol, r.hour_end): r for r in cases.p4_served(spark, sf_dir).collect()}
+    for topic, query, n in (("futures_aggtrades", cases.p4_hourly, "trades"), ("futures_klines", cases.p4_bars, "bars")):
+        want = {(topic, r.symbol, r.hour_end): r for r in query(spark, sf_dir).collect()}
+        assert {k for k, r in got.items() if k[0] == topic and r.state == "frozen"} <= set(want)
+        last = max(r.hour_end for k, r in got.items() if k[0] == topic and r.state == "frozen")
+        for k, w in want.items():
+            if k[2] <= last:
+                r = got[k]
+                assert (r.state, r.records, r.corrected, r.open, r.high, r.low, r.close) == ("frozen", w[n], w.corrected, w.open, w.high, w.low, w.close), k
+        assert sum(w.corrected for w in want.values()) > 0
+
+
+def test_p4_replay(spark, sf_dir, duck):
+    """Arrivals up to an instant within an hour: hours that have not ended are what the batches on time add up to, each on its own."""
+    symbol, close = cases._SYMBOL, cases._CLOSE
+    each = f"select distinct {symbol} as s, {close} as t, batch_id, ((t - 1) // 3600000 + 1) * 3600000 as e, min(epoch_us(received_at)) over (partition by s, t, batch_id) as r from futures_klines"
+    # the middle of an hour with bars on time
+    now = duck.sql(f"select max(r) from ({each}) where t is not null and r <= e * 1000 and r // 1000000 % 3600 between 1200 and 2400").fetchall()[0][0]
+    log = deliveries(cases.table(spark, sf_dir, "futures_klines"), "futures_klines", "batch_id", "close", "volume").filter(F.col("arrived_us") <= now)
+    got = lambda_views.replay(log, lambda_views.BARS, "close", "volume", "batch_id", 3).collect()
+    want = duck.sql(f"select s, e, count(*) from ({each}) where t is not null and r <= {now} and r <= (e + 60000) * 1000 and e * 1000 > {now} group by 1, 2").fetchall()
+    assert {(r.symbol, r.period_end, r.records) for r in got if r.state == "provisional"} == set(want) and want
+    assert {"frozen", "provisional"} <= {r.state for r in got} and len(got) == len({(r.symbol, r.period_end) for r in got})

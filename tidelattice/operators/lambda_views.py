@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelattice.functions.normalize import HOUR_MS, floor_div
+from tidelattice.session import cut
 
 ON_TIME, CORRECTED, DROPPED = "on_time", "corrected", "dropped"
 
@@ -43,38 +44,60 @@ TRADES, BARS = Period(), Period(closed="right")
 KEYS = ["topic", "symbol", "message_key"]
 
 
-def messages(log: DataFrame, measures: list[str] = ()) -> DataFrame:
+@dataclass(frozen=True)
+class Shape:
+    """Columns that aggregates take instead of the value, and further ones that are added up as total_<column>."""
+
+    opening: str | None = None
+    high: str | None = None
+    low: str | None = None
+    totals: tuple[str, ...] = ()
+
+    def columns(self, value: str, weight: str) -> list[str]:
+        return list(dict.fromkeys([value, weight, *[c for c in (self.opening, self.high, self.low) if c], *self.totals]))
+
+
+PLAIN = Shape()
+
+
+def messages(log: DataFrame, measures: list[str] = (), by: tuple[str, ...] = ()) -> DataFrame:
     """One row a message: first_us, when its earliest delivery arrived; event_ms, the greatest that any delivery states; the measures of its last delivery.
 
-    The aggregates are partial before the shuffle, so a message with very many copies costs one row a task.
+    The aggregates are partial before the shuffle, so a message with very many copies costs one row a task. by: columns that set a message's deliveries apart.
     """
     last = [F.max_by(F.struct(*measures), "delivery_id").alias("last")] if measures else []
-    out = log.groupBy(*KEYS).agg(F.min("arrived_us").alias("first_us"), F.max("event_ms").alias("event_ms"), *last)
-    return out.select(*KEYS, "first_us", "event_ms", *[F.col(f"last.{m}").alias(m) for m in measures])
+    out = log.groupBy(*KEYS, *by).agg(F.min("arrived_us").alias("first_us"), F.max("event_ms").alias("event_ms"), *last)
+    return out.select(*KEYS, *by, "first_us", "event_ms", *[F.col(f"last.{m}").alias(m) for m in measures])
 
 
-def batch_records(log: DataFrame, period: Period, measures: list[str] = (), as_of_us: int | None = None) -> DataFrame:
+def batch_records(log: DataFrame, period: Period, measures: list[str] = (), as_of_us: int | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """The batch layer's records: each message with its period's end and its outcome. as_of_us: arrivals after it are not known yet."""
     if as_of_us is not None:
         log = log.filter(F.col("arrived_us") <= as_of_us)
-    m = messages(log.filter(F.col("symbol").isNotNull() & F.col("message_key").isNotNull()), measures).filter(F.col("event_ms").isNotNull())
+    m = messages(log.filter(F.col("symbol").isNotNull() & F.col("message_key").isNotNull()), measures, by).filter(F.col("event_ms").isNotNull())
     m = m.withColumn("period_end", period.end("event_ms"))
     return m.withColumn("outcome", period.outcome(F.col("period_end"), F.col("first_us")))
 
 
-def _aggregates(value: str, weight: str) -> list[Column]:
+def _aggregates(value: str, weight: str, shape: Shape = PLAIN) -> list[Column]:
     v, w = F.col(value), F.col(weight)
-    return [F.count("*").alias("records"), F.count(v).alias("values"), F.sum(w).alias("weight"), F.sum(v * w).alias("weighted"), F.min(v).alias("low"), F.max(v).alias("high"), F.min(F.when(v.isNotNull(), F.struct(F.col("event_ms").alias("t"), F.col("message_key").alias("k"), v.alias("v")))).alias("first"), F.max(F.when(v.isNotNull(), F.struct(F.col("event_ms").alias("t"), F.col("message_key").alias("k"), v.alias("v")))).alias("last")]
+    opening, high, low = (F.col(c or value) for c in (shape.opening, shape.high, shape.low))
+    end = lambda x: F.when(x.isNotNull(), F.struct(F.col("event_ms").alias("t"), F.col("message_key").alias("k"), x.alias("v")))
+    totals = [F.sum(c).alias(f"total_{c}") for c in shape.totals]
+    return [F.count("*").alias("records"), F.count(v).alias("values"), F.sum(w).alias("weight"), F.sum(v * w).alias("weighted"), F.min(low).alias("low"), F.max(high).alias("high"), F.min(end(opening)).alias("first"), F.max(end(v)).alias("last"), *totals]
 
 
 _MERGE = {"records": F.sum, "values": F.sum, "weight": F.sum, "weighted": F.sum, "low": F.min, "high": F.max, "first": F.min, "last": F.max}
 VIEW_KEYS = ["topic", "symbol", "period_end"]
 
 
-def fast_increment(batch: DataFrame, period: Period, value: str, weight: str) -> DataFrame:
-    """One batch of arrivals as increments of its periods. Copies within the batch count once; copies in other batches count again until the batch layer replaces the period."""
-    rows = batch_records(batch, period, [value, weight]).filter(F.col("outcome") == ON_TIME)
-    return rows.groupBy(*VIEW_KEYS).agg(*_aggregates(value, weight))
+def fast_increment(batch: DataFrame, period: Period, value: str, weight: str, shape: Shape = PLAIN, by: tuple[str, ...] = ()) -> DataFrame:
+    """One batch of arrivals as increments of its periods. Copies within the batch count once; copies in other batches count again until the batch layer replaces the period.
+
+    by: columns that number the batches, where `batch` holds several; each has increments of its own.
+    """
+    rows = batch_records(batch, period, shape.columns(value, weight), by=by).filter(F.col("outcome") == ON_TIME)
+    return rows.groupBy(*VIEW_KEYS, *by).agg(*_aggregates(value, weight, shape))
 
 
 def add_increments(*parts: DataFrame) -> DataFrame:
@@ -82,18 +105,19 @@ def add_increments(*parts: DataFrame) -> DataFrame:
     from functools import reduce
 
     both = reduce(DataFrame.unionByName, parts)
-    return both.groupBy(*VIEW_KEYS).agg(*[f(c).alias(c) for c, f in _MERGE.items()])
+    totals = [F.sum(c).alias(c) for c in both.columns if c.startswith("total_")]
+    return both.groupBy(*VIEW_KEYS).agg(*[f(c).alias(c) for c, f in _MERGE.items()], *totals)
 
 
-def recompute(log: DataFrame, period: Period, value: str, weight: str, as_of_us: int | None = None, frozen: DataFrame | None = None) -> DataFrame:
+def recompute(log: DataFrame, period: Period, value: str, weight: str, as_of_us: int | None = None, frozen: DataFrame | None = None, shape: Shape = PLAIN) -> DataFrame:
     """The batch layer's view: all periods of the log except those in `frozen`, from every record up to the cut-off; corrected counts the late ones among them.
 
     state is `frozen` where the cut-off is before as_of_us (no as_of_us: everything is), else `open`.
     """
-    rows = batch_records(log, period, [value, weight], as_of_us).filter(F.col("outcome") != DROPPED)
+    rows = batch_records(log, period, shape.columns(value, weight), as_of_us).filter(F.col("outcome") != DROPPED)
     if frozen is not None:
         rows = rows.join(frozen.filter(F.col("state") == "frozen").select(*VIEW_KEYS), VIEW_KEYS, "left_anti")
-    view = rows.groupBy(*VIEW_KEYS).agg(*_aggregates(value, weight), F.count_if(F.col("outcome") == CORRECTED).alias("corrected"))
+    view = rows.groupBy(*VIEW_KEYS).agg(*_aggregates(value, weight, shape), F.count_if(F.col("outcome") == CORRECTED).alias("corrected"))
     done = F.lit(True) if as_of_us is None else (F.col("period_end") + period.cutoff_ms) * 1000 < as_of_us
     view = view.withColumn("state", F.when(done, "frozen").otherwise("open"))
     return view if frozen is None else view.unionByName(frozen.filter(F.col("state") == "frozen"))
@@ -105,6 +129,31 @@ def serve(batch_view: DataFrame, provisional: DataFrame) -> DataFrame:
     return batch_view.unionByName(new)
 
 
+def schedule(log: DataFrame, period: Period, runs: int) -> list[int]:
+    """At most `runs` instants in us to recompute at, evenly far apart and each on_time_ms after a period's end; the last is the last such one among the arrivals."""
+    first, last = log.agg(F.min("arrived_us"), F.max("arrived_us")).first()
+    if last is None:
+        return []
+    step, on_time = period.length_ms * 1000, period.on_time_ms * 1000
+    a, b = -(-(first - on_time) // step), (last - on_time) // step
+    every = max(1, -(-(b - a + 1) // runs))
+    return [n * step + on_time for n in range(b - (b - a) // every * every, b + 1, every)] if b >= a else []
+
+
+def replay(log: DataFrame, period: Period, value: str, weight: str, batch: str, runs: int, shape: Shape = PLAIN) -> DataFrame:
+    """What a reader sees after the last arrival: both layers over the arrivals as they came.
+
+    The batch layer runs by `schedule`, each run on what had arrived and with the periods frozen before left as they are. It takes the periods that
+    have ended; of later ones the increments of the batches (numbered in the column `batch`) are served. A frozen period keeps what was known when
+    it froze: a copy that comes later and states another value or time changes it no more.
+    """
+    fast = add_increments(fast_increment(log, period, value, weight, shape, (batch,)))
+    view = recompute(log.limit(0), period, value, weight, shape=shape)
+    for at in schedule(log, period, runs):
+        view = cut(recompute(log, period, value, weight, at, view, shape).filter(F.col("period_end") * 1000 <= at))
+    return serve(view, fast)
+
+
 def late_records(log: DataFrame, period: Period) -> DataFrame:
     """(topic, symbol, message_key, outcome) of the messages that came late: `corrected` up to the cut-off, `dropped` after it.
 

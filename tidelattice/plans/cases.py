@@ -98,6 +98,30 @@ def p4_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("symbol", F.col("period_end").alias("hour_end"), F.col("records").alias("trades"), "corrected", F.round(F.col("weight") + TIE * 1e-6, 6).alias("quantity"), F.round(F.col("weighted") + TIE * 1e-3, 3).alias("turnover"), "low", "high", F.col("first.v").alias("open"), F.col("last.v").alias("close"))
 
 
+BAR = lambda_views.Shape("open", "high", "low", ("quote_volume", "count"))
+
+
+def p4_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly aggregates of the bars as the batch layer leaves them."""
+    log = deliveries(table(spark, sf_dir, "futures_klines"), "futures_klines", "close", "volume", "open", "high", "low", "quote_volume", "count")
+    v = lambda_views.recompute(log, lambda_views.BARS, "close", "volume", shape=BAR)
+    total = lambda c, digits: F.round(F.col(c) + TIE * 10.0**-digits, digits)
+    return v.select("symbol", F.col("period_end").alias("hour_end"), F.col("records").alias("bars"), "corrected", total("weight", 6).alias("volume"), total("total_quote_volume", 3).alias("quote_volume"), F.col("total_count").alias("count"), F.col("first.v").alias("open"), "high", "low", F.col("last.v").alias("close"))
+
+
+#: Recomputations among the arrivals of a topic.
+RUNS = 4
+
+
+def p4_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly aggregates of trades and bars as a reader sees them after the last arrival, from both layers: batches in arrival order, scheduled recomputations, frozen hours."""
+    trades = deliveries(table(spark, sf_dir, "futures_aggtrades"), "futures_aggtrades", "batch_id", "price", "quantity")
+    bars = deliveries(table(spark, sf_dir, "futures_klines"), "futures_klines", "batch_id", "close", "volume", "open", "high", "low", "quote_volume", "count")
+    parts = [lambda_views.replay(trades, lambda_views.TRADES, "price", "quantity", "batch_id", RUNS), lambda_views.replay(bars, lambda_views.BARS, "close", "volume", "batch_id", RUNS, BAR)]
+    both = parts[0].unionByName(parts[1], allowMissingColumns=True)
+    return both.select("topic", "symbol", F.col("period_end").alias("hour_end"), "state", "records", "corrected", "weight", "weighted", F.col("first.v").alias("open"), "high", "low", F.col("last.v").alias("close"), F.col("total_quote_volume").alias("quote_volume"), F.col("total_count").alias("count"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_dedupe.find_repeats(read_deliveries(spark, sf_dir, list(TOPICS)), bloom_dedupe.time_bucket()).select("topic", "delivery_id")
 
@@ -124,7 +148,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot.unionByName(readings)
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p2_found": p2_found, "p2_kinds": p2_kinds, "p3_found": p3_found, "p3_trailing": p3_trailing, "p4_found": p4_found, "p4_hourly": p4_hourly, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p2_found": p2_found, "p2_kinds": p2_kinds, "p3_found": p3_found, "p3_trailing": p3_trailing, "p4_found": p4_found, "p4_hourly": p4_hourly, "p4_bars": p4_bars, "p4_served": p4_served, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
 
 _SYMBOL = "upper(replace(replace(replace(symbol, ' ', ''), chr(9), ''), chr(160), ''))"
 
@@ -195,6 +219,10 @@ ORACLES = {
     "p4_hourly": f"""with {_TRADES}, h as (select *, (t // 3600000 + 1) * 3600000 as e, kept.p as p, kept.q as q from trades where t is not null)
         select symbol, e as hour_end, count(*) as trades, cast(count_if(r > (e + 60000) * 1000) as bigint) as corrected, round(sum(q) + {TIE * 1e-6!r}, 6) as quantity, round(sum(p * q) + {TIE * 1e-3!r}, 3) as turnover, min(p) as low, max(p) as high,
             arg_min(p, (t, message_key)) as open, arg_max(p, (t, message_key)) as close from h where r <= (e + 1800000) * 1000 group by 1, 2""",
+    "p4_bars": f"""with m as (select {_SYMBOL} as symbol, {_CLOSE} as t, min(epoch_us(received_at)) as r, arg_max({{'o': open, 'h': high, 'l': low, 'c': close, 'v': volume, 'q': quote_volume, 'n': "count"}}, delivery_id) as kept from futures_klines group by 1, 2),
+        h as (select *, ((t - 1) // 3600000 + 1) * 3600000 as e from m where t is not null and symbol is not null)
+        select symbol, e as hour_end, count(*) as bars, cast(count_if(r > (e + 60000) * 1000) as bigint) as corrected, round(sum(kept.v) + {TIE * 1e-6!r}, 6) as volume, round(sum(kept.q) + {TIE * 1e-3!r}, 3) as quote_volume, cast(sum(kept.n) as bigint) as "count",
+            arg_min(kept.o, t) as open, max(kept.h) as high, min(kept.l) as low, arg_max(kept.c, t) as close from h where r <= (e + 1800000) * 1000 group by 1, 2""",
     "p7_found": f"""with d as (select 'futures_aggtrades' as topic, delivery_id, {_SYMBOL} as s, agg_trade_id as k from futures_aggtrades
             union all select 'futures_klines', delivery_id, {_SYMBOL}, {_CLOSE} from futures_klines union all select 'metrics_messages', delivery_id, {_SYMBOL}, {_READING} from metrics_messages)
         select topic, delivery_id from (select *, max(delivery_id) over (partition by topic, s, k) as last from d where s is not null and k is not null) where delivery_id < last""",
