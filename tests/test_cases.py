@@ -221,3 +221,30 @@ def test_p4_replay(spark, sf_dir, duck):
     want = duck.sql(f"select s, e, count(*) from ({each}) where t is not null and r <= {now} and r <= (e + 60000) * 1000 and e * 1000 > {now} group by 1, 2").fetchall()
     assert {(r.symbol, r.period_end, r.records) for r in got if r.state == "provisional"} == set(want) and want
     assert {"frozen", "provisional"} <= {r.state for r in got} and len(got) == len({(r.symbol, r.period_end) for r in got})
+
+
+def typed(kind, x):
+    """Value of a good field, by plain Python."""
+    x = x.strip(" \t")
+    if kind == "time" and "-" in x:
+        return round(datetime.strptime(x, "%Y-%m-%d %H:%M:%S").replace(tzinfo=timezone.utc).timestamp() * 1000)
+    if kind in ("epoch", "time"):
+        n = int(x)
+        return n * 1000 if n < 10**11 else n // 1000 if n >= 10**13 else n
+    if kind in ("bool", "text"):
+        return x.lower() in ("true", "t", "1") if kind == "bool" else x
+    return None if x == "" else int(x) if kind in ("id", "count") else float(x)
+
+
+def test_p5_loaded(spark, sf_dir, duck):
+    """Every line that is no reject, no header and not blank is a row with all its values, whatever its kind."""
+    want = {}
+    for raw_id, kind, line in duck.sql("select raw_id, file_kind, line from raw_rows where line is not null").fetchall():
+        line = line.removesuffix("\r")
+        f = cut_line(line) if line.strip(" \t") and line != ",".join(COLUMNS[kind]) else None
+        if f and len(f) == len(COLUMNS[kind]) and all(good(TYPES.get(c, "double"), x) for c, x in zip(COLUMNS[kind], f)):
+            want[raw_id] = (kind, {c: typed(TYPES.get(c, "double"), x) for c, x in zip(COLUMNS[kind], f)})
+    rows = cases.p5_loaded(spark, sf_dir).collect()
+    got = {r.raw_id: (r.file_kind, {c: r[c] for c in COLUMNS[r.file_kind]}) for r in rows}
+    assert len(rows) == len(got) and got == want and {k for k, _ in got.values()} == set(COLUMNS)
+    assert all(r[c] is None for r in rows for c in r.__fields__ if c not in ("raw_id", "file_kind", *COLUMNS[r.file_kind]))

@@ -201,6 +201,21 @@ def rows_of(parsed: DataFrame, kind: str) -> DataFrame:
     return good.select("raw_id", *[_value(TYPES.get(c, "double"), F.get("fields", F.lit(i))).alias(c) for i, c in enumerate(COLUMNS[kind])])
 
 
+def all_rows(parsed: DataFrame) -> DataFrame:
+    """The good rows of every kind, typed as in `rows_of`, in one pass: raw_id, file_kind and the columns of all kinds, null where a kind has none."""
+    names = list(dict.fromkeys(c for columns in COLUMNS.values() for c in columns))
+    good = parsed.filter(F.col("reason").isNull() & F.col("file_kind").isin(*COLUMNS))
+
+    def text(c: str) -> Column:
+        at = F.lit(None).cast("int")
+        for kind, columns in COLUMNS.items():
+            if c in columns:
+                at = F.when(F.col("file_kind") == kind, columns.index(c)).otherwise(at)
+        return F.get("fields", at)
+
+    return good.select("raw_id", "file_kind", *[_value(TYPES.get(c, "double"), text(c)).alias(c) for c in names])
+
+
 def rejects(parsed: DataFrame) -> DataFrame:
     """The lines that are no rows."""
     return parsed.filter(F.col("reason").isNotNull()).select("raw_id", "file_kind", "file_name", "line_no", "reason", "error_at", "error_column")

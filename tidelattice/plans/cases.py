@@ -131,8 +131,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trades among the raw lines, typed."""
-    return csv_machine.rows_of(csv_machine.parse(table(spark, sf_dir, "raw_rows").filter(F.col("file_kind") == "futures_aggtrades")), "futures_aggtrades")
+    """All good raw lines as typed rows, of all three kinds."""
+    return csv_machine.all_rows(csv_machine.parse(table(spark, sf_dir, "raw_rows")))
 
 
 def _cases_of_time(spark: SparkSession, sf_dir: str, name: str, columns: list[str], own) -> DataFrame:
