@@ -75,11 +75,19 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found[0].unionByName(found[1])
 
 
+def _totals(rows: DataFrame, measures: list[str]) -> DataFrame:
+    value = lambda m, w: [(F.round(f"{m}_total_{w}", 6) + 0).alias(f"{m}_total_{w}"), (F.round(F.col(f"{m}_total_{w}") / w, 7) + 0).alias(f"{m}_avg_{w}")]
+    return rows.select(F.col("entity").alias("symbol"), F.date_from_unix_date("day").cast("string").alias("day"), *[c for m in measures for w in (7, 30) for c in value(m, w)])
+
+
 def p3_trailing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals and averages of every symbol and day of the daily bars."""
-    bars, _ = _trailing_days(spark, sf_dir)
-    value = lambda m, w: [(F.round(f"{m}_total_{w}", 6) + 0).alias(f"{m}_total_{w}"), (F.round(F.col(f"{m}_total_{w}") / w, 7) + 0).alias(f"{m}_avg_{w}")]
-    return bars.select(F.col("entity").alias("symbol"), F.date_from_unix_date("day").cast("string").alias("day"), *[c for m in ("relative_range", "log_return_close") for w in (7, 30) for c in value(m, w)])
+    return _totals(_trailing_days(spark, sf_dir)[0], ["relative_range", "log_return_close"])
+
+
+def p3_interest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and averages of every symbol and day of the daily open interest."""
+    return _totals(_trailing_days(spark, sf_dir)[1], ["log_return_sum_open_interest_last"])
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +156,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot.unionByName(readings)
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p2_found": p2_found, "p2_kinds": p2_kinds, "p3_found": p3_found, "p3_trailing": p3_trailing, "p4_found": p4_found, "p4_hourly": p4_hourly, "p4_bars": p4_bars, "p4_served": p4_served, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p2_found": p2_found, "p2_kinds": p2_kinds, "p3_found": p3_found, "p3_trailing": p3_trailing, "p3_interest": p3_interest, "p4_found": p4_found, "p4_hourly": p4_hourly, "p4_bars": p4_bars, "p4_served": p4_served, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
 
 _SYMBOL = "upper(replace(replace(replace(symbol, ' ', ''), chr(9), ''), chr(160), ''))"
 
@@ -212,6 +220,7 @@ ORACLES = {
         union all select symbol, strftime(day, '%Y-%m-%d'), 'log_return_sum_open_interest_last' from {_INTEREST_DAYS} where nth >= 30 and log_return_sum_open_interest_last_7 > 0.1500005
             and log_return_sum_open_interest_last_7 - log_return_sum_open_interest_last_30 > 1e-10""",
     "p3_trailing": f"""select symbol, strftime(day, '%Y-%m-%d') as day, {", ".join(f"round({m}_{w}, 6) + 0 as {m}_total_{w}, round({m}_{w} / {w}, 7) + 0 as {m}_avg_{w}" for m in ("relative_range", "log_return_close") for w in (7, 30))} from {_BAR_DAYS}""",
+    "p3_interest": f"""select symbol, strftime(day, '%Y-%m-%d') as day, {", ".join(f"round({m}_{w}, 6) + 0 as {m}_total_{w}, round({m}_{w} / {w}, 7) + 0 as {m}_avg_{w}" for m in ("log_return_sum_open_interest_last",) for w in (7, 30))} from {_INTEREST_DAYS}""",
     "p4_found": f"""with {_TRADES}, bars as (select {_SYMBOL} as symbol, {_CLOSE} as message_key, min(epoch_us(received_at)) as r from futures_klines group by 1, 2),
         late as (select 'futures_aggtrades' as topic, symbol, message_key, r, (t // 3600000 + 1) * 3600000 as e from trades where t is not null
             union all select 'futures_klines', symbol, message_key, r, ((message_key - 1) // 3600000 + 1) * 3600000 from bars where message_key is not null)
