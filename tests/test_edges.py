@@ -273,3 +273,13 @@ def test_lines(spark):
     rows = {r.raw_id: r for r in csv_machine.rows_of(p, "futures_aggtrades").collect()}
     assert rows[6].transact_time == 1740967450206 and rows[6].quantity is None and rows[6].is_buyer_maker is True
     assert csv_machine.parse(df.limit(0)).count() == 0
+
+
+def test_settled_copies_are_not_shuffled(spark):
+    """A message with a third of all deliveries: each copy but the last comes out once, and only one row a task goes into the window."""
+    rows = spark.range(0, 600, numPartitions=4).select(F.lit("futures_aggtrades").alias("topic"), F.lit("A").alias("symbol"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 1000).alias("message_key"), F.col("id").alias("delivery_id"))
+    for most in (bloom_dedupe.MOST_BYTES, 0):
+        out = bloom_dedupe.find_repeats(rows, bloom_dedupe.time_bucket(), most)
+        assert sorted(r.delivery_id for r in out.collect()) == list(range(0, 597, 3))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "NOT settled" in plan[plan.index("Window") :]

@@ -79,7 +79,7 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Possible repeats of one task: a copy that isn't the task's last of its message is settled here, so a shuffled group has one row a task at most."""
+    """Possible repeats of one task: a copy that isn't the task's last of its message is settled here and isn't shuffled, so a shuffled group has one row a task (more only where rows repeat a delivery_id)."""
     all_ = [b for b in batches if len(b)]
     if not all_:
         return
@@ -133,11 +133,14 @@ def find_repeats(rows: DataFrame, bucket: Column, most_bytes: int = MOST_BYTES)
     else:
         suspects = hashed
     kept = "topic string, symbol string, message_key long, delivery_id long, bucket long"
-    checked = suspects.select("topic", "symbol", "message_key", "delivery_id", "bucket").mapInPandas(_settle, f"{kept}, settled boolean")
+    checked = cut(suspects.select("topic", "symbol", "message_key", "delivery_id", "bucket").mapInPandas(_settle, f"{kept}, settled boolean"))
     from pyspark.sql import Window
 
     last = F.max("delivery_id").over(Window.partitionBy("topic", "bucket", "symbol", "message_key"))
-    return checked.withColumn("last", last).filter(F.col("settled") | (F.col("delivery_id") < F.col("last"))).select("topic", "symbol", "message_key", "delivery_id")
+    names_ = ["topic", "symbol", "message_key", "delivery_id"]
+    # the last of a message's rows is never settled, so the others of its tasks suffice to find it
+    open_ = checked.filter(~F.col("settled")).withColumn("last", last).filter(F.col("delivery_id") < F.col("last"))
+    return checked.filter("settled").select(*names_).unionByName(open_.select(*names_))
 
 
 #: Identifiers of a symbol's trades rise with time, so a run of them is a bucket of time that all copies share (copies may differ in transact_time).
