@@ -62,7 +62,7 @@ SHORT = 3
 APART = 1.5
 #: Share of words without a sentence around them up to which a page is prose, and pages of prose that make a median.
 PROSE, ENOUGH = 0.2, 20
-#: Words of a language that are told apart in the divergence; the rest counts as one kind.
+#: Words of a language that are told apart in the divergence; each other word has the fixed share 1 / (COMMON * 64), whatever their real one.
 COMMON = 4096
 
 
