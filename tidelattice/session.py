@@ -22,26 +22,64 @@ def make_session(app: str = "tidelattice", master: str | None = None, partitions
     return builder.getOrCreate()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """Path and file system of a shared path, whatever the scheme."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, shared by all executors. A temporary one is set only where none is named (tests on one machine)."""
+    """The folder that all executors share: that of `setCheckpointDir` if it was called, else the one spark.checkpoint.dir names.
+
+    Where neither names one, a temporary folder is set in local mode only (tests on one machine); on a cluster that is an error.
+    """
+    set_already = spark.sparkContext._jsc.sc().getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if set_already.isDefined():
+        return named or set_already.get()
     if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="tidelattice-")
         spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(named)
+    spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+#: Paths under the shared folder that `scratch` gave out, by application.
+_GIVEN: dict[str, list[str]] = {}
+
+
 def cut(df: DataFrame) -> DataFrame:
     """`df` written to the shared folder and read from there: a lost executor can't lose it, later uses don't compute it again."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """`df` as a compressed columnar table in the shared folder: like `cut` where later uses read few of its columns or wide rows should be small."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _GIVEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes what this application wrote into the shared folder. Results that were not written or collected yet can't be read after it."""
+    paths = _GIVEN.pop(spark.sparkContext.applicationId, [])
+    made = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if made.isDefined():
+        p, fs = _hadoop(spark, made.get())
+        paths += [f.getPath().toString() for f in fs.listStatus(p)] if fs.exists(p) else []
+    for path in paths:
+        p, fs = _hadoop(spark, path)
+        fs.delete(p, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
