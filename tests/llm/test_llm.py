@@ -1,6 +1,7 @@
 """Packing, mixing and spam pages: exact conditions, brute force and edges."""
 
 import itertools
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -121,21 +122,46 @@ SPAM = [
     SENTENCE + "\n\n" + "free airdrop vip group buy now " * 12,
 ]
 PROSE = [
-    SENTENCE * 3,
-    SENTENCE * 4 + "\nhttps://a.test/x\n#one #two",
-    "hold hold hold hold hold hold\n" + SENTENCE * 2,
-    SENTENCE + "\nABCDE -6.6%, FGHIJ +3.5%, KLMNO -6.0%, PQRST -5.3%, UVWXY +1.0%, ABCDE +2.2%, FGHIJ -0.1%, KLMNO +4.4%",
-    SENTENCE + "\nbar = load(symbol, step)\nif bar.close > level:\n    send(bar)\nvalues = [x for x in rows]",
+    SENTENCE + "In the end a friend with a small account sold a third of his position before the close, and nobody on the desk asked why. What would change if the bars came in late?",
+    "As of this morning the long side has been quiet while the short side paid for it. Nobody knows when the next update is due, but we keep two alerts open at once.\n" + SENTENCE + "\nhttps://a.test/x\n#one #two",
+    "hold hold hold hold hold hold\nIs it worth the trouble? I moved the check to a second machine after the window, and it was fine for a week.\n" + SENTENCE,
+    "The list of the day follows, as it did before the weekend.\nABCDE -6.6%, FGHIJ +3.5%, KLMNO -6.0%, PQRST -5.3%, UVWXY +1.0%, ABCDE +2.2%, FGHIJ -0.1%, KLMNO +4.4%",
+    "This is how I read it on my own machine, in case anyone wants to compare the two.\nbar = load(symbol, step)\nif bar.close > level:\n    send(bar)\nvalues = [x for x in rows]",
     "[removed]", "", None, "ok then",
 ]
 
 
-def test_shares():
+def larger(sf_dir):
+    """Curves need more pages than the smallest tables have."""
+    return sf_dir.replace("sf0.001", "sf0.1")
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, sf_dir):
+    return spark.read.parquet(f"{larger(sf_dir)}/documents.parquet").select("doc_id", "text", "lang")
+
+
+@pytest.fixture(scope="module")
+def weights(corpus):
+    fits = spam.rank_fits(corpus)
+    model = spam.language_words(fits)
+    far = spam.apart(spam.figures(fits, model))
+    out = {}
+    for r in spam.word_weights(fits, far, model).collect():
+        out.setdefault(r.language, {})[r.form] = r.weight
+    return out["en"], out[None]
+
+
+def share(text, weights):
+    return spam.listed_share(spam.words(text), *weights)
+
+
+def test_shares(weights):
     for t in SPAM:
-        assert spam.listed_share(spam.words(t)) > 0.5, t
+        assert share(t, weights) > 0.5, t
     for t in PROSE:
-        assert spam.listed_share(spam.words(t or "")) < 0.5 or t in ("[removed]", "ok then"), t
-    assert spam.listed_share(spam.words("a-" * 20_000 + "(" * 20_000)) >= 0
+        assert share(t or "", weights) < 0.5 or t in ("[removed]", "ok then"), t
+    assert share("a-" * 20_000 + "(" * 20_000, weights) >= 0 and share("w(" * 50_000, weights) >= 0
 
 
 HTML_SPAM = [
@@ -145,62 +171,129 @@ HTML_SPAM = [
     "<p>vip group</p><p>free airdrop</p><b>buy now</b> <i>leverage trading</i><br/>presale token",
 ]
 HTML_PROSE = [
-    "<p>" + SENTENCE.replace("book", '<a href="https://a.test/x">book</a>') * 3 + "</p>",
-    "<div class='c'>" + SENTENCE * 2 + "<br></div>",
-    SENTENCE + "\nif a <b and c> d:\n    send(bar)\nx = y[0]",
+    "<p>" + SENTENCE.replace("book", '<a href="https://a.test/x">book</a>') + "After the last period the archive came back to where it was, which surprised nobody.</p>",
+    "<div class='c'>Wait for the bar to close before you read the feed. " + SENTENCE + "<br></div>",
+    "Close it by hand if the job does not come back in time.\nif a <b and c> d:\n    send(bar)\nx = y[0]",
 ]
 
 
-def test_shares_of_markup():
+def test_shares_of_markup(weights):
     for t in HTML_SPAM:
-        assert spam.listed_share(spam.words(t)) > 0.5, t
+        assert share(t, weights) > 0.5, t
     for t in HTML_PROSE:
-        assert spam.listed_share(spam.words(t)) < 0.2, t
+        assert share(t, weights) < 0.2, t
     assert "link" not in {k for k, *_ in spam.words(HTML_PROSE[2])} and "b" in {f for _, f, *_ in spam.words(HTML_PROSE[2])}
-    assert spam.listed_share(spam.words("<a " + "=" * 50_000 + "<a" + " " * 50_000 + "<br" * 20_000)) >= 0
-
-
-def test_pages_of_markup(spark, sf_dir):
-    base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(HTML_SPAM)] + [(2 * 10**6 + i, t) for i, t in enumerate(HTML_PROSE)], "doc_id long, text string")
-    got = [r.doc_id for r in spam.spam_pages(base.unionByName(extra)).collect()]
-    assert {g for g in got if g >= 10**6} == {10**6 + i for i in range(len(HTML_SPAM))}
-    assert {f for r in spam._read(iter([extra.toPandas()])) for fs in r.forms for f in fs}.isdisjoint({"href", "br", "li", "div", "class"})
+    assert share("<a " + "=" * 50_000 + "<a" + " " * 50_000 + "<br" * 20_000, weights) >= 0
 
 
-def test_pages(spark, sf_dir):
-    base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    extra = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(SPAM)] + [(2 * 10**6 + i, t) for i, t in enumerate(PROSE)] + [(None, SPAM[0])], "doc_id long, text string")
-    every = base.unionByName(extra).withColumns({"language": F.lit(1), "row": F.lit(2), "share": F.lit("x")})
-    got = [r.doc_id for r in spam.spam_pages(every).collect()]
-    assert {g for g in got if g >= 10**6} == {10**6 + i for i in range(len(SPAM))} and len(got) == len(set(got))
-    figures = {r.doc_id: r.share for r in spam.page_figures(base).collect()}
-    assert {g for g in got if g < 10**6} == {k for k, v in figures.items() if v > 0.5}
+#: Plain prose in languages of which the corpus has no page.
+FOREIGN = [
+    "Вчера вечером мы долго обсуждали новый отчёт, но никто так и не понял, почему рынок вдруг остановился. Утром я снова проверил таблицы и нашёл две ошибки, о которых раньше никто не говорил. Если всё будет спокойно, мы закончим работу до пятницы и отправим письмо в банк.",
+    "Ieri sera abbiamo parlato a lungo del nuovo rapporto, ma nessuno ha capito perché il mercato si fosse fermato all'improvviso. Stamattina ho controllato di nuovo le tabelle e ho trovato due errori di cui prima non aveva parlato nessuno. Se tutto resta tranquillo, finiremo il lavoro entro venerdì.",
+    "Wczoraj wieczorem długo rozmawialiśmy o nowym raporcie, ale nikt nie zrozumiał, dlaczego rynek nagle się zatrzymał. Rano jeszcze raz sprawdziłem tabele i znalazłem dwa błędy, o których wcześniej nikt nie mówił. Jeśli wszystko będzie spokojne, skończymy pracę przed piątkiem i wyślemy list do banku.",
+]
 
 
-def test_copies_of_a_list(spark, sf_dir):
+def found(docs):
+    got = [r.doc_id for r in spam.spam_pages(docs).select("doc_id").collect()]
+    assert len(got) == len(set(got))
+    return set(got)
+
+
+def extra(spark, *groups):
+    return spark.createDataFrame([(10**6 * (k + 1) + i, t, None) for k, g in enumerate(groups) for i, t in enumerate(g)] + [(None, SPAM[0], None)], "doc_id long, text string, lang string")
+
+
+def test_pages(spark, corpus):
+    """Lists are found; prose, also of languages without pages, and what the corpus had are not moved."""
+    alone = found(corpus)
+    every = corpus.unionByName(extra(spark, SPAM + HTML_SPAM, PROSE + HTML_PROSE, FOREIGN)).withColumns({"language": F.lit(1), "same": F.lit(2), "share": F.lit("x"), "label": F.lit("y")})
+    got = found(every)
+    assert {g for g in got if g >= 10**6} == {10**6 + i for i in range(len(SPAM + HTML_SPAM))}
+    assert {g for g in got if g < 10**6} == alone and 300 < len(alone) < 600
+
+
+def test_repeated_words_of_no_known_language(spark, corpus):
+    text = "купить монеты быстро " * 30
+    assert found(corpus.unionByName(spark.createDataFrame([(10**6, text, "ru")], "doc_id long, text string, lang string"))) - found(corpus) == {10**6}
+
+
+def test_figures_by_plain_python(corpus):
+    """Languages, curves, divergences and distances of the corpus, by counting and sorting."""
+    rows = {}
+    for r in corpus.collect():
+        if r.text is not None and r.text.strip() not in spam.GONE:
+            label = (r.lang or "").strip().lower()
+            t = rows.setdefault(r.text, [[], None])
+            t[0].append(r.doc_id)
+            if label not in ("", "und"):
+                t[1] = min(t[1] or label, label)
+    words = {r.text: r.f for r in corpus.filter("text is not null").select("text", spam._forms(F.col("text")).alias("f")).distinct().collect()}
+    pages = {t: (ids, label, Counter(words[t])) for t, (ids, label) in rows.items() if words[t]}
+    labels = {k for k, n in Counter(label for _, label, _ in pages.values()).items() if k and n >= spam.ENOUGH}
+    seen = {k: Counter(w for _, label, c in pages.values() if label == k for w in c) for k in labels}
+    count = {k: sum(label == k for _, label, _ in pages.values()) for k in labels}
+    assert len(labels) == 4 and max(map(len, seen.values())) < spam.COMMON
+    plain = []
+    for t, (ids, label, c) in pages.items():
+        score = {k: sum(n * np.log(seen[k][w] / seen[k].total() / spam.UNSEEN) for w, n in c.items() if w not in (spam.LINK, spam.TAG) and w in seen[k]) + np.log(count[k]) + spam.LABEL * (label == k) for k in labels}
+        k = max(labels, key=lambda x: (score[x], x))
+        n = c.total()
+        divergence = sum(m / n * np.log(m / n * seen[k].total() / max(seen[k][w], 1)) for w, m in c.items())
+        y = np.log(sorted(c.values(), reverse=True))
+        x = np.log(np.arange(1, len(y) + 1))
+        slope = np.polyfit(x, y, 1)[0] if len(y) > 1 else 0.0
+        residual = np.sqrt(np.mean((y - y.mean() - slope * (x - x.mean())) ** 2))
+        plain += [(i, k, int(2 * np.log2(len(t))), slope, residual, divergence) for i in ids]
+    got = {r.doc_id: r for r in spam.page_figures(corpus).collect()}
+    assert set(got) == {p[0] for p in plain}
+    for i, k, _, *figures in plain:
+        assert got[i].language == k and [got[i][c] for c in spam.NAMES] == pytest.approx(figures, abs=1e-9), i
+    once = {min(ids) for ids, _, _ in pages.values()}
+    groups = defaultdict(list)
+    for p in plain:
+        if p[0] in once:
+            groups[p[1], p[2]].append(p)
+    for i, k, length, *figures in plain:
+        group = groups[k, length]
+        if len(group) >= spam.ENOUGH:
+            for c, v, j in zip(spam.NAMES, figures, (3, 4, 5)):
+                low, mid, high = (sorted(p[j] for p in group)[int(np.ceil(q * len(group))) - 1] for q in (0.25, 0.5, 0.75))
+                assert got[i][f"away_{c}"] == pytest.approx((v - mid) / max((high - low) / 2 * 1.4826, 0.01), abs=1e-6)
+
+
+def test_copies_of_a_list(spark, corpus):
     """A short tag list in half as many copies as there are other pages is found, and moves no figure of theirs."""
-    base = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    n = base.count()
+    n = corpus.count()
     lists = ["#vip #airdrop #presale #token #mining #bonus #casino #jackpot", "airdrop presale token mining bonus casino jackpot lottery voucher", "vip group token presale signals miner wallet payout lottery cash bonus swap"]
+    copies = lambda text: spark.range(10**6, 10**6 + n // 2).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"), F.lit("en").alias("lang"))
     for text in lists:
-        more = spark.range(10**6, 10**6 + n // 2).select(F.col("id").alias("doc_id"), F.lit(text).alias("text"))
-        got = {r.doc_id for r in spam.spam_pages(base.unionByName(more)).select("doc_id").collect()}
-        assert got >= set(range(10**6, 10**6 + n // 2)), text
-    prose = spark.range(10**6, 10**6 + n // 2).select(F.col("id").alias("doc_id"), F.lit(SENTENCE * 2).alias("text"))
-    one = {r.doc_id: r.divergence for r in spam.page_figures(base.unionByName(prose.limit(1))).collect()}
-    many = {r.doc_id: r.divergence for r in spam.page_figures(base.unionByName(prose)).collect()}
-    assert all(many[k] == pytest.approx(v) for k, v in one.items())
+        assert found(corpus.unionByName(copies(text))) >= set(range(10**6, 10**6 + n // 2)), text
+    prose = copies(SENTENCE * 2)
+    one, many = ({r.doc_id: r for r in spam.page_figures(corpus.unionByName(x)).collect()} for x in (prose.limit(1), prose))
+    assert all(many[k].away_divergence == pytest.approx(r.away_divergence) and many[k].divergence == pytest.approx(r.divergence) for k, r in one.items())
 
 
 def test_rank_fit(spark):
-    """The windows' fit is numpy's."""
+    """The windows' fit is numpy's, whatever the order of the words; without labels all pages are one language."""
     text = " ".join(w for n, w in enumerate("the of and to in is was".split(), 1) for _ in range(40 // n))
-    r = spam.page_figures(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    r = spam.page_figures(spark.createDataFrame([(1, text), (2, " ".join(reversed(text.split()))), (2, text)], "doc_id long, text string")).collect()
     x, y = np.log(np.arange(1, 8)), np.log([40 // n for n in range(1, 8)])
     slope, cut = np.polyfit(x, y, 1)
-    assert r.slope == pytest.approx(slope) and r.residual == pytest.approx(np.sqrt(((y - slope * x - cut) ** 2).mean()))
+    assert sorted(a.doc_id for a in r) == [1, 2, 2]
+    for a in r:
+        assert a.language == "" and a.slope == pytest.approx(slope) and a.residual == pytest.approx(np.sqrt(((y - slope * x - cut) ** 2).mean()))
+
+
+def test_commonest_words_and_the_rest(spark, monkeypatch):
+    """Words beyond the commonest share evenly what they have together."""
+    monkeypatch.setattr(spam, "COMMON", 2)
+    d = spark.createDataFrame([(1, "a b c"), (2, "a b d"), (3, "a")], "doc_id long, text string")
+    got = {r.form: (r.q, r.other) for r in spam.language_words(spam.rank_fits(d)).collect()}
+    assert got == {"a": (3 / 7, 1 / 7), "b": (2 / 7, 1 / 7)}
 
 
 def test_pages_empty(spark):
-    assert spam.spam_pages(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    none = "doc_id long, text string, lang string"
+    assert spam.spam_pages(spark.createDataFrame([], none)).count() == 0
+    assert spam.spam_pages(spark.createDataFrame([(1, None, None), (2, "", "en"), (3, "[removed]", "en"), (4, "...", None), (None, "a b", "en")], none)).count() == 0

@@ -1,35 +1,28 @@
 """Pages made of keywords, link lists or tag lists instead of sentences.
 
 Rank-frequency curves: each page's word counts are ranked in a SQL window and log count is fitted on log rank. Prose of one language and
-length has much the same slope, residual and divergence from that language's common words, whatever its subject; pages of strung-together keywords
-don't. Each figure is set against the median of the pages of the same language and a comparable length, in units of their usual distance from it,
-and the pages that stand out in any of them go on. The exact check follows on the whole text of those: the share of it that has no sentence
-around it, which must be more than half.
+length has much the same slope, residual and divergence from that language's words, whatever its subject; pages of strung-together keywords
+don't. Languages and their words come from the corpus, no list of words is given. Each figure is set against the median of all pages of the same
+language and a comparable length, in units of their usual distance from it; a page that is extreme in one of them stands out.
+
+Pages that are partly prose are judged by the same divergence at the scale of a few words: what the pages that stand out widely use more than
+those that don't, word by word (`word_weights`), says for each stretch of a page whether it diverges from prose. More than half of a page's text must.
+So the curves decide twice: which pages are looked at, and what their words are measured by.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+from tidelattice.session import cut, lookup, spread, stored
 
-from tidelattice.session import cut, lookup, spread
-
-#: Words that hold sentences together and hardly occur in keywords, by language.
-FUNCTION_WORDS = {
-    "en": "a about after all although an and any are around as at away be because been before below between both but by can could did do does down during each every everyone for from had has have he her his how i if in into is it its just kept least me more most my near needs never nobody not of off on one or other our out over she should since so some someone still than that the their them then there these they this those through to under until up us was we were what when where whereas whether which while who whoever why will with without would you your",
-    "de": "aber als am an auch auf aus bei beim bis da damit danach das dass dem den denn der des die doch ein eine einem einen einer eines es für hat haben hatte ich ihr im in ins ist jede jeder jedes jemand kein keine man mein meine mit nach nicht nie niemand noch ob oder ohne schon sehr sich sie sind um und uns unter unser unsere vom von vor war waren warum was wegen wenn wer werden wie wieder wir wird wo zu zum zur über",
-    "es": "a al alguien además antes así aunque cada como con cuando del desde donde durante e el ella en entre era es esta este esto fue ha hasta hay la las le lo los me mi mientras más muy nada ni nos nuestra nuestro o otra otro para pero por porque que quien se según si sin sobre son su también tras un una y ya yo él",
-    "fr": "ainsi alors après au aucun aussi autre aux avant avec ce cela ces cette chez comme dans depuis des donc du elle en encore est et eu il ils je la le les leur lui mais mes mon même n ne nos notre nous on ou où par pas pendant plus pour qu que quelqu quelque qui s sa sans se ses si son sont sous sur tandis un une vers y à été",
-}
-_WORDS = {k: frozenset(v.split()) for k, v in FUNCTION_WORDS.items()}
-_ANY = frozenset().union(*_WORDS.values())
 #: Letters that are written with another sign to hide a word.
 DISGUISES = {"@": "a", "0": "o", "3": "e", "1": "i", "!": "i", "5": "s", "+": "t", "7": "t", "$": "s", "4": "a"}
 _DISGUISE = str.maketrans(DISGUISES)
@@ -43,27 +36,40 @@ TAGS = BREAKS + " a abbr area b base big body button cite code del em embed font
 _MARK = re.compile(r"</?(?:%s)(?:\s+[\w:\-]+\s*=[^<>]*|\s*/?)>" % "|".join(TAGS.split()), re.I)
 _ADDRESS = re.compile(r"""[\s"'](?:href|src)\s*=\s*["']?([^\s"'>]+)""", re.I)
 _BREAK = re.compile(r"</?(?:%s)\b" % "|".join(BREAKS.split()), re.I)
-_HIDDEN = re.compile("[​-‏⁠﻿­]")
-_TOKEN = re.compile(r"(?i:(?P<mark>" + _MARK.pattern + r"))|(?P<link>(?:https?|hxxps?)://\S+|\b(?:h\s?t\s?t\s?p\s?s?\s?:\s?/\s?/\s?)\S+|\b\w[\w\-]{0,62}(?:\.[\w\-]{1,63}){0,6}\.[a-z]{2,24}/\S*|\b\w[\w\-]{0,62}\.(?:com|org|net|io|info|biz|co|test|example|invalid)\b)|(?P<tag>[#$][^\W\d]\w*)|(?P<number>[+\-−]?\d[\d.,:]*%?(?!\w))|(?P<word>[^\W_][\w@!+$'’]*)", re.U)
-_FORM = re.compile(r"(?:https?|hxxps?)://\S+|[^\W\d_]+(?:['’][^\W\d_]+)*|[\w-]+\.[a-z]{2,}\S*")
+#: Signs without width that hide a word.
+HIDDEN = (0x200B, 0x200C, 0x200D, 0x200E, 0x200F, 0x2060, 0xFEFF, 0xAD)
+_HIDDEN = re.compile("[" + "".join(map(chr, HIDDEN)) + "]")
+#: Endings by which a name without a path is an address.
+ENDINGS = "com org net io info biz co test example invalid"
+_TOKEN = re.compile(r"(?i:(?P<mark>" + _MARK.pattern + r"))|(?P<link>(?:https?|hxxps?)://\S+|\b(?:h\s?t\s?t\s?p\s?s?\s?:\s?/\s?/\s?)\S+|\b\w[\w\-]{0,62}(?:\.[\w\-]{1,63}){0,6}\.[a-z]{2,24}/\S*|\b\w[\w\-]{0,62}\.(?:" + "|".join(ENDINGS.split()) + r")\b)|(?P<tag>[#$][^\W\d]\w*)|(?P<number>[+\-−]?\d[\d.,:]*%?(?!\w))|(?P<word>[^\W_][\w@!+$'’]*)", re.U)
 _STOP = re.compile(r"[\"'’”»)\]]*[.!?…][\"'’”»)\]]*\s")
-_CODE = re.compile(r"^(?:\s{4,}|```|>>>|\$ |#!|//)|[{};]\s*$|\w\s*=\s*\w+[\[(.]|^\s*(?:def|class|import|from|return|for|if|while|select|insert|curl|pip)\b.*[(:;=]|\w\(.*\)\s*$|=>|==", re.I)
+_CODE = re.compile(r"^(?:\s{4,}|```|>>>|\$ |#!|//)|[{};]\s*$|\w\s*=\s*\w+[\[(.]|^\s*(?:def|class|import|from|return|for|if|while|select|insert|curl|pip)\b.*[(:;=]|=>|==", re.I)
+_CALL = re.compile(r"\w\(")
 
-#: Words on either side that decide whether there is a sentence around a word, and the share of function words among them from which there is one.
-SPAN, HELD = 7, 0.06
+#: Words on either side that belong to a stretch.
+SPAN = 7
 #: One word so many times in a row within a line, from four on, is a cry rather than a keyword list.
 CRY = 16
-#: Share of a text in function words from which its sentences must be more than half of it: with less than half in sentences, half of what these say would have to be
-#: function words, against a third in prose of any length. Below it the share is measured.
-SPARSE = 0.25
-#: Words of a text below which it is too short to be a list.
-SHORT = 3
-#: Distance from comparable prose, in usual distances, from which a page is looked at.
-APART = 1.5
-#: Share of words without a sentence around them up to which a page is prose, and pages of prose that make a median.
-PROSE, ENOUGH = 0.2, 20
-#: Words of a language that are told apart in the divergence; each other word has the fixed share 1 / (COMMON * 64), whatever their real one.
+#: Usual distances from comparable pages from which a page stands out, and from which its divergence leaves no doubt that most of it is no prose.
+APART, SURE = 4.0, 6.0
+#: Pages that make a median, and pages of a label that make a language.
+ENOUGH = 20
+#: Most labels that make a language: the commonest. Pages under others are compared with the language that is likeliest for their words.
+LANGUAGES = 100
+#: Words of a language that are told apart; the others share what they have together evenly.
 COMMON = 4096
+#: Share of a word that a language doesn't have, when the language of a page is chosen; and what the page's own label weighs there.
+UNSEEN, LABEL = 1.0 / (COMMON * 64), 3.0
+#: Words that the average of all languages weighs in a word's rates, and most that one word weighs.
+PRIOR, MOST = 2.0, 4.0
+#: How often pages that stand out by their subject only are left out of what listed words are.
+ROUNDS = 2
+#: Average weight below which a stretch is none of prose, and what a word that comes again nearby weighs besides its own.
+LISTED, REPEAT = -0.5, -1.0
+#: A label that names no language.
+UNKNOWN = "und"
+#: What all links and all tags count as.
+LINK, TAG = "<link>", "<tag>"
 
 
 def words(text: str) -> list[tuple[str, str, int, int]]:
@@ -76,7 +82,8 @@ def words(text: str) -> list[tuple[str, str, int, int]]:
     text = _MARK.sub(lambda m: " ".join(m.group().split()), _HIDDEN.sub("", text))
     for line in text.splitlines():
         bare = _MARK.sub(" ", line)
-        code = len(line) < 1000 and bool(_CODE.search(line if bare == line else bare.strip())) and "://" not in line
+        plain = line if bare == line else bare.strip()
+        code = "://" not in line and bool(_CODE.search(plain) or plain.rstrip().endswith(")") and _CALL.search(plain))
         found = list(_TOKEN.finditer(line))
         begin = len(out)
         for i, m in enumerate(found):
@@ -106,109 +113,225 @@ def words(text: str) -> list[tuple[str, str, int, int]]:
     return out
 
 
-def listed_share(pieces: list[tuple[str, str, int, int]]) -> float:
-    """Share of a text's size in words, tags and links that have no sentence around them. Figures, code and cries are text, but none of these.
+def listed_share(pieces: list[tuple[str, str, int, int]], *weights: dict[str, float]) -> float:
+    """Share of a text's size in words, tags and links whose stretch diverges from prose. Figures, code and cries are text, but none of these.
 
-    Around a piece are up to SPAN pieces on either side within its sentence or line. A number goes with what is around it, except in sentences or lines
-    of which numbers make half: those are figures.
+    A stretch are up to SPAN pieces on either side within the sentence or line; it is of prose if it is so by any of `weights`. Words that come again within two spans weigh less. A number goes with what
+    is around it, except in sentences or lines of which numbers make half: those are figures.
     """
     p = pieces
     if not p:
         return 0.0
+    n = len(p)
     kind = np.array([x[0] for x in p])
     size = np.array([x[2] for x in p], float)
     sentence = np.array([x[3] for x in p])
-    held = np.array([k == "word" and (f in _ANY or ("'" in f or "’" in f) and re.split("['’]", f)[0] in _ANY) or k == "code" for k, f, _, _ in p])
-    cry = np.zeros(len(p), bool)
+    form = [LINK if k == "link" else TAG if k == "tag" else f for k, f, _, _ in p]
+    word = np.isin(kind, ["word", "link", "tag"])
+    again = np.zeros(n, bool)
+    last_at: dict[str, int] = {}
+    for i, f in enumerate(form):
+        j = last_at.get(f)
+        if j is not None and i - j <= 2 * SPAN:
+            again[i] = again[j] = True
+        last_at[f] = i
+    cry = np.zeros(n, bool)
     i = 0
-    while i < len(p):
+    while i < n:
         j = i
-        while j < len(p) and p[j][:2] == p[i][:2] and p[j][3] == p[i][3]:
+        while j < n and p[j][:2] == p[i][:2] and p[j][3] == p[i][3]:
             j += 1
         cry[i:j] = p[i][0] == "word" and 4 <= j - i <= CRY
         i = j
     first, last = np.searchsorted(sentence, sentence), np.searchsorted(sentence, sentence, side="right")
-    at = np.arange(len(p))
+    at = np.arange(n)
     a, b = np.maximum(at - SPAN, first), np.minimum(at + SPAN + 1, last)
     sums = lambda x: np.concatenate([[0.0], np.cumsum(x)])
-    c, n = sums(held), sums(kind != "number")
-    figures = (last - first) <= 2 * (sums(kind == "number")[last] - sums(kind == "number")[first])
-    listed = (c[b] - c[a] < HELD * (n[b] - n[a])) & (kind != "code") & ~cry & ~figures
+    count, numbers = sums(word), sums(kind == "number")
+    figures = (last - first) <= 2 * (numbers[last] - numbers[first])
+    prose = np.zeros(n, bool)
+    for w in weights:
+        each = np.array([w.get(f, w.get(re.split("['’]", f)[0], 0.0)) for f in form])
+        s = sums(np.where(word, each + np.where(again, REPEAT, 0.0), np.where(kind == "code", MOST, 0.0)))
+        prose |= s[b] - s[a] >= LISTED * (count[b] - count[a])
+    listed = ~prose & (kind != "code") & ~cry & ~figures
     return float(size[listed].sum() / size.sum())
 
 
-def language(counts: Counter) -> str:
-    """The language whose function words a text has most of; English where it has none."""
-    return max(_WORDS, key=lambda k: (sum(counts[w] for w in _WORDS[k]), k == "en"))
+def _forms(text: Column) -> Column:
+    """The words of a text in the JVM: lower case, what hides them taken out, every link and every tag as one form."""
+    t = F.lower(F.translate(text, "".join(map(chr, HIDDEN)), ""))
+    inside = r"\s[^<>]*\b(?:href|src)\s*=[^<>]*>"
+    names = "|".join(TAGS.split())
+    plain = F.regexp_replace(F.regexp_replace(t, f"<(?:{names}){inside}", " http://- "), rf"</?(?:{names})(?:\s+[\w:\-]+\s*=[^<>]*|\s*/?)>", " ")
+    word = rf"(?:https?|hxxps?)://\S+|[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)*\.(?:[a-z]{{2,24}}/\S*|(?:{'|'.join(ENDINGS.split())})\b)|[#$][\p{{L}}_][\p{{L}}\p{{N}}_]*|\p{{L}}[\p{{L}}\p{{M}}]*(?:['’][\p{{L}}\p{{M}}]+)*"
+    found = F.regexp_extract_all(F.when(F.contains(t, F.lit("<")), plain).otherwise(t), F.lit(word), F.lit(0))
+    return F.transform(found, lambda w: F.when(F.contains(w, F.lit("://")) | F.contains(w, F.lit(".")), LINK).when(w.rlike("^[#$]"), TAG).otherwise(w))
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        rows = []
-        for doc_id, text in zip(b["doc_id"], b["text"]):
-            if text is None or text.strip() in GONE:
-                continue
-            plain = _MARK.sub(lambda m: " http://- " if _ADDRESS.search(m.group()) else " ", _HIDDEN.sub("", text).lower())
-            forms = [f if "://" not in f else "<link>" for f in _FORM.findall(plain)]
-            if len(forms) < SHORT:
-                continue
-            c = Counter(forms)
-            held = sum((len(f) + 1) * n for f, n in c.items() if f in _ANY) / len(text)
-            share = listed_share(words(text)) if held < SPARSE else 0.0
-            same = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=16).hexdigest()
-            rows.append((doc_id, same, language(c), len(forms), share, list(c), list(c.values())))
-        yield pd.DataFrame(rows, columns=["doc_id", "same", "language", "size", "share", "forms", "counts"])
+def _pages(docs: DataFrame) -> DataFrame:
+    """doc_id, text, same (what equal texts share) and label of the rows that have a text."""
+    label = F.lower(F.trim("lang")) if "lang" in docs.columns else F.lit(None).cast("string")
+    label = F.when((label != UNKNOWN) & (label != ""), label)
+    rows = docs.select("doc_id", "text", label.alias("label")).filter("doc_id is not null and text is not null").filter(~F.trim("text").isin(*GONE))
+    return rows.withColumn("same", F.unhex(F.md5("text")))
 
 
-def page_figures(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, language, size, share, slope, residual, divergence) of each page with at least SHORT words: the share without sentences (0 where function words rule more than half out), the fit of log count on log rank and the divergence from the common words of its language."""
-    pages = spread(docs.select("doc_id", "text").filter("doc_id is not null")).mapInPandas(_read, "doc_id long, same string, language string, size int, share double, forms array<string>, counts array<int>")
-    pages = cut(pages.withColumn("row", F.monotonically_increasing_id()))
-    each = pages.select("row", "language", "size", F.explode(F.arrays_zip("forms", "counts")).alias("x")).select("row", "language", "size", F.col("x.forms").alias("form"), F.col("x.counts").alias("n"))
-    # how common a word is in a language counts pages of prose, each text once, not uses: neither pages of keywords nor copies weigh
-    prose = pages.filter(F.col("share") <= PROSE)
-    copies = prose.select("row", F.min("row").over(Window.partitionBy("same")).alias("first")).filter("row > first").select("row")
-    common = prose.join(lookup(cut(copies)), "row", "left_anti").select("language", F.explode("forms").alias("form")).groupBy("language", "form").agg(F.count("*").alias("pages"))
-    common = common.withColumn("nth", F.row_number().over(Window.partitionBy("language").orderBy(F.desc("pages"), "form"))).filter(F.col("nth") <= COMMON)
-    common = cut(common.withColumn("q", F.col("pages") / F.sum("pages").over(Window.partitionBy("language"))).select("language", "form", "q"))
-    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(F.desc("n"), "form")))
-    ranked = ranked.join(lookup(common, COMMON * (len(_WORDS) + 1)), ["language", "form"], "left")
-    x, y, p = F.ln("rank"), F.ln("n"), F.col("n") / F.col("size")
-    least = F.lit(1.0 / (COMMON * 64))
-    fit = ranked.groupBy("row").agg(F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.count("*").alias("k"), F.sum(p * F.ln(p / F.coalesce(F.col("q"), least))).alias("divergence"))
-    fit = fit.select("row", F.coalesce("slope", F.lit(0.0)).alias("slope"), F.sqrt(F.greatest(F.col("syy") - F.coalesce("slope", F.lit(0.0)) ** 2 * F.col("sxx"), F.lit(0.0)) / F.col("k")).alias("residual"), "divergence")
-    return pages.drop("same", "forms", "counts").join(fit, "row")
-
-
-def apart(figures: DataFrame) -> DataFrame:
-    """`figures` with away_<figure>: the distance from the median of prose of the same language and a comparable length (a factor of two), in usual distances.
-
-    Prose are the pages with sentences around most of their words. Where a language has fewer than ENOUGH pages of a length, prose of that length in all
-    languages stands in, then all prose.
+def rank_fits(docs: DataFrame) -> DataFrame:
+    """One row for each different text: same, label, chars, size (words), slope, residual and entropy of its rank-frequency curve, and words (form, n).
+
+    A text is counted once however many rows have it, so copies weigh nothing, and one task never holds more than one copy of a text that it didn't read.
+    Everything but the exchange of the texts happens in place: words, ranks and fits of a text need no further one.
+    """
+    texts = spread(_pages(docs)).groupBy("same").agg(F.first("text").alias("text"), F.min("label").alias("label"))
+    cut_up = texts.select("same", "label", F.length("text").alias("chars"), _forms(F.col("text")).alias("forms"))
+    # an outer one gets no filter on the size of the words pushed below it, which would cut every text up twice
+    forms = cut_up.select("same", "label", "chars", F.explode_outer("forms").alias("form")).filter("form is not null")
+    counts = forms.groupBy("same", "label", "chars", "form").agg(F.count("*").alias("n"))
+    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("n"))))  # equal counts: their order doesn't change the fit
+    x, y = F.ln("rank"), F.ln("n")
+    fit = ranked.groupBy("same", "label", "chars").agg(F.sum("n").alias("size"), F.count("*").alias("k"), F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.sum(F.col("n") * F.ln("n")).alias("n_ln_n"), F.collect_list(F.struct("form", F.col("n").cast("int").alias("n"))).alias("words"))
+    slope = F.coalesce("slope", F.lit(0.0))
+    residual = F.sqrt(F.greatest(F.col("syy") - slope**2 * F.col("sxx"), F.lit(0.0)) / F.col("k"))
+    return fit.select("same", "label", "chars", "size", slope.alias("slope"), residual.alias("residual"), (F.col("n_ln_n") / F.col("size") - F.ln("size")).alias("entropy"), "words")
+
+
+def language_words(fits: DataFrame) -> DataFrame:
+    """(language, form, q, pages, other): the share q of the COMMON commonest words of each language among all words of its pages, each page counting a word once; how
+    many pages it has; and the share of a word outside them, which is what these have together, evenly.
+
+    A language is a label with ENOUGH pages; where there is none, all pages are one language.
+    """
+    labels = cut(fits.filter("label is not null").groupBy("label").agg(F.count("*").alias("pages")).filter(F.col("pages") >= ENOUGH).orderBy(F.desc("pages"), "label").limit(LANGUAGES))
+    if labels.isEmpty():
+        labels = cut(fits.agg(F.count("*").alias("pages")).select(F.lit("").alias("label"), "pages"))
+        fits = fits.withColumn("label", F.lit(""))
+    words = fits.join(F.broadcast(labels), "label").select(F.col("label").alias("language"), "pages", F.explode("words.form").alias("form"))
+    seen = cut(words.groupBy("language", "form").agg(F.count("*").alias("n"), F.first("pages").alias("pages")))
+    # the commonest words of each of 64 parts of a language first, so no task ranks all its words
+    part = seen.withColumn("part", F.pmod(F.xxhash64("form"), F.lit(64)))
+    order = [F.desc("n"), "form"]
+    for by in (("language", "part"), ("language",)):
+        part = part.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("nth") <= COMMON)
+    total = seen.groupBy("language").agg(F.sum("n").alias("all_n"), F.count("*").alias("all_k"))
+    top = cut(part.select("language", "form", "n", "pages"))
+    within = top.groupBy("language").agg(F.sum("n").alias("top_n"), F.count("*").alias("top_k")).join(total, "language")
+    other = F.when(F.col("all_k") > F.col("top_k"), (F.col("all_n") - F.col("top_n")) / (F.col("all_k") - F.col("top_k"))).otherwise(1.0) / F.col("all_n")
+    return cut(top.join(F.broadcast(within), "language").select("language", "form", (F.col("n") / F.col("all_n")).alias("q"), "pages", other.alias("other")))
+
+
+def figures(fits: DataFrame, model: DataFrame) -> DataFrame:
+    """(same, language, chars, size, slope, residual, divergence): the language whose words make a page likeliest, and the divergence from them. A page without a word of any language is set against the largest."""
+    by_form = model.groupBy("form").agg(F.collect_list(F.struct("language", (F.ln("q") - F.lit(float(np.log(UNSEEN)))).alias("gain"), (F.ln("q") - F.ln("other")).alias("own"))).alias("in"))
+    words = fits.select("same", F.explode("words").alias("w")).select("same", F.col("w.form").alias("form"), F.col("w.n").alias("n"))
+    hits = words.join(lookup(by_form, COMMON * LANGUAGES), "form").select("same", "n", F.when(F.col("form").isin(LINK, TAG), 0).otherwise(F.col("n")).alias("m"), F.explode("in").alias("l"))
+    each = hits.groupBy("same", F.col("l.language").alias("language")).agg(F.sum(F.col("m") * F.col("l.gain")).alias("gain"), F.sum(F.col("n") * F.col("l.own")).alias("own"))
+    languages = cut(model.groupBy("language").agg(F.first("pages").alias("pages"), F.first("other").alias("other")))
+    largest = languages.orderBy(F.desc("pages"), "language").first()
+    each = each.join(F.broadcast(languages), "language")
+    found = each.groupBy("same").agg(F.collect_list(F.struct(F.col("gain") + F.ln("pages"), "language", "own", "other")).alias("of"))
+    page = fits.select("same", "label", "chars", "size", "slope", "residual", "entropy").join(found, "same", "left")
+    scored = F.transform("of", lambda x: F.struct((x["col1"] + F.when(x["language"] == F.col("label"), LABEL).otherwise(0.0)).alias("score"), x["language"].alias("language"), x["own"].alias("own"), x["other"].alias("other")))
+    page = page.withColumn("best", F.array_max(scored))
+    other, name = (largest["other"], largest["language"]) if largest else (1.0, "")
+    divergence = F.col("entropy") - F.ln(F.coalesce("best.other", F.lit(other))) - F.coalesce(F.col("best.own") / F.col("size"), F.lit(0.0))
+    return page.select("same", F.coalesce("best.language", F.lit(name)).alias("language"), "chars", "size", "slope", "residual", divergence.alias("divergence"))
+
+
+NAMES = ["slope", "residual", "divergence"]
+
+
+def apart(f: DataFrame) -> DataFrame:
+    """`f` with away_<figure>: the distance from the median of the pages of the same language and a comparable length, in usual distances.
+
+    Lengths are comparable within half an octave of characters. Where fewer than ENOUGH pages of the language are, those of all languages stand in, then those of two octaves.
     """
-    f = figures.withColumn("length", F.floor(F.log2(F.col("size"))).cast("int"))
-    names = ["slope", "residual", "divergence"]
-    prose = f.filter(F.col("share") <= PROSE)
-    quartiles = [F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(c) for c in names]
-    for k, group in enumerate((["language", "length"], ["length"])):
-        mid = prose.groupBy(*group).agg(*quartiles, F.count("*").alias(f"n{k}")).withColumnsRenamed({c: f"q{k}_{c}" for c in names})
-        f = f.join(lookup(mid), group, "left")
-    whole = prose.agg(*quartiles).first()  # three numbers a figure
+    f = f.withColumn("length", F.floor(2 * F.log2("chars")).cast("int")).withColumn("octaves", F.floor(F.col("length") / 4).cast("int"))
+    quartiles = [F.percentile_approx(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10_000).alias(c) for c in NAMES]
+    groups = (["language", "length"], ["length"], ["language", "octaves"], ["octaves"])
+    rows = f
+    for k, group in enumerate(groups):
+        mid = rows.groupBy(*group).agg(*quartiles, F.count("*").alias(f"n{k}")).withColumnsRenamed({c: f"q{k}_{c}" for c in NAMES})
+        f = f.join(lookup(cut(mid)), group, "left")
     out = []
-    for c in names:
-        last = F.array(*[F.lit(float(x)) for x in whole[c] or (0.0, 0.0, 0.0)])
-        q = F.coalesce(*[F.when(F.col(f"n{k}") >= ENOUGH, F.col(f"q{k}_{c}")) for k in range(2)], last)
+    for c in NAMES:
+        q = F.coalesce(*[F.when(F.col(f"n{k}") >= ENOUGH, F.col(f"q{k}_{c}")) for k in range(len(groups))], F.col(f"q{len(groups) - 1}_{c}"))
         # half the middle half's width is the usual distance; a hundredth keeps it above zero
         out.append(((F.col(c) - F.get(q, F.lit(1))) / F.greatest((F.get(q, F.lit(2)) - F.get(q, F.lit(0))) / 2 * 1.4826, F.lit(0.01))).alias(f"away_{c}"))
-    return f.select(*figures.columns, *out)
+    return f.select(*rows.drop("length", "octaves").columns, *out)
+
+
+def stands_out() -> Column:
+    return (F.abs("away_slope") >= APART) | (F.abs("away_residual") >= APART) | (F.col("away_divergence") >= APART)
+
+
+def word_weights(fits: DataFrame, far: DataFrame, model: DataFrame) -> DataFrame:
+    """(language, form, weight): logarithm of how much commoner a word is on pages that don't stand out than on those that widely do, in a language and, under the language null, in all.
+
+    Prose on a subject of its own stands out widely too, but its words are those of prose: ROUNDS times the pages that the weights take for prose are left out, and the rest is weighed anew.
+    """
+    sure = far.filter(F.col("away_divergence") >= SURE).select("same", "language", F.lit(True).alias("listed"))
+    prose = far.filter(~stands_out()).select("same", "language", F.lit(False).alias("listed"))
+    pages = sure.unionByName(prose)
+    words = fits.select("same", "size", F.explode("words").alias("w")).join(lookup(cut(pages)), "same").select("same", "language", "listed", F.col("w.form").alias("form"), (F.col("w.n") / F.col("size")).alias("share"))
+    keep = lookup(cut(model.select("form").distinct()), COMMON * LANGUAGES)
+    words = stored(words.join(keep, "form"), "words")
+
+    def rates(w: DataFrame, name: str) -> DataFrame:
+        return cut(w.groupBy("language", "form").agg(F.sum("share").alias(name)))
+
+    def weigh(listed: DataFrame, prose: DataFrame) -> DataFrame:
+        both = prose.join(listed, ["language", "form"], "full").fillna(0.0, ["list", "prose"])
+        everywhere = both.groupBy("form").agg(F.sum("list").alias("list"), F.sum("prose").alias("prose"))
+        both = cut(both.unionByName(everywhere.withColumn("language", F.lit(None).cast("string"))))
+        total = both.groupBy("language").agg(F.sum("list").alias("n_list"), F.sum("prose").alias("n_prose"))
+        n = F.first(F.when(F.col("language").isNull(), F.col("n_list") + F.col("n_prose")), ignorenulls=True).over(Window.partitionBy(F.lit(0)))  # a row a language
+        prior = both.filter("language is null").select("form", (F.col("list") + F.col("prose")).alias("m"))
+        joined = both.alias("a").join(F.broadcast(total.withColumn("n", n)).alias("t"), F.equal_null("a.language", "t.language")).join(lookup(prior, COMMON * LANGUAGES), "form")
+        rate = lambda c: (F.col(c) + PRIOR * F.col("m") / F.col("n")) / (F.col(f"n_{c}") + PRIOR)
+        return cut(joined.select("a.language", "form", F.greatest(F.least(F.ln(rate("prose") / rate("list")), F.lit(MOST)), F.lit(-MOST)).alias("weight")))
+
+    as_prose = rates(words.filter(~F.col("listed")), "prose")
+    listed = words.filter("listed")
+    for _ in range(ROUNDS):
+        weights = weigh(rates(listed, "list"), as_prose)
+        of_page = listed.join(lookup(weights.filter("language is not null"), COMMON * LANGUAGES), ["language", "form"]).groupBy("same").agg(F.sum(F.col("share") * F.col("weight")).alias("weight"))
+        listed = listed.join(lookup(cut(of_page.filter(F.col("weight") < 0).select("same"))), "same", "left_semi")
+    return weigh(rates(listed, "list"), as_prose)
 
 
 def spam_pages(docs: DataFrame) -> DataFrame:
     """(doc_id, share, language, slope, residual, divergence) of the pages more than half of whose text is keywords, links or tags instead of sentences.
 
-    docs: doc_id, text. Null, empty and removed texts, those of fewer than SHORT words and rows without doc_id are none. Rows that repeat a doc_id or a text are judged each
-    for itself. Ties in a page's ranks are ordered by the word. An empty table gives an empty result; further columns are ignored.
+    docs: doc_id, text and, if there is one, lang: a label of the language that may be null or wrong. Null, empty and removed texts and rows without doc_id are none. Rows that
+    repeat a doc_id or a text are judged alike and each returned. A page in a language of which the corpus has too few pages stands out, but its words weigh nothing, so only
+    what is repeated nearby, its links and its tags count as listed. An empty table gives an empty result; further columns are ignored.
     """
-    a = apart(cut(page_figures(docs)))
-    looked_at = a.filter((F.abs("away_slope") >= APART) | (F.abs("away_residual") >= APART) | (F.col("away_divergence") >= APART))
-    return looked_at.filter(F.col("share") > 0.5).select("doc_id", "share", "language", "slope", "residual", "divergence")
+    fits = stored(rank_fits(docs), "pages")
+    model = language_words(fits)
+    far = cut(apart(cut(figures(fits, model))))
+    weights: dict[str | None, dict[str, float]] = {}
+    for r in word_weights(fits, far, model).toLocalIterator():  # at most COMMON words a language, LANGUAGES of them
+        weights.setdefault(r.language, {})[r.form] = r.weight
+    known = docs.sparkSession.sparkContext.broadcast(weights)
+
+    def share(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        w = known.value
+        for text, language in parts:
+            done: dict[tuple[str, str], float] = {}  # copies of a text in a batch are read once
+            for pair in zip(text, language):
+                if pair not in done:
+                    done[pair] = listed_share(words(pair[0]), w.get(pair[1], {}), w.get(None, {}))
+            yield pd.Series([done[x] for x in zip(text, language)], dtype=float)
+
+    looked_at = far.filter(stands_out()).select("same", "language", "slope", "residual", "divergence")
+    rows = _pages(docs).select("doc_id", "text", "same").join(lookup(looked_at), "same")
+    judged = rows.withColumn("share", F.pandas_udf(share, DoubleType()).asNondeterministic()("text", "language"))
+    return judged.filter(F.col("share") > 0.5).select("doc_id", "share", "language", "slope", "residual", "divergence")
+
+
+def page_figures(docs: DataFrame) -> DataFrame:
+    """(doc_id, language, chars, size, slope, residual, divergence, away_slope, away_residual, away_divergence) of every page with a word."""
+    fits = stored(rank_fits(docs), "pages")
+    far = cut(apart(cut(figures(fits, language_words(fits)))))
+    return _pages(docs).select("doc_id", "same").join(lookup(far), "same").drop("same")
