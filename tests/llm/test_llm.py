@@ -228,7 +228,7 @@ def test_figures_by_plain_python(corpus):
             t[0].append(r.doc_id)
             if label not in ("", "und"):
                 t[1] = min(t[1] or label, label)
-    words = {r.text: r.f for r in corpus.filter("text is not null").select("text", spam._forms(F.col("text")).alias("f")).distinct().collect()}
+    words = {t: [spam.LINK if "." in w or "://" in w else spam.TAG if w[0] in "#$" else w for w in spam._FORM.findall(spam._MARK.sub(" ", spam._MARKED.sub(" http://- ", spam._HIDDEN.sub("", t).lower())))] for t in rows}
     pages = {t: (ids, label, Counter(words[t])) for t, (ids, label) in rows.items() if words[t]}
     labels = {k for k, n in Counter(label for _, label, _ in pages.values()).items() if k and n >= spam.ENOUGH}
     seen = {k: Counter(w for _, label, c in pages.values() if label == k for w in c) for k in labels}

@@ -13,6 +13,7 @@ So the curves decide twice: which pages are looked at, and what their words are
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -158,15 +159,42 @@ def listed_share(pieces: list[tuple[str, str, int, int]], *weights: dict[str, fl
     return float(size[listed].sum() / size.sum())
 
 
-def _forms(text: Column) -> Column:
-    """The words of a text in the JVM: lower case, what hides them taken out, every link and every tag as one form."""
-    t = F.lower(F.translate(text, "".join(map(chr, HIDDEN)), ""))
-    inside = r"\s[^<>]*\b(?:href|src)\s*=[^<>]*>"
-    names = "|".join(TAGS.split())
-    plain = F.regexp_replace(F.regexp_replace(t, f"<(?:{names}){inside}", " http://- "), rf"</?(?:{names})(?:\s+[\w:\-]+\s*=[^<>]*|\s*/?)>", " ")
-    word = rf"(?:https?|hxxps?)://\S+|[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)*\.(?:[a-z]{{2,24}}/\S*|(?:{'|'.join(ENDINGS.split())})\b)|[#$][\p{{L}}_][\p{{L}}\p{{N}}_]*|\p{{L}}[\p{{L}}\p{{M}}]*(?:['’][\p{{L}}\p{{M}}]+)*"
-    found = F.regexp_extract_all(F.when(F.contains(t, F.lit("<")), plain).otherwise(t), F.lit(word), F.lit(0))
-    return F.transform(found, lambda w: F.when(F.contains(w, F.lit("://")) | F.contains(w, F.lit(".")), LINK).when(w.rlike("^[#$]"), TAG).otherwise(w))
+_MARKED = re.compile(r"<(?:%s)\s[^<>]*\b(?:href|src)\s*=[^<>]*>" % "|".join(TAGS.split()))
+_FORM = re.compile(r"(?:https?|hxxps?)://\S+|[^\W_][\w-]*(?:\.[\w-]+)*\.(?:[a-z]{2,24}/\S*|(?:%s)\b)|[#$][^\W\d]\w*|[^\W\d_]+(?:['’][^\W\d_]+)*" % "|".join(ENDINGS.split()))
+
+
+def forms(token: str) -> tuple[str, ...]:
+    """The words in a piece of text without blanks; every link and every tag is one form."""
+    return tuple(LINK if "." in w or "://" in w else TAG if w[0] in "#$" else w for w in _FORM.findall(token))
+
+
+def count_forms(text: str, known: dict[str, tuple[str, ...]]) -> Counter:
+    """How often each word occurs in a text, in lower case, what hides words taken out. No word spans a blank, so each different piece between blanks is cut up once; `known` remembers them."""
+    t = _HIDDEN.sub("", text).lower()
+    if "<" in t:
+        t = _MARK.sub(" ", _MARKED.sub(" http://- ", t))
+    out: Counter = Counter()
+    for token, n in Counter(t.split()).items():
+        found = known.get(token)
+        if found is None:
+            found = known[token] = forms(token)
+        for w in found:
+            out[w] += n
+    return out
+
+
+#: Pieces of text that a worker remembers.
+REMEMBERED = 200_000
+
+
+def _counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """form and n of the words of each text, the commonest first."""
+    known: dict[str, tuple[str, ...]] = {}
+    for texts in batches:
+        if len(known) > REMEMBERED:
+            known.clear()
+        pages = [count_forms(t, known).most_common() for t in texts]
+        yield pd.DataFrame({"form": [[w for w, _ in p] for p in pages], "n": [[n for _, n in p] for p in pages]})
 
 
 def _pages(docs: DataFrame) -> DataFrame:
@@ -178,27 +206,33 @@ def _pages(docs: DataFrame) -> DataFrame:
 
 
 def rank_fits(docs: DataFrame) -> DataFrame:
-    """One row for each different text: same, label, chars, size (words), slope, residual and entropy of its rank-frequency curve, and words (form, n).
+    """One row for each different text: same, label, chars, size (words), slope, residual and entropy of its rank-frequency curve, and words (form and n, two arrays).
 
-    A text is counted once however many rows have it, so copies weigh nothing, and one task never holds more than one copy of a text that it didn't read.
-    Everything but the exchange of the texts happens in place: words, ranks and fits of a text need no further one.
+    A text is counted once however many rows have it, so copies weigh nothing; of each, a task passes on one.
+    The one exchange is that of the counted words; ranks and fits of a text need no further one.
     """
-    texts = spread(_pages(docs)).groupBy("same").agg(F.first("text").alias("text"), F.min("label").alias("label"))
-    cut_up = texts.select("same", "label", F.length("text").alias("chars"), _forms(F.col("text")).alias("forms"))
-    # an outer one gets no filter on the size of the words pushed below it, which would cut every text up twice
-    forms = cut_up.select("same", "label", "chars", F.explode_outer("forms").alias("form")).filter("form is not null")
-    counts = forms.groupBy("same", "label", "chars", "form").agg(F.count("*").alias("n"))
-    ranked = counts.withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("n"))))  # equal counts: their order doesn't change the fit
+    count = F.pandas_udf(_counts, "form array<string>, n array<int>").asNondeterministic()
+    counted = spread(_pages(docs)).select("same", "label", F.length("text").alias("chars"), count("text").alias("words"))
+    pages = counted.groupBy("same").agg(F.min("label").alias("label"), F.first("chars").alias("chars"), F.first("words").alias("words"))
+    # the counts are ranked one a row; the words themselves stay with the first
+    each = pages.select("same", "label", "chars", "words", F.posexplode_outer("words.n").alias("pos", "n")).filter("n is not null")
+    each = each.select("same", "label", "chars", "n", F.when(F.col("pos") == 0, F.col("words")).alias("words"))
+    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("n"))))  # equal counts: their order doesn't change the fit
     x, y = F.ln("rank"), F.ln("n")
-    fit = ranked.groupBy("same", "label", "chars").agg(F.sum("n").alias("size"), F.count("*").alias("k"), F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.sum(F.col("n") * F.ln("n")).alias("n_ln_n"), F.collect_list(F.struct("form", F.col("n").cast("int").alias("n"))).alias("words"))
+    fit = ranked.groupBy("same").agg(F.first("label").alias("label"), F.first("chars").alias("chars"), F.sum("n").alias("size"), F.count("*").alias("k"), F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.sum(F.col("n") * F.ln("n")).alias("n_ln_n"), F.first("words", ignorenulls=True).alias("words"))
     slope = F.coalesce("slope", F.lit(0.0))
     residual = F.sqrt(F.greatest(F.col("syy") - slope**2 * F.col("sxx"), F.lit(0.0)) / F.col("k"))
     return fit.select("same", "label", "chars", "size", slope.alias("slope"), residual.alias("residual"), (F.col("n_ln_n") / F.col("size") - F.ln("size")).alias("entropy"), "words")
 
 
+def _each_word(fits: DataFrame, *columns: str) -> DataFrame:
+    """`columns`, form and n of every word of every page."""
+    return fits.select(*columns, F.explode(F.arrays_zip(F.col("words.form").alias("form"), F.col("words.n").alias("n"))).alias("w")).select(*columns, "w.form", "w.n")
+
+
 def language_words(fits: DataFrame) -> DataFrame:
-    """(language, form, q, pages, other): the share q of the COMMON commonest words of each language among all words of its pages, each page counting a word once; how
-    many pages it has; and the share of a word outside them, which is what these have together, evenly.
+    """(language, form, q, share, pages, other): the share q of the COMMON commonest words of each language among all words of its pages, each page counting a word once; its shares
+    of the pages it is on, added up; how many pages the language has; and the share of a word outside them, which is what these have together, evenly.
 
     A language is a label with ENOUGH pages; where there is none, all pages are one language.
     """
@@ -206,25 +240,24 @@ def language_words(fits: DataFrame) -> DataFrame:
     if labels.isEmpty():
         labels = cut(fits.agg(F.count("*").alias("pages")).select(F.lit("").alias("label"), "pages"))
         fits = fits.withColumn("label", F.lit(""))
-    words = fits.join(F.broadcast(labels), "label").select(F.col("label").alias("language"), "pages", F.explode("words.form").alias("form"))
-    seen = cut(words.groupBy("language", "form").agg(F.count("*").alias("n"), F.first("pages").alias("pages")))
+    words = _each_word(fits.join(F.broadcast(labels), "label"), "label", "pages", "size")
+    seen = cut(words.groupBy(F.col("label").alias("language"), "form").agg(F.count("*").alias("n"), F.sum(F.col("n") / F.col("size")).alias("share"), F.first("pages").alias("pages")))
     # the commonest words of each of 64 parts of a language first, so no task ranks all its words
     part = seen.withColumn("part", F.pmod(F.xxhash64("form"), F.lit(64)))
     order = [F.desc("n"), "form"]
     for by in (("language", "part"), ("language",)):
         part = part.withColumn("nth", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("nth") <= COMMON)
     total = seen.groupBy("language").agg(F.sum("n").alias("all_n"), F.count("*").alias("all_k"))
-    top = cut(part.select("language", "form", "n", "pages"))
+    top = cut(part.select("language", "form", "n", "share", "pages"))
     within = top.groupBy("language").agg(F.sum("n").alias("top_n"), F.count("*").alias("top_k")).join(total, "language")
     other = F.when(F.col("all_k") > F.col("top_k"), (F.col("all_n") - F.col("top_n")) / (F.col("all_k") - F.col("top_k"))).otherwise(1.0) / F.col("all_n")
-    return cut(top.join(F.broadcast(within), "language").select("language", "form", (F.col("n") / F.col("all_n")).alias("q"), "pages", other.alias("other")))
+    return cut(top.join(F.broadcast(within), "language").select("language", "form", (F.col("n") / F.col("all_n")).alias("q"), "share", "pages", other.alias("other")))
 
 
 def figures(fits: DataFrame, model: DataFrame) -> DataFrame:
     """(same, language, chars, size, slope, residual, divergence): the language whose words make a page likeliest, and the divergence from them. A page without a word of any language is set against the largest."""
     by_form = model.groupBy("form").agg(F.collect_list(F.struct("language", (F.ln("q") - F.lit(float(np.log(UNSEEN)))).alias("gain"), (F.ln("q") - F.ln("other")).alias("own"))).alias("in"))
-    words = fits.select("same", F.explode("words").alias("w")).select("same", F.col("w.form").alias("form"), F.col("w.n").alias("n"))
-    hits = words.join(lookup(by_form, COMMON * LANGUAGES), "form").select("same", "n", F.when(F.col("form").isin(LINK, TAG), 0).otherwise(F.col("n")).alias("m"), F.explode("in").alias("l"))
+    hits = _each_word(fits, "same").join(lookup(by_form, COMMON * LANGUAGES), "form").select("same", "n", F.when(F.col("form").isin(LINK, TAG), 0).otherwise(F.col("n")).alias("m"), F.explode("in").alias("l"))
     each = hits.groupBy("same", F.col("l.language").alias("language")).agg(F.sum(F.col("m") * F.col("l.gain")).alias("gain"), F.sum(F.col("n") * F.col("l.own")).alias("own"))
     languages = cut(model.groupBy("language").agg(F.first("pages").alias("pages"), F.first("other").alias("other")))
     largest = languages.orderBy(F.desc("pages"), "language").first()
@@ -266,38 +299,36 @@ def stands_out() -> Column:
 
 
 def word_weights(fits: DataFrame, far: DataFrame, model: DataFrame) -> DataFrame:
-    """(language, form, weight): logarithm of how much commoner a word is on pages that don't stand out than on those that widely do, in a language and, under the language null, in all.
+    """(language, form, weight): logarithm of how much commoner a word is on the other pages than on those that widely stand out, in a language and, under the language null, in all.
 
     Prose on a subject of its own stands out widely too, but its words are those of prose: ROUNDS times the pages that the weights take for prose are left out, and the rest is weighed anew.
     """
-    sure = far.filter(F.col("away_divergence") >= SURE).select("same", "language", F.lit(True).alias("listed"))
-    prose = far.filter(~stands_out()).select("same", "language", F.lit(False).alias("listed"))
-    pages = sure.unionByName(prose)
-    words = fits.select("same", "size", F.explode("words").alias("w")).join(lookup(cut(pages)), "same").select("same", "language", "listed", F.col("w.form").alias("form"), (F.col("w.n") / F.col("size")).alias("share"))
-    keep = lookup(cut(model.select("form").distinct()), COMMON * LANGUAGES)
-    words = stored(words.join(keep, "form"), "words")
-
-    def rates(w: DataFrame, name: str) -> DataFrame:
-        return cut(w.groupBy("language", "form").agg(F.sum("share").alias(name)))
-
-    def weigh(listed: DataFrame, prose: DataFrame) -> DataFrame:
-        both = prose.join(listed, ["language", "form"], "full").fillna(0.0, ["list", "prose"])
+    sure = lookup(cut(far.filter(F.col("away_divergence") >= SURE).select("same", "language")))
+    known = lookup(cut(model.select("form").distinct()), COMMON * LANGUAGES)
+    words = _each_word(fits.join(sure, "same"), "same", "label", "language", "size").join(known, "form")
+    listed = stored(words.select("same", "label", "language", "form", (F.col("n") / F.col("size")).alias("share")), "listed")
+    whole = model.select("language", "form", F.col("share").alias("prose"))
+
+    def weigh(listed: DataFrame) -> DataFrame:
+        # what the listed pages have is taken out of the language of their label, in which it was counted
+        had = listed.groupBy(F.coalesce("label", F.lit("")).alias("language"), "form").agg(F.sum("share").alias("had"))
+        prose = whole.join(had, ["language", "form"], "left").select("language", "form", F.greatest(F.col("prose") - F.coalesce("had", F.lit(0.0)), F.lit(0.0)).alias("prose"))
+        rates = listed.groupBy("language", "form").agg(F.sum("share").alias("list"))
+        both = prose.join(rates, ["language", "form"], "full").fillna(0.0, ["list", "prose"])
         everywhere = both.groupBy("form").agg(F.sum("list").alias("list"), F.sum("prose").alias("prose"))
         both = cut(both.unionByName(everywhere.withColumn("language", F.lit(None).cast("string"))))
-        total = both.groupBy("language").agg(F.sum("list").alias("n_list"), F.sum("prose").alias("n_prose"))
-        n = F.first(F.when(F.col("language").isNull(), F.col("n_list") + F.col("n_prose")), ignorenulls=True).over(Window.partitionBy(F.lit(0)))  # a row a language
-        prior = both.filter("language is null").select("form", (F.col("list") + F.col("prose")).alias("m"))
-        joined = both.alias("a").join(F.broadcast(total.withColumn("n", n)).alias("t"), F.equal_null("a.language", "t.language")).join(lookup(prior, COMMON * LANGUAGES), "form")
-        rate = lambda c: (F.col(c) + PRIOR * F.col("m") / F.col("n")) / (F.col(f"n_{c}") + PRIOR)
+        sums = {r.language: (r.list or 0.0, r.prose or 0.0) for r in both.groupBy("language").agg(F.sum("list").alias("list"), F.sum("prose").alias("prose")).collect()}  # a row a language
+        total = sum(sums.get(None, (0.0, 0.0))) or 1.0
+        of = both.sparkSession.createDataFrame([(k, *v) for k, v in sums.items()], "language string, n_list double, n_prose double")
+        prior = both.filter("language is null").select("form", ((F.col("list") + F.col("prose")) * (PRIOR / total)).alias("prior"))
+        joined = both.alias("a").join(F.broadcast(of).alias("t"), F.equal_null("a.language", "t.language")).join(lookup(prior, COMMON * LANGUAGES), "form")
+        rate = lambda c: (F.col(c) + F.col("prior")) / (F.col(f"n_{c}") + PRIOR)
         return cut(joined.select("a.language", "form", F.greatest(F.least(F.ln(rate("prose") / rate("list")), F.lit(MOST)), F.lit(-MOST)).alias("weight")))
 
-    as_prose = rates(words.filter(~F.col("listed")), "prose")
-    listed = words.filter("listed")
     for _ in range(ROUNDS):
-        weights = weigh(rates(listed, "list"), as_prose)
-        of_page = listed.join(lookup(weights.filter("language is not null"), COMMON * LANGUAGES), ["language", "form"]).groupBy("same").agg(F.sum(F.col("share") * F.col("weight")).alias("weight"))
+        of_page = listed.join(lookup(weigh(listed).filter("language is not null"), COMMON * LANGUAGES), ["language", "form"]).groupBy("same").agg(F.sum(F.col("share") * F.col("weight")).alias("weight"))
         listed = listed.join(lookup(cut(of_page.filter(F.col("weight") < 0).select("same"))), "same", "left_semi")
-    return weigh(rates(listed, "list"), as_prose)
+    return weigh(listed)
 
 
 def spam_pages(docs: DataFrame) -> DataFrame:
