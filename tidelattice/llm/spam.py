@@ -63,8 +63,8 @@ COMMON = 4096
 UNSEEN, LABEL = 1.0 / (COMMON * 64), 3.0
 #: Words that the average of all languages weighs in a word's rates, and most that one word weighs.
 PRIOR, MOST = 2.0, 4.0
-#: How often pages that stand out by their subject only are left out of what listed words are.
-ROUNDS = 2
+#: How often the pages that stand out by their subject only are left out of what listed words are.
+ROUNDS = 1
 #: Average weight below which a stretch is none of prose, and what a word that comes again nearby weighs besides its own.
 LISTED, REPEAT = -0.5, -1.0
 #: A label that names no language.
@@ -236,10 +236,12 @@ def language_words(fits: DataFrame) -> DataFrame:
 
     A language is a label with ENOUGH pages; where there is none, all pages are one language.
     """
-    labels = cut(fits.filter("label is not null").groupBy("label").agg(F.count("*").alias("pages")).filter(F.col("pages") >= ENOUGH).orderBy(F.desc("pages"), "label").limit(LANGUAGES))
-    if labels.isEmpty():
-        labels = cut(fits.agg(F.count("*").alias("pages")).select(F.lit("").alias("label"), "pages"))
-        fits = fits.withColumn("label", F.lit(""))
+    spark = fits.sparkSession
+    by_label = fits.groupBy("label").agg(F.count("*").alias("pages"))
+    labels = [(r.label, r.pages) for r in by_label.filter("label is not null").filter(F.col("pages") >= ENOUGH).orderBy(F.desc("pages"), "label").limit(LANGUAGES).collect()]
+    if not labels:
+        labels, fits = [("", by_label.agg(F.sum("pages")).first()[0] or 0)], fits.withColumn("label", F.lit(""))
+    labels = spark.createDataFrame(labels, "label string, pages long")
     words = _each_word(fits.join(F.broadcast(labels), "label"), "label", "pages", "size")
     seen = cut(words.groupBy(F.col("label").alias("language"), "form").agg(F.count("*").alias("n"), F.sum(F.col("n") / F.col("size")).alias("share"), F.first("pages").alias("pages")))
     # the commonest words of each of 64 parts of a language first, so no task ranks all its words
@@ -257,9 +259,9 @@ def language_words(fits: DataFrame) -> DataFrame:
 def figures(fits: DataFrame, model: DataFrame) -> DataFrame:
     """(same, language, chars, size, slope, residual, divergence): the language whose words make a page likeliest, and the divergence from them. A page without a word of any language is set against the largest."""
     by_form = model.groupBy("form").agg(F.collect_list(F.struct("language", (F.ln("q") - F.lit(float(np.log(UNSEEN)))).alias("gain"), (F.ln("q") - F.ln("other")).alias("own"))).alias("in"))
-    hits = _each_word(fits, "same").join(lookup(by_form, COMMON * LANGUAGES), "form").select("same", "n", F.when(F.col("form").isin(LINK, TAG), 0).otherwise(F.col("n")).alias("m"), F.explode("in").alias("l"))
+    hits = _each_word(fits, "same").join(F.broadcast(by_form), "form").select("same", "n", F.when(F.col("form").isin(LINK, TAG), 0).otherwise(F.col("n")).alias("m"), F.explode("in").alias("l"))
     each = hits.groupBy("same", F.col("l.language").alias("language")).agg(F.sum(F.col("m") * F.col("l.gain")).alias("gain"), F.sum(F.col("n") * F.col("l.own")).alias("own"))
-    languages = cut(model.groupBy("language").agg(F.first("pages").alias("pages"), F.first("other").alias("other")))
+    languages = model.groupBy("language").agg(F.first("pages").alias("pages"), F.first("other").alias("other"))
     largest = languages.orderBy(F.desc("pages"), "language").first()
     each = each.join(F.broadcast(languages), "language")
     found = each.groupBy("same").agg(F.collect_list(F.struct(F.col("gain") + F.ln("pages"), "language", "own", "other")).alias("of"))
@@ -285,7 +287,7 @@ def apart(f: DataFrame) -> DataFrame:
     rows = f
     for k, group in enumerate(groups):
         mid = rows.groupBy(*group).agg(*quartiles, F.count("*").alias(f"n{k}")).withColumnsRenamed({c: f"q{k}_{c}" for c in NAMES})
-        f = f.join(lookup(cut(mid)), group, "left")
+        f = f.join(F.broadcast(mid), group, "left")  # at most a row for each of LANGUAGES languages and 62 lengths
     out = []
     for c in NAMES:
         q = F.coalesce(*[F.when(F.col(f"n{k}") >= ENOUGH, F.col(f"q{k}_{c}")) for k in range(len(groups))], F.col(f"q{len(groups) - 1}_{c}"))
@@ -304,7 +306,7 @@ def word_weights(fits: DataFrame, far: DataFrame, model: DataFrame) -> DataFrame
     Prose on a subject of its own stands out widely too, but its words are those of prose: ROUNDS times the pages that the weights take for prose are left out, and the rest is weighed anew.
     """
     sure = lookup(cut(far.filter(F.col("away_divergence") >= SURE).select("same", "language")))
-    known = lookup(cut(model.select("form").distinct()), COMMON * LANGUAGES)
+    known = F.broadcast(model.select("form").distinct())  # like all that follows from the model, at most COMMON * LANGUAGES rows
     words = _each_word(fits.join(sure, "same"), "same", "label", "language", "size").join(known, "form")
     listed = stored(words.select("same", "label", "language", "form", (F.col("n") / F.col("size")).alias("share")), "listed")
     whole = model.select("language", "form", F.col("share").alias("prose"))
@@ -321,12 +323,12 @@ def word_weights(fits: DataFrame, far: DataFrame, model: DataFrame) -> DataFrame
         total = sum(sums.get(None, (0.0, 0.0))) or 1.0
         of = both.sparkSession.createDataFrame([(k, *v) for k, v in sums.items()], "language string, n_list double, n_prose double")
         prior = both.filter("language is null").select("form", ((F.col("list") + F.col("prose")) * (PRIOR / total)).alias("prior"))
-        joined = both.alias("a").join(F.broadcast(of).alias("t"), F.equal_null("a.language", "t.language")).join(lookup(prior, COMMON * LANGUAGES), "form")
+        joined = both.alias("a").join(F.broadcast(of).alias("t"), F.equal_null("a.language", "t.language")).join(F.broadcast(prior), "form")
         rate = lambda c: (F.col(c) + F.col("prior")) / (F.col(f"n_{c}") + PRIOR)
         return cut(joined.select("a.language", "form", F.greatest(F.least(F.ln(rate("prose") / rate("list")), F.lit(MOST)), F.lit(-MOST)).alias("weight")))
 
     for _ in range(ROUNDS):
-        of_page = listed.join(lookup(weigh(listed).filter("language is not null"), COMMON * LANGUAGES), ["language", "form"]).groupBy("same").agg(F.sum(F.col("share") * F.col("weight")).alias("weight"))
+        of_page = listed.join(F.broadcast(weigh(listed).filter("language is not null")), ["language", "form"]).groupBy("same").agg(F.sum(F.col("share") * F.col("weight")).alias("weight"))
         listed = listed.join(lookup(cut(of_page.filter(F.col("weight") < 0).select("same"))), "same", "left_semi")
     return weigh(listed)
 
