@@ -2,12 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def segments(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The columns of each run of rows that agree in `keys`, from batches sorted by them; a run may go over several batches. Keys have no nulls."""
+    held = None
+    for b in batches:
+        if not len(b):
+            continue
+        cols = {c: b[c].to_numpy() for c in b.columns}
+        if held is not None:
+            cols = {c: np.concatenate([held[c], a]) for c, a in cols.items()}
+        change = np.zeros(len(cols[keys[0]]), bool)
+        for k in keys:
+            change[1:] |= cols[k][1:] != cols[k][:-1]
+        bounds = [0, *np.flatnonzero(change).tolist()]
+        for i, j in zip(bounds, bounds[1:]):
+            yield {c: a[i:j] for c, a in cols.items()}
+        held = {c: a[bounds[-1] :] for c, a in cols.items()}
+    if held is not None:
+        yield held
+
+
 def dense_chunks(df: DataFrame, keys: list[str], order: list[str], coarse: Column, length: int, halo: int) -> DataFrame:
-    """`df` with index_ (place in the series, from 0), chunk_ and core_: each row in its own chunk and, not core_, in a neighbouring one if it lies within `halo` of it.
+    """`df` with index_ (place in the series, from 0), total_ (length of the series), chunk_ and core_: each row in its own chunk and, not core_, in a neighbouring one if it lies within `halo` of it.
 
     coarse: a value that never falls along the order; the places within one value of it are counted in one task, the places before it come
     from a running sum over the counts. So no task ever holds a whole series, and one series may have any share of all rows.
@@ -16,7 +40,7 @@ def dense_chunks(df: DataFrame, keys: list[str], order: list[str], coarse: Colum
     part = [*keys, "coarse_"]
     places = df.withColumn("place_", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
     before = Window.partitionBy(*keys).orderBy("coarse_").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = df.groupBy(*part).agg(F.count("*").alias("n_")).select(*part, F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("offset_"))
+    offsets = df.groupBy(*part).agg(F.count("*").alias("n_")).select(*part, F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("offset_"), F.sum("n_").over(Window.partitionBy(*keys)).alias("total_"))
     whole = places.join(offsets, part).withColumn("index_", F.col("offset_") + F.col("place_") - 1).drop("coarse_", "place_", "offset_")
     own = F.floor(F.col("index_") / length)
     shifted = [F.floor((F.col("index_") + d) / length) for d in (-halo, halo)]
