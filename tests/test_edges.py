@@ -1,12 +1,13 @@
 """Nulls, empty tables, ties, repeated rows, clashing names and boundaries of every dealt operator of the core."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, regular_grid, spikes, time_em, trailing
+from tidelattice.operators import bloom_dedupe, chunks, csv_machine, lambda_views, regular_grid, spikes, time_em, trailing
 from tidelattice.operators.topics import deliveries
 
 FEEDS = "feed string, time_zone string, day_first boolean"
@@ -73,9 +74,8 @@ def test_times_empty(spark, feeds):
 def test_repeats(spark):
     rows = [("futures_aggtrades", "A", 1, i) for i in (5, 6, 7)] + [("futures_aggtrades", "B", 1, 8), ("futures_aggtrades", None, 1, 9), ("futures_aggtrades", "A", None, 10), ("futures_klines", "A", 1, 11), ("futures_klines", "A", 1, None), ("futures_aggtrades", "A", 1, 7)]
     df = at(spark, rows, "topic string, symbol string, message_key long, delivery_id long").withColumns({"bucket": F.lit("x"), "h": F.lit(1), "slice": F.lit(None)})
-    for most in (1 << 30, 0):  # screened, and beyond the bound
-        got = sorted(r.delivery_id for r in bloom_dedupe.find_repeats(df, bloom_dedupe.time_bucket(), most).collect())
-        assert got == [5, 6]
+    got = sorted(r.delivery_id for r in bloom_dedupe.find_repeats(df, bloom_dedupe.time_bucket()).collect())
+    assert got == [5, 6]
     assert bloom_dedupe.find_repeats(df.limit(0), bloom_dedupe.time_bucket()).count() == 0
 
 
@@ -237,6 +237,40 @@ def test_spikes_across_chunks(spark):
     assert {i for i, k in got if k == "spike"} == {n - 1, n} and {i for i, k in got if k == "stuck"} == set(range(2 * n - 6, 2 * n + 6))
 
 
+def test_edges_decide(monkeypatch):
+    """Only readings between opposite edges are looked at: neither noise nor a new level is, and without edges nothing is a spike."""
+    v = np.array(noise(300))
+    v[50] *= 3
+    v[100:] *= 2
+    v[201:204] *= [1.6, 2.5, 1.6]  # a ramp up and down
+    seen = spikes._look(v)
+    usual = dict(zip(spikes.STATS, (0.006, float(np.median(np.abs(seen[4][0]))), float(np.median(np.abs(seen[4][1]))))))
+    between = spikes.between_edges(*seen[4], (usual["fine"], usual["coarse"]))
+    assert between[50] and between[202] and between.sum() <= 14 and not between[97:104].any()
+    assert set(np.flatnonzero(spikes._kinds(v, usual, seen) == "spike")) == {50, 201, 202, 203}
+    monkeypatch.setattr(spikes, "DETAIL", 1e9)
+    assert not (spikes._kinds(v, usual, seen) == "spike").any()
+
+
+def test_spikes_in_chunks_as_in_whole(spark):
+    """A series in many chunks is judged by the same scales as in one."""
+    rng = np.random.default_rng(5)
+    v = (np.exp(rng.normal(0, 0.01, 3000)) * 100).tolist()
+    for i in range(37, 3000, 211):
+        v[i] *= 1.4
+    df = series(spark, v)
+    whole, cut = ({(r.row_id, r.kind) for r in spikes.implausible(df, "s", "t", "row_id", ["s", "t", "v"], ["v"], n).collect()} for n in (spikes.CHUNK, 256))
+    assert whole == cut and {i for i, _ in whole} == set(range(37, 3000, 211))
+
+
+def test_segments():
+    b = pd.DataFrame({"k": list("aabbbc"), "n": [1, 1, 1, 2, 2, 2], "x": range(6)})
+    for size in (1, 2, 3, 6):
+        got = [g["x"].tolist() for g in chunks.segments((b[i : i + size] for i in range(0, 6, size)), ["k", "n"])]
+        assert got == [[0, 1], [2], [3, 4], [5]]
+    assert list(chunks.segments(iter([b[:0]]), ["k"])) == []
+
+
 def test_spikes_edges(spark):
     df = at(spark, [(1, None, 5, -1.0), (2, "A", None, 3.0), (3, "A", None, -3.0), (4, "B", 1, 1.0), (5, "B", 1, 1.0)], "row_id long, s string, t long, v double")
     assert found(df) == {(1, "impossible"), (3, "impossible")}
@@ -278,8 +312,27 @@ def test_lines(spark):
 def test_settled_copies_are_not_shuffled(spark):
     """A message with a third of all deliveries: each copy but the last comes out once, and only one row a task goes into the window."""
     rows = spark.range(0, 600, numPartitions=4).select(F.lit("futures_aggtrades").alias("topic"), F.lit("A").alias("symbol"), F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") + 1000).alias("message_key"), F.col("id").alias("delivery_id"))
-    for most in (bloom_dedupe.MOST_BYTES, 0):
-        out = bloom_dedupe.find_repeats(rows, bloom_dedupe.time_bucket(), most)
-        assert sorted(r.delivery_id for r in out.collect()) == list(range(0, 597, 3))
-        plan = out._jdf.queryExecution().optimizedPlan().toString()
-        assert "NOT settled" in plan[plan.index("Window") :]
+    out = bloom_dedupe.find_repeats(rows, bloom_dedupe.time_bucket())
+    assert sorted(r.delivery_id for r in out.collect()) == list(range(0, 597, 3))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "NOT settled" in plan[plan.index("Window") :]
+
+
+def test_settling_holds_few():
+    """Whatever is let go of, the last of a message is never settled, and all but the last of those held together are."""
+    d = pd.DataFrame({"topic": "t", "symbol": "A", "message_key": [1, 2, 1, 1, 3, 2, 1], "delivery_id": [5, 1, 2, 7, 9, 3, 6], "bucket": 0})
+    for held in (1, 2, 100):
+        bloom_dedupe.HELD, old = held, bloom_dedupe.HELD
+        try:
+            got = pd.concat(bloom_dedupe._settle(iter([d[:3], d[3:4], d[4:]])))
+        finally:
+            bloom_dedupe.HELD = old
+        assert sorted(got.delivery_id) == sorted(d.delivery_id)
+        assert not got[got.settled].delivery_id.isin([7, 3, 9]).any() and (held < 100 or got.settled.sum() == 4)
+
+
+def test_filters_of_many_parts(spark, monkeypatch):
+    """Buckets in many stored parts, of which a worker holds few."""
+    monkeypatch.setattr(bloom_dedupe, "TOGETHER", 1)
+    rows = spark.range(0, 4000, numPartitions=3).select(F.lit("futures_klines").alias("topic"), F.lit("A").alias("symbol"), ((F.col("id") % 3000) * 20_000_000).alias("message_key"), F.col("id").alias("delivery_id"))
+    assert sorted(r.delivery_id for r in bloom_dedupe.find_repeats(rows, bloom_dedupe.time_bucket()).collect()) == list(range(1000))

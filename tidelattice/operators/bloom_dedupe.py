@@ -2,9 +2,10 @@
 
 Each message belongs to a time bucket that follows from its identity, so all copies of it share the bucket wherever and whenever they
 arrive. Every input task sets the bits of its own deliveries in one Bloom filter per bucket, with a second plane for bits that were set more
-than once; the planes are merged per bucket. A delivery of which any bit was set only once has no copy: it is definitely new and goes no
+than once; the planes are merged per bucket and stored by bucket in the shared folder. There a task opens those of the buckets that it meets, which are
+few because rows follow arrival; nothing is broadcast. A delivery of which any bit was set only once has no copy: it is definitely new and goes no
 further. Only the possible repeats are verified exactly, against the possible repeats of their own bucket. What is shuffled is thus
-the filters and the few possible repeats, not the deliveries.
+the filters and the few possible repeats, not the deliveries, at any size.
 """
 
 from __future__ import annotations
@@ -14,19 +15,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow.parquet as pq
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelattice.session import cut
+from tidelattice.session import cut, qualified, scratch, worker_files
 
 #: Bits of one filter; larger buckets are split by identifier into several filters of this size.
 CELL_BITS = 1 << 20
 #: Bits per delivery, and bits set for each. With a sixteenth of the bits for each delivery and three bits, one in two hundred deliveries is a false repeat.
 BITS_EACH, HASHES = 16, 3
-#: Most bytes of all compressed repeat planes that are sent to every executor; beyond it all deliveries are verified exactly by a shuffle on their bucket.
-MOST_BYTES = 192 << 20
+#: Filters that are stored together on average; those of one bucket always are. Stored parts that a worker holds, and filters that it holds unpacked.
+TOGETHER, PARTS_HELD, OPEN = 32, 8, 64
+#: Possible repeats that a task holds to settle copies among them.
+HELD = 200_000
 
-CELL = "topic_no int, bucket long, slice int"
+CELL = "part int, topic_no int, bucket long, slice int"
+CELL_NAMES = ["part", "topic_no", "bucket", "slice"]
 
 
 def _positions(h: np.ndarray) -> np.ndarray:
@@ -48,12 +53,12 @@ def _planes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The two planes of each cell that the task met. Positions are held, not planes, so memory follows the task's rows."""
     held: dict[tuple, list[np.ndarray]] = {}
     for b in batches:
-        for cell, rows in b.groupby(["topic_no", "bucket", "slice"], sort=False)["h"]:
+        for cell, rows in b.groupby(CELL_NAMES, sort=False)["h"]:
             held.setdefault(cell, []).append(rows.to_numpy())
     for cell, parts in held.items():
         pos = _positions(np.concatenate(parts)).ravel()
         n = np.bincount(pos, minlength=CELL_BITS)
-        yield pd.DataFrame({"topic_no": [cell[0]], "bucket": [cell[1]], "slice": [cell[2]], "once": [_pack(n > 0)], "twice": [_pack(n > 1)]})
+        yield pd.DataFrame({**{k: [x] for k, x in zip(CELL_NAMES, cell)}, "once": [_pack(n > 0)], "twice": [_pack(n > 1)]})
 
 
 def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -61,11 +66,11 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cell, once, twice = None, None, None
 
     def done() -> pd.DataFrame:
-        return pd.DataFrame({"topic_no": [cell[0]], "bucket": [cell[1]], "slice": [cell[2]], "twice": [_pack(twice)]})
+        return pd.DataFrame({**{k: [x] for k, x in zip(CELL_NAMES, cell)}, "twice": [_pack(twice)]})
 
     for b in batches:
         for r in b.itertuples(index=False):
-            here = (r.topic_no, r.bucket, r.slice)
+            here = (r.part, r.topic_no, r.bucket, r.slice)
             o, t = _unpack(r.once), _unpack(r.twice)
             if here == cell:
                 twice |= t | (once & o)
@@ -79,17 +84,45 @@ def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Possible repeats of one task: a copy that isn't the task's last of its message is settled here and isn't shuffled, so a shuffled group has one row a task (more only where rows repeat a delivery_id)."""
-    all_ = [b for b in batches if len(b)]
-    if not all_:
-        return
-    d = pd.concat(all_, ignore_index=True)
-    last = d.groupby(["topic", "symbol", "message_key"], sort=False, dropna=False)["delivery_id"].transform("max")
-    d["settled"] = d["delivery_id"] < last
-    yield d
-
-
-def find_repeats(rows: DataFrame, bucket: Column, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """Possible repeats of one task: a copy that isn't the last of its message among those held is settled here and isn't shuffled, so a shuffled group has about one row a task. Holds at most HELD rows besides a batch."""
+    held = None
+    for b in batches:
+        d = b if held is None else pd.concat([held, b], ignore_index=True)
+        last = d.groupby(["topic", "symbol", "message_key"], sort=False, dropna=False)["delivery_id"].transform("max")
+        done = d["delivery_id"] < last
+        if done.any():
+            yield d[done].assign(settled=True)
+        held = d[~done]
+        if len(held) > HELD:
+            yield held.assign(settled=False)
+            held = None
+    if held is not None and len(held):
+        yield held.assign(settled=False)
+
+
+class _Filters:
+    """Repeat planes by cell, read from where they are stored when they are first asked for."""
+
+    def __init__(self, uri: str) -> None:
+        self.files, self.path = worker_files(uri)
+        self.parts: dict[int, dict[tuple, bytes]] = {}
+        self.planes: dict[tuple, np.ndarray] = {}
+
+    def plane(self, cell: tuple) -> np.ndarray:
+        if cell not in self.planes:
+            part = cell[0]
+            if part not in self.parts:
+                if len(self.parts) >= PARTS_HELD:
+                    self.parts.pop(next(iter(self.parts)))
+                t = pq.read_table(f"{self.path}/part={part}", filesystem=self.files, columns=[*CELL_NAMES[1:], "twice"])
+                self.parts[part] = dict(zip(zip(*[t[c].to_pylist() for c in CELL_NAMES[1:]]), t["twice"].to_pylist()))
+            if len(self.planes) >= OPEN:
+                self.planes.pop(next(iter(self.planes)))
+            self.planes[cell] = _unpack(self.parts[part][cell[1:]])
+        return self.planes[cell]
+
+
+def find_repeats(rows: DataFrame, bucket: Column) -> DataFrame:
     """(topic, symbol, message_key, delivery_id) of every delivery that isn't the one with the greatest delivery_id of its message.
 
     rows: topic, symbol, message_key, delivery_id. bucket: a long that follows from topic, symbol and message_key.
@@ -100,47 +133,39 @@ def find_repeats(rows: DataFrame, bucket: Column, most_bytes: int = MOST_BYTES)
     spark = rows.sparkSession
     known = rows.filter(F.col("symbol").isNotNull() & F.col("message_key").isNotNull() & F.col("delivery_id").isNotNull()).select("topic", "symbol", "message_key", "delivery_id", bucket.cast("long").alias("bucket"))
     plan = {r.topic: r for r in known.groupBy("topic").agg(F.count("*").alias("n"), F.approx_count_distinct("bucket").alias("buckets")).collect()}  # a row a topic
+    names = ["topic", "symbol", "message_key", "delivery_id"]
     if not plan:
-        return known.select("topic", "symbol", "message_key", "delivery_id").limit(0)
-    names = sorted(plan)
-    slices = [max(1, -(-plan[t].n * BITS_EACH // (CELL_BITS * max(1, plan[t].buckets)))) for t in names]
-    number = F.create_map(*[F.lit(x) for i, t in enumerate(names) for x in (t, i)])[F.col("topic")]
-    many = F.create_map(*[F.lit(x) for t, s in zip(names, slices) for x in (t, s)])[F.col("topic")]
+        return known.select(*names).limit(0)
+    topics = sorted(plan)
+    slices = [max(1, -(-plan[t].n * BITS_EACH // (CELL_BITS * max(1, plan[t].buckets)))) for t in topics]
+    parts = max(1, -(-sum(plan[t].buckets * s for t, s in zip(topics, slices)) // TOGETHER))
+    number = F.create_map(*[F.lit(x) for i, t in enumerate(topics) for x in (t, i)])[F.col("topic")]
+    many = F.create_map(*[F.lit(x) for t, s in zip(topics, slices) for x in (t, s)])[F.col("topic")]
     hashed = known.withColumn("h", F.xxhash64("symbol", "message_key")).withColumns({"topic_no": number.cast("int"), "slice": F.pmod(F.hash("message_key", "symbol"), many).cast("int")})
-
-    planes = hashed.select("topic_no", "bucket", "slice", "h").mapInPandas(_planes, f"{CELL}, once binary, twice binary")
-    cells = cut(planes.repartition("topic_no", "bucket", "slice").sortWithinPartitions("topic_no", "bucket", "slice").mapInPandas(_merge, f"{CELL}, twice binary"))
-    total = cells.agg(F.sum(F.length("twice") + 64)).first()[0] or 0
-
-    if total <= most_bytes:
-        sent = spark.sparkContext.broadcast({(r.topic_no, r.bucket, r.slice): bytes(r.twice) for r in cells.toLocalIterator()})
-
-        @F.pandas_udf("boolean")
-        def maybe(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-            opened: dict[tuple, np.ndarray] = {}
-            for topic_no, bucket_, slice_, h in parts:
-                out = np.zeros(len(h), bool)
-                pos = _positions(h.to_numpy())
-                for cell, at in pd.DataFrame({"t": topic_no, "b": bucket_, "s": slice_}).groupby(["t", "b", "s"], sort=False).indices.items():
-                    if cell not in opened:
-                        if len(opened) >= 64:
-                            opened.clear()
-                        opened[cell] = _unpack(sent.value[tuple(int(x) for x in cell)])
-                    out[at] = opened[cell][pos[:, at]].all(axis=0)
-                yield pd.Series(out)
-
-        suspects = hashed.withColumn("maybe", maybe("topic_no", "bucket", "slice", "h")).filter("maybe")
-    else:
-        suspects = hashed
+    hashed = hashed.withColumn("part", F.pmod(F.hash("topic_no", "bucket"), F.lit(parts)).cast("int"))
+
+    planes = hashed.select(*CELL_NAMES, "h").mapInPandas(_planes, f"{CELL}, once binary, twice binary")
+    path = scratch(spark, "filters")
+    planes.repartition("part").sortWithinPartitions(*CELL_NAMES).mapInPandas(_merge, f"{CELL}, twice binary").write.partitionBy("part").option("compression", "none").parquet(path)
+    uri = qualified(spark, path)
+
+    @F.pandas_udf("boolean")
+    def maybe(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        filters = _Filters(uri)
+        for *cells, h in batches:
+            out = np.zeros(len(h), bool)
+            pos = _positions(h.to_numpy())
+            for cell, at in pd.DataFrame(dict(zip(CELL_NAMES, cells))).groupby(CELL_NAMES, sort=False).indices.items():
+                out[at] = filters.plane(tuple(int(x) for x in cell))[pos[:, at]].all(axis=0)
+            yield pd.Series(out)
+
+    suspects = hashed.withColumn("maybe", maybe(*CELL_NAMES, "h")).filter("maybe")
     kept = "topic string, symbol string, message_key long, delivery_id long, bucket long"
-    checked = cut(suspects.select("topic", "symbol", "message_key", "delivery_id", "bucket").mapInPandas(_settle, f"{kept}, settled boolean"))
-    from pyspark.sql import Window
-
+    checked = cut(suspects.select(*names, "bucket").mapInPandas(_settle, f"{kept}, settled boolean"))
     last = F.max("delivery_id").over(Window.partitionBy("topic", "bucket", "symbol", "message_key"))
-    names_ = ["topic", "symbol", "message_key", "delivery_id"]
     # the last of a message's rows is never settled, so the others of its tasks suffice to find it
     open_ = checked.filter(~F.col("settled")).withColumn("last", last).filter(F.col("delivery_id") < F.col("last"))
-    return checked.filter("settled").select(*names_).unionByName(open_.select(*names_))
+    return checked.filter("settled").select(*names).unionByName(open_.select(*names))
 
 
 #: Identifiers of a symbol's trades rise with time, so a run of them is a bucket of time that all copies share (copies may differ in transact_time).

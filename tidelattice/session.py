@@ -46,6 +46,22 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with its scheme, as workers need it."""
+    p, fs = _hadoop(spark, path)
+    return p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+
+
+def worker_files(uri: str):
+    """File system and path of a qualified shared path, in a Python worker."""
+    from pyarrow import fs
+
+    scheme, rest = uri.split(":", 1)
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return fs.FileSystem.from_uri(("s3" if scheme in ("s3a", "s3n") else scheme) + ":" + rest)
+
+
 #: Paths under the shared folder that `scratch` gave out, by application.
 _GIVEN: dict[str, list[str]] = {}
 
