@@ -70,7 +70,7 @@ def test_pack_edges(spark):
     limits = spark.createDataFrame([("small", 100), ("small", 200), ("none", None), (None, 5), ("zero", 0)], LIMITS)
     got = packing.pack(docs(spark, rows), limits).toPandas()
     assert set(got.container_kind) == {"small"} and set(got.doc_id) == {3, 5}
-    assert got.groupby("container").tokens.sum().max() <= 200  # equal ids share the names of their full containers
+    assert got.groupby("container").tokens.sum().max() <= 100
     total = len(encode(["word " * 2000], vocabulary_path())[0])
     assert got[got.doc_id == 3].tokens.sum() == 2 * total
     assert packing.pack(docs(spark, []), limits).count() == 0 and packing.pack(docs(spark, rows), limits.limit(0)).count() == 0

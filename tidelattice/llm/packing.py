@@ -182,25 +182,25 @@ def pack(docs: DataFrame, limits: DataFrame, tokenizer: str | None = None) -> Da
     Empty tables give an empty result; further columns are ignored.
     """
     path = tokenizer or vocabulary_path()
-    sized = cut(spread(docs.select("doc_id", "text").filter("doc_id is not null")).mapInPandas(_vectors(path), "doc_id long, tokens long, " + ", ".join(f"v{k} double" for k in range(DIMENSIONS))).filter("tokens > 0"))
+    sized = cut(spread(docs.select("doc_id", "text").filter("doc_id is not null")).mapInPandas(_vectors(path), "doc_id long, tokens long, " + ", ".join(f"v{k} double" for k in range(DIMENSIONS))).filter("tokens > 0").withColumn("item", F.monotonically_increasing_id()))
     dims = range(DIMENSIONS)
     total = sized.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), *[F.avg(f"v{k}").alias(f"m{k}") for k in dims], *[F.stddev_pop(f"v{k}").alias(f"s{k}") for k in dims]).first()
     even = _even(np.array([total[f"m{k}"] or 0.0 for k in dims]), np.array([total[f"s{k}"] or 0.0 for k in dims]))
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[["doc_id", "tokens"]].assign(key=hilbert(even(b[[f"v{k}" for k in dims]].to_numpy(float))))
+            yield b[["item", "doc_id", "tokens"]].assign(key=hilbert(even(b[[f"v{k}" for k in dims]].to_numpy(float))))
 
     kinds = capacities(limits)
     if not kinds:
         return docs.sparkSession.createDataFrame([], "container_kind string, container string, doc_id long, piece int, tokens long")
     boxes = sum(-(-total["tokens"] // c) for c in kinds.values())
     each = F.explode(F.array(*[F.struct(F.lit(k).alias("container_kind"), F.lit(c).cast("long").alias("capacity_tokens")) for k, c in kinds.items()]))
-    items = sized.mapInPandas(keyed, "doc_id long, tokens long, key long").select("doc_id", "tokens", "key", each.alias("x")).select("doc_id", "tokens", "key", "x.*")
+    items = sized.mapInPandas(keyed, "item long, doc_id long, tokens long, key long").select("item", "doc_id", "tokens", "key", each.alias("x")).select("item", "doc_id", "tokens", "key", "x.*")
     full = F.floor(F.col("tokens") / F.col("capacity_tokens"))
     rest = F.col("tokens") % F.col("capacity_tokens")
-    whole = items.filter(full > 0).select("container_kind", "doc_id", "capacity_tokens", F.explode(F.sequence(F.lit(0).cast("long"), full - 1)).alias("piece"))
-    whole = whole.select("container_kind", F.concat_ws("/", "container_kind", F.concat(F.lit("d"), F.col("doc_id")), F.col("piece")).alias("container"), "doc_id", F.col("piece").cast("int").alias("piece"), F.col("capacity_tokens").alias("tokens"))
+    whole = items.filter(full > 0).select("container_kind", "item", "doc_id", "capacity_tokens", F.explode(F.sequence(F.lit(0).cast("long"), full - 1)).alias("piece"))
+    whole = whole.select("container_kind", F.concat_ws("/", "container_kind", F.concat(F.lit("i"), F.col("item")), F.col("piece")).alias("container"), "doc_id", F.col("piece").cast("int").alias("piece"), F.col("capacity_tokens").alias("tokens"))
     parts = items.filter(rest > 0).select("container_kind", "capacity_tokens", "key", "doc_id", full.cast("int").alias("piece"), rest.alias("tokens"))
     ranges = max(1, int(boxes // RANGE))
     packed = parts.repartitionByRange(ranges, "container_kind", "key", "doc_id").sortWithinPartitions("container_kind", "key", "doc_id", "tokens")
