@@ -109,11 +109,26 @@ def add_increments(*parts: DataFrame) -> DataFrame:
     return both.groupBy(*VIEW_KEYS).agg(*[f(c).alias(c) for c, f in _MERGE.items()], *totals)
 
 
-def recompute(log: DataFrame, period: Period, value: str, weight: str, as_of_us: int | None = None, frozen: DataFrame | None = None, shape: Shape = PLAIN) -> DataFrame:
+#: Furthest apart that copies of one message state its time.
+SKEW_MS = 86_400_000
+
+
+def still_open(log: DataFrame, frozen: DataFrame, skew_ms: int = SKEW_MS) -> DataFrame:
+    """What of the log can still matter to periods after the last frozen one, before anything is shuffled: deliveries of times up to skew_ms before its end are left out, those that state no time by their arrival."""
+    last = frozen.filter(F.col("state") == "frozen").agg(F.max("period_end")).first()[0]
+    if last is None:
+        return log
+    return log.filter(F.coalesce(F.col("event_ms"), F.floor(F.col("arrived_us") / 1000)) > last - skew_ms)
+
+
+def recompute(log: DataFrame, period: Period, value: str, weight: str, as_of_us: int | None = None, frozen: DataFrame | None = None, shape: Shape = PLAIN, skew_ms: int = SKEW_MS) -> DataFrame:
     """The batch layer's view: all periods of the log except those in `frozen`, from every record up to the cut-off; corrected counts the late ones among them.
 
-    state is `frozen` where the cut-off is before as_of_us (no as_of_us: everything is), else `open`.
+    state is `frozen` where the cut-off is before as_of_us (no as_of_us: everything is), else `open`. With `frozen` only the part of the log is read that open periods
+    can need: copies of one message that state times more than skew_ms apart may then count as two.
     """
+    if frozen is not None:
+        log = still_open(log, frozen, skew_ms)
     rows = batch_records(log, period, shape.columns(value, weight), as_of_us).filter(F.col("outcome") != DROPPED)
     if frozen is not None:
         rows = rows.join(frozen.filter(F.col("state") == "frozen").select(*VIEW_KEYS), VIEW_KEYS, "left_anti")
@@ -154,6 +169,13 @@ def replay(log: DataFrame, period: Period, value: str, weight: str, batch: str,
     return serve(view, fast)
 
 
+def views(log: DataFrame, period: Period, value: str, weight: str, batch: str, now_us: int, shape: Shape = PLAIN) -> DataFrame:
+    """What a reader sees at an instant at which the batch layer has just run: frozen and open periods that have ended from it, provisional ones from the increments of the batches."""
+    known = log.filter(F.col("arrived_us") <= now_us)
+    view = recompute(known, period, value, weight, now_us, shape=shape).filter(F.col("period_end") * 1000 <= now_us)
+    return serve(view, add_increments(fast_increment(known, period, value, weight, shape, (batch,))))
+
+
 def late_records(log: DataFrame, period: Period) -> DataFrame:
     """(topic, symbol, message_key, outcome) of the messages that came late: `corrected` up to the cut-off, `dropped` after it.
 

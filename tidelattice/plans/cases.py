@@ -130,6 +130,16 @@ def p4_served(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("topic", "symbol", F.col("period_end").alias("hour_end"), "state", "records", "corrected", "weight", "weighted", F.col("first.v").alias("open"), "high", "low", F.col("last.v").alias("close"), F.col("total_quote_volume").alias("quote_volume"), F.col("total_count").alias("count"))
 
 
+def p4_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly trade aggregates as they stand ten minutes into the last hour that has so many: earlier hours frozen, the one before open, the current one provisional."""
+    log = deliveries(table(spark, sf_dir, "futures_aggtrades"), "futures_aggtrades", "batch_id", "price", "quantity")
+    hour, ten = 3_600_000_000, 600_000_000
+    last = log.agg(F.max("arrived_us")).first()[0] or 0
+    now = (last - ten) // hour * hour + ten
+    v = lambda_views.views(log, lambda_views.TRADES, "price", "quantity", "batch_id", now)
+    return v.select("symbol", F.col("period_end").alias("hour_end"), "state", F.col("records").alias("trades"), "corrected", F.round(F.col("weight") + TIE * 1e-6, 6).alias("quantity"), "low", "high", F.col("first.v").alias("open"), F.col("last.v").alias("close"))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_dedupe.find_repeats(read_deliveries(spark, sf_dir, list(TOPICS)), bloom_dedupe.time_bucket()).select("topic", "delivery_id")
 
@@ -156,7 +166,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spot.unionByName(readings)
 
 
-QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p2_found": p2_found, "p2_kinds": p2_kinds, "p3_found": p3_found, "p3_trailing": p3_trailing, "p3_interest": p3_interest, "p4_found": p4_found, "p4_hourly": p4_hourly, "p4_bars": p4_bars, "p4_served": p4_served, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_grid": p1_grid, "p2_found": p2_found, "p2_kinds": p2_kinds, "p3_found": p3_found, "p3_trailing": p3_trailing, "p3_interest": p3_interest, "p4_found": p4_found, "p4_hourly": p4_hourly, "p4_bars": p4_bars, "p4_served": p4_served, "p4_views": p4_views, "p5_found": p5_found, "p5_loaded": p5_loaded, "p6_found": p6_found, "p7_found": p7_found}
 
 _SYMBOL = "upper(replace(replace(replace(symbol, ' ', ''), chr(9), ''), chr(160), ''))"
 
@@ -232,6 +242,15 @@ ORACLES = {
         h as (select *, ((t - 1) // 3600000 + 1) * 3600000 as e from m where t is not null and symbol is not null)
         select symbol, e as hour_end, count(*) as bars, cast(count_if(r > (e + 60000) * 1000) as bigint) as corrected, round(sum(kept.v) + {TIE * 1e-6!r}, 6) as volume, round(sum(kept.q) + {TIE * 1e-3!r}, 3) as quote_volume, cast(sum(kept.n) as bigint) as "count",
             arg_min(kept.o, t) as open, max(kept.h) as high, min(kept.l) as low, arg_max(kept.c, t) as close from h where r <= (e + 1800000) * 1000 group by 1, 2""",
+    "p4_views": f"""with d as (select {_SYMBOL} as symbol, agg_trade_id as k, {_ms('transact_time')} as t, epoch_us(received_at) as r, batch_id, delivery_id, {{'p': price, 'q': quantity}} as v from futures_aggtrades where symbol is not null and agg_trade_id is not null),
+        c as (select (max(r) - 600000000) // 3600000000 * 3600000000 + 600000000 as now from d), seen as (select * from d, c where r <= now),
+        m as (select symbol, k, max(t) as t, min(r) as r, arg_max(v, delivery_id) as v, any_value(now) as now from seen group by 1, 2), h as (select *, (t // 3600000 + 1) * 3600000 as e from m where t is not null),
+        done as (select symbol, e as hour_end, case when (e + 1800000) * 1000 < now then 'frozen' else 'open' end as state, count(*) as trades, cast(count_if(r > (e + 60000) * 1000) as bigint) as corrected, round(sum(v.q) + {TIE * 1e-6!r}, 6) as quantity,
+            min(v.p) as low, max(v.p) as high, arg_min(v.p, (t, k)) as open, arg_max(v.p, (t, k)) as close from h where r <= (e + 1800000) * 1000 and e * 1000 <= now group by 1, 2, 3),
+        b as (select symbol, k, batch_id, max(t) as t, min(r) as r, arg_max(v, delivery_id) as v from seen group by 1, 2, 3), i as (select *, (t // 3600000 + 1) * 3600000 as hour_end from b where t is not null),
+        new as (select symbol, hour_end, 'provisional' as state, count(*) as trades, cast(0 as bigint) as corrected, round(sum(v.q) + {TIE * 1e-6!r}, 6) as quantity, min(v.p) as low, max(v.p) as high, arg_min(v.p, (t, k)) as open, arg_max(v.p, (t, k)) as close
+            from i where r <= (hour_end + 60000) * 1000 group by 1, 2)
+        select * from done union all select * from new anti join done using (symbol, hour_end)""",
     "p7_found": f"""with d as (select 'futures_aggtrades' as topic, delivery_id, {_SYMBOL} as s, agg_trade_id as k from futures_aggtrades
             union all select 'futures_klines', delivery_id, {_SYMBOL}, {_CLOSE} from futures_klines union all select 'metrics_messages', delivery_id, {_SYMBOL}, {_READING} from metrics_messages)
         select topic, delivery_id from (select *, max(delivery_id) over (partition by topic, s, k) as last from d where s is not null and k is not null) where delivery_id < last""",

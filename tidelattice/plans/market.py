@@ -14,6 +14,7 @@ from tidelattice.functions.safe import eps_div, log_return, zscore
 from tidelattice.operators import bars, ema, features, gaps, social, trade_stats
 from tidelattice.operators.csv_machine import COLUMNS
 from tidelattice.session import scratch
+from tidelattice.sinks import lake
 from tidelattice.streaming import pipelines
 
 HOUR, DAY, MINUTE = nz.HOUR_MS, nz.DAY_MS, nz.MINUTE_MS
@@ -208,27 +209,41 @@ def _halves(s, d):
     return bars.keep_last(rows.filter("delivery_id % 2 = 0"), ["symbol", "key"], "delivery_id").drop("delivery_id"), bars.keep_last(rows.filter("delivery_id % 2 = 1"), ["symbol", "key"], "delivery_id").drop("delivery_id")
 
 
+def _period(df):
+    return df.withColumn("period", lake.period_of("key"))
+
+
+def _merged(s, d) -> tuple[str, int]:
+    """A lake of stored rows after a batch was merged into it, and how many keys were new."""
+    old, new = _halves(s, d)
+    path = scratch(s, "lake")
+    lake.merge_periods(_period(old).withColumn("turn", F.lit(0)), path, ["symbol", "key"], "turn", "key")
+    return path, lake.merge_periods(_period(new).withColumn("turn", F.lit(1)), path, ["symbol", "key"], "turn", "key")
+
+
 def _lake_merge(s, d):
     """Stored rows and a batch, the batch's rows counting, with the period that each is stored in."""
-    old, new = _halves(s, d)
-    return features.combine_history(old, new, ["symbol", "key"]).withColumn("period", F.date_format(F.timestamp_millis("key"), "yyyy-MM-dd"))
+    return s.read.parquet(_merged(s, d)[0]).select("symbol", "key", "close", F.date_format(F.col("period").cast("date"), "yyyy-MM-dd").alias("period"))
 
 
 def _new_rows(s, d):
     """Rows that a batch adds to each stored period."""
     old, new = _halves(s, d)
-    fresh = new.join(old.select("symbol", "key"), ["symbol", "key"], "left_anti")
-    return fresh.groupBy(F.date_format(F.timestamp_millis("key"), "yyyy-MM-dd").alias("period")).agg(F.count("*").alias("added"))
+    return _period(lake.new_keys(new, old, ["symbol", "key"])).groupBy("period").agg(F.count("*").alias("added"))
 
 
 def _upsert(s, d):
+    """A table after an upsert; the batch states each key several times, of which the last delivery counts."""
     old, new = _halves(s, d)
-    kept = old.join(new.select("symbol", "key"), ["symbol", "key"], "left_anti")
-    return kept.unionByName(new)
+    path = scratch(s, "table")
+    old.withColumn("delivery_id", F.lit(0).cast("long")).write.parquet(path)
+    rows = table(s, d, "futures_klines").select(nz.symbol_of("symbol").alias("symbol"), bars.bar_close_ms().alias("key"), "close", "delivery_id").filter("delivery_id % 2 = 1")
+    lake.upsert(rows, path, ["symbol", "key"], order="delivery_id")
+    return s.read.parquet(path).select("symbol", "key", "close")
 
 
 def _strict(s, d):
-    return features.strict_history(_series(s, d).select("symbol", "open_time"), ["symbol"], "open_time", MINUTE, 30)
+    return features.strict_history(_series(s, d).select("symbol", "open_time"), ["symbol"], "open_time", MINUTE)
 
 
 def _epochs(s, d):
@@ -264,10 +279,6 @@ def _threads(s, d):
     return subs.filter("created_utc is not null"), com.filter("created_utc is not null").dropDuplicates(["id"])
 
 
-def _watch_now(s, d) -> int:
-    return NOW // 1000
-
-
 def _watchlist_join(s, d):
     subs, com = _threads(s, d)
     g = com.groupBy("submission_id").agg(F.count("*").alias("comments"), F.max("created_utc").alias("newest"))
@@ -528,7 +539,7 @@ ORACLES = {
     "lake_merge": f"with {_HALF} select symbol, key, case when n.symbol is not null then n.close else o.close end as close, strftime(make_timestamp(key * 1000), '%Y-%m-%d') as period from old o full join new n using (symbol, key)".replace("n.symbol is not null", "n.present").replace("full join new n", "full join (select *, true as present from new) n"),
     "lake_new_rows": f"with {_HALF} select strftime(make_timestamp(key * 1000), '%Y-%m-%d') as period, count(*) as added from new anti join old using (symbol, key) group by 1",
     "upsert_merge": f"with {_HALF} select symbol, key, close from old anti join new using (symbol, key) union all select symbol, key, close from new",
-    "history_strict": f"{_B}, h as (select symbol, open_time, lag(open_time, 30) over {_W} as back from bars) select symbol, open_time from h where open_time - back = 30 * 60000",
+    "history_strict": f"{_B}, h as (select symbol, open_time, lag(open_time, 60) over {_W} as back from bars) select symbol, open_time from h where open_time - back = 60 * 60000",
     "epoch_normalize": f"select delivery_id, {_ms('transact_time')} as ms, case when transact_time >= 10000000000000 then transact_time // 1000 else transact_time end as ms_micros_only from futures_aggtrades",
     "header_row_drop": f"with c as ({_cells('futures_klines', 'f')}) select f[1] as open_time, count(*) as n, max(f[5]) as close from c where array_to_string(f, ',') != '{','.join(COLUMNS['futures_klines'])}' group by 1",
     "blank_to_null": _cells("futures_klines", ", ".join(_number_sql(i, c) for i, c in ((2, "open"), (5, "close"), (6, "volume")))),

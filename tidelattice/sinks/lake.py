@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,38 +24,67 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select([(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema])
 
 
+def last_of(rows: DataFrame, keys: list[str], order: Column | str) -> DataFrame:
+    """One row a key, the one with the greatest `order`; a partial aggregate, so a key of any weight is one row a task."""
+    rest = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("x")).select(*keys, *[F.col(f"x.{c}").alias(c) for c in rest])
+
+
+def new_keys(batch: DataFrame, stored: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows of the batch, one a key, whose key isn't stored yet."""
+    once = batch.dropDuplicates(keys)
+    return once if stored is None else once.join(stored.select(*keys), keys, "left_anti")
+
+
 def merge_periods(batch: DataFrame, path: str, keys: list[str], order: str, time: str) -> int:
     """Merges a batch with `period` into the lake: of each key the row with the greatest `order` stays, the batch's among equals. Only the batch's periods are read and rewritten. Returns how many keys are new."""
     spark = batch.sparkSession
     touched = [r.period for r in batch.select("period").distinct().collect()]  # the batch's periods: a few days
     stored = read_or_none(spark, path)
     new = batch.withColumn("from_", F.lit(1))
-    added = batch.select(*keys).distinct().count()
     if stored is not None:
-        old = stored.filter(F.col("period").isin(touched)).select(*batch.columns).withColumn("from_", F.lit(0))
-        added = batch.select(*keys).distinct().join(old.select(*keys), keys, "left_anti").count()
-        new = old.unionByName(new)
-    rest = [c for c in batch.columns if c not in keys]
-    best = new.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(order, "from_")).alias("x")).select(*keys, *[F.col(f"x.{c}").alias(c) for c in rest])
-    done = cut(best)  # the files it comes from are about to be replaced
+        stored = stored.filter(F.col("period").isin(touched)).select(*batch.columns)
+        new = stored.withColumn("from_", F.lit(0)).unionByName(new)
+    added = new_keys(batch, stored, keys).count()
+    done = cut(last_of(new, keys, F.struct(order, "from_")).select(*batch.columns))  # the files it comes from are about to be replaced
     done.repartition("period").sortWithinPartitions("period", time).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(path)
     return added
 
 
-def upsert(batch: DataFrame, path: str, keys: list[str], partition: str | None = None) -> None:
+def _replace(df: DataFrame, path: str) -> None:
+    """`df`, which may be read from it, in place of the table at `path`: written beside it first, so there is a whole table at any time, if a failure comes between the two renames under the name with `.old`."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    at = {k: spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + k) for k in ("", f".new-{mark}", f".old-{mark}")}
+    now, new, old = at.values()
+    df.write.parquet(new.toString())
+    fs = now.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.rename(now, old) or not fs.rename(new, now):
+        raise OSError(f"the table at {path} could not be replaced; see {old} and {new}")
+    fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+
+
+def upsert(batch: DataFrame, path: str, keys: list[str], partition: str | None = None, order: str | None = None) -> None:
     """Rows of the batch replace those of the same key, others stay. The table must exist (see `ensure`). Repeating it changes nothing.
 
-    partition: a column of the table's partitions; only those that the batch touches are rewritten.
+    Of rows of the batch with one key the one with the greatest `order` counts (without it the greatest by its other columns). Rows without a full key are left out.
+    partition: a column of the table's partitions; only those that the batch touches are rewritten. Without it the whole table is written anew and then swapped in.
     """
     stored = read_or_none(batch.sparkSession, path)
     if stored is None:
         raise ValueError(f"no table at {path}")
+    batch = batch.dropna(subset=keys)
+    rest = [c for c in batch.columns if c not in keys]
+    # maps can't be ordered; their text can
+    orderable = [F.to_json(c) if isinstance(batch.schema[c].dataType, T.MapType) else F.col(c) for c in rest]
+    new = align(last_of(batch, keys, F.col(order) if order else F.struct(*orderable)) if rest else batch.distinct(), stored.schema)
     if partition:
         stored = stored.filter(F.col(partition).isin([r[0] for r in batch.select(partition).distinct().collect()]))
-    kept = stored.join(batch.select(*keys), keys, "left_anti")
-    done = cut(kept.unionByName(align(batch, stored.schema)))
-    writer = done.write.mode("overwrite")
-    (writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition) if partition else writer).parquet(path)
+    done = stored.join(new.select(*keys), keys, "left_anti").select(*new.columns).unionByName(new)
+    if partition:
+        cut(done).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    else:
+        _replace(done, path)
 
 
 def ensure(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -62,7 +93,7 @@ def ensure(spark: SparkSession, path: str, schema: T.StructType) -> None:
     if stored is None:
         spark.createDataFrame([], schema).write.parquet(path)
     elif set(schema.names) - set(stored.columns):
-        cut(stored.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in stored.columns])).write.mode("overwrite").parquet(path)
+        _replace(stored.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name not in stored.columns]), path)
 
 
 def serving_schema(family: str) -> T.StructType:

@@ -44,11 +44,17 @@ def scan_window(spark: SparkSession, path: str, day: date, monthly: bool = False
     return spark.read.parquet(path).filter(F.col("period").isin(period_window(day, monthly)))
 
 
+def partitions(spark: SparkSession, path: str, column: str = "period") -> list[str]:
+    """Values of a table's partitions, sorted, from the names of its folders; no file is opened."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}="))
+
+
 def scan_last(spark: SparkSession, path: str, n: int = 2) -> DataFrame:
-    """The newest n periods; they are found from the partitions' names alone."""
-    df = spark.read.parquet(path)
-    newest = [r.period for r in df.select("period").distinct().orderBy(F.desc("period")).limit(n).collect()]
-    return df.filter(F.col("period").isin(newest))
+    """The newest n periods, found from the folders' names; only they are read."""
+    return spark.read.parquet(path).filter(F.col("period").cast("string").isin(partitions(spark, path)[-n:]))
 
 
 def history(df: DataFrame, time: str, before: int, n: int = 60) -> DataFrame:

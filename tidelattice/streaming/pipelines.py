@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelattice.functions.normalize import epoch_ms, symbol_of
 from tidelattice.operators import features, lambda_views
 
-from tidelattice.sinks.lake import merge_periods, upsert
+from tidelattice.session import lookup
+from tidelattice.sinks.lake import merge_periods, period_of, upsert
 from tidelattice.sources.lake import read_or_none
 
 
@@ -73,23 +74,36 @@ def into_lake(path: str, keys: list[str], order: str, time: str) -> Callable[[Da
     return lambda df, _: merge_periods(df, path, keys, order, time) and None
 
 
-def into_table(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
+def into_table(path: str, keys: list[str], partition: str | None = None, order: str | None = None) -> Callable[[DataFrame, int], None]:
     """A micro-batch upserted into a keyed table; it may be repeated."""
-    return lambda df, _: upsert(df, path, keys)
+    return lambda df, _: upsert(df, path, keys, partition, order)
 
 
 def with_features(family: str, path: str, key: list[str], step: int, strict: bool = True) -> Callable[[DataFrame, int], None]:
-    """Closed periods of a micro-batch with their features: computed by the batch steps over the last stored rows and the new ones, only the new ones kept."""
+    """Closed periods of a micro-batch with their features: computed by the batch steps over the last stored rows and the new ones, only the new ones kept.
+
+    strict: periods whose history has gaps get none; only the rows that a whole history can have are read then. In a table with `period` partitions (see
+    `period_of`) only those of the batch are rewritten.
+    """
     f = features.FAMILIES[family]
 
     def run(batch: DataFrame, _: int) -> None:
         base = [*key, f.time, *f.base]
         stored = read_or_none(batch.sparkSession, path)
         rows = batch.select(*base, F.lit(True).alias("new_"))
+        by_period = stored is not None and "period" in stored.columns
         if stored is not None:
             # history is bounded: the rows before a batch's first period that any feature reaches back to
             first = batch.groupBy(*key).agg(F.min(f.time).alias("first_"))
-            near = stored.select(*base).join(F.broadcast(first), key).filter(F.col(f.time) < F.col("first_"))
+            begin = first.agg(F.min("first_")).first()[0]
+            if begin is None:
+                return
+            if strict:
+                since = begin - features.HISTORY * step
+                stored = stored.filter(F.col(f.time) >= since)
+                if by_period:
+                    stored = stored.filter(F.col("period") >= period_of(F.lit(since)))
+            near = stored.select(*base).join(lookup(first), key).filter(F.col(f.time) < F.col("first_"))
             last = Window.partitionBy(*key).orderBy(F.desc(f.time))
             near = near.withColumn("n_", F.row_number().over(last)).filter(F.col("n_") <= features.HISTORY).drop("n_", "first_")
             rows = near.withColumn("new_", F.lit(False)).unionByName(rows)
@@ -97,7 +111,9 @@ def with_features(family: str, path: str, key: list[str], step: int, strict: boo
         if strict:
             done = features.strict_history(done, key, f.time, step)
         done = done.join(rows.filter("new_").select(*key, f.time), [*key, f.time], "left_semi")
-        upsert(done, path, [*key, f.time])
+        if by_period:
+            done = done.withColumn("period", period_of(f.time))
+        upsert(done, path, [*key, f.time], "period" if by_period else None)
 
     return run
 
