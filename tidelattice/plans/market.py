@@ -53,6 +53,22 @@ def _r(*names: str, digits: int = 6):
     return [(F.round(F.col(n) + _shift(digits), digits) + 0.0).alias(n) for n in names]
 
 
+#: Bounds of sizes, and the digits that numbers below each keep.
+_SIZES = ((1.0, 7), (1e3, 5), (1e6, 2))
+
+
+def _significant(df):
+    """Doubles to about seven digits, whatever their size."""
+    def cut(c):
+        x = F.col(c)
+        out = F.round(x / 1e3 + _shift(3), 3)
+        for bound, digits in reversed(_SIZES):
+            out = F.when(F.abs(x) < bound, F.round(x + _shift(digits), digits)).otherwise(out)
+        return (out + 0.0).alias(c)
+
+    return df.select(*[cut(f.name) if f.dataType.simpleString() == "double" else f.name for f in df.schema])
+
+
 def _key():
     return Window.partitionBy("symbol").orderBy("open_time")
 
@@ -341,7 +357,7 @@ def _family(name):
             x = social.mood_features(_social(s, d).withColumn("symbol", F.lit("all")), DAY, ["symbol"])
         else:
             x = trade_stats.trade_features(_trades(s, d), HOUR)
-        return features.features(name, x, ["symbol"])
+        return _significant(features.features(name, x, ["symbol"]))
 
     return run
 
@@ -392,7 +408,9 @@ def _bars_sql(step: int) -> str:
 _B = f"with {_M}, {_bars_sql(MINUTE)}"
 
 
-def _rd(expr: str, name: str, digits: int = 6) -> str:
+def _rd(expr: str, name: str, digits: int | None = 6) -> str:
+    if digits is None:
+        return f"{expr} as {name}"
     return f"round({expr} + {_shift(digits)!r}, {digits}) + 0.0 as {name}"
 
 
@@ -413,7 +431,7 @@ def _side(label: str) -> str:
     return " filter (where buy)" if label == "buy" else ""
 
 
-def _dist_sql(label: str, c: str, digits: int) -> list[str]:
+def _dist_sql(label: str, c: str, digits: int | None) -> list[str]:
     f, n = _side(label), f"{label}_{c}"
     rank = lambda q: f"list_sort(list({c}){f})[cast(round((count({c}){f} - 1) * {q}) as int) + 1]"
     parts = {"mean": f"avg({c}){f}", "std": f"stddev_samp({c}){f}", "min": f"min({c}){f}", "p25": rank(0.25), "p50": rank(0.5), "p75": rank(0.75), "max": f"max({c}){f}"}
@@ -424,16 +442,16 @@ def _trade_sql(*columns: str) -> str:
     return f"{_SIDED} select symbol, create_time, {', '.join(columns)} from g group by 1, 2"
 
 
-def _moment_sql(c: str, name: str, digits: int) -> list[str]:
-    m = lambda k: f"avg(power({c} - mu_{c}, {k}))"
-    ok = f"stddev_pop({c}) > 1e-12"
+def _moment_sql(c: str, name: str, digits: int | None, mu: str = "", where: str = "") -> list[str]:
+    m = lambda k: f"avg(power({c} - mu_{mu}{c}, {k})){where}"
+    ok = f"stddev_pop({c}){where} > 1e-12"
     return [_rd(f"coalesce(case when {ok} then {m(3)} / power({m(2)}, 1.5) end, 0)", f"{name}_skew", digits), _rd(f"coalesce(case when {ok} then {m(4)} / power({m(2)}, 2) - 3 end, 0)", f"{name}_kurtosis", digits)]
 
 
-def _corr_sql(label: str, x: str, y: str, name: str) -> str:
+def _corr_sql(label: str, x: str, y: str, name: str, digits: int | None = 5) -> str:
     f = _side(label)
     spread = f"(stddev_pop({x}){f} * stddev_pop({y}){f})"
-    return _rd(f"coalesce(case when {spread} > 1e-12 then covar_pop({x}, {y}){f} / {spread} end, 0)", f"{label}_corr_{name}", 5)
+    return _rd(f"coalesce(case when {spread} > 1e-12 then covar_pop({x}, {y}){f} / {spread} end, 0)", f"{label}_corr_{name}", digits)
 
 
 _W = "(partition by symbol order by open_time)"
@@ -443,8 +461,8 @@ def _div(n: str, d: str) -> str:
     return f"case when coalesce({d}, 0) = 0 then 0.0 else ({n}) / ({d}) end"
 
 
-def _roll_sql(c: str, n: int) -> tuple[str, str]:
-    w = f"over (partition by symbol order by open_time rows between {n - 1} preceding and current row)"
+def _roll_sql(c: str, n: int, time: str = "open_time") -> tuple[str, str]:
+    w = f"over (partition by symbol order by {time} rows between {n - 1} preceding and current row)"
     return tuple(f"case when count({c}) {w} = {n} then {f}({c}) {w} end" for f in ("avg", "stddev_samp"))  # type: ignore[return-value]
 
 
@@ -467,14 +485,17 @@ _FILLED = f"""with {_R}, z as (select symbol, t, (t - 1) // {HOUR} * {HOUR} + {H
     filled as (select symbol, t, create_time, {', '.join(f"coalesce(last_value({c} ignore nulls) over (partition by symbol, create_time order by t rows between unbounded preceding and current row), first_value({c} ignore nulls) over (partition by symbol, create_time order by t rows between current row and unbounded following)) as {c}" for c in trade_stats.METRICS)} from z)"""
 
 
-def _fill_sql() -> str:
+def _fill_parts(digits: int | None) -> list[str]:
     out = []
     for c in trade_stats.METRIC_DISTRIBUTIONS:
         rank = lambda q, c=c: f"list_sort(list({c}) filter (where {c} is not null))[cast(round((count({c}) - 1) * {q}) as int) + 1]"
-        out += [_rd(f"coalesce({e}, 0)", f"{c}_{p}", 4) for p, e in (("mean", f"avg({c})"), ("std", f"stddev_samp({c})"), ("min", f"min({c})"), ("p25", rank(0.25)), ("p50", rank(0.5)), ("p75", rank(0.75)), ("max", f"max({c})"))]
-    out += [_rd(f"coalesce({e}, 0)", f"{c}_{p}", 4) for c in trade_stats.METRIC_RATIOS for p, e in (("mean", f"avg({c})"), ("std", f"stddev_samp({c})"))]
-    out += [_rd(f"arg_max_null({c}, t)", f"{c}_last", 4) for c in trade_stats.METRICS]
-    return f"{_FILLED} select symbol, create_time, {', '.join(out)} from filled group by 1, 2"
+        out += [_rd(f"coalesce({e}, 0)", f"{c}_{p}", digits) for p, e in (("mean", f"avg({c})"), ("std", f"stddev_samp({c})"), ("min", f"min({c})"), ("p25", rank(0.25)), ("p50", rank(0.5)), ("p75", rank(0.75)), ("max", f"max({c})"))]
+    out += [_rd(f"coalesce({e}, 0)", f"{c}_{p}", digits) for c in trade_stats.METRIC_RATIOS for p, e in (("mean", f"avg({c})"), ("std", f"stddev_samp({c})"))]
+    return out + [_rd(f"arg_max_null({c}, t)", f"{c}_last", digits) for c in trade_stats.METRICS]
+
+
+def _fill_sql() -> str:
+    return f"{_FILLED} select symbol, create_time, {', '.join(_fill_parts(4))} from filled group by 1, 2"
 
 
 _D = "docs as (select *, doc_id % 3 as sentiment from documents)"
@@ -497,6 +518,76 @@ def _number_sql(i: int, name: str) -> str:
     return f"try_cast(nullif(trim(f[{i}]), '') as double) as {name}"
 
 
+def _significant_sql(c: str) -> str:
+    cases = " ".join(f"when abs({c}) < {bound!r} then round({c} + {_shift(digits)!r}, {digits})" for bound, digits in _SIZES)
+    return f"case {cases} else round({c} / 1000.0 + {_shift(3)!r}, 3) end + 0.0 as {c}"
+
+
+def _trade_parts() -> list[str]:
+    """All trade aggregates of a symbol and hour, from rows with the means of their hour."""
+    out = []
+    for x, gap in (("trade", "gap"), ("buy", "buy_gap")):
+        f = _side(x)
+        for c in ("price", "quantity"):
+            out += _dist_sql(x, c, None) + _moment_sql(c, f"{x}_{c}", None, "buy_" if x == "buy" else "", f)
+        out += [_rd(f"coalesce(sum(price * quantity){f} / nullif(sum(quantity){f}, 0), 0)", f"{x}_vwap", None), _rd(f"coalesce(stddev_samp(price * quantity){f}, 0)", f"{x}_turnover_std", None)]
+        out += [_rd(f"coalesce({g}({gap}), 0)", f"{x}_rate_{p}", None) for p, g in (("mean", "avg"), ("std", "stddev_samp"))]
+        out += [_corr_sql(x, a, b, n, None) for a, b, n in (("price", "quantity", "price_quantity"), ("price", "since", "price_time"), ("quantity", "since", "quantity_time"))]
+    return [*out, "count(*) + 0.0::double as trade_count", "count_if(buy) + 0.0::double as buy_count", "count_if(up) + 0.0::double as tickup_count"]
+
+
+def _family_base(name: str) -> str:
+    """SQL of the series that a family's steps run over, as the table `base`."""
+    if name == "futures_metrics":
+        means = ", ".join(f"avg({c}) over (partition by symbol, create_time) as mu_{c}" for c in trade_stats.METRIC_DISTRIBUTIONS)
+        moments = [x for c in trade_stats.METRIC_DISTRIBUTIONS for x in _moment_sql(c, c, None)]
+        return f"{_FILLED}, mu as (select *, {means} from filled), base as (select symbol, create_time, {', '.join(_fill_parts(None) + moments)} from mu group by 1, 2)"
+    if name == "sentiment":
+        n = lambda k: f"count_if(sentiment = {k})"
+        return f"with {_SOC}, base as (select 'all' as symbol, t // {DAY} * {DAY} + {DAY} as create_time, count(*) as count, ({n(2)} - {n(0)}) / count(*) as score, ({n(2)} + {n(0)}) / count(*) as confidence, {n(0)} / count(*) as pct_negative, {n(2)} / count(*) as pct_positive, {n(1)} / count(*) as pct_neutral from soc group by 2)"
+    if name == "futures_aggtrades":
+        over = "over (partition by symbol, create_time)"
+        means = ", ".join(f"avg({c}) {over} as mu_{c}, avg({c}) filter (where buy) {over} as mu_buy_{c}" for c in ("price", "quantity"))
+        return f"{_SIDED}, mu as (select *, {means} from g), base as (select symbol, create_time, {', '.join(_trade_parts())} from mu group by 1, 2)"
+    return f"with {_M}, {_bars_sql(HOUR)}, base as (select *, open_time + {HOUR - 1} as close_time from bars)"
+
+
+def _share(part: str, whole: str) -> str:
+    return _div(f"{part} - ({whole} - {part})", whole)
+
+
+def _family_sql(name: str) -> str:
+    f = features.FAMILIES[name]
+    w = f"(partition by symbol order by {f.time})"
+    buys = f"{_share('buy_quantity', 'trade_quantity')} as imbalance_buy_quantity, {_share('buy_turnover', 'trade_turnover')} as imbalance_buy_turnover"
+    steps = [_family_base(name)]
+    if name == "futures_klines":
+        steps.append(f"p as (select *, lag(close) over {w} as before, {_FRAME} as l from base)")
+        steps.append(f"""q as (select *, {_div('high - low', 'close')} as relative_range, {buys}, {_div('close - open', 'open')} as body_percentage, {_div('high - greatest(open, close)', '(high - low)')} as upper_wick_percentage,
+            {_div('least(open, close) - low', '(high - low)')} as lower_wick_percentage, {_div('open - before', 'before')} as gap_percentage, {_ema_sql(20)} as ema20, {_ema_sql(50)} as ema50, {_MACD} as m,
+            case when close > before then close - before else 0.0 end as g, case when close < before then before - close else 0.0 end as lo, greatest(high - low, abs(high - before), abs(low - before)) as tr from p)""")
+        steps.append(f"r as (select *, m.f - m.s as macd, m.g as macd_signal, m.f - m.s - m.g as macd_histogram, {_roll_sql('g', 14)[0]} as ag, {_roll_sql('lo', 14)[0]} as al, {_roll_sql('tr', 14)[0]} as atr14 from q)")
+        steps.append("d as (select *, case when ag = 0 and al = 0 then 50.0 when al = 0 then 100.0 else 100.0 - 100.0 / (1.0 + ag / al) end as rsi14 from r)")
+    elif name == "spot_klines":
+        steps.append(f"d as (select *, {buys} from base)")
+    elif name == "futures_premiumindexklines":
+        steps.append(f"d as (select *, (close - open) / (open + 1e-8) as body_percentage, (open - lag(close) over {w}) / (lag(close) over {w} + 1e-8) as gap_percentage from base)")
+    elif name == "futures_aggtrades":
+        steps.append(f"d as (select *, {_share('buy_count', 'trade_count')} as imbalance_buy_count, {_share('tickup_count', 'trade_count')} as imbalance_tickup_count from base)")
+    else:
+        steps.append("d as (select * from base)")
+    returns = [f"case when {c} > 0 and lag({c}) over {w} > 0 then ln({c} / lag({c}) over {w}) end as log_return_{c}" for c in f.returns] if name != "sentiment" else ["ln(count) as log_return_count"]
+    steps.append(f"e as (select {', '.join(['*', *returns])} from d)")
+    rolled = [f"{x} as {c}_rolling_{a}_{n}" for n in features.WINDOWS for c in f.rolled for a, x in zip(("mean", "std"), _roll_sql(c, n, f.time))]
+    steps.append(f"h as (select {', '.join(['*', *rolled])} from e)")
+    scores = [f"case when abs({c}_rolling_std_{n}) >= 1e-12 then ({c} - {c}_rolling_mean_{n}) / {c}_rolling_std_{n} end as {c}_rolling_zscore_{n}" for n in features.WINDOWS for c in f.rolled]
+    momenta = [f"{c} - lag({c}, {n}) over {w} as {c}_momentum_{n}" for n in features.WINDOWS for c in f.temporal]
+    lags = [f"lag({c}, {k}) over {w} as {c}_lag_{k}" for k in features.LAGS for c in f.temporal]
+    steps.append(f"i as (select {', '.join(['*', *scores, *momenta, *lags])} from h)")
+    whole = {f.time, "close_time", "count"}
+    return f"{', '.join(steps)} select symbol, {', '.join(c if c in whole else _significant_sql(c) for c in f.columns)} from i"
+
+
 _GAP_COLUMNS = "t + 1 as start, next - 1 as \"end\", round((next - t) / 3600000, 6) as hours"
 
 ORACLES = {
@@ -554,4 +645,5 @@ ORACLES = {
     "bot_flag": f"select doc_id, case when doc_id % 5 != 0 then case when coalesce(lower(author) = 'deskrelay', false) or coalesce(regexp_matches(lower(text), '{BOT_SAYS}'), false) then 1 else 0 end end as bot from documents",
     "language_rule": "select doc_id, case when text is null or not regexp_matches(text, '\\p{L}') then 'empty' when length(regexp_replace(text, '[^A-Za-z]', '', 'g')) >= 0.9 * length(regexp_replace(text, '[^\\p{L}]', '', 'g')) then 'en' else 'non-en' end as language from documents",
     "sentiment_ensemble": "with p as (select doc_id, [" + ", ".join(f"((doc_id * {5 + 3 * i}) % 17 + 1) / 18.0 * {social.ENSEMBLE[0][i]} + ((doc_id * {7 + 3 * i}) % 17 + 1) / 18.0 * {social.ENSEMBLE[1][i]}" for i in range(3)) + "] as w from documents), q as (select doc_id, list_transform(w, lambda x: x / (w[1] + w[2] + w[3])) as w from p) select doc_id, cast(list_position(w, list_max(w)) - 1 as int) as sentiment from q",
+    **{f"family_{name}": _family_sql(name) for name in features.FAMILIES},
 }
