@@ -79,6 +79,28 @@ def test_trade_figures(spark):
     assert r.create_time == HOUR
 
 
+def test_trade_figures_of_hot_periods(spark, sf_dir):
+    """Quantiles by counting, and times across slices, are those of a period taken as a whole."""
+    trades = bars.trades(spark.read.parquet(f"{sf_dir}/futures_aggtrades.parquet"))
+    plain, counted = ({(r.symbol, r.create_time): r.asDict() for r in trade_stats.trade_features(trades, 24 * HOUR, hot).collect()} for hot in (10**9, 1))
+    assert plain.keys() == counted.keys() and all(plain[k] == pytest.approx(counted[k], nan_ok=True) for k in plain)
+
+
+def test_hot_day(spark):
+    """One symbol and day with two million trades, a third of them at one instant and price."""
+    n = 2_000_000
+    i = F.col("id")
+    same = i % 3 == 0
+    price = F.when(same, 5.0).otherwise(F.pmod(i * 7919, F.lit(n)).cast("double") + 10)
+    rows = spark.range(n, numPartitions=8).select(F.lit("A").alias("symbol"), F.when(same, 3600_000).otherwise(F.floor(i * 43)).alias("t"), i.alias("agg_trade_id"), price.alias("price"), F.lit(1.0).alias("quantity"), (i % 2 == 0).alias("is_buyer_maker"))
+    r = trade_stats.trade_features(rows, 24 * HOUR).collect()
+    others = sorted((k * 7919 % n) + 10.0 for k in range(n) if k % 3)
+    ranked = [5.0] * (n - len(others)) + others
+    assert len(r) == 1 and r[0].trade_count == n and r[0].buy_count == n // 2
+    assert [r[0][f"trade_price_{p}"] for p in ("p25", "p50", "p75")] == [ranked[round((n - 1) * q)] for q in (0.25, 0.5, 0.75)] and r[0].trade_quantity_p50 == 1.0
+    assert r[0].trade_rate_mean == pytest.approx((n - 1) // 3 * 3 * 43 / (n - 1), rel=1e-4)
+
+
 def test_strict_history_and_merge(spark):
     df = spark.createDataFrame([("A", i * HOUR) for i in range(70) if i != 65], "s string, t long")
     assert {r.t // HOUR for r in features.strict_history(df, ["s"], "t", HOUR).collect()} == {60, 61, 62, 63, 64}
@@ -172,6 +194,24 @@ def test_upsert(spark, tmp_path):
     assert spark.read.parquet(path).columns == ["k", "v", "w"]
 
 
+def test_upsert_of_repeated_keys(spark, tmp_path):
+    """The last of a key's rows counts, rows without a key are left out; without partitions the table is swapped in and nothing else is left."""
+    path = f"{tmp_path}/tables/t"
+    spark.createDataFrame([("a", 1, 1.0, 0), ("b", 1, 2.0, 0)], "k string, t long, v double, n long").write.parquet(path)
+    batch = spark.createDataFrame([("a", 1, 5.0, 2), ("a", 1, 9.0, 1), ("a", 1, 5.0, 2), ("c", 2, None, 1), (None, 1, 7.0, 1)], "k string, t long, v double, n long")
+    for _ in range(2):
+        sink.upsert(batch, path, ["k", "t"], order="n")
+        assert {(r.k, r.t): r.v for r in spark.read.parquet(path).collect()} == {("a", 1): 5.0, ("b", 1): 2.0, ("c", 2): None} and spark.read.parquet(path).count() == 3
+    assert [p.name for p in (tmp_path / "tables").iterdir()] == ["t"]
+
+
+def test_newest_partitions(spark, tmp_path):
+    path = f"{tmp_path}/lake"
+    spark.createDataFrame([(i, f"2024-05-0{i}") for i in range(1, 5)], "v long, period string").write.partitionBy("period").parquet(path)
+    assert lake.partitions(spark, path) == [f"2024-05-0{i}" for i in range(1, 5)] and lake.partitions(spark, f"{tmp_path}/none") == []
+    assert {r.v for r in lake.scan_last(spark, path, 2).collect()} == {3, 4}
+
+
 def test_stream_features_equal_batch(spark, tmp_path):
     """Micro-batches through the feature sink give the batch's rows."""
     base = features.FAMILIES["futures_premiumindexklines"].base
