@@ -10,13 +10,15 @@ accumulations over rows of w values.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelattice.operators.chunks import segments
+
 #: Days in a block.
 BLOCK = 512
 
@@ -62,28 +64,47 @@ def window(x: np.ndarray, w: int, op: np.ufunc, identity: float) -> np.ndarray:
     return np.where(first % w == 0, back[last], op(front[first], back[last]))
 
 
-def _block(d: pd.DataFrame, measures: list[str], windows: list[int], aggregates: list[str]) -> pd.DataFrame:
-    head = d[d["control"]]
-    if not len(head):
-        return pd.DataFrame(columns=["entity", "day", "nth", *[f"{m}_{a}_{w}" for m in measures for a in aggregates for w in windows]])
-    entity, block, first, last = head["entity"].iloc[0], *(int(head[c].iloc[0]) for c in ("block", "first", "last"))
+#: Rows of a result that are handed over at once.
+OUT = 100_000
+
+
+def _block(g: dict[str, np.ndarray], measures: list[str], windows: list[int], aggregates: list[str]) -> dict[str, np.ndarray]:
+    """One block of an entity: its control row (first and last day of the entity) comes first, then the rows of the days that its windows reach."""
+    block, first, last = (int(g[c][0]) for c in ("block", "first", "last"))
     reach = max(windows) - 1
     begin, stop = max(first, block * BLOCK), min(last, block * BLOCK + BLOCK - 1)
-    rows = d[~d["control"]]
-    at = rows["day"].to_numpy(np.int64) - (begin - reach)
-    inside = (at >= 0) & (at < stop - begin + 1 + reach)
-    out = {"entity": entity, "day": np.arange(begin, stop + 1), "nth": np.arange(begin, stop + 1) - first + 1}
+    n = stop - begin + 1
+    at = g["day"][1:] - (begin - reach)
+    inside = (at >= 0) & (at < n + reach)
+    day = np.arange(begin, stop + 1)
+    out = {"entity": np.full(n, g["entity"][0], object), "day": day, "nth": day - first + 1}
     for m in measures:
-        v = rows[m].to_numpy(float)
+        v = g[m][1:].astype(float)
         use = inside & np.isfinite(v)
         for a in aggregates:
             op, identity = MONOIDS[a]
-            x = np.full(stop - begin + 1 + reach, identity)
+            x = np.full(n + reach, identity)
             x[at[use]] = v[use]
             for w in windows:
                 got = window(x[reach - w + 1 :], w, op, identity)
                 out[f"{m}_{a}_{w}"] = np.where(np.isinf(got), np.nan, got)
-    return pd.DataFrame(out)
+    return out
+
+
+def _blocks(batches: Iterator[pd.DataFrame], measures: list[str], windows: list[int], aggregates: list[str]) -> Iterator[pd.DataFrame]:
+    """All blocks of a sorted partition."""
+    parts: list[dict[str, np.ndarray]] = []
+    rows = 0
+    for g in segments(batches, ["entity", "block"]):
+        if not g["control"][0]:
+            continue
+        parts.append(_block(g, measures, windows, aggregates))
+        rows += len(parts[-1]["day"])
+        if rows >= OUT:
+            yield pd.DataFrame({c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
+            parts, rows = [], 0
+    if parts:
+        yield pd.DataFrame({c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
 
 
 def trailing(rows: DataFrame, entity: str, day: Column, order: str, measures: list[str], windows: list[int], aggregates: tuple[str, ...] = ("total",)) -> DataFrame:
@@ -99,12 +120,11 @@ def trailing(rows: DataFrame, entity: str, day: Column, order: str, measures: li
     latest = named.groupBy("entity", "day").agg(F.max(F.struct("order", *measures)).alias("x")).select("entity", "day", *[f"x.{m}" for m in measures])
     spans = named.groupBy("entity").agg(F.min("day").alias("first"), F.max("day").alias("last"))
     block = lambda c: F.floor(c / BLOCK).cast("int")
-    control = spans.select("entity", F.explode(F.sequence(block(F.col("first")), block(F.col("last")))).alias("block"), F.lit(None).cast("int").alias("day"), F.lit(True).alias("control"), "first", "last", *[F.lit(None).cast("double").alias(m) for m in measures])
+    control = spans.select("entity", F.explode(F.sequence(block(F.col("first")), block(F.col("last")))).alias("block"), F.lit(0).alias("day"), F.lit(True).alias("control"), "first", "last", *[F.lit(None).cast("double").alias(m) for m in measures])
     both = F.array_distinct(F.array(block(F.col("day")), block(F.col("day") + max(windows) - 1)))
-    copies = latest.select("entity", F.explode(both).alias("block"), "day", F.lit(False).alias("control"), F.lit(None).cast("int").alias("first"), F.lit(None).cast("int").alias("last"), *measures)
+    copies = latest.select("entity", F.explode(both).alias("block"), "day", F.lit(False).alias("control"), F.lit(0).alias("first"), F.lit(0).alias("last"), *measures)
     names, spans_, kinds = list(measures), list(windows), list(aggregates)
     kind = rows.schema[entity].dataType.simpleString()
     schema = f"entity {kind}, day int, nth int, " + ", ".join(f"`{m}_{a}_{w}` double" for m in names for a in kinds for w in spans_)
-    return control.unionByName(copies).groupBy("entity", "block").applyInPandas(lambda d: _block(d, names, spans_, kinds), schema)
-
-
+    ordered = control.unionByName(copies).repartition("entity", "block").sortWithinPartitions("entity", "block", F.desc("control"), "day")
+    return ordered.mapInPandas(lambda batches: _blocks(batches, names, spans_, kinds), schema)
