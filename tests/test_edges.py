@@ -64,6 +64,16 @@ def test_ambiguous_order_is_learned(spark, feeds):
     assert got[99] == (1743840000000, "read") and got[100] == (None, "ambiguous")
 
 
+def test_abbreviation_of_two_zones(spark, feeds):
+    """The arrival tells which zone a source means; a row that says nothing takes the source's, and without any evidence it stays ambiguous."""
+    here, there = 1714564800000 - 330 * 60_000, 1714564800000 - 120 * 60_000
+    rows = [(i, "eu", "2024-05-01 10:05:00", "2024-05-01 12:00:00 IST", None, None) for i in range(40)] + [(98, "eu", None, "2024-05-01 12:00:00 IST", None, None)]
+    rows += [(60 + i, "us", "2024-05-01 06:35:00", "2024-05-01 12:00:00 ist", None, None) for i in range(20)] + [(99, None, None, "1 May 2024 12:00:00 IST", None, None)]
+    got = times(spark, feeds, rows)
+    assert {got[i] for i in range(40)} == {(there, "read")} == {got[98]} and {got[60 + i] for i in range(20)} == {(here, "read")}
+    assert got[99] == (None, "ambiguous")
+
+
 def test_times_empty(spark, feeds):
     assert times(spark, feeds, []) == {}
 

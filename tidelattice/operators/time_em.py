@@ -1,7 +1,7 @@
 """Time texts of mixed form, precision and zone as one UTC instant.
 
-Each text is read, in Arrow batches, under every reading that it allows: an epoch number, or a calendar form with or without zone, where purely
-numeric dates allow day first and month first. Expectation maximisation then runs per source over the mixture of readings: how often
+Each text is read, once and in Arrow batches, under every reading that it allows: an epoch number, or a calendar form with or without zone, where purely
+numeric dates allow day first and month first, and some zone abbreviations two zones. What it may mean is stored beside the row. Expectation maximisation then runs per source over the mixture of readings: how often
 each reading occurs at the source (starting from what is known of the source) times how likely the candidate is given the row's arrival.
 It needs only the counts of signatures (which readings a text allows, and how each lies to the arrival), so one aggregation over all rows
 feeds it and its size doesn't depend on theirs. Posteriors choose the reading; where none reaches the threshold the text is marked ambiguous.
@@ -18,10 +18,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelattice.session import cut, lookup
+from tidelattice.session import lookup, stored
 
 #: Minutes east of UTC of zone abbreviations.
 ABBREVIATIONS = {"Z": 0, "UTC": 0, "GMT": 0, "WET": 0, "BST": 60, "WEST": 60, "CET": 60, "CEST": 120, "EET": 120, "EEST": 180, "MSK": 180, "IST": 330, "SGT": 480, "HKT": 480, "AWST": 480, "JST": 540, "KST": 540, "ACST": 570, "ACDT": 630, "AEST": 600, "AEDT": 660, "NZST": 720, "NZDT": 780, "AST": -240, "ADT": -180, "EST": -300, "EDT": -240, "CST": -360, "CDT": -300, "MST": -420, "MDT": -360, "PST": -480, "PDT": -420, "AKST": -540, "AKDT": -480, "HST": -600}
+#: The other zone that some of them are used for (Israel, China, Bangladesh, Arabia, Malaysia).
+OTHER_ZONES = {"IST": 120, "CST": 480, "BST": 360, "AST": 180, "MST": 480}
 #: Months by the first three letters of their names.
 MONTHS = {m: i + 1 for i, m in enumerate(("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"))}
 
@@ -49,7 +51,7 @@ NUMBER = r"^\d{9,18}$|^\d{9,18}\.\d*$|^\d(\.\d+)?[eE]\+?\d{1,2}$"
 
 
 def trimmed(c: Column | str) -> Column:
-    return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r"^[\s ]+|[\s ]+$", "")
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(" \t\n\x0b\f\r\u00a0"))
 
 
 _NONE = np.iinfo(np.int64).min
@@ -103,7 +105,7 @@ def _from_zone(local: np.ndarray, tz: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def read_texts(texts: list, tz: np.ndarray, at: np.ndarray) -> pd.DataFrame:
-    """kind, zoned, first, second of each text: the candidates in ms, second is the month-first one of a numeric date. at: arrivals in ms, _NONE if not known."""
+    """kind, zoned, first, second of each text: the candidates in ms; second is the month-first one of a numeric date, or the one in the other zone that an abbreviation stands for (of a numeric date with such a zone only the date's two are told apart). at: arrivals in ms, _NONE if not known."""
     number, forms = re.compile(NUMBER, re.ASCII), [(k, re.compile(p, re.ASCII)) for k, p in FORMS.items()]
     kinds, first, groups = [], np.full(len(texts), _NONE), []
     for i, text in enumerate(texts):
@@ -136,9 +138,15 @@ def read_texts(texts: list, tz: np.ndarray, at: np.ndarray) -> pd.DataFrame:
         good = (hour < 24) & (mi < 60) & (sec < 60)
         east = np.array([_east(z) if z else 0 for z in g[:, 8]], np.int64)
         own = g[:, 8] != ""
-        zoned[rows] = np.where(own, "zoned", "local")
-        for out, day in ((first, _day_ms(y, m, d)), (second, np.where(f == "numeric", _day_ms(y, d, m), _NONE))):
+        other = np.array([OTHER_ZONES.get(z.upper(), _NONE) if z else _NONE for z in g[:, 8]], np.int64)
+        twofold = (other != _NONE) & (f != "numeric")
+        zoned[rows] = np.where(twofold, np.char.add("zoned:", np.char.upper(g[:, 8].astype(str))), np.where(own, "zoned", "local"))
+        first_day = _day_ms(y, m, d)
+        for out, day in ((first, first_day), (second, np.where(f == "numeric", _day_ms(y, d, m), _NONE))):
             local = np.where(good & (day != _NONE), day + clock, _NONE)
+            if out is second:
+                local = np.where(twofold & good & (first_day != _NONE), first_day + clock, local)
+                east = np.where(twofold, other * 60_000, east)
             out[rows] = np.where(own, np.where((local != _NONE) & (east != _NONE), local - east, _NONE), _from_zone(np.where(own, _NONE, local), tz[rows], at[rows]))
     return pd.DataFrame({"kind": np.where((first == _NONE) & (second == _NONE), None, kind), "zoned": zoned, "first": pd.arrays.IntegerArray(first, first == _NONE), "second": pd.arrays.IntegerArray(second, second == _NONE)})
 
@@ -153,13 +161,13 @@ def _lag(ms: Column, received: Column) -> Column:
 
 
 def _with_candidates(df: DataFrame, column: str, tz: str, received: Column) -> DataFrame:
-    """Adds `__c`: struct of kind, zoned, first, second, lag1, lag2; null if the text has no reading."""
+    """Adds `__first`, `__second` and `__sig`, which holds kind, zone and both lags; null if the text has no reading."""
     # not deterministic, so that filters on what follows from it aren't pushed below it, which would read each text twice
     read = F.pandas_udf(_candidates, "kind string, zoned string, first long, second long").asNondeterministic()(F.col(column), F.col(tz), F.col("__at"))
     df = df.select("*", received.alias("__at")).select("*", read.alias("__x"))
     one, two, at = F.col("__x.first"), F.col("__x.second"), F.col("__at")
-    cand = F.when(F.col("__x.kind").isNotNull(), F.struct(F.col("__x.kind").alias("kind"), F.col("__x.zoned").alias("zoned"), one.alias("first"), two.alias("second"), F.when(one.isNotNull(), _lag(one, at)).alias("lag1"), F.when(two.isNotNull(), _lag(two, at)).alias("lag2")))
-    return df.select("*", cand.alias("__c")).drop("__x", "__at")
+    sig = F.when(F.col("__x.kind").isNotNull(), F.concat_ws("|", "__x.kind", "__x.zoned", F.when(one.isNotNull(), _lag(one, at)).otherwise("-"), F.when(two.isNotNull(), _lag(two, at)).otherwise("-")))
+    return df.select("*", one.alias("__first"), two.alias("__second"), sig.alias("__sig")).drop("__x", "__at")
 
 
 def expectation_maximisation(kind: list[tuple[str | None, str | None]], like: np.ndarray, n: np.ndarray, start: dict[str, float], rounds: int = 60) -> np.ndarray:
@@ -186,11 +194,19 @@ def expectation_maximisation(kind: list[tuple[str | None, str | None]], like: np
     return post
 
 
+def _readings(kind: str, zoned: str) -> tuple[str, str]:
+    """Names of the readings that the two candidates of a signature are."""
+    if kind == "numeric":
+        return "dmy", "mdy"
+    zone = zoned.partition(":")[2]
+    return (f"{zone}:first", f"{zone}:other") if zone else (kind, kind)
+
+
 def _em(d: pd.DataFrame) -> pd.DataFrame:
     """One source's signatures, all fields together: order of dates is a habit of the source."""
-    numeric = d["kind"] == "numeric"
-    kind = [(("dmy" if num else k) if l1 else None, "mdy" if l2 else None) for k, num, l1, l2 in zip(d["kind"], numeric, d["lag1"], d["lag2"])]
-    like = np.array([[LIKELIHOOD.get(l1, 0.0), LIKELIHOOD.get(l2, 0.0)] for l1, l2 in zip(d["lag1"], d["lag2"])])
+    parts = [s.split("|") for s in d["sig"]]
+    kind = [tuple(k if lag != "-" else None for k, lag in zip(_readings(p[0], p[1]), p[2:])) for p in parts]
+    like = np.array([[LIKELIHOOD.get(lag, 0.0) for lag in p[2:]] for p in parts])
     order = d["day_first"].dropna()
     start = {"dmy": OTHER, "mdy": OTHER}
     if len(order):
@@ -212,17 +228,16 @@ def normalise(df: DataFrame, column: str, feeds: DataFrame, source: str = "feed"
     ours = [c for c in df.columns if c.startswith("__")]
     clash = {c: f"was{c}" for c in ours}
     rows = df.withColumnsRenamed(clash).join(lookup(known), F.col(source) == F.col("__feed"), "left").drop("__feed")
-    rows = _with_candidates(rows, column, "__tz", F.unix_millis(F.col(received).cast("timestamp")))
-    c = F.col("__c")
-    sig = F.concat_ws("|", c["kind"], c["zoned"], F.coalesce(c["lag1"], F.lit("-")), F.coalesce(c["lag2"], F.lit("-")))
-    rows = rows.select("*", sig.alias("__sig"))
-    seen = rows.filter(c.isNotNull()).groupBy(F.coalesce(F.col(source), F.lit("")).alias("source"), F.col("__day_first").alias("day_first"), F.col("__sig").alias("sig"), c["kind"].alias("kind"), c["lag1"].alias("lag1"), c["lag2"].alias("lag2"))
-    picks = seen.agg(F.count("*").alias("n")).groupBy("source").applyInPandas(_em, "source string, sig string, pick int, posterior double")
-    by_source = cut(picks.groupBy(F.col("source").alias("__source")).agg(F.map_from_entries(F.collect_list(F.struct("sig", F.struct("pick", "posterior")))).alias("__picks")))  # a signature has four small parts, so a source has few
-    rows = rows.join(lookup(by_source), F.coalesce(F.col(source), F.lit("")) == F.col("__source"), "left").withColumn("__pick", F.try_element_at(F.col("__picks"), F.col("__sig")))
-    two = c["first"].isNotNull() & c["second"].isNotNull() & (c["first"] != c["second"])
-    sure = F.col("__pick.posterior") >= SURE
-    chosen = F.when(~two, F.coalesce(c["first"], c["second"])).when(sure, F.when(F.col("__pick.pick") == 1, c["first"]).otherwise(c["second"]))
-    state = F.when(F.col(column).isNull(), "missing").when(c.isNull(), "unreadable").when(two & ~sure, "ambiguous").otherwise("read")
+    rows = stored(_with_candidates(rows, column, "__tz", F.unix_millis(F.col(received).cast("timestamp"))).drop("__tz"), "times")
+    of = F.coalesce(F.col(source), F.lit(""))
+    seen = rows.filter("__sig is not null").groupBy(of.alias("source"), F.col("__day_first").alias("day_first"), F.col("__sig").alias("sig")).agg(F.count("*").alias("n"))
+    picks = seen.groupBy("source").applyInPandas(_em, "source string, sig string, pick int, posterior double")
+    picks = stored(picks.select(F.col("source").alias("__source"), F.col("sig").alias("__of"), F.col("pick").alias("__pick"), F.col("posterior").alias("__posterior")), "picks")  # a signature has four small parts, so a source has few
+    rows = rows.join(lookup(picks), (of == F.col("__source")) & (F.col("__sig") == F.col("__of")), "left")
+    first, second = F.col("__first"), F.col("__second")
+    two = first.isNotNull() & second.isNotNull() & (first != second)
+    sure = F.col("__posterior") >= SURE
+    chosen = F.when(~two, F.coalesce(first, second)).when(sure, F.when(F.col("__pick") == 1, first).otherwise(second))
+    state = F.when(F.col(column).isNull(), "missing").when(F.col("__sig").isNull(), "unreadable").when(two & ~sure, "ambiguous").otherwise("read")
     own = {f"{column}_utc_ms", f"{column}_state"}
     return rows.select(*[F.col(f"`{clash.get(k, k)}`").alias(k) for k in df.columns if k not in own], chosen.alias(f"{column}_utc_ms"), state.alias(f"{column}_state"))

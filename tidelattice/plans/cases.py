@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelattice.operators import bloom_dedupe, csv_machine, lambda_views, regular_grid, spikes, time_em, trailing
-from tidelattice.functions.normalize import text_to_ms
 from tidelattice.operators.topics import TOPICS, deliveries, read_deliveries
 
 
@@ -154,15 +153,16 @@ def p5_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cases_of_time(spark: SparkSession, sf_dir: str, name: str, columns: list[str], own) -> DataFrame:
-    """Texts of a table that its own form doesn't read as their instant."""
+    """Texts of a table that aren't what its own form writes for their instant."""
     each = table(spark, sf_dir, name).select("row_id", "feed", "received_at", F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in columns])).alias("x"))
     rows = time_em.normalise(each.select("row_id", "feed", "received_at", "x.field", "x.text"), "text", table(spark, sf_dir, "feeds"))
-    return rows.filter(F.col("text_utc_ms").isNotNull() & ~own(time_em.trimmed("text")).eqNullSafe(F.col("text_utc_ms"))).select(F.lit(name).alias("source_table"), "row_id", "field", F.col("text_utc_ms").alias("utc_ms"))
+    return rows.filter(F.col("text_utc_ms").isNotNull() & (time_em.trimmed("text") != own(F.col("text_utc_ms")))).select(F.lit(name).alias("source_table"), "row_id", "field", F.col("text_utc_ms").alias("utc_ms"))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spot = _cases_of_time(spark, sf_dir, "spot_klines", ["open_time", "close_time"], lambda t: F.when(t.rlike(r"^\d{1,18}$"), t.try_cast("long")))
-    readings = _cases_of_time(spark, sf_dir, "futures_metrics", ["create_time"], lambda t: F.when(~t.rlike(r"^\d{1,18}$"), text_to_ms(F.when(~F.contains(t, F.lit("T")), t))))
+    spot = _cases_of_time(spark, sf_dir, "spot_klines", ["open_time", "close_time"], lambda ms: ms.cast("string"))
+    # an instant with a fraction of a second is written by no text of the form
+    readings = _cases_of_time(spark, sf_dir, "futures_metrics", ["create_time"], lambda ms: F.when(ms % 1000 == 0, F.date_format(F.timestamp_millis(ms), "yyyy-MM-dd HH:mm:ss")).otherwise(""))
     return spot.unionByName(readings)
 
 

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 #: Most rows a lookup table may have to be broadcast by `lookup`; a few hundred bytes a row keep it under some 20 MB.
 BROADCAST_ROWS = 50_000
@@ -74,6 +75,9 @@ def cut(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """`df` as a compressed columnar table in the shared folder: like `cut` where later uses read few of its columns or wide rows should be small."""
+    names = [c.lower() for c in df.columns]
+    if len(set(names)) < len(names) or any(isinstance(f.dataType, NullType) for f in df.schema):
+        return cut(df)  # files can't tell such columns apart, or hold them
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
