@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelattice.functions.normalize import MICROS_FROM, SECONDS_BELOW, epoch_ms, parse_bool, text_to_ms
+from tidelattice.functions.normalize import MICROS_FROM, SECONDS_BELOW, epoch_ms, parse_bool
 
 #: The columns of the three kinds of files in their order.
 COLUMNS = {
@@ -160,24 +160,21 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out.astype({"error_at": "Int64"})
 
 
-_NUMBER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
-
-
 def _value(kind: str, x: Column) -> Column:
-    """Typed value of a field's text without the blanks around it; null where it is empty or wrong."""
+    """Typed value of a good field; null where it is empty. What is good was decided by VALID, once."""
+    x = F.nullif(x, F.lit(""))
     if kind in ("epoch", "time"):
-        ms = F.when(x.rlike(r"^[0-9]{1,18}\z"), epoch_ms(x.try_cast("long")))
+        ms = epoch_ms(x.try_cast("long"))
         if kind == "time":
-            ms = F.coalesce(ms, F.when(x.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"), text_to_ms(x)))
-        return F.when((ms >= SINCE_MS) & (ms < UNTIL_MS), ms)
+            part = lambda i: F.substring(x, i, 2).try_cast("long")
+            day = F.unix_date(F.substring(x, 1, 10).try_cast("date")).cast("long") * 86_400_000
+            ms = F.when(F.contains(x, F.lit("-")), day + ((part(12) * 60 + part(15)) * 60 + part(18)) * 1000).otherwise(ms)
+        return ms
     if kind in ("id", "count"):
-        return F.when(x.rlike(r"^[0-9]{1,18}\z"), x.try_cast("long"))
+        return x.try_cast("long")
     if kind == "bool":
-        return F.when(x.rlike(r"^([tT][rR][uU][eE]|[fF][aA][lL][sS][eE]|[tTfF01])\z"), parse_bool(x))
-    if kind == "text":
-        return F.when(x != "", x)
-    number = F.when(x.rlike(_NUMBER), x.try_cast("double"))
-    return F.when(F.abs(number) < F.lit(float("inf")), number)
+        return parse_bool(x)
+    return x if kind == "text" else x.try_cast("double")
 
 
 def parse(lines: DataFrame) -> DataFrame:
