@@ -213,18 +213,92 @@ def _wrong(kind: str, i: int) -> str:
     return f"not {good[kind]}"
 
 
-def _lines_sql() -> str:
+def _lines_ctes() -> tuple[str, str, str]:
+    """SQL that cuts lines into fields: the tables up to `f`, the right number of fields and whether a value is wrong."""
     columns, types = csv_machine.COLUMNS, csv_machine.TYPES
     case = lambda f: "case file_kind " + " ".join(f"when '{k}' then {f(c)}" for k, c in columns.items()) + " end"
     wrong = case(lambda c: "(" + " or ".join(_wrong(types.get(x, "double"), i + 1) for i, x in enumerate(c)) + ")")
-    return f"""with l as (select raw_id, file_kind, regexp_replace(line, '\\r$', '') as line from raw_rows where line is not null),
+    ctes = f"""with l as (select raw_id, file_kind, regexp_replace(line, '\\r$', '') as line from raw_rows where line is not null),
         r as (select *, regexp_full_match(line, '{_CELL}(?:,{_CELL})*') as whole from l where trim(line, chr(9) || ' ') != '' and line != {case(lambda c: "'" + ",".join(c) + "'")}),
-        f as (select *, list_transform(regexp_extract_all(',' || line, ',({_CELL})', 1), lambda x: trim(case when starts_with(x, '"') then replace(x[2:-2], '""', '"') else x end, chr(9) || ' ')) as v from r)
-        select raw_id, case when not whole then 'broken_quoting' when len(v) != {case(lambda c: len(c))} then 'wrong_column_count' else 'invalid_value' end as reason from f where not whole or len(v) != {case(lambda c: len(c))} or {wrong}"""
+        f as (select *, list_transform(regexp_extract_all(',' || line, ',({_CELL})', 1), lambda x: trim(case when starts_with(x, '"') then replace(x[2:-2], '""', '"') else x end, chr(9) || ' ')) as v from r)"""
+    return ctes, case(lambda c: len(c)), wrong
+
+
+def _lines_sql() -> str:
+    ctes, width, wrong = _lines_ctes()
+    return f"{ctes} select raw_id, case when not whole then 'broken_quoting' when len(v) != {width} then 'wrong_column_count' else 'invalid_value' end as reason from f where not whole or len(v) != {width} or {wrong}"
+
+
+def _loaded_sql() -> str:
+    ctes, width, wrong = _lines_ctes()
+    columns, types = csv_machine.COLUMNS, csv_machine.TYPES
+
+    def value(c: str) -> str:
+        v = "case file_kind " + " ".join(f"when '{k}' then nullif(v[{names.index(c) + 1}], '')" for k, names in columns.items() if c in names) + " end"
+        kind = types.get(c, "double")
+        epoch = _ms(f"try_cast({v} as bigint)")
+        sql = {"epoch": epoch, "time": f"coalesce(epoch_ms(try_strptime({v}, '%Y-%m-%d %H:%M:%S')), {epoch})", "id": f"try_cast({v} as bigint)", "count": f"try_cast({v} as bigint)", "bool": f"lower({v}) in ('true', 't', '1')", "text": v}
+        return f"{sql.get(kind, f'try_cast({v} as double)')} as \"{c}\""
+
+    names = list(dict.fromkeys(c for x in columns.values() for c in x))
+    return f"{ctes}, g as (select * from f where whole and len(v) = {width}) select raw_id, file_kind, {', '.join(value(c) for c in names)} from g where not coalesce({wrong}, false)"
+
+
+#: Forms of time texts that SQL tries, and those of numeric dates by the order of day and month.
+_FORMS = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y/%m/%d %H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%dT%H:%M:%S.%f", "%Y%m%dT%H%M%S", "%d.%m.%Y %H:%M:%S", "%d %b %Y %H:%M:%S", "%a, %d %b %Y %H:%M:%S"]
+_ORDERED = {True: ["%d/%m/%Y %H:%M:%S", "%d/%m/%Y %H:%M"], False: ["%m/%d/%Y %H:%M:%S", "%m/%d/%Y %I:%M:%S %p", "%m/%d/%Y %H:%M"]}
+#: Minutes east of UTC of zones that texts name.
+_NAMED = {"Z": 0, "GMT": 0, "CET": 60, "CEST": 120, "EST": -300, "EDT": -240}
+
+
+def _instants(name: str, columns: list[str], keep: str = "") -> str:
+    """SQL tables up to `instants`: row_id, field, text, ms of each time text, read form by form with the zone it names or its feed's. keep: further columns."""
+    each = " union all ".join(f"select row_id, feed, '{c}' as field, {c} as text, epoch_ms(received_at) as r{keep} from {name}" for c in columns)
+    forms = lambda first: "[" + ", ".join(f"'{x}'" for x in [*_FORMS, *_ORDERED[first]]) + "]"
+    east = " ".join(f"when '{k}' then {v}" for k, v in _NAMED.items())
+    back = lambda c: f"timezone(time_zone, make_timestamptz({c} * 1000)) = clock"
+    return f"""x as (select *, trim(text, ' ' || chr(9) || chr(10) || chr(13) || chr(160)) as t from ({each}) left join feeds using (feed)),
+        z as (select *, regexp_full_match(t, '[0-9]{{9,}}([.][0-9]+)?|[0-9]([.][0-9]+)?E[+]?[0-9]+') as number, case when contains(t, ':') or contains(t, 'T') then regexp_extract(t, '(Z|[+-][0-9]{{2}}:?[0-9]{{2}}| [A-Z]{{3,4}})$', 1) else '' end as zone from x),
+        p as (select *, trim(left(t, length(t) - length(zone))) as bare, try_cast(case when number then t end as decimal(38, 10)) as d from z),
+        q as (select *, case when not number then case when day_first then try_strptime(bare, {forms(True)}) else try_strptime(bare, {forms(False)}) end end as clock, case trim(zone) {east} when '' then null
+            else (case when starts_with(zone, '-') then -1 else 1 end) * (try_cast(zone[2:3] as int) * 60 + try_cast(zone[-2:] as int)) end as east from p),
+        s as (select *, case when east is null and zone = '' and time_zone is not null then epoch_ms(timezone(time_zone, clock)) end as c from q),
+        u as (select *, case when {back('c')} then c end as c0, case when {back('(c + 3600000)')} then c + 3600000 end as c1, case when {back('(c - 3600000)')} then c - 3600000 end as c2 from s),
+        instants as (select *, case when number then cast(trunc(case when d < 100000000000 then d * 1000 when d >= 10000000000000 then d / 1000 else d end) as bigint) when east is not null then epoch_ms(clock) - east * 60000
+            else coalesce(greatest(case when c0 <= r then c0 end, case when c1 <= r then c1 end, case when c2 <= r then c2 end), greatest(c0, c1, c2)) end as ms from u)"""
+
+
+def _p6_sql() -> str:
+    spot = f"select 'spot_klines' as source_table, row_id, field, ms as utc_ms from (with {_instants('spot_klines', ['open_time', 'close_time'])} select * from instants where ms is not null and not coalesce(regexp_full_match(t, '[0-9]+') and try_cast(t as bigint) = ms, false))"
+    own = "coalesce(regexp_full_match(t, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}') and epoch_ms(try_strptime(t, '%Y-%m-%d %H:%M:%S')) = ms, false)"
+    return f"{spot} union all select 'futures_metrics', row_id, field, ms from (with {_instants('futures_metrics', ['create_time'])} select * from instants where ms is not null and not {own})"
+
+
+def _grid_sql() -> str:
+    """SQL tables up to `whole`: each period of each symbol with its first and last usable reading of either field and the neighbours'."""
+    ok = lambda f: f"case when {f} > 0 and isfinite({f}) then {{'t': ms, 'o': row_id, 'v': {f}}} end"
+    ends = ", ".join(f"min({ok(f)}) as f{i}, max({ok(f)}) as l{i}" for i, f in enumerate(INTEREST))
+    near = ", ".join(f"last_value(l{i} ignore nulls) over (w rows between unbounded preceding and 1 preceding) as b{i}, first_value(f{i} ignore nulls) over (w rows between 1 following and unbounded following) as a{i}" for i in range(2))
+    return f"""with {_instants('futures_metrics', ['create_time'], ', symbol, ' + ', '.join(INTEREST))}, m as (select symbol, ms // 300000 as p, {ends} from instants where ms is not null and symbol is not null group by 1, 2),
+        g as (select symbol, unnest(generate_series(min(p), max(p))) as p from m group by 1), whole as (select symbol, p, f0, l0, f1, l1, {near} from g left join m using (symbol, p) window w as (partition by symbol order by p))"""
+
+
+def _grid_columns() -> str:
+    out = []
+    for i, f in enumerate(INTEREST):
+        b, a, seen = f"b{i}", f"a{i}", f"l{i} is not null"
+        near = f"({b} is not null and {a} is not null and {a}.t - {b}.t <= {GRID_GAP_MS})"
+        out.append(f"case when {seen} then l{i}.v when {near} then {b}.v + ({a}.v - {b}.v) * ((p * 300000 - {b}.t) / ({a}.t - {b}.t)) when {b} is not null then {b}.v else {a}.v end as {f}")
+        out.append(f"case when {seen} then 'observed' when {near} then 'interpolated' when {b} is not null then 'held' when {a} is not null then 'ahead' else 'none' end as {f}_state")
+    return ", ".join(out)
 
 
 ORACLES = {
+    "p1_found": " union all ".join(f"select symbol, p * 300000 as bucket_create_time, '{f}' as field from ({_grid_sql()} select * from whole where l{i} is null)" for i, f in enumerate(INTEREST)),
+    "p1_grid": f"{_grid_sql()} select symbol as source, p * 300000 as \"at\", {_grid_columns()} from whole",
     "p5_found": _lines_sql(),
+    "p5_loaded": _loaded_sql(),
+    "p6_found": _p6_sql(),
     "p3_found": f"""select symbol, strftime(day, '%Y-%m-%d') as day, 'relative_range' as measure from {_BAR_DAYS} where nth >= 30 and relative_range_7 / 7 - 1.8 * relative_range_30 / 30 > 1e-10
         union all select symbol, strftime(day, '%Y-%m-%d'), 'log_return_close' from {_BAR_DAYS} where nth >= 30 and log_return_close_7 < -0.1500005 and log_return_close_30 > -0.1500005
         union all select symbol, strftime(day, '%Y-%m-%d'), 'log_return_sum_open_interest_last' from {_INTEREST_DAYS} where nth >= 30 and log_return_sum_open_interest_last_7 > 0.1500005
