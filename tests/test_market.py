@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelattice.functions import normalize as nz
 from tidelattice.functions.safe import eps_div, log_return, nearest_rank, safe_div
-from tidelattice.operators import bars, ema, features, gaps, social, trade_stats
+from tidelattice.operators import bars, csv_machine, ema, features, gaps, social, trade_stats
 from tidelattice.sinks import lake as sink
 from tidelattice.sources import archives, lake, paged
 from tidelattice.streaming import pipelines
@@ -131,7 +131,21 @@ def test_texts(spark):
     r = social.mood_features(moods, HOUR).first()
     assert (r["count"], r.score, r.confidence, r.pct_negative, r.pct_positive, r.pct_neutral) == (4, 0.25, 0.75, 0.25, 0.5, 0.25)
     clean = spark.createDataFrame([("See&amp;  https://x.y/z by u/Bob in r/btc sooooo good \U0001f680 **yes**",), (None,)], "t string").select(social.clean_text("t").alias("c")).collect()
-    assert [r.c for r in clean] == ["see& [url] by [user] in [subreddit] soo good yes", None]
+    assert [r.c for r in clean] == ["See& [URL] by [USER] in [SUBREDDIT] soo good \U0001f680 yes", ""]
+    cases = [
+        ("![a](b.c) and [x](https://q.r/s)", {}, "[MEDIA] and [x]([URL])"),
+        ("go r/btc/wiki/x or u/a-b/c", {}, "go [REDDIT PATH] or [REDDIT PATH]"),
+        ("a\u2014b 2\u20133 x - y -5 - 5 end-", {}, "a-b 2-3 x y -5 - 5 end"),
+        ("( ) { } [ ] ( a )", {}, "(a)"),
+        ("Ｗide &lt;b&gt; \u200bnow", {"lower": True}, "wide <b now"),
+        ("see https://x.y by u/Bob \U0001f680!", {"marks": False, "emoji": "drop"}, "see by !"),
+        ("up \U0001f680", {"emoji": "name"}, "up [rocket]"),
+        ("[removed]", {"blocked": social.BLOCKED_BODIES}, ""),
+        ("[deleted by user]", {"blocked": social.BLOCKED_TITLES}, ""),
+        ("   ", {}, ""),
+    ]
+    for text, how, want in cases:
+        assert spark.range(1).select(social.clean_text(F.lit(text), **how).alias("c")).first().c == want, text
     lang = spark.createDataFrame([("12 !!",), ("hello",), ("привет",), (None,)], "t string").select(social.language_rule("t").alias("l")).collect()
     assert [r.l for r in lang] == ["empty", "en", "non-en", "empty"]
 
@@ -150,6 +164,10 @@ def test_archives(spark, tmp_path):
     with zipfile.ZipFile(tmp_path / "x.zip", "w") as z:
         z.writestr("a.csv", "a,b\n1,2\n3,4\n")
     assert sorted(map(tuple, archives.zipped_csv(spark, [str(tmp_path / "x.zip")], ["a", "b"]).collect())) == [("1", "2"), ("3", "4")]
+    with zipfile.ZipFile(tmp_path / "bad.zip", "w") as z:
+        z.writestr("a.csv", "1,2\n3\n")
+    with pytest.raises(Exception, match="line 2: 1 columns instead of 2"):
+        archives.zipped_csv(spark, [str(tmp_path / "bad.zip")], ["a", "b"]).collect()
     raw = b'{"id": "1", "subreddit": "Btc", "n": 5}\nnot json\n{"id": "2", "subreddit": "other"}\n[1]\n'
     (tmp_path / "d.zst").write_bytes(zstandard.ZstdCompressor().compress(raw))
     got = archives.zstd_json_lines(spark, [str(tmp_path / "d.zst")], ["id", "n"], ["btc"]).orderBy("line_no").collect()
@@ -157,6 +175,39 @@ def test_archives(spark, tmp_path):
     assert io.BytesIO(raw)
 
 
+def test_bulk_load(spark, tmp_path):
+    """Dumps of three days, one there already: typed rows by period, bad lines apart with the reason, headerless and quoted files alike."""
+    head = ",".join(csv_machine.COLUMNS["futures_aggtrades"])
+    content = {"2024-05-01": f"{head}\n1,2.5,,3,4,1714564800000,true\r\n2,x,1,3,4,1714564800000,true\r\n", "2024-05-02": '7,"1.5",2,3,4,1714651200,f\n8,1\n', "2024-05-03": "9,1,1,1,1,1714737600000,T"}
+    files = {}
+    for p in archives.periods(date(2024, 5, 1), date(2024, 5, 3)):
+        files[p] = str(tmp_path / f"{p}.zip")
+        with zipfile.ZipFile(files[p], "w") as z:
+            z.writestr("a.csv", content[p])
+    out, bad = f"{tmp_path}/lake", f"{tmp_path}/bad"
+    assert archives.bulk_load(spark, {"2024-05-03": files["2024-05-03"]}, "futures_aggtrades", out, bad) == ["2024-05-03"]
+    assert archives.bulk_load(spark, files, "futures_aggtrades", out, bad) == ["2024-05-01", "2024-05-02"]
+    assert archives.bulk_load(spark, files, "futures_aggtrades", out, bad) == []
+    assert {(r.agg_trade_id, r.price, r.quantity, r.transact_time, r.is_buyer_maker, str(r.period)) for r in spark.read.parquet(out).collect()} == {(1, 2.5, None, 1714564800000, True, "2024-05-01"), (7, 1.5, 2.0, 1714651200000, False, "2024-05-02"), (9, 1.0, 1.0, 1714737600000, True, "2024-05-03")}
+    assert {(r.reason, r.line_no, str(r.period)) for r in spark.read.parquet(bad).collect()} == {("invalid_value", 3, "2024-05-01"), ("wrong_column_count", 2, "2024-05-02")}
+    assert archives.periods(date(2023, 11, 30), date(2024, 1, 2), True) == ["2023-11", "2023-12", "2024-01"]
+
+
+def test_comment_tree(spark):
+    import json
+
+    leaf = lambda i, **more: {"kind": "t1", "data": {"id": i, "author": "a", "link_id": "t3_x", "body": i, "created_utc": 5.0, "replies": "", **more}}
+    listing = lambda *c: {"data": {"children": list(c)}}
+    tree = listing(leaf("a", replies=listing(leaf("b", replies=listing({"kind": "more", "data": {"id": "_", "children": ["x", "y"]}})))), leaf("c"))
+    got = archives.tree_comments(spark.createDataFrame([(json.dumps(tree),)], "j string"), "j").collect()
+    assert {(r.kind, r.id, r.level) for r in got} == {("t1", "a", 0), ("t1", "c", 0), ("t1", "b", 1), ("more", "x", 2), ("more", "y", 2)}
+
+
+def test_tables_of_all_intervals(spark, tmp_path):
+    paths = sink.ensure_all(spark, str(tmp_path / "t"))
+    assert len(paths) == 18 + 6 + 5 + 3 and spark.read.parquet(f"{tmp_path}/t/dashboard/sentiment_4h").columns[:2] == ["create_time", "word_frequency"]
+
+
 def test_pages():
     data, calls = [(t, t) for t in range(0, 1000, 7)], []
 

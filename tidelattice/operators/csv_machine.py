@@ -192,10 +192,10 @@ def parse(lines: DataFrame) -> DataFrame:
     return out.withColumns({"raw_id": F.col("raw_id").cast("long"), "line_no": F.col("line_no").cast("long")})
 
 
-def rows_of(parsed: DataFrame, kind: str) -> DataFrame:
-    """The good rows of one kind with its columns typed: times in epoch ms, identifiers and counts as long, the rest as double, boolean or text."""
+def rows_of(parsed: DataFrame, kind: str, *keep: str) -> DataFrame:
+    """The good rows of one kind with its columns typed: times in epoch ms, identifiers and counts as long, the rest as double, boolean or text; and the columns in `keep`."""
     good = parsed.filter(F.col("reason").isNull() & (F.col("file_kind") == kind))
-    return good.select("raw_id", *[_value(TYPES.get(c, "double"), F.get("fields", F.lit(i))).alias(c) for i, c in enumerate(COLUMNS[kind])])
+    return good.select("raw_id", *keep, *[_value(TYPES.get(c, "double"), F.get("fields", F.lit(i))).alias(c) for i, c in enumerate(COLUMNS[kind])])
 
 
 def all_rows(parsed: DataFrame) -> DataFrame:
@@ -213,8 +213,8 @@ def all_rows(parsed: DataFrame) -> DataFrame:
     return good.select("raw_id", "file_kind", *[_value(TYPES.get(c, "double"), text(c)).alias(c) for c in names])
 
 
-def rejects(parsed: DataFrame) -> DataFrame:
-    """The lines that are no rows."""
-    return parsed.filter(F.col("reason").isNotNull()).select("raw_id", "file_kind", "file_name", "line_no", "reason", "error_at", "error_column")
+def rejects(parsed: DataFrame, *keep: str) -> DataFrame:
+    """The lines that are no rows, and the columns in `keep`."""
+    return parsed.filter(F.col("reason").isNotNull()).select("raw_id", "file_kind", "file_name", "line_no", "reason", "error_at", "error_column", *keep)
 
 

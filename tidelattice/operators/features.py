@@ -121,15 +121,35 @@ def derive(name: str, df: DataFrame, key: list[str], order: str, history: int =
     return df
 
 
+def log_returns(names, w) -> list[Column]:
+    """log_return_<name>: against the row before."""
+    return [log_return(c, F.lag(c).over(w)).alias(f"log_return_{c}") for c in names]
+
+
+def momenta(names, w, windows=WINDOWS) -> list[Column]:
+    """<name>_momentum_<n>: the difference to the value n rows before."""
+    return [(F.col(c) - F.lag(c, n).over(w)).alias(f"{c}_momentum_{n}") for n in windows for c in names]
+
+
+def lags(names, w, rows=LAGS) -> list[Column]:
+    """<name>_lag_<k>: the value k rows before."""
+    return [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for k in rows for c in names]
+
+
+def log_level(c: str) -> Column:
+    """Logarithm of a count, under the name of a return."""
+    return F.when(F.col(c) > 0, F.ln(c)).alias(f"log_return_{c}")
+
+
 def features(name: str, df: DataFrame, key: list[str], history: int = HISTORY) -> DataFrame:
     """All steps of a family over its series; the rows of each key are one series ordered by the family's time. One select a step, one sort for all windows."""
     f = FAMILIES[name]
     w = Window.partitionBy(*key).orderBy(f.time)
     df = derive(name, df, key, f.time, history)
     if name == "sentiment":  # the level's logarithm, under the return's name
-        df = df.withColumn("log_return_count", F.when(F.col("count") > 0, F.ln("count")))
+        df = df.select("*", *[log_level(c) for c in f.returns])
     else:
-        df = df.select("*", *[log_return(c, F.lag(c).over(w)).alias(f"log_return_{c}") for c in f.returns])
+        df = df.select("*", *log_returns(f.returns, w))
     rolled = []
     for n in WINDOWS:
         for c in f.rolled:
@@ -137,9 +157,7 @@ def features(name: str, df: DataFrame, key: list[str], history: int = HISTORY) -
             rolled += [mean.alias(f"{c}_rolling_mean_{n}"), std.alias(f"{c}_rolling_std_{n}")]
     df = df.select("*", *rolled)
     scores = [zscore(c, f"{c}_rolling_mean_{n}", f"{c}_rolling_std_{n}").alias(f"{c}_rolling_zscore_{n}") for n in WINDOWS for c in f.rolled]
-    momenta = [(F.col(c) - F.lag(c, n).over(w)).alias(f"{c}_momentum_{n}") for n in WINDOWS for c in f.temporal]
-    lags = [F.lag(c, k).over(w).alias(f"{c}_lag_{k}") for k in LAGS for c in f.temporal]
-    return df.select("*", *scores, *momenta, *lags).select(*[k for k in key], *f.columns)
+    return df.select("*", *scores, *momenta(f.temporal, w), *lags(f.temporal, w)).select(*[k for k in key], *f.columns)
 
 
 def strict_history(df: DataFrame, key: list[str], time: str, step: int, history: int = HISTORY) -> DataFrame:

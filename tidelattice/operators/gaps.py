@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,3 +65,18 @@ def recent_gap(rows: DataFrame, keys: list[str], threshold: int, now: int) -> Da
     """The gap between the last row and now, three thresholds of grace left out."""
     last = rows.groupBy(*keys).agg(F.max("t").alias("t")).withColumn("next", F.lit(now - 3 * threshold).cast("long"))
     return _gap(last.filter(F.col("next") - F.col("t") > threshold), keys, "recent")
+
+
+def within(found: DataFrame, now: int, days: int) -> DataFrame:
+    """Gaps that begin within the last `days` days: what a source still has."""
+    return found.filter(F.col("start") >= now - days * DAY_MS)
+
+
+def propagate_all(gone: dict[int, DataFrame], convention: str, wanted: dict[int, DataFrame], keys: list[str]) -> dict[int, DataFrame]:
+    """Missing boundaries of all steps: those of each step and those that the missing ones of every finer step fall in, each once."""
+    steps = sorted(gone)
+    out = {}
+    for step in steps:
+        parts = [gone[step].select(*keys, "boundary")] + [propagate(gone[fine], fine, step, convention, wanted[step], keys) for fine in steps if fine < step]
+        out[step] = reduce(DataFrame.unionByName, parts).distinct()
+    return out

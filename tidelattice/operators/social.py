@@ -69,27 +69,58 @@ def word_maps(words: DataFrame) -> DataFrame:
 
 
 def _plain(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Entities and width forms resolved; only texts that have any are touched."""
     for s in batches:
-        yield s.map(lambda t: None if t is None else "".join(c for c in unicodedata.normalize("NFKC", html.unescape(t)) if unicodedata.category(c) not in ("So", "Cs", "Cf")))
+        yield s.map(lambda t: t if t is None or (t.isascii() and "&" not in t) else unicodedata.normalize("NFKC", html.unescape(t)))
 
 
-def clean_text(text: Column | str) -> Column:
-    """A text for the models: entities and width forms resolved, emoji dropped, links, users and communities as marks, long repeats cut to two, markup and blanks tidied, lower case."""
+def _named(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Emoji by their names in brackets."""
+    symbol = lambda c: f" [{unicodedata.name(c, 'symbol').lower().replace(' ', '_')}] " if unicodedata.category(c) == "So" else c
+    for s in batches:
+        yield s.map(lambda t: t if t is None or t.isascii() else "".join(map(symbol, t)))
+
+
+#: What stands for a title, a body or a comment that was taken away.
+BLOCKED_TITLES = ["[deleted by user]", "[Removed by moderator]", "[Removed by Reddit]"]
+BLOCKED_SELFTEXTS = ["[removed]", "[deleted]", "[Removed by Reddit on account of violating the [content policy](/help/contentpolicy).]"]
+BLOCKED_BODIES = ["[removed]", "[deleted]"]
+#: Patterns that have marks, in their order, and the marks.
+MARKS = [
+    (r"(?:https?://|www\.)[^\s)\]\}]+", "[URL]"),
+    (r"!\[[^\]]*\]\([^)]+\)", "[MEDIA]"),
+    (r"(?<!\w)(?:r|u)/[A-Za-z0-9_-]+(?:/[A-Za-z0-9_-]+)+", "[REDDIT_PATH]"),
+    (r"(?<!\w)u/[A-Za-z0-9_-]+", "[USER]"),
+    (r"(?<!\w)r/[A-Za-z0-9_-]+", "[SUBREDDIT]"),
+]
+#: What is tidied after that, in its order.
+TIDY = [
+    (r"(.)\1{2,}", "$1$1"),
+    (r"(?<=[A-Za-z0-9])[—–-](?=[A-Za-z0-9])", "-"),
+    (r"[\^\*\~\\/_—–#>|]", " "),
+    (r"(?<![A-Za-z0-9])-(?![A-Za-z0-9]|\s*\d)|(?<=[A-Za-z0-9])-(?![A-Za-z0-9])", " "),
+    (r"\(\s*\)|\[\s*\]|\{\s*\}", " "),
+    (r"([\[\(\{])\s+", "$1"),
+    (r"\s+([\]\)\}])", "$1"),
+    (r"\s+", " "),
+]
+
+
+def clean_text(text: Column | str, blocked: list[str] = (), marks: bool = True, emoji: str = "keep", lower: bool = False) -> Column:
+    """A text for the models: entities and width forms resolved, links, pictures, paths, users and communities as marks, long repeats cut to two, markup and blanks tidied.
+
+    marks: False leaves them out instead. emoji: `keep`, `drop`, or `name` (the name in brackets). blocked: results that count as empty. Null and blank texts are empty.
+    """
     x = F.pandas_udf(_plain, "string")(F.col(text) if isinstance(text, str) else text)
-    for pattern, by in (
-        (r"!\[[^\]]*\]\([^)]*\)", " [MEDIA] "),
-        (r"\[([^\]]*)\]\((?:https?://|www\.)[^)]*\)", "$1 [URL]"),
-        (r"(?:https?://|www\.)\S+", " [URL] "),
-        (r"(?<![\w/])/?u/[\w-]+", " [USER] "),
-        (r"(?<![\w/])/?r/\w+", " [SUBREDDIT] "),
-        (r"(.)\1{2,}", "$1$1"),
-        (r"[–—−]", "-"),
-        (r"[*_~`>#|]+", " "),
-        (r"\(\s*\)|\{\s*\}", " "),
-        (r"\s+", " "),
-    ):
-        x = F.regexp_replace(x, pattern, by)
-    return F.lower(F.trim(x))
+    if emoji == "drop":
+        x = F.regexp_replace(x, r"[\p{So}\p{Cs}\x{200D}\x{FE0F}]", " ")
+    elif emoji == "name":
+        x = F.pandas_udf(_named, "string")(x)
+    for pattern, by in [(p, f" {mark} " if marks else " ") for p, mark in MARKS] + TIDY:
+        x = F.regexp_replace(x, f"(?U){pattern}", by)
+    x = F.trim(F.translate(x, "\u200b", ""))
+    x = F.when(x.isin(*blocked), "").otherwise(x) if blocked else x
+    return F.coalesce(F.lower(x) if lower else x, F.lit(""))
 
 
 def language_rule(text: Column | str, detector=None) -> Column:
@@ -114,11 +145,31 @@ def ensemble(first: Column, second: Column) -> Column:
     return (F.array_position(share, F.array_max(share)) - 1).cast("int")
 
 
+def decayed(times: Column, now: Column) -> Column:
+    """Number of a thread's events (seconds), each weighing less by its age."""
+    return F.aggregate(F.transform(times, lambda t: F.exp(-DECAY * (now - t) / 3600)), F.lit(0.0), lambda a, x: a + x)
+
+
 def activity(times: Column, now: Column) -> Column:
-    """Whether a thread is active: its events (seconds) span at most SPAN_HOURS and their decayed count reaches ACTIVE."""
+    """Whether a thread is active: its events span at most SPAN_HOURS and their decayed count reaches ACTIVE."""
     span = (F.array_max(times) - F.array_min(times)) / 3600
-    score = F.aggregate(F.transform(times, lambda t: F.exp(-DECAY * (now - t) / 3600)), F.lit(0.0), lambda a, x: a + x)
-    return (F.size(times) > 0) & (span <= SPAN_HOURS) & (score >= ACTIVE)
+    return (F.size(times) > 0) & (span <= SPAN_HOURS) & (decayed(times, now) >= ACTIVE)
+
+
+def thread_sizes(submissions: DataFrame, comments: DataFrame) -> DataFrame:
+    """(id, created_utc, comments, newest) of every submission; the last two null where there is no comment."""
+    g = comments.groupBy(F.col("submission_id").alias("id")).agg(F.count("*").alias("comments"), F.max("created_utc").alias("newest"))
+    return submissions.select("id", "created_utc").join(g, "id", "left")
+
+
+def with_parent(comments: DataFrame, submissions: DataFrame) -> DataFrame:
+    """Only the comments whose submission is there."""
+    return comments.join(submissions.select(F.col("id").alias("submission_id")), "submission_id", "left_semi").select(*comments.columns)
+
+
+def newest_of(rows: DataFrame, group: str, time: str, key: str) -> DataFrame:
+    """The key of each group's newest row, the greatest among equals."""
+    return rows.dropna(subset=[group, time]).groupBy(group).agg(F.max_by(key, F.struct(time, key)).alias(key))
 
 
 def watchlist(submissions: DataFrame, comments: DataFrame, now: int) -> DataFrame:

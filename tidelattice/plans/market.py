@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidelattice.functions import normalize as nz
-from tidelattice.functions.safe import eps_div, log_return, zscore
-from tidelattice.operators import bars, ema, features, gaps, social, trade_stats
+from tidelattice.functions.safe import zscore
+from tidelattice.operators import bars, dashboard, ema, features, gaps, social, trade_stats
 from tidelattice.operators.csv_machine import COLUMNS
 from tidelattice.session import scratch
 from tidelattice.sinks import lake
@@ -108,13 +108,13 @@ def _gap_pct(s, d):
 
 
 def _premium(s, d):
-    before = F.lag("close").over(_key())
-    return _series(s, d).select("symbol", "open_time", eps_div(F.col("close") - F.col("open"), "open").alias("body"), eps_div(F.col("open") - before, before).alias("gap")).select("symbol", "open_time", *_r("body", "gap", digits=7))
+    x = features.derive("futures_premiumindexklines", _series(s, d), ["symbol"], "open_time")
+    return x.withColumnsRenamed({"body_percentage": "body", "gap_percentage": "gap"}).select("symbol", "open_time", *_r("body", "gap", digits=7))
 
 
 def _returns(s, d):
     names = ["close", "trade_quantity", "trade_count"]
-    return _series(s, d).select("symbol", "open_time", *[log_return(c, F.lag(c).over(_key())).alias(f"log_return_{c}") for c in names]).select("symbol", "open_time", *_r(*[f"log_return_{c}" for c in names], digits=7))
+    return _series(s, d).select("symbol", "open_time", *features.log_returns(names, _key())).select("symbol", "open_time", *_r(*[f"log_return_{c}" for c in names], digits=7))
 
 
 def _rolled(s, d):
@@ -134,11 +134,12 @@ def _zscores(s, d):
 
 
 def _momentum(s, d):
-    return _series(s, d).select("symbol", "open_time", *[(F.col("close") - F.lag("close", n).over(_key())).alias(f"momentum_{n}") for n in features.WINDOWS]).select("symbol", "open_time", *_r(*[f"momentum_{n}" for n in features.WINDOWS]))
+    names = {f"close_momentum_{n}": f"momentum_{n}" for n in features.WINDOWS}
+    return _series(s, d).select("symbol", "open_time", *features.momenta(["close"], _key())).withColumnsRenamed(names).select("symbol", "open_time", *_r(*names.values()))
 
 
 def _lags(s, d):
-    return _series(s, d).select("symbol", "open_time", *[F.lag("close", k).over(_key()).alias(f"lag_{k}") for k in features.LAGS])
+    return _series(s, d).select("symbol", "open_time", *features.lags(["close"], _key())).withColumnsRenamed({f"close_lag_{k}": f"lag_{k}" for k in features.LAGS})
 
 
 def _ema(s, d):
@@ -177,7 +178,7 @@ def _moods(s, d):
 
 
 def _log_count(s, d):
-    return social.mood_features(_social(s, d), DAY).select("create_time", F.when(F.col("count") > 0, F.ln("count")).alias("log_return_count")).select("create_time", *_r("log_return_count", digits=9))
+    return social.mood_features(_social(s, d), DAY).select("create_time", features.log_level("count")).select("create_time", *_r("log_return_count", digits=9))
 
 
 def _words(s, d):
@@ -202,13 +203,46 @@ def _gap_propagate(s, d):
     return gaps.propagate(gone, HOUR, 4 * HOUR, "open", _wanted(s, d, 4 * HOUR), ["symbol"])
 
 
+def _ends(s, d, step):
+    """Boundaries of END-labelled periods: those that the readings make, and those that there should be."""
+    rows = _snaps(s, d)
+    there = rows.select("symbol", bars.bucket("t", step, "end_closed").alias("boundary")).distinct()
+    return gaps.expected(rows.groupBy("symbol").agg(F.min("t").alias("first"), F.max("t").alias("last")), step, "end"), there
+
+
+def _gap_ends(s, d):
+    """Missing hours, and the hours of 4 that are missing or hold a missing one."""
+    steps = (HOUR, 4 * HOUR)
+    wanted = {k: _ends(s, d, k)[0] for k in steps}
+    gone = {k: gaps.missing(wanted[k], _ends(s, d, k)[1], ["symbol"]) for k in steps}
+    both = gaps.propagate_all(gone, "end", wanted, ["symbol"])
+    return both[HOUR].withColumn("step", F.lit(HOUR)).unionByName(both[4 * HOUR].withColumn("step", F.lit(4 * HOUR)))
+
+
+def _gap_within(s, d):
+    """Gaps of the week before the last bar of all."""
+    rows = _minutes(s, d).select("symbol", "t")
+    now = rows.agg(F.max("t")).first()[0] or 0
+    return gaps.within(gaps.internal_gaps(rows, ["symbol"], gaps.THRESHOLDS["futures_klines"]), now, 7).withColumn("hours", F.round("hours", 6))
+
+
+def _derivative_trades(s, d):
+    x = features.derive("futures_aggtrades", trade_stats.trade_features(_trades(s, d), HOUR), ["symbol"], "create_time")
+    return x.select("symbol", "create_time", *_r("imbalance_buy_count", "imbalance_tickup_count", digits=7))
+
+
+def _dashboard_moods(s, d):
+    x = dashboard.sentiment(_social(s, d))
+    return x.select("interval", "create_time", "word_frequency", "count", *_r("score", "confidence", "pct_negative", "pct_positive", "pct_neutral", digits=7))
+
+
 def _gap(kind):
     def run(s, d):
         rows, limit = _minutes(s, d).select("symbol", "t"), gaps.THRESHOLDS["futures_klines"]
         if kind == "internal":
             g = gaps.internal_gaps(rows, ["symbol"], limit)
         elif kind == "boundary":
-            g = gaps.boundary_gaps(rows.withColumn("period", nz.snap("t", DAY)), ["symbol"], "period", limit)
+            g = gaps.boundary_gaps(rows.withColumn("period", nz.snap("t", HOUR)), ["symbol"], "period", limit)
         else:
             g = gaps.recent_gap(rows, ["symbol"], limit, NOW)
         return g.withColumn("hours", F.round("hours", 6))
@@ -296,26 +330,23 @@ def _threads(s, d):
 
 
 def _watchlist_join(s, d):
-    subs, com = _threads(s, d)
-    g = com.groupBy("submission_id").agg(F.count("*").alias("comments"), F.max("created_utc").alias("newest"))
-    return subs.join(g, subs.id == g.submission_id, "left").select("id", "created_utc", "comments", "newest")
+    return social.thread_sizes(*_threads(s, d))
 
 
 def _semi(s, d):
     subs, com = _threads(s, d)
-    return com.join(subs, com.submission_id == subs.id, "left_semi")
+    return social.with_parent(com, subs)
 
 
 def _latest(s, d):
-    docs = _documents(s, d, "submissions").filter("subreddit is not null and created_utc is not null")
-    return docs.groupBy("subreddit").agg(F.max_by("doc_id", F.struct("created_utc", "doc_id")).alias("doc_id"))
+    return social.newest_of(_documents(s, d, "submissions"), "subreddit", "created_utc", "doc_id")
 
 
 def _activity(s, d):
-    subs, com = _threads(s, d)
+    _, com = _threads(s, d)
     times = com.groupBy("submission_id").agg(F.array_sort(F.collect_list("created_utc")).alias("times"))
-    score = F.aggregate(F.transform("times", lambda t: F.exp(-social.DECAY * (F.array_max("times") - t) / 3600)), F.lit(0.0), lambda a, x: a + x)
-    return times.select("submission_id", score.alias("score"), social.activity(F.col("times"), F.array_max("times")).alias("active")).select("submission_id", *_r("score"), "active")
+    newest = F.array_max("times")
+    return times.select("submission_id", social.decayed(F.col("times"), newest).alias("score"), social.activity(F.col("times"), newest).alias("active")).select("submission_id", *_r("score"), "active")
 
 
 def _clean(s, d):
@@ -347,21 +378,25 @@ def _stream_bars(s, d):
     return pipelines.last_bars(s, f"{d}/futures_klines.parquet", scratch(s, "last-bars"))
 
 
-def _family(name):
+def _family(name, step):
     def run(s, d):
         if name in ("futures_klines", "spot_klines", "futures_premiumindexklines"):
-            x = bars.ohlcv(_minutes(s, d), HOUR, prices=name != "spot_klines", volumes=name != "futures_premiumindexklines")
+            x = bars.ohlcv(_minutes(s, d), step, prices=name != "spot_klines", volumes=name != "futures_premiumindexklines")
         elif name == "futures_metrics":
-            x = trade_stats.metric_features(_snaps(s, d), HOUR)
+            x = trade_stats.metric_features(_snaps(s, d), step)
         elif name == "sentiment":
-            x = social.mood_features(_social(s, d).withColumn("symbol", F.lit("all")), DAY, ["symbol"])
+            x = social.mood_features(_social(s, d).withColumn("symbol", F.lit("all")), step, ["symbol"])
         else:
-            x = trade_stats.trade_features(_trades(s, d), HOUR)
+            x = trade_stats.trade_features(_trades(s, d), step)
         return _significant(features.features(name, x, ["symbol"]))
 
     return run
 
 
+#: The intervals of the feature families; the queries without an interval in their name are of an hour, sentiment of a day.
+STEPS = {"1h": HOUR, "4h": 4 * HOUR, "1d": DAY}
+FAMILY_QUERIES = {f"family_{name}" + ("" if k == ("1d" if name == "sentiment" else "1h") else f"_{k}"): (name, step) for name in features.FAMILIES for k, step in STEPS.items()}
+
 QUERIES = {
     "ohlcv_1h": _ohlcv(HOUR), "ohlcv_4h": _ohlcv(4 * HOUR), "ohlcv_1d": _ohlcv(DAY), "ohlc_only_1h": _ohlc, "bars_from_trades_1h": _trade_bars,
     "bars_open_labelled": _labelled("open"), "bars_end_labelled": _labelled("end"), "bars_end_closed": _labelled("end_closed"),
@@ -378,7 +413,9 @@ QUERIES = {
     "watchlist_left_join": _watchlist_join, "semi_parent": _semi, "latest_per_group": _latest, "activity_decay": _activity,
     "clean_text": _clean, "language_rule": _language, "bot_flag": _bots, "sentiment_ensemble": _ensemble,
     "stream_trade_counts_1d": _stream_counts, "stream_last_bars": _stream_bars,
-    **{f"family_{n}": _family(n) for n in features.FAMILIES},
+    "dashboard_klines": lambda s, d: dashboard.candles(_minutes(s, d)), "dashboard_metrics": lambda s, d: dashboard.readings(_snaps(s, d)), "dashboard_sentiment": _dashboard_moods,
+    "derivative_trades": _derivative_trades, "gap_ends": _gap_ends, "gap_within": _gap_within,
+    **{query: _family(name, step) for query, (name, step) in FAMILY_QUERIES.items()},
 }
 
 # ---- the same in SQL ----
@@ -422,11 +459,15 @@ def _label_sql(expr: str) -> str:
     return f"with {_T} select symbol, {expr} as bucket, count(*) as n from trades group by 1, 2"
 
 
-_SIDED = f"""with {_T}, b as (select *, t // {HOUR} * {HOUR} + {HOUR} as create_time, coalesce(not is_buyer_maker, false) as buy from trades),
+def _sided(step: int) -> str:
+    return f"""with {_T}, b as (select *, t // {step} * {step} + {step} as create_time, coalesce(not is_buyer_maker, false) as buy from trades),
     g as (select *, cast(t - lag(t) over w as double) as gap, case when buy then cast(t - lag(t) over (partition by symbol, create_time, buy order by t, agg_trade_id) as double) end as buy_gap,
         coalesce(price > lag(price) over w, false) as up, cast(t - first_value(t) over w as double) as since from b window w as (partition by symbol, create_time order by t, agg_trade_id))"""
 
 
+_SIDED = _sided(HOUR)
+
+
 def _side(label: str) -> str:
     return " filter (where buy)" if label == "buy" else ""
 
@@ -481,10 +522,15 @@ def _mix(span: int, old: str, x: str) -> str:
 
 _MACD = f"list_reduce(list_transform(l[2:], lambda x: {{'f': x, 's': x, 'g': 0.0}}), lambda a, x: {{'f': {_mix(12, 'a.f', 'x.f')}, 's': {_mix(26, 'a.s', 'x.f')}, 'g': {_mix(9, 'a.g', '(' + _mix(12, 'a.f', 'x.f') + ' - ' + _mix(26, 'a.s', 'x.f') + ')')}}}, {{'f': l[1], 's': l[1], 'g': cast(0.0 as double)}})"
 
-_FILLED = f"""with {_R}, z as (select symbol, t, (t - 1) // {HOUR} * {HOUR} + {HOUR} as create_time, {', '.join(f'nullif({c}, 0) as {c}' for c in trade_stats.METRICS)} from snaps),
+
+def _filled(step: int) -> str:
+    return f"""with {_R}, z as (select symbol, t, (t - 1) // {step} * {step} + {step} as create_time, {', '.join(f'nullif({c}, 0) as {c}' for c in trade_stats.METRICS)} from snaps),
     filled as (select symbol, t, create_time, {', '.join(f"coalesce(last_value({c} ignore nulls) over (partition by symbol, create_time order by t rows between unbounded preceding and current row), first_value({c} ignore nulls) over (partition by symbol, create_time order by t rows between current row and unbounded following)) as {c}" for c in trade_stats.METRICS)} from z)"""
 
 
+_FILLED = _filled(HOUR)
+
+
 def _fill_parts(digits: int | None) -> list[str]:
     out = []
     for c in trade_stats.METRIC_DISTRIBUTIONS:
@@ -501,6 +547,8 @@ def _fill_sql() -> str:
 _D = "docs as (select *, doc_id % 3 as sentiment from documents)"
 _SOC = f"{_D}, soc as (select {_ms('created_utc')} as t, sentiment, coalesce(text, '') as text from docs where source in ('submissions', 'comments') and created_utc is not null)"
 _OUT = "', '".join(w.replace("'", "''") for w in sorted({*social.STOPWORDS, *social.MORE_STOPWORDS}))
+_WORDS_SQL = f"""words as (select t, word from (select t, unnest(list_transform(regexp_split_to_array(regexp_replace(replace(replace(replace(regexp_replace(lower(text), 'https?://[^\\s]+|www\\.[^\\s]+', ' ', 'g'), '’', ''''), '‘', ''''), chr(8203), ' '), '[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{Z}}\\p{{C}}'']', ' ', 'g'), '\\s+'), lambda x: trim(x, ''''))) as word from soc)
+    where length(word) > 1 and word not in ('{_OUT}') and not regexp_full_match(word, '\\p{{Nd}}+') and (length(word) > 2 or word in ('ai', 'us', 'uk', 'eu')))"""
 _HALF = f"""rows_ as (select {_S} as symbol, {_CLOSE} as key, close, delivery_id from futures_klines where {_CLOSE} is not null),
     old as (select symbol, key, arg_max_null(close, delivery_id) as close from rows_ where delivery_id % 2 = 0 group by 1, 2), new as (select symbol, key, arg_max_null(close, delivery_id) as close from rows_ where delivery_id % 2 = 1 group by 1, 2)"""
 _WANTED = "(select symbol, unnest(generate_series(min(t) // {0} * {0}, (max(t) + 86400000) // {0} * {0} - {0}, {0})) as boundary from minutes group by 1)"
@@ -518,6 +566,24 @@ def _number_sql(i: int, name: str) -> str:
     return f"try_cast(nullif(trim(f[{i}]), '') as double) as {name}"
 
 
+def _dashboard_moods_sql() -> str:
+    n = lambda k: f"count_if(sentiment = {k})"
+    parts = []
+    for k in dashboard.MOODS:
+        step = dashboard.INTERVALS[k]
+        parts.append(f"""select '{k}' as interval, c.create_time, coalesce(word_frequency, '{{}}') as word_frequency, c.* exclude (create_time) from (select t // {step} * {step} + {step} as create_time, count(*) as count, {_rd(f'({n(2)} - {n(0)}) / count(*)', 'score', 7)}, {_rd(f'({n(2)} + {n(0)}) / count(*)', 'confidence', 7)},
+            {_rd(f'{n(0)} / count(*)', 'pct_negative', 7)}, {_rd(f'{n(2)} / count(*)', 'pct_positive', 7)}, {_rd(f'{n(1)} / count(*)', 'pct_neutral', 7)} from soc group by 1) c left join (
+            select create_time, '{{' || string_agg('"' || word || '":' || n, ',' order by n desc, word) || '}}' as word_frequency from (select * from (select t // {step} * {step} + {step} as create_time, word, count(*) as n from words group by 1, 2 having count(*) >= 2)
+                qualify row_number() over (partition by create_time order by n desc, word) <= 100) group by 1) w using (create_time)""")
+    return f"with {_SOC}, {_WORDS_SQL} " + " union all ".join(parts)
+
+
+def _ends_sql(step: int) -> str:
+    """SQL tables of END-labelled boundaries of a step: wanted and missing."""
+    return f"""want{step} as (select symbol, unnest(generate_series((min(t) + {step - 1}) // {step} * {step}, max(t) // {step} * {step}, {step})) as boundary from snaps group by 1),
+        gone{step} as (select symbol, boundary from want{step} anti join (select symbol, (t - 1) // {step} * {step} + {step} as boundary from snaps) e using (symbol, boundary))"""
+
+
 def _significant_sql(c: str) -> str:
     cases = " ".join(f"when abs({c}) < {bound!r} then round({c} + {_shift(digits)!r}, {digits})" for bound, digits in _SIZES)
     return f"case {cases} else round({c} / 1000.0 + {_shift(3)!r}, 3) end + 0.0 as {c}"
@@ -536,31 +602,31 @@ def _trade_parts() -> list[str]:
     return [*out, "count(*) + 0.0::double as trade_count", "count_if(buy) + 0.0::double as buy_count", "count_if(up) + 0.0::double as tickup_count"]
 
 
-def _family_base(name: str) -> str:
+def _family_base(name: str, step: int) -> str:
     """SQL of the series that a family's steps run over, as the table `base`."""
     if name == "futures_metrics":
         means = ", ".join(f"avg({c}) over (partition by symbol, create_time) as mu_{c}" for c in trade_stats.METRIC_DISTRIBUTIONS)
         moments = [x for c in trade_stats.METRIC_DISTRIBUTIONS for x in _moment_sql(c, c, None)]
-        return f"{_FILLED}, mu as (select *, {means} from filled), base as (select symbol, create_time, {', '.join(_fill_parts(None) + moments)} from mu group by 1, 2)"
+        return f"{_filled(step)}, mu as (select *, {means} from filled), base as (select symbol, create_time, {', '.join(_fill_parts(None) + moments)} from mu group by 1, 2)"
     if name == "sentiment":
         n = lambda k: f"count_if(sentiment = {k})"
-        return f"with {_SOC}, base as (select 'all' as symbol, t // {DAY} * {DAY} + {DAY} as create_time, count(*) as count, ({n(2)} - {n(0)}) / count(*) as score, ({n(2)} + {n(0)}) / count(*) as confidence, {n(0)} / count(*) as pct_negative, {n(2)} / count(*) as pct_positive, {n(1)} / count(*) as pct_neutral from soc group by 2)"
+        return f"with {_SOC}, base as (select 'all' as symbol, t // {step} * {step} + {step} as create_time, count(*) as count, ({n(2)} - {n(0)}) / count(*) as score, ({n(2)} + {n(0)}) / count(*) as confidence, {n(0)} / count(*) as pct_negative, {n(2)} / count(*) as pct_positive, {n(1)} / count(*) as pct_neutral from soc group by 2)"
     if name == "futures_aggtrades":
         over = "over (partition by symbol, create_time)"
         means = ", ".join(f"avg({c}) {over} as mu_{c}, avg({c}) filter (where buy) {over} as mu_buy_{c}" for c in ("price", "quantity"))
-        return f"{_SIDED}, mu as (select *, {means} from g), base as (select symbol, create_time, {', '.join(_trade_parts())} from mu group by 1, 2)"
-    return f"with {_M}, {_bars_sql(HOUR)}, base as (select *, open_time + {HOUR - 1} as close_time from bars)"
+        return f"{_sided(step)}, mu as (select *, {means} from g), base as (select symbol, create_time, {', '.join(_trade_parts())} from mu group by 1, 2)"
+    return f"with {_M}, {_bars_sql(step)}, base as (select *, open_time + {step - 1} as close_time from bars)"
 
 
 def _share(part: str, whole: str) -> str:
     return _div(f"{part} - ({whole} - {part})", whole)
 
 
-def _family_sql(name: str) -> str:
+def _family_sql(name: str, step: int) -> str:
     f = features.FAMILIES[name]
     w = f"(partition by symbol order by {f.time})"
     buys = f"{_share('buy_quantity', 'trade_quantity')} as imbalance_buy_quantity, {_share('buy_turnover', 'trade_turnover')} as imbalance_buy_turnover"
-    steps = [_family_base(name)]
+    steps = [_family_base(name, step)]
     if name == "futures_klines":
         steps.append(f"p as (select *, lag(close) over {w} as before, {_FRAME} as l from base)")
         steps.append(f"""q as (select *, {_div('high - low', 'close')} as relative_range, {buys}, {_div('close - open', 'open')} as body_percentage, {_div('high - greatest(open, close)', '(high - low)')} as upper_wick_percentage,
@@ -618,13 +684,11 @@ ORACLES = {
     "last_row": f"with {_R} select symbol, (t - 1) // {HOUR} * {HOUR} + {HOUR} as create_time, {', '.join(f'arg_max_null({c}, t) as {c}' for c in trade_stats.METRICS)} from snaps group by 1, 2",
     "sentiment_ratio": f"with {_SOC} select t // {DAY} * {DAY} + {DAY} as create_time, count(*) as count, {_rd('(count_if(sentiment = 2) - count_if(sentiment = 0)) / count(*)', 'score', 7)}, {_rd('(count_if(sentiment = 2) + count_if(sentiment = 0)) / count(*)', 'confidence', 7)}, {_rd('count_if(sentiment = 0) / count(*)', 'pct_negative', 7)}, {_rd('count_if(sentiment = 2) / count(*)', 'pct_positive', 7)}, {_rd('count_if(sentiment = 1) / count(*)', 'pct_neutral', 7)} from soc group by 1",
     "sentiment_log_count": f"with {_SOC} select t // {DAY} * {DAY} + {DAY} as create_time, {_rd('ln(count(*))', 'log_return_count', 9)} from soc group by 1",
-    "word_freq_top100": f"""with {_SOC}, w as (select t // {DAY} * {DAY} + {DAY} as create_time, unnest(list_transform(regexp_split_to_array(regexp_replace(replace(replace(replace(regexp_replace(lower(text), 'https?://[^\\s]+|www\\.[^\\s]+', ' ', 'g'), '’', ''''), '‘', ''''), chr(8203), ' '), '[^\\p{{L}}\\p{{N}}\\p{{M}}\\p{{Z}}\\p{{C}}'']', ' ', 'g'), '\\s+'), lambda x: trim(x, ''''))) as word from soc),
-        n as (select create_time, word, count(*) as n from w where length(word) > 1 and word not in ('{_OUT}') and not regexp_full_match(word, '\\p{{Nd}}+') and (length(word) > 2 or word in ('ai', 'us', 'uk', 'eu')) group by 1, 2 having count(*) >= 2)
-        select create_time, word, n from n qualify row_number() over (partition by create_time order by n desc, word) <= 100""",
+    "word_freq_top100": f"with {_SOC}, {_WORDS_SQL}, n as (select t // {DAY} * {DAY} + {DAY} as create_time, word, count(*) as n from words group by 1, 2 having count(*) >= 2) select create_time, word, n from n qualify row_number() over (partition by create_time order by n desc, word) <= 100",
     "gap_missing": f"with {_M}, {_GONE} select symbol, boundary, strftime(make_timestamp(boundary * 1000), '%Y-%m-%d') as date from gone",
     "gap_propagate": f"with {_M}, {_GONE} select distinct g.symbol, g.boundary // {4 * HOUR} * {4 * HOUR} as boundary from gone g semi join {_WANTED.format(4 * HOUR)} w on g.symbol = w.symbol and g.boundary // {4 * HOUR} * {4 * HOUR} = w.boundary",
     "gap_internal": f"with {_M}, n as (select symbol, t, lead(t) over (partition by symbol order by t) as next from minutes) select symbol, 'internal' as kind, {_GAP_COLUMNS} from n where next - t > 61000",
-    "gap_boundary": f"with {_M}, e as (select symbol, t // {DAY} as p, min(t) as lo, max(t) as t from minutes group by 1, 2), n as (select symbol, t, lead(lo) over (partition by symbol order by p) as next from e) select symbol, 'boundary' as kind, {_GAP_COLUMNS} from n where next - t > 61000",
+    "gap_boundary": f"with {_M}, e as (select symbol, t // {HOUR} as p, min(t) as lo, max(t) as t from minutes group by 1, 2), n as (select symbol, t, lead(lo) over (partition by symbol order by p) as next from e) select symbol, 'boundary' as kind, {_GAP_COLUMNS} from n where next - t > 61000",
     "gap_recent": f"with {_M}, n as (select symbol, max(t) as t, {NOW} - 3 * 61000 as next from minutes group by 1) select symbol, 'recent' as kind, {_GAP_COLUMNS} from n where next - t > 61000",
     "dedupe_keep_last": f"with {_T} select symbol, agg_trade_id, t, price, quantity, is_buyer_maker from trades",
     "lake_merge": f"with {_HALF} select symbol, key, case when n.symbol is not null then n.close else o.close end as close, strftime(make_timestamp(key * 1000), '%Y-%m-%d') as period from old o full join new n using (symbol, key)".replace("n.symbol is not null", "n.present").replace("full join new n", "full join (select *, true as present from new) n"),
@@ -645,5 +709,11 @@ ORACLES = {
     "bot_flag": f"select doc_id, case when doc_id % 5 != 0 then case when coalesce(lower(author) = 'deskrelay', false) or coalesce(regexp_matches(lower(text), '{BOT_SAYS}'), false) then 1 else 0 end end as bot from documents",
     "language_rule": "select doc_id, case when text is null or not regexp_matches(text, '\\p{L}') then 'empty' when length(regexp_replace(text, '[^A-Za-z]', '', 'g')) >= 0.9 * length(regexp_replace(text, '[^\\p{L}]', '', 'g')) then 'en' else 'non-en' end as language from documents",
     "sentiment_ensemble": "with p as (select doc_id, [" + ", ".join(f"((doc_id * {5 + 3 * i}) % 17 + 1) / 18.0 * {social.ENSEMBLE[0][i]} + ((doc_id * {7 + 3 * i}) % 17 + 1) / 18.0 * {social.ENSEMBLE[1][i]}" for i in range(3)) + "] as w from documents), q as (select doc_id, list_transform(w, lambda x: x / (w[1] + w[2] + w[3])) as w from p) select doc_id, cast(list_position(w, list_max(w)) - 1 as int) as sentiment from q",
-    **{f"family_{name}": _family_sql(name) for name in features.FAMILIES},
+    "dashboard_klines": f"with {_M} " + " union all ".join(f"select symbol, '{k}' as interval, t // {n} * {n} as open_time, t // {n} * {n} + {n - 1} as close_time, arg_min_null(open, t) as open, max(high) as high, min(low) as low, arg_max_null(close, t) as close from minutes group by 1, 2, 3, 4" for k, n in dashboard.INTERVALS.items()),
+    "dashboard_metrics": f"with {_R} " + " union all ".join(f"select symbol, '{k}' as interval, (t - 1) // {n} * {n} + {n} as create_time, {', '.join(f'arg_max({c}, t) as {c}' for c in trade_stats.METRICS)} from snaps group by 1, 2, 3 having {' or '.join(f'count({c}) > 0' for c in trade_stats.METRICS)}" for k, n in dashboard.INTERVALS.items() if k in dashboard.READINGS),
+    "dashboard_sentiment": _dashboard_moods_sql(),
+    "derivative_trades": f"{_SIDED}, c as (select symbol, create_time, cast(count(*) as double) as n, cast(count_if(buy) as double) as b, cast(count_if(up) as double) as u from g group by 1, 2) select symbol, create_time, {_rd(_share('b', 'n'), 'imbalance_buy_count', 7)}, {_rd(_share('u', 'n'), 'imbalance_tickup_count', 7)} from c",
+    "gap_ends": f"with {_R}, " + ", ".join(_ends_sql(k) for k in (HOUR, 4 * HOUR)) + f" select symbol, boundary, {HOUR} as step from gone{HOUR} union all (select symbol, boundary, {4 * HOUR} from gone{4 * HOUR} union select distinct g.symbol, (g.boundary - 1) // {4 * HOUR} * {4 * HOUR} + {4 * HOUR}, {4 * HOUR} from gone{HOUR} g semi join want{4 * HOUR} w on g.symbol = w.symbol and (g.boundary - 1) // {4 * HOUR} * {4 * HOUR} + {4 * HOUR} = w.boundary)",
+    "gap_within": f"with {_M}, n as (select symbol, t, lead(t) over (partition by symbol order by t) as next from minutes) select symbol, 'internal' as kind, {_GAP_COLUMNS} from n where next - t > 61000 and t + 1 >= (select max(t) from minutes) - 7 * 86400000",
+    **{query: _family_sql(name, step) for query, (name, step) in FAMILY_QUERIES.items()},
 }

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelattice.functions.normalize import to_ms
+from tidelattice.operators.dashboard import CANDLES, MOODS, READINGS
 from tidelattice.operators.features import FAMILIES
+from tidelattice.operators.trade_stats import METRICS
 from tidelattice.session import cut
 from tidelattice.sources.lake import read_or_none
 
@@ -102,6 +104,26 @@ def serving_schema(family: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.LongType() if c in (f.time, "close_time") or (family, c) == ("sentiment", "count") else T.DoubleType()) for c in f.columns])
 
 
+def dashboard_schema(table: str) -> T.StructType:
+    """Schema of a dashboard table (`futures_klines`, `futures_metrics` or `sentiment`) of one interval."""
+    long, double = T.LongType(), T.DoubleType()
+    columns = {
+        "futures_klines": [("open_time", long), ("close_time", long), *[(c, double) for c in ("open", "high", "low", "close")]],
+        "futures_metrics": [("create_time", long), *[(c, double) for c in METRICS]],
+        "sentiment": [("create_time", long), ("word_frequency", T.StringType()), ("count", long), *[(c, double) for c in ("score", "confidence", "pct_negative", "pct_positive", "pct_neutral")]],
+    }
+    return T.StructType([T.StructField(c, t) for c, t in columns[table]])
+
+
+def ensure_all(spark: SparkSession, root: str, steps: tuple[str, ...] = ("1h", "4h", "1d")) -> list[str]:
+    """Empty serving and dashboard tables of all intervals where there are none; returns their paths."""
+    tables = {f"features/{f}_{k}": serving_schema(f) for f in FAMILIES for k in steps}
+    tables |= {f"dashboard/{t}_{k}": dashboard_schema(t) for t, ks in (("futures_klines", CANDLES), ("futures_metrics", READINGS), ("sentiment", MOODS)) for k in ks}
+    for name, schema in tables.items():
+        ensure(spark, f"{root}/{name}", schema)
+    return [f"{root}/{name}" for name in tables]
+
+
 def json_column(c: Column | str) -> Column:
     """A map, struct or array as JSON, without null members."""
     return F.to_json(F.col(c) if isinstance(c, str) else c, {"ignoreNullFields": "true"})
