@@ -227,7 +227,8 @@ def rank_fits(docs: DataFrame) -> DataFrame:
 
 def _each_word(fits: DataFrame, *columns: str) -> DataFrame:
     """`columns`, form and n of every word of every page."""
-    return fits.select(*columns, F.explode(F.arrays_zip(F.col("words.form").alias("form"), F.col("words.n").alias("n"))).alias("w")).select(*columns, "w.form", "w.n")
+    each = fits.select(*columns, F.col("words.n").alias("counts"), F.posexplode_outer("words.form").alias("pos", "form")).filter("form is not null")
+    return each.select(*columns, "form", F.get("counts", F.col("pos")).alias("n"))
 
 
 def language_words(fits: DataFrame) -> DataFrame:
