@@ -7,12 +7,15 @@ In a block, the sorted grid and the sorted readings are merged as of each grid i
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelattice.functions.normalize import floor_div
+from tidelattice.operators.chunks import segments
 from tidelattice.session import cut
 
 #: Periods in a block.
@@ -20,19 +23,20 @@ BLOCK = 1024
 OBSERVED, INTERPOLATED, HELD, AHEAD, NONE = "observed", "interpolated", "held", "ahead", "none"
 
 
-def _merge(d: pd.DataFrame, fields: list[str], step: int, gap_ms: int) -> pd.DataFrame:
-    head = d[d["control"]]
-    if not len(head):
-        return pd.DataFrame(columns=["source", "at", *[f"{f}{x}" for f in fields for x in ("", "_state")]])
-    h = head.iloc[0]
-    begin, stop = max(int(h["first"]), int(h["block"]) * BLOCK), min(int(h["last"]), int(h["block"]) * BLOCK + BLOCK - 1)
+#: Rows of a result that are handed over at once.
+OUT = 100_000
+
+
+def _merge(g: dict[str, np.ndarray], fields: list[str], step: int, gap_ms: int) -> dict[str, np.ndarray]:
+    """One block: its control row with the source's first and last period and the neighbours outside comes first, then its periods with readings."""
+    block, first, last = (int(g[c][0]) for c in ("block", "first", "last"))
+    begin, stop = max(first, block * BLOCK), min(last, block * BLOCK + BLOCK - 1)
     grid = np.arange(begin, stop + 1)
     n = len(grid)
-    rows = d[~d["control"]]
-    at = rows["period"].to_numpy(np.int64) - begin
-    out = {"source": h["source"], "at": grid * step}
+    at = g["period"][1:] - begin
+    out = {"source": np.full(n, g["source"][0], object), "at": grid * step}
     for i, f in enumerate(fields):
-        has = rows[f"n{i}"].to_numpy(float) > 0
+        has = g[f"n{i}"][1:] > 0
         pos = at[has]
         # as of: index of the nearest period with a reading, on either side
         before, after = np.full(n, -1), np.full(n, n)
@@ -42,8 +46,9 @@ def _merge(d: pd.DataFrame, fields: list[str], step: int, gap_ms: int) -> pd.Dat
         # neighbours' times and values; slot n is the carried one
         lt, lv, rt, rv = (np.full(n + 1, np.nan) for _ in range(4))
         for arr, c in ((lt, "lt"), (lv, "lv"), (rt, "ft"), (rv, "fv")):
-            arr[pos] = rows[f"{c}{i}"].to_numpy(float)[has]
-        lt[n], lv[n], rt[n], rv[n] = (float(h[f"{c}{i}"]) if pd.notna(h[f"{c}{i}"]) else np.nan for c in ("lt", "lv", "ft", "fv"))
+            column = g[f"{c}{i}"]
+            arr[pos] = column[1:][has]
+            arr[n] = column[0]
         b = np.where(before < 0, n, before)
         t0, v0, t1, v1 = lt[b], lv[b], rt[after], rv[after]
         seen = np.zeros(n, bool)
@@ -52,8 +57,32 @@ def _merge(d: pd.DataFrame, fields: list[str], step: int, gap_ms: int) -> pd.Dat
             between = v0 + (v1 - v0) * ((grid * step - t0) / (t1 - t0))
         near = ~np.isnan(t0) & ~np.isnan(t1) & (t1 - t0 <= gap_ms)
         out[f] = np.where(seen, lv[:n], np.where(near, between, np.where(np.isnan(v0), v1, v0)))
-        out[f"{f}_state"] = np.select([seen, near, ~np.isnan(v0), ~np.isnan(v1)], [OBSERVED, INTERPOLATED, HELD, AHEAD], NONE)
-    return pd.DataFrame(out)
+        out[f"{f}_state"] = np.select([seen, near, ~np.isnan(v0), ~np.isnan(v1)], range(4), 4)
+    return out
+
+
+_STATES = np.array([OBSERVED, INTERPOLATED, HELD, AHEAD, NONE], object)
+
+
+def _merged(batches: Iterator[pd.DataFrame], fields: list[str], step: int, gap_ms: int) -> Iterator[pd.DataFrame]:
+    """All blocks of a sorted partition."""
+    parts: list[dict[str, np.ndarray]] = []
+    rows = 0
+
+    def done() -> pd.DataFrame:
+        out = {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+        return pd.DataFrame(out | {f"{f}_state": _STATES[out[f"{f}_state"]] for f in fields})
+
+    for g in segments(batches, ["source", "block"]):
+        if not g["control"][0]:
+            continue
+        parts.append(_merge(g, fields, step, gap_ms))
+        rows += len(parts[-1]["at"])
+        if rows >= OUT:
+            yield done()
+            parts, rows = [], 0
+    if parts:
+        yield done()
 
 
 def regular_grid(rows: DataFrame, source: str, time_ms: Column, order: str, fields: list[str], step_ms: int, gap_ms: int, usable=lambda v: v > 0) -> DataFrame:
@@ -78,9 +107,10 @@ def regular_grid(rows: DataFrame, source: str, time_ms: Column, order: str, fiel
     future = Window.partitionBy("source").orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)
     n = range(len(fields))
     carry = [c for i in n for c in (F.last(f"l{i}", ignorenulls=True).over(past).alias(f"l{i}"), F.last(f"f{i}", ignorenulls=True).over(future).alias(f"f{i}"))]
-    flat = lambda: [c for i in n for c in (F.col(f"f{i}.t").alias(f"ft{i}"), F.col(f"f{i}.v").alias(f"fv{i}"), F.col(f"l{i}.t").alias(f"lt{i}"), F.col(f"l{i}.v").alias(f"lv{i}"), F.col(f"l{i}").isNotNull().cast("int").alias(f"n{i}"))]
-    control = blocks.select("source", "block", "first", "last", *carry).select("source", "block", F.lit(None).cast("long").alias("period"), F.lit(True).alias("control"), "first", "last", *flat())
-    data = by_period.select("source", "block", "period", F.lit(False).alias("control"), F.lit(None).cast("long").alias("first"), F.lit(None).cast("long").alias("last"), *flat())
+    flat = lambda: [c for i in n for c in (F.col(f"f{i}.t").cast("double").alias(f"ft{i}"), F.col(f"f{i}.v").alias(f"fv{i}"), F.col(f"l{i}.t").cast("double").alias(f"lt{i}"), F.col(f"l{i}.v").alias(f"lv{i}"), F.col(f"l{i}").isNotNull().cast("int").alias(f"n{i}"))]
+    control = blocks.select("source", "block", "first", "last", *carry).select("source", "block", F.lit(0).cast("long").alias("period"), F.lit(True).alias("control"), "first", "last", *flat())
+    data = by_period.select("source", "block", "period", F.lit(False).alias("control"), F.lit(0).cast("long").alias("first"), F.lit(0).cast("long").alias("last"), *flat())
     kind, names = rows.schema[source].dataType.simpleString(), list(fields)
     schema = f"source {kind}, at long, " + ", ".join(f"`{f}` double, `{f}_state` string" for f in names)
-    return control.unionByName(data).groupBy("source", "block").applyInPandas(lambda d: _merge(d, names, step_ms, gap_ms), schema)
+    ordered = control.unionByName(data).repartition("source", "block").sortWithinPartitions("source", "block", F.desc("control"), "period")
+    return ordered.mapInPandas(lambda batches: _merged(batches, names, step_ms, gap_ms), schema)
