@@ -15,6 +15,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -168,18 +169,18 @@ def forms(token: str) -> tuple[str, ...]:
     return tuple(LINK if "." in w or "://" in w else TAG if w[0] in "#$" else w for w in _FORM.findall(token))
 
 
-def count_forms(text: str, known: dict[str, tuple[str, ...]]) -> Counter:
+def count_forms(text: str, known: dict[str, tuple[str, ...]]) -> dict[str, int]:
     """How often each word occurs in a text, in lower case, what hides words taken out. No word spans a blank, so each different piece between blanks is cut up once; `known` remembers them."""
-    t = _HIDDEN.sub("", text).lower()
+    t = (text if text.isascii() else _HIDDEN.sub("", text)).lower()
     if "<" in t:
         t = _MARK.sub(" ", _MARKED.sub(" http://- ", t))
-    out: Counter = Counter()
+    out: dict[str, int] = {}
     for token, n in Counter(t.split()).items():
         found = known.get(token)
         if found is None:
             found = known[token] = forms(token)
         for w in found:
-            out[w] += n
+            out[w] = out.get(w, 0) + n
     return out
 
 
@@ -193,7 +194,7 @@ def _counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for texts in batches:
         if len(known) > REMEMBERED:
             known.clear()
-        pages = [count_forms(t, known).most_common() for t in texts]
+        pages = [sorted(count_forms(t, known).items(), key=itemgetter(1), reverse=True) for t in texts]
         yield pd.DataFrame({"form": [[w for w, _ in p] for p in pages], "n": [[n for _, n in p] for p in pages]})
 
 
@@ -216,13 +217,13 @@ def rank_fits(docs: DataFrame) -> DataFrame:
     pages = counted.groupBy("same").agg(F.min("label").alias("label"), F.first("chars").alias("chars"), F.first("words").alias("words"))
     # the counts are ranked one a row; the words themselves stay with the first
     each = pages.select("same", "label", "chars", "words", F.posexplode_outer("words.n").alias("pos", "n")).filter("n is not null")
-    each = each.select("same", "label", "chars", "n", F.when(F.col("pos") == 0, F.col("words")).alias("words"))
+    each = each.select("same", "n", F.when(F.col("pos") == 0, F.struct("label", "chars", "words")).alias("page"))
     ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("n"))))  # equal counts: their order doesn't change the fit
     x, y = F.ln("rank"), F.ln("n")
-    fit = ranked.groupBy("same").agg(F.first("label").alias("label"), F.first("chars").alias("chars"), F.sum("n").alias("size"), F.count("*").alias("k"), F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.sum(F.col("n") * F.ln("n")).alias("n_ln_n"), F.first("words", ignorenulls=True).alias("words"))
+    fit = ranked.groupBy("same").agg(F.sum("n").alias("size"), F.count("*").alias("k"), F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.sum(F.col("n") * F.ln("n")).alias("n_ln_n"), F.first("page", ignorenulls=True).alias("page"))
     slope = F.coalesce("slope", F.lit(0.0))
     residual = F.sqrt(F.greatest(F.col("syy") - slope**2 * F.col("sxx"), F.lit(0.0)) / F.col("k"))
-    return fit.select("same", "label", "chars", "size", slope.alias("slope"), residual.alias("residual"), (F.col("n_ln_n") / F.col("size") - F.ln("size")).alias("entropy"), "words")
+    return fit.select("same", "page.label", "page.chars", "size", slope.alias("slope"), residual.alias("residual"), (F.col("n_ln_n") / F.col("size") - F.ln("size")).alias("entropy"), "page.words")
 
 
 def _each_word(fits: DataFrame, *columns: str) -> DataFrame:
