@@ -218,6 +218,34 @@ def test_pages():
         return [r for r in data if start <= r[0] < end][:limit]
 
     assert list(paged.pages(fetch, 0, 1000, 10, lambda r: r[0], wait_s=0.0)) == data
+    # rows of one millisecond over a page's end, and more of them than a page holds
+    data = [(5, i) for i in range(3)] + [(6, i) for i in range(9)] + [(7, 0)]
+    missed = []
+    plain = lambda start, end, limit: [r for r in data if start <= r[0] < end][:limit]
+    assert list(paged.pages(plain, 0, 10, 4, lambda r: r[0], 0.0, missed)) == data[:7] + data[-1:] and missed == [(6, 7)]
+
+    def never(start, end, limit):
+        if start < paged.SKIP_MS:
+            raise paged.RateLimited(0.0)
+        return [(start, 1)]
+
+    missed = []
+    assert list(paged.pages(never, 0, 2 * paged.SKIP_MS, 4, lambda r: r[0], 0.0, missed)) == [(paged.SKIP_MS, 1)] and missed == [(0, paged.SKIP_MS)]
+
+
+def test_buckets_of_all_endpoints():
+    asked = []
+    late = lambda b: asked.append(b) or ({"v": 2} if len(asked) > 2 else None)
+    assert paged.complete({"a": lambda b: {"v": 1}, "b": late}, 5, wait_s=0.0) == {"a": {"v": 1}, "b": {"v": 2}} and asked == [5, 5, 5]
+    assert paged.complete({"a": lambda b: {"v": 1}, "b": lambda b: None}, 5, 2, 0.0) is None
+
+
+def test_paged_source(spark, tmp_path, monkeypatch):
+    (tmp_path / "fetches_of_test.py").write_text("def get(start, end, limit):\n    if start == 0:\n        raise OSError('gone')\n    return [(start, float(start))]\n")
+    spark.sparkContext.addPyFile(str(tmp_path / "fetches_of_test.py"))
+    monkeypatch.syspath_prepend(str(tmp_path))
+    rows = paged.read_paged(spark, "fetches_of_test:get", "t long, v double", 0, 180_000, stretch=60_000, wait_s=0.0).collect()
+    assert {(r.t, r.v, r.missed_until) for r in rows} == {(0, None, 60_000), (60_000, 60_000.0, None), (120_000, 120_000.0, None)}
 
 
 def test_lake(spark, tmp_path):

@@ -1,4 +1,4 @@
-"""Every query against its SQL on the smallest tables; those without SQL run."""
+"""Every query against its SQL on the smallest tables; those without SQL are tested elsewhere and give rows here."""
 
 import pytest
 
@@ -15,8 +15,9 @@ def test_equals_sql(name, spark, sf_dir, duck):
 
 
 @pytest.mark.parametrize("name", [n for n in CORE if n not in entry.oracle_sql()])
-def test_runs(name, spark, sf_dir):
-    assert CORE[name](spark, sf_dir).count() >= 0
+def test_gives_rows(name, spark, sf_dir):
+    df = CORE[name](spark, sf_dir)
+    assert df.count() > 0 and len(set(df.columns)) == len(df.columns)
 
 
 def test_entry(spark):

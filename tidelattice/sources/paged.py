@@ -6,33 +6,76 @@ import importlib
 import time
 from collections.abc import Callable, Iterator
 from functools import reduce
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+T = TypeVar("T")
+
 #: Attempts at a page, seconds before the second (doubled each time), and milliseconds that are passed over when none succeeds.
 ATTEMPTS, WAIT_S, SKIP_MS = 5, 1.0, 60_000
 
 
-def pages(fetch: Callable[[int, int, int], list[tuple]], start: int, end: int, limit: int, time_of: Callable[[tuple], int], wait_s: float = WAIT_S) -> Iterator[tuple]:
-    """Rows from start to before end: each page begins one after the last row's time; a page that can't be had costs SKIP_MS."""
-    at = start
+class RateLimited(OSError):
+    """Raised by a fetch that came too often; wait_s says when it may come again."""
+
+    def __init__(self, wait_s: float = 60.0) -> None:
+        super().__init__("rate limit")
+        self.wait_s = wait_s
+
+
+def attempt(call: Callable[[], T], wait_s: float = WAIT_S, attempts: int = ATTEMPTS) -> T | None:
+    """What `call` gives, tried again after failures of the connection and as long as the rate limit asks; None if no attempt succeeds."""
+    for n in range(attempts):
+        try:
+            return call()
+        except RateLimited as e:
+            time.sleep(e.wait_s)
+        except OSError:
+            time.sleep(wait_s * 2**n)
+    return None
+
+
+def pages(fetch: Callable[[int, int, int], list[tuple]], start: int, end: int, limit: int, time_of: Callable[[tuple], int], wait_s: float = WAIT_S, missed: list[tuple[int, int]] | None = None) -> Iterator[tuple]:
+    """Rows from start to before end, page by page. A page begins at the last row's time, whose rows may go over its end; those seen already are left out.
+
+    A page that can't be had costs SKIP_MS, and a millisecond with more rows than a page holds the rest of them; both are noted in `missed` as (from, to).
+    """
+    at, seen = start, set()
+    missed = [] if missed is None else missed
     while at < end:
-        got: list[tuple] | None = None
-        for n in range(ATTEMPTS):
-            try:
-                got = fetch(at, end, limit)
-                break
-            except OSError:
-                time.sleep(wait_s * 2**n)
+        got = attempt(lambda: fetch(at, end, limit), wait_s)
         if got is None:
-            at += SKIP_MS
+            missed.append((at, min(at + SKIP_MS, end)))
+            at, seen = at + SKIP_MS, set()
             continue
-        inside = [r for r in got if at <= time_of(r) < end]
+        inside = [r for r in got if at <= time_of(r) < end and r not in seen]
         yield from inside
-        if len(got) < limit or not inside:
+        if len(got) < limit:
             return
-        at = time_of(inside[-1]) + 1
+        last = max([time_of(r) for r in inside], default=at)
+        if last == at and not inside:
+            missed.append((at, at + 1))
+            at, seen = at + 1, set()
+        else:
+            seen = {r for r in inside if time_of(r) == last} | (seen if last == at else set())
+            at = last
+
+
+def complete(fetches: dict[str, Callable[[int], dict | None]], bucket: int, attempts: int = ATTEMPTS, wait_s: float = WAIT_S) -> dict[str, dict] | None:
+    """What all endpoints have for a bucket, by their names: those that lack it are asked again until every one has it; None if one never has."""
+    got: dict[str, dict] = {}
+    for n in range(attempts):
+        for name in fetches.keys() - got.keys():
+            x = attempt(lambda name=name: fetches[name](bucket), wait_s, 1)
+            if x:
+                got[name] = x
+        if len(got) == len(fetches):
+            return got
+        if n < attempts - 1:
+            time.sleep(wait_s)
+    return None
 
 
 class Stretch(InputPartition):
@@ -41,8 +84,8 @@ class Stretch(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, options: dict) -> None:
-        self.o = options
+    def __init__(self, options: dict, schema) -> None:
+        self.o, self.schema = options, schema
 
     def partitions(self) -> list[Stretch]:
         a, b, step = int(self.o["start"]), int(self.o["end"]), int(self.o.get("stretch", 86_400_000))
@@ -51,22 +94,25 @@ class PagedReader(DataSourceReader):
     def read(self, partition: Stretch) -> Iterator[tuple]:
         module, name = self.o["fetch"].split(":")
         fetch = getattr(importlib.import_module(module), name)
-        column = int(self.o.get("time_column", 0))
-        return pages(fetch, partition.start, partition.end, int(self.o.get("limit", 1000)), lambda r: r[column])
+        column, width = int(self.o.get("time_column", 0)), len(self.schema.fields)
+        missed: list[tuple[int, int]] = []
+        yield from ((*r, None) for r in pages(fetch, partition.start, partition.end, int(self.o.get("limit", 1000)), lambda r: r[column], float(self.o.get("wait_s", WAIT_S)), missed))
+        for a, b in missed:
+            yield tuple(a if i == column else b if i == width - 1 else None for i in range(width))
 
 
 class PagedSource(DataSource):
-    """Options: fetch (`module:function` of start, end, limit), start, end, stretch (ms), limit, time_column, and the schema."""
+    """Options: fetch (`module:function` of start, end, limit), start, end, stretch (ms), limit, time_column, wait_s, and the schema. A column missed_until is added: null for rows; a row of nulls with a time and missed_until marks a stretch that could not be had."""
 
     @classmethod
     def name(cls) -> str:
         return "paged"
 
     def schema(self) -> str:
-        return self.options["row_schema"]
+        return self.options["row_schema"] + ", missed_until long"
 
     def reader(self, schema) -> PagedReader:
-        return PagedReader(dict(self.options))
+        return PagedReader(dict(self.options), schema)
 
 
 def read_paged(spark: SparkSession, fetch: str, schema: str, start: int, end: int, **options) -> DataFrame:
