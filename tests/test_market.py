@@ -312,6 +312,20 @@ def test_boundaries():
     assert pipelines.active_steps(4 * HOUR, {"1h": HOUR, "4h": 4 * HOUR, "1d": nz.DAY_MS}) == ["1h", "4h"]
 
 
+def test_each_interval(spark):
+    calls = []
+    df = spark.createDataFrame([(k * HOUR, k) for k in (1, 2, 4, 24)], "create_time long, v long")
+    pipelines.each_interval({"1d": 24 * HOUR, "1h": HOUR, "4h": 4 * HOUR}, lambda name, rows, n: calls.append((name, sorted(r.v for r in rows.collect()), n)))(df, 7)
+    assert calls == [("1h", [1, 2, 4, 24], 7), ("4h", [4, 24], 7), ("1d", [24], 7)]
+    assert pipelines.warm_up("t", {1: 50, 0: 500}, 100) == '{"t": {"0": 400, "1": 0}}'
+
+
+def test_coercion(spark):
+    lit = lambda v: F.lit(v)
+    r = one(spark, *[nz.coerced(lit(v), k) for v, k in ((" None", "string"), ("NULL", "int"), ("nan", "double"), (float("nan"), "double"), ("5.0", "bigint"), (" 7 ", "int"), ("yes", "boolean"), ("T", "boolean"), ("x", "double"), (" a ", "string"))])
+    assert list(r) == [None, None, None, None, 5, 7, None, True, None, " a "]
+
+
 def test_gated(spark):
     rows = spark.createDataFrame([(HOUR,), (2 * HOUR,)], "create_time long")
     pings = spark.createDataFrame([(True, 3600)], "first_run boolean, timestamp_utc long")

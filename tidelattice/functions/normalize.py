@@ -60,6 +60,29 @@ def blank_to_double(c: Column | str) -> Column:
     return F.nullif(F.trim(_col(c).cast("string")), F.lit("")).try_cast("double")
 
 
+#: Texts that stand for nothing.
+NOTHING = ("", "none", "null", "nan")
+
+
+def nothing_to_null(c: Column | str) -> Column:
+    """Null for a text that stands for nothing, in any case and with blanks around it; other texts unchanged."""
+    x = _col(c).cast("string")
+    return F.when(~F.lower(F.trim(x)).isin(*NOTHING), x)
+
+
+def coerced(c: Column | str, kind: str) -> Column:
+    """A message's member as `kind`, whatever type it came as: texts that stand for nothing, unreadable ones and NaN are null."""
+    x = nothing_to_null(c)
+    if kind == "boolean":
+        return parse_bool(x)
+    if kind in ("float", "double"):
+        v = F.trim(x).try_cast(kind)
+        return F.when(~F.isnan(v), v)
+    if kind in ("int", "bigint", "long"):
+        return F.coalesce(F.trim(x).try_cast(kind), F.trim(x).try_cast("double").try_cast(kind))  # 5.0 is 5
+    return x if kind == "string" else F.trim(x).try_cast(kind)
+
+
 def parse_bool(c: Column | str) -> Column:
     """true/1/t and false/0/f in any case; anything else is null."""
     x = F.lower(F.trim(_col(c).cast("string")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,10 +25,15 @@ def kafka(spark: SparkSession, servers: str, topic: str, schema: str, start: str
     return reader.load().select(F.from_json(F.col("value").cast("string"), schema).alias("m"), "offset", "timestamp").select("m.*", "offset", F.col("timestamp").alias("received_at"))
 
 
-def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None) -> StreamingQuery:
-    """Rows as JSON messages, keyed for a table of records."""
+def warm_up(topic: str, ends: dict[int, int], n: int) -> str:
+    """Offsets to start from so that the last n messages of each partition are read first; ends: each partition's end."""
+    return json.dumps({topic: {str(p): max(0, end - n) for p, end in sorted(ends.items())}})
+
+
+def to_kafka(df: DataFrame, servers: str, topic: str, checkpoint: str, key: str | None = None, acks: str = "all") -> StreamingQuery:
+    """Rows as JSON messages, keyed for a table of records. acks: how many brokers must have a message before it counts as sent."""
     value = df.select(*([F.col(key).cast("string").alias("key")] if key else []), F.to_json(F.struct(*df.columns)).alias("value"))
-    return value.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("kafka.compression.type", "lz4").option("checkpointLocation", checkpoint).start()
+    return value.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("kafka.compression.type", "lz4").option("kafka.acks", acks).option("checkpointLocation", checkpoint).start()
 
 
 def files(spark: SparkSession, path: str, like: DataFrame | None = None, per_trigger: int | None = None) -> DataFrame:
@@ -60,6 +66,19 @@ def active_steps(boundary: int, steps: dict[str, int]) -> list[str]:
     return [k for k, s in steps.items() if boundary % s == 0]
 
 
+def each_interval(steps: dict[str, int], run: Callable[[str, DataFrame, int], None], time: str = "create_time") -> Callable[[DataFrame, int], None]:
+    """For each interval the rows of a micro-batch at whose boundary it ends; a finer interval's run comes before a coarser one's."""
+
+    def batch(df: DataFrame, n: int) -> None:
+        boundaries = [r[0] for r in df.select(time).distinct().collect()]  # periods that closed in one micro-batch
+        for name in sorted(steps, key=steps.get):
+            here = [b for b in boundaries if name in active_steps(b, steps)]
+            if here:
+                run(name, df.filter(F.col(time).isin(here)), n)
+
+    return batch
+
+
 def next_boundary(now: int, step: int) -> int:
     return (now // step + 1) * step
 
