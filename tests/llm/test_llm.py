@@ -241,8 +241,8 @@ def test_figures_by_plain_python(corpus):
         n = c.total()
         divergence = sum(m / n * np.log(m / n * seen[k].total() / max(seen[k][w], 1)) for w, m in c.items())
         y = np.log(sorted(c.values(), reverse=True))
-        x = np.log(np.arange(1, len(y) + 1))
-        slope = np.polyfit(x, y, 1)[0] if len(y) > 1 else 0.0
+        x = np.log([sum(v >= u for v in c.values()) for u in sorted(c.values(), reverse=True)])
+        slope = np.polyfit(x, y, 1)[0] if len(set(c.values())) > 1 else 0.0
         residual = np.sqrt(np.mean((y - y.mean() - slope * (x - x.mean())) ** 2))
         plain += [(i, k, int(2 * np.log2(len(t))), slope, residual, divergence) for i in ids]
     got = {r.doc_id: r for r in spam.page_figures(corpus).collect()}

@@ -1,6 +1,6 @@
 """Pages made of keywords, link lists or tag lists instead of sentences.
 
-Rank-frequency curves: each page's word counts are ranked in a SQL window and log count is fitted on log rank. Prose of one language and
+Rank-frequency curves: each page's words are ranked by their counts in a SQL window and log count is fitted on log rank. Prose of one language and
 length has much the same slope, residual and divergence from that language's words, whatever its subject; pages of strung-together keywords
 don't. Languages and their words come from the corpus, no list of words is given. Each figure is set against the median of all pages of the same
 language and a comparable length, in units of their usual distance from it; a page that is extreme in one of them stands out.
@@ -15,7 +15,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -189,13 +188,14 @@ REMEMBERED = 200_000
 
 
 def _counts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """form and n of the words of each text, the commonest first."""
+    """form and n of the words of each text; and its different counts with how many words have each."""
     known: dict[str, tuple[str, ...]] = {}
     for texts in batches:
         if len(known) > REMEMBERED:
             known.clear()
-        pages = [sorted(count_forms(t, known).items(), key=itemgetter(1), reverse=True) for t in texts]
-        yield pd.DataFrame({"form": [[w for w, _ in p] for p in pages], "n": [[n for _, n in p] for p in pages]})
+        pages = [count_forms(t, known) for t in texts]
+        ties = [Counter(p.values()) for p in pages]
+        yield pd.DataFrame({"form": [list(p) for p in pages], "n": [list(p.values()) for p in pages], "count": [list(t) for t in ties], "ties": [list(t.values()) for t in ties]})
 
 
 def _pages(docs: DataFrame) -> DataFrame:
@@ -209,21 +209,26 @@ def _pages(docs: DataFrame) -> DataFrame:
 def rank_fits(docs: DataFrame) -> DataFrame:
     """One row for each different text: same, label, chars, size (words), slope, residual and entropy of its rank-frequency curve, and words (form and n, two arrays).
 
-    A text is counted once however many rows have it, so copies weigh nothing; of each, a task passes on one.
+    A word's rank is how many words are at least as common, so words of one count share a rank, and the window runs over counts, not words. The fit of log count
+    on log rank weighs every word alike. A text is counted once however many rows have it, so copies weigh nothing; of each, a task passes on one.
     The one exchange is that of the counted words; ranks and fits of a text need no further one.
     """
-    count = F.pandas_udf(_counts, "form array<string>, n array<int>").asNondeterministic()
+    count = F.pandas_udf(_counts, "form array<string>, n array<int>, count array<int>, ties array<int>").asNondeterministic()
     counted = spread(_pages(docs)).select("same", "label", F.length("text").alias("chars"), count("text").alias("words"))
     pages = counted.groupBy("same").agg(F.min("label").alias("label"), F.first("chars").alias("chars"), F.first("words").alias("words"))
-    # the counts are ranked one a row; the words themselves stay with the first
-    each = pages.select("same", "label", "chars", "words", F.posexplode_outer("words.n").alias("pos", "n")).filter("n is not null")
-    each = each.select("same", "n", F.when(F.col("pos") == 0, F.struct("label", "chars", "words")).alias("page"))
-    ranked = each.withColumn("rank", F.row_number().over(Window.partitionBy("same").orderBy(F.desc("n"))))  # equal counts: their order doesn't change the fit
-    x, y = F.ln("rank"), F.ln("n")
-    fit = ranked.groupBy("same").agg(F.sum("n").alias("size"), F.count("*").alias("k"), F.regr_slope(y, x).alias("slope"), F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.sum(F.col("n") * F.ln("n")).alias("n_ln_n"), F.first("page", ignorenulls=True).alias("page"))
-    slope = F.coalesce("slope", F.lit(0.0))
-    residual = F.sqrt(F.greatest(F.col("syy") - slope**2 * F.col("sxx"), F.lit(0.0)) / F.col("k"))
-    return fit.select("same", "page.label", "page.chars", "size", slope.alias("slope"), residual.alias("residual"), (F.col("n_ln_n") / F.col("size") - F.ln("size")).alias("entropy"), "page.words")
+    # one row a count; the words themselves stay with the first
+    each = pages.select("same", "label", "chars", "words", F.posexplode_outer("words.count").alias("pos", "n")).filter("n is not null")
+    page = F.struct("label", "chars", F.col("words.form").alias("form"), F.col("words.n").alias("n"))
+    each = each.select("same", "n", F.get("words.ties", F.col("pos")).alias("m"), F.when(F.col("pos") == 0, page).alias("page"))
+    ranked = each.withColumn("rank", F.sum("m").over(Window.partitionBy("same").orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, 0)))
+    m, x, y = F.col("m"), F.ln("rank"), F.ln("n")
+    sums = {"k": m, "size": m * F.col("n"), "x": m * x, "y": m * y, "xx": m * x * x, "xy": m * x * y, "yy": m * y * y, "n_ln_n": m * F.col("n") * y}
+    fit = ranked.groupBy("same").agg(*[F.sum(v).alias(c) for c, v in sums.items()], F.first("page", ignorenulls=True).alias("page"))
+    spread_of = lambda a, b: F.col(a + b) - F.col(a) * F.col(b) / F.col("k")
+    # sums of like numbers differ by rounding only: below that there is no spread
+    slope = F.when(spread_of("x", "x") > 1e-9, spread_of("x", "y") / spread_of("x", "x")).otherwise(0.0)
+    residual = F.sqrt(F.greatest(spread_of("y", "y") - slope * spread_of("x", "y"), F.lit(0.0)) / F.col("k"))
+    return fit.select("same", "page.label", "page.chars", "size", slope.alias("slope"), residual.alias("residual"), (F.col("n_ln_n") / F.col("size") - F.ln("size")).alias("entropy"), F.struct("page.form", "page.n").alias("words"))
 
 
 def _each_word(fits: DataFrame, *columns: str) -> DataFrame:
