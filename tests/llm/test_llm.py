@@ -293,6 +293,12 @@ def test_commonest_words_and_the_rest(spark, monkeypatch):
     assert got == {"a": (3 / 7, 1 / 7), "b": (2 / 7, 1 / 7)}
 
 
+@pytest.mark.parametrize("name", queries.QUERIES)
+def test_queries_give_rows(name, spark, sf_dir):
+    df = queries.QUERIES[name](spark, sf_dir)
+    assert len(set(df.columns)) == len(df.columns) and df.count() > 0
+
+
 def test_pages_empty(spark):
     none = "doc_id long, text string, lang string"
     assert spam.spam_pages(spark.createDataFrame([], none)).count() == 0

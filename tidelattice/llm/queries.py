@@ -30,7 +30,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Figures of every page."""
-    return spam.apart(spam.page_figures(_table(spark, sf_dir, "documents"))).drop("row")
+    return spam.page_figures(_table(spark, sf_dir, "documents"))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -225,9 +225,10 @@ def rank_fits(docs: DataFrame) -> DataFrame:
     sums = {"k": m, "size": m * F.col("n"), "x": m * x, "y": m * y, "xx": m * x * x, "xy": m * x * y, "yy": m * y * y, "n_ln_n": m * F.col("n") * y}
     fit = ranked.groupBy("same").agg(*[F.sum(v).alias(c) for c, v in sums.items()], F.first("page", ignorenulls=True).alias("page"))
     spread_of = lambda a, b: F.col(a + b) - F.col(a) * F.col(b) / F.col("k")
-    # sums of like numbers differ by rounding only: below that there is no spread
+    # what sums of like numbers differ by is rounding: below that there is no spread
     slope = F.when(spread_of("x", "x") > 1e-9, spread_of("x", "y") / spread_of("x", "x")).otherwise(0.0)
-    residual = F.sqrt(F.greatest(spread_of("y", "y") - slope * spread_of("x", "y"), F.lit(0.0)) / F.col("k"))
+    rest = (spread_of("y", "y") - slope * spread_of("x", "y")) / F.col("k")
+    residual = F.sqrt(F.when(rest > 1e-12, rest).otherwise(0.0))
     return fit.select("same", "page.label", "page.chars", "size", slope.alias("slope"), residual.alias("residual"), (F.col("n_ln_n") / F.col("size") - F.ln("size")).alias("entropy"), F.struct("page.form", "page.n").alias("words"))
 
 
