@@ -187,27 +187,28 @@ def _second_look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def implausible(rows: DataFrame, source: str, time_ms: str, row_id: str, content: list[str], fields: list[str], chunk: int = CHUNK) -> DataFrame:
     """(row_id, field, kind) of implausible values; kind is `impossible`, `stuck` or `spike`.
 
-    rows: row_id, source, time_ms (long) and fields; content: the columns in which rows that were stored again agree; they are one reading, and
+    rows: row_id, source, time_ms (long) and fields, read twice, so what is dear to make should be stored; content: the columns in which rows that were stored again agree; they are one reading, and
     each of them is returned. Nulls and zeros of a field are no readings of it. Rows without source or time can't be put in order: only their
     impossible values are found. Readings of one instant are ordered by a hash of their content. At either end of a series nothing returns, so
     no spike is found there. A source whose usual distance is zero has no spikes. An empty table gives an empty one; further columns are ignored.
     """
     kind = rows.schema[source].dataType.simpleString()
-    base = stored(rows.select(F.col(row_id).alias("row_id"), F.col(source).alias("symbol"), F.col(time_ms).alias("t"), F.xxhash64(*content).alias("h"), *[F.col(f).cast("double").alias(f) for f in fields]), "readings")
+    base = rows.select(F.col(row_id).alias("row_id"), F.col(source).alias("symbol"), F.col(time_ms).alias("t"), F.xxhash64(*content).alias("h"), *[F.col(f).cast("double").alias(f) for f in fields])
     # a third of all rows may be copies of one reading: they are one row before the shuffle
     once = base.filter("symbol is not null and t is not null").groupBy("symbol", "t", "h").agg(*[F.first(f).alias(f) for f in fields])
-    long = once.select("symbol", "t", "h", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("v")) for f in fields])).alias("x")).select("symbol", "x.field", "t", "h", "x.v").filter("v is not null and v != 0")
+    long = once.select("symbol", "t", "h", F.posexplode(F.array(*fields)).alias("field", "v")).select("symbol", F.col("field").cast("tinyint").alias("field"), "t", "h", "v").filter("v is not null and v != 0")
     chunks = dense_chunks(long, ["symbol", "field"], ["t", "h"], F.floor(F.col("t") / BLOCK_MS), chunk, HALO)
     chunks = chunks.repartition("symbol", "field", "chunk_").sortWithinPartitions("symbol", "field", "chunk_", "index_").select("symbol", "field", "chunk_", "t", "h", "v", "total_", "core_")
-    shape = f"symbol {kind}, field string, {_FOUND}, pending struct<t: array<long>, h: array<long>, v: array<double>, core: array<boolean>>, sizes array<struct<stat: string, size: int, n: long>>"
+    shape = f"symbol {kind}, field tinyint, {_FOUND}, pending struct<t: array<long>, h: array<long>, v: array<double>, core: array<boolean>>, sizes array<struct<stat: string, size: int, n: long>>"
     seen = stored(chunks.mapInPandas(lambda batches: _first_look(batches, chunk), shape), "chunks")
     sizes = seen.select("symbol", "field", F.explode("sizes").alias("s")).groupBy("symbol", "field", "s.stat", "s.size").agg(F.sum("s.n").alias("n"))
     of = Window.partitionBy("symbol", "field", "stat")
     halves = sizes.select("*", F.sum("n").over(of.orderBy("size")).alias("upto"), F.sum("n").over(of).alias("whole")).filter("2 * upto >= whole")
     usual = halves.groupBy("symbol", "field").agg(*[F.min(F.when(F.col("stat") == s, F.col("size"))).alias(s) for s in STATS])
-    late = seen.filter("pending is not null").select("symbol", "field", "pending").join(lookup(usual), ["symbol", "field"], "left").mapInPandas(_second_look, f"symbol {kind}, field string, {_FOUND}")
+    late = seen.filter("pending is not null").select("symbol", "field", "pending").join(lookup(usual), ["symbol", "field"], "left").mapInPandas(_second_look, f"symbol {kind}, field tinyint, {_FOUND}")
     found = seen.select("symbol", "field", "t", "h", "kind").unionByName(late)
-    bad = stored(found.select("symbol", "field", F.explode(F.arrays_zip("t", "h", "kind")).alias("x")).select("symbol", "field", "x.t", "x.h", "x.kind"), "found")
+    name = F.get(F.array(*[F.lit(f) for f in fields]), F.col("field")).alias("field")  # fields go by their numbers where all readings are moved
+    bad = stored(found.select("symbol", name, F.explode(F.arrays_zip("t", "h", "kind")).alias("x")).select("symbol", "field", "x.t", "x.h", "x.kind"), "found")
     placed = base.select("row_id", "symbol", "t", "h").join(lookup(bad), ["symbol", "t", "h"]).select("row_id", "field", "kind")
     unplaced = base.filter("symbol is null or t is null").select("row_id", F.explode(F.array(*[F.when((F.col(f) < 0) | F.isnan(f) | (F.abs(f) == float("inf")), F.lit(f)) for f in fields])).alias("field")).filter("field is not null").withColumn("kind", F.lit("impossible"))
     return placed.unionByName(unplaced)
