@@ -172,7 +172,7 @@ def replay(log: DataFrame, period: Period, value: str, weight: str, batch: str,
 def views(log: DataFrame, period: Period, value: str, weight: str, batch: str, now_us: int, shape: Shape = PLAIN) -> DataFrame:
     """What a reader sees at an instant at which the batch layer has just run: frozen and open periods that have ended from it, provisional ones from the increments of the batches."""
     known = log.filter(F.col("arrived_us") <= now_us)
-    view = recompute(known, period, value, weight, now_us, shape=shape).filter(F.col("period_end") * 1000 <= now_us)
+    view = cut(recompute(known, period, value, weight, now_us, shape=shape).filter(F.col("period_end") * 1000 <= now_us))
     return serve(view, add_increments(fast_increment(known, period, value, weight, shape, (batch,))))
 
 
