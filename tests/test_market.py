@@ -307,6 +307,27 @@ def test_stream_features_equal_batch(spark, tmp_path):
     assert len(got) == 90
 
 
+@pytest.mark.parametrize("monthly", [False, True])
+def test_stream_features_by_period(spark, tmp_path, monthly):
+    """In a table of periods only the batch's periods are rewritten; with strict history only rows with all boundaries before them get features."""
+    name = "futures_premiumindexklines"
+    base = features.FAMILIES[name].base
+    df = spark.range(200).select(F.lit("A").alias("symbol"), (F.col("id") * HOUR).alias("open_time"), (F.col("id") * HOUR + HOUR - 1).alias("close_time"), *[(100 + F.sin(F.col("id") * k) * 3).alias(c) for k, c in enumerate(base[1:], 1)])
+    path = str(tmp_path / "table")
+    whole = features.features(name, df, ["symbol"])
+    first = whole.filter(F.col("open_time") < 100 * HOUR)
+    sink.with_period(first.withColumn("at_", F.timestamp_millis("open_time")), "at_", monthly).drop("at_").write.partitionBy("period").parquet(path)
+    files = lambda: {str(p) for p in (tmp_path / "table").rglob("*.parquet")}
+    before = files()
+    run = pipelines.with_features(name, path, ["symbol"], HOUR)
+    for _ in range(2):
+        run(df.filter((F.col("open_time") >= 100 * HOUR) & (F.col("open_time") < 130 * HOUR)), 0)
+    got = {r.open_time: r.asDict() for r in spark.read.parquet(path).collect()}
+    want = {r.open_time: r.asDict() for r in whole.filter(F.col("open_time") < 130 * HOUR).collect()}
+    assert got.keys() == want.keys() and all(abs(v - got[t][k]) < 1e-9 for t, r in want.items() for k, v in r.items() if isinstance(v, float))
+    assert len(before) == (1 if monthly else 5) and len(before & files()) == (0 if monthly else 4)
+
+
 def test_boundaries():
     assert pipelines.next_boundary(HOUR, HOUR) == 2 * HOUR
     assert pipelines.active_steps(4 * HOUR, {"1h": HOUR, "4h": 4 * HOUR, "1d": nz.DAY_MS}) == ["1h", "4h"]

@@ -14,7 +14,7 @@ from tidelattice.operators import features, lambda_views
 
 from tidelattice.session import lookup
 from tidelattice.sinks.lake import merge_periods, period_of, upsert
-from tidelattice.sources.lake import read_or_none
+from tidelattice.sources.lake import partitions, read_or_none
 
 
 def kafka(spark: SparkSession, servers: str, topic: str, schema: str, start: str = "latest", per_trigger: int | None = None) -> DataFrame:
@@ -101,7 +101,7 @@ def into_table(path: str, keys: list[str], partition: str | None = None, order:
 def with_features(family: str, path: str, key: list[str], step: int, strict: bool = True) -> Callable[[DataFrame, int], None]:
     """Closed periods of a micro-batch with their features: computed by the batch steps over the last stored rows and the new ones, only the new ones kept.
 
-    strict: periods whose history has gaps get none; only the rows that a whole history can have are read then. In a table with `period` partitions (see
+    strict: periods whose history has gaps get none; only the rows that a whole history can have are read then. In a table that has `period` partitions (days or months, see
     `period_of`) only those of the batch are rewritten.
     """
     f = features.FAMILIES[family]
@@ -110,7 +110,8 @@ def with_features(family: str, path: str, key: list[str], step: int, strict: boo
         base = [*key, f.time, *f.base]
         stored = read_or_none(batch.sparkSession, path)
         rows = batch.select(*base, F.lit(True).alias("new_"))
-        by_period = stored is not None and "period" in stored.columns
+        there = partitions(batch.sparkSession, path)
+        by_period, monthly = bool(there), bool(there) and len(there[-1]) == len("yyyy-MM")
         if stored is not None:
             # history is bounded: the rows before a batch's first period that any feature reaches back to
             first = batch.groupBy(*key).agg(F.min(f.time).alias("first_"))
@@ -121,7 +122,7 @@ def with_features(family: str, path: str, key: list[str], step: int, strict: boo
                 since = begin - features.HISTORY * step
                 stored = stored.filter(F.col(f.time) >= since)
                 if by_period:
-                    stored = stored.filter(F.col("period") >= period_of(F.lit(since)))
+                    stored = stored.filter(F.col("period").cast("string") >= period_of(F.lit(since), monthly))
             near = stored.select(*base).join(lookup(first), key).filter(F.col(f.time) < F.col("first_"))
             last = Window.partitionBy(*key).orderBy(F.desc(f.time))
             near = near.withColumn("n_", F.row_number().over(last)).filter(F.col("n_") <= features.HISTORY).drop("n_", "first_")
@@ -131,7 +132,7 @@ def with_features(family: str, path: str, key: list[str], step: int, strict: boo
             done = features.strict_history(done, key, f.time, step)
         done = done.join(rows.filter("new_").select(*key, f.time), [*key, f.time], "left_semi")
         if by_period:
-            done = done.withColumn("period", period_of(f.time))
+            done = done.withColumn("period", period_of(f.time, monthly))
         upsert(done, path, [*key, f.time], "period" if by_period else None)
 
     return run
