@@ -196,8 +196,7 @@ def implausible(rows: DataFrame, source: str, time_ms: str, row_id: str, content
     base = rows.select(F.col(row_id).alias("row_id"), F.col(source).alias("symbol"), F.col(time_ms).alias("t"), F.xxhash64(*content).alias("h"), *[F.col(f).cast("double").alias(f) for f in fields])
     # a third of all rows may be copies of one reading: they are one row before the shuffle
     once = base.filter("symbol is not null and t is not null").groupBy("symbol", "t", "h").agg(*[F.first(f).alias(f) for f in fields])
-    long = once.select("symbol", "t", "h", F.posexplode(F.array(*fields)).alias("field", "v")).select("symbol", F.col("field").cast("tinyint").alias("field"), "t", "h", "v").filter("v is not null and v != 0")
-    chunks = dense_chunks(long, ["symbol", "field"], ["t", "h"], F.floor(F.col("t") / BLOCK_MS), chunk, HALO)
+    chunks = dense_chunks(once, ["symbol"], ["t", "h"], F.floor(F.col("t") / BLOCK_MS), fields, chunk, HALO)
     chunks = chunks.repartition("symbol", "field", "chunk_").sortWithinPartitions("symbol", "field", "chunk_", "index_").select("symbol", "field", "chunk_", "t", "h", "v", "total_", "core_")
     shape = f"symbol {kind}, field tinyint, {_FOUND}, pending struct<t: array<long>, h: array<long>, v: array<double>, core: array<boolean>>, sizes array<struct<stat: string, size: int, n: long>>"
     seen = stored(chunks.mapInPandas(lambda batches: _first_look(batches, chunk), shape), "chunks")
